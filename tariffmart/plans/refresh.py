@@ -20,7 +20,7 @@ from tariffmart.operators.validate import (
     rejected_price_count,
     required_not_null,
 )
-from tariffmart.schemas import CONTRACTS, DISCOUNT_COLUMNS, KEY, PRICE_COLUMNS, PRIMARY_KEYS, SALE_COLUMNS
+from tariffmart.schemas import CONTRACTS, ID_ORDER, KEY, PRICE_COLUMNS, PRIMARY_KEYS
 from tariffmart.session import written
 from tariffmart.sources.tables import as_table
 
@@ -42,10 +42,10 @@ class Refresh:
     rows_rejected: int
 
 
-def _numbered(fresh: DataFrame, facts: DataFrame, table: str, columns: list[str], loaded_at: dt.datetime) -> DataFrame:
+def _numbered(fresh: DataFrame, facts: DataFrame, table: str, loaded_at: dt.datetime) -> DataFrame:
     """New rows with ids after the highest one, in the order of all business columns, NULL first."""
     id_column = PRIMARY_KEYS[table]
-    order = [F.col(c).asc_nulls_first() for c in columns]
+    order = [F.col(c).asc_nulls_first() for c in ID_ORDER[table]]
     rows = with_surrogate_key(fresh, id_column, order, highest_id(facts, id_column))
     return as_table(rows.withColumn("created_at", moment(loaded_at)), table)
 
@@ -54,14 +54,14 @@ def refresh_sales(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime) -
     """Rows to append to the sales facts."""
     ready = required_not_null(staged, ["sale_date", *KEY])
     fresh = new_sales(ready, within_staged_dates(facts, ready, "sale_date"))
-    return _numbered(fresh, facts, "fact_sales", SALE_COLUMNS, loaded_at)
+    return _numbered(fresh, facts, "fact_sales", loaded_at)
 
 
 def refresh_discounts(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Rows to append to the discount facts."""
     ready = required_not_null(staged, [*KEY, "start_date", "end_date"])
     fresh = new_discounts(ready, within_staged_dates(facts, ready, "start_date"))
-    return _numbered(fresh, facts, "fact_discount_events", DISCOUNT_COLUMNS, loaded_at)
+    return _numbered(fresh, facts, "fact_discount_events", loaded_at)
 
 
 def append_prices(
@@ -72,7 +72,7 @@ def append_prices(
     fresh = new_prices(
         known_sku(ready, dim_product), within_staged_dates(facts, ready, "effective_start"), match_end=not idempotent
     )
-    return _numbered(fresh, facts, "fact_price_history", PRICE_COLUMNS, loaded_at)
+    return _numbered(fresh, facts, "fact_price_history", loaded_at)
 
 
 def refresh_prices(

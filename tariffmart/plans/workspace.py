@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmart.operators.validate import known_sku
-from tariffmart.plans.refresh import Refresh, append_prices, refresh_discounts, refresh_mart, refresh_sales
+from tariffmart.plans.refresh import LoadRejected, Refresh, append_prices, refresh_discounts, refresh_mart, refresh_sales
 from tariffmart.plans.store import MartStore
-from tariffmart.schemas import KEY, PRICE_COLUMNS
 from tariffmart.session import scratch_path, written
 from tariffmart.sources import given
-from tariffmart.sources.tables import as_table, empty_table
+from tariffmart.sources.tables import empty_table
 
 FACT_NAMES = ["fact_sales", "fact_discount_events", "fact_price_history"]
 DATE_OF = {
@@ -108,6 +107,19 @@ class Workspace:
             ),
         }
 
+    @cached_property
+    def history(self) -> tuple[MartStore, dict[str, DataFrame]]:
+        """A store after three runs (the second one fails on unknown skus), and its facts after the failure."""
+        store = self.fresh_store()
+        store.refresh(self.loadable_early, self.dims, given.LOADED_AT)
+        try:
+            store.refresh(self.staging, self.dims, given.SECOND_LOAD_AT)
+        except LoadRejected:
+            pass
+        after_failure = store.facts()
+        store.refresh(self.loadable, self.dims, given.SECOND_LOAD_AT)
+        return store, after_failure
+
     def fresh_store(self) -> MartStore:
         """A new, empty mart on shared storage."""
         return MartStore(self.spark, scratch_path(self.spark, "mart"))

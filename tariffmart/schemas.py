@@ -16,6 +16,14 @@ SALE_COLUMNS = ["sale_date", *KEY, "qty", "net_sales"]
 PRICE_COLUMNS = [*KEY, "price", "currency", "effective_start", "effective_end", "source_system"]
 DISCOUNT_COLUMNS = [*KEY, "discount_type", "discount_value", "start_date", "end_date"]
 
+# Total order of new rows for their ids; NULL sorts first. Files written in it are clustered the same way:
+# sales by date, prices and discounts by key.
+ID_ORDER = {
+    "fact_sales": SALE_COLUMNS,
+    "fact_price_history": [*KEY, "effective_start", "effective_end", "price", "currency", "source_system"],
+    "fact_discount_events": [*KEY, "start_date", "end_date", "discount_type", "discount_value"],
+}
+
 MONEY = T.DecimalType(18, 2)
 RATE = T.DecimalType(18, 4)
 

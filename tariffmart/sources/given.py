@@ -14,6 +14,7 @@ from tariffmart.sources.tables import as_table
 # Fixed values of the derivation.
 AS_OF = dt.date(2001, 8, 1)
 LOADED_AT = dt.datetime(2001, 8, 1)
+SECOND_LOAD_AT = dt.datetime(2001, 8, 2)
 PRELOADED_BEFORE = dt.date(2000, 1, 1)
 SKUS = 200
 KNOWN_SKUS = 190
