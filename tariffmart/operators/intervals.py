@@ -50,7 +50,7 @@ def one_row_per_day(
 
 
 def _as_intervals(df: DataFrame, start: str, end: str, by: list[str]) -> DataFrame:
-    """Distinct (key, start, end) with the number of rows behind it; the pre-aggregation of all counts."""
+    """Distinct (key, start, end) with the number of rows behind it."""
     return (
         df.filter(F.col(start).isNotNull())
         .filter(_known_key(by))
@@ -76,22 +76,24 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
     ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``. No pair is ever
     formed. Intervals with start <= end are counted by complement: all pairs less those where one ends
     before the other starts, which needs only running totals over dates. An inverted interval overlaps
-    exactly the proper ones that enclose it, counted by ``_enclosing_counts``.
+    exactly the proper ones that enclose it, counted by ``_enclosing_counts``; a filtered scan asks first
+    whether there is any, since that part costs further shuffles.
     """
-    spans = _as_intervals(df, start, end, by)
-    proper = spans.filter("s <= e")
-    number = lambda name: F.sum(F.col(name)).cast(COUNT_TYPE)
-    marks = proper.select(
+    rows = df.filter(F.col(start).isNotNull()).filter(_known_key(by)).select(
+        *by, F.col(start).alias("s"), end_or_open(end).alias("e")
+    )
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    point = F.when(F.col("s") == F.col("e"), one).otherwise(none)
+    marks = rows.filter("s <= e").select(
         *by,
         F.explode(
             F.array(
-                F.struct(F.col("s").alias("d"), F.col("n").alias("starts"), F.lit(0).cast("long").alias("ends"),
-                         F.when(F.col("s") == F.col("e"), F.col("n")).otherwise(F.lit(0)).cast("long").alias("points")),
-                F.struct(F.col("e").alias("d"), F.lit(0).cast("long").alias("starts"), F.col("n").alias("ends"),
-                         F.lit(0).cast("long").alias("points")),
+                F.struct(F.col("s").alias("d"), one.alias("starts"), none.alias("ends"), point.alias("points")),
+                F.struct(F.col("e").alias("d"), none.alias("starts"), one.alias("ends"), none.alias("points")),
             )
         ).alias("m"),
     ).select(*by, "m.*")
+    number = lambda name: F.sum(F.col(name)).cast(COUNT_TYPE)
     dates = marks.groupBy(*by, "d").agg(
         number("starts").alias("starts"), number("ends").alias("ends"), number("points").alias("points")
     )
@@ -110,13 +112,10 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
         .select(*by, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    inverted = _enclosing_counts(spans, strict, by)
-    return (
-        totals.unionByName(inverted)
-        .groupBy(*by)
-        .agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
-        .filter(F.col("pairs") > 0)
-    )
+    if not rows.filter("s > e").isEmpty():
+        inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by)
+        totals = totals.unionByName(inverted).groupBy(*by).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
+    return totals.filter(F.col("pairs") > 0)
 
 
 def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str]) -> DataFrame:

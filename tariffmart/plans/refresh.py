@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,6 @@ from tariffmart.operators.validate import (
     required_not_null,
 )
 from tariffmart.schemas import CONTRACTS, ID_ORDER, KEY, PRICE_COLUMNS, PRIMARY_KEYS
-from tariffmart.session import written
 from tariffmart.sources.tables import as_table
 
 FACTS = ["fact_sales", "fact_discount_events", "fact_price_history"]
@@ -34,7 +35,7 @@ class LoadRejected(Exception):
 
 @dataclass
 class Refresh:
-    """What a refresh produced: numbered new rows, repaired prices and the counts for the run log."""
+    """What a refresh produced: numbered new rows, the plan of all repaired prices, counts for the run log."""
 
     new_rows: dict[str, DataFrame]
     prices: DataFrame
@@ -82,16 +83,27 @@ def refresh_prices(
     return repair_ranges(facts.unionByName(append_prices(staged, facts, dim_product, loaded_at, idempotent)))
 
 
-def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> None:
-    """Raise if new rows miss a required value, exceed a length or point to no dimension row."""
-    problems = []
-    for table, rows in new_rows.items():
-        broken = contract_violations(rows, CONTRACTS[table]).filter("row_count > 0").collect()
-        problems += [f"{table}.{r.column_name} {r.rule}: {r.row_count}" for r in broken]
-    unknown = foreign_key_violations(new_rows, dims).filter("row_count > 0").collect()
-    problems += [f"{r.table_name}.{r.column_name} without dimension row: {r.row_count}" for r in unknown]
-    if problems:
-        raise LoadRejected("; ".join(sorted(problems)))
+def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> int:
+    """Raise if new rows miss a required value, exceed a length or point to no dimension row; else their number.
+
+    All rules of all tables run as one job over the written rows; what returns is one row per rule.
+    """
+    size = [
+        rows.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), F.lit("").alias("column_name"), F.lit("rows").alias("rule"), "row_count")
+        for t, rows in new_rows.items()
+    ]
+    rules = [
+        contract_violations(rows, CONTRACTS[t]).select(F.lit(t).alias("table_name"), "column_name", "rule", "row_count")
+        for t, rows in new_rows.items()
+    ]
+    members = foreign_key_violations(new_rows, dims).select(
+        "table_name", "column_name", F.lit("without dimension row").alias("rule"), "row_count"
+    )
+    found = reduce(DataFrame.unionByName, [*size, *rules, members]).filter("row_count > 0").collect()
+    broken = [f"{r.table_name}.{r.column_name} {r.rule}: {r.row_count}" for r in found if r.rule != "rows"]
+    if broken:
+        raise LoadRejected("; ".join(sorted(broken)))
+    return sum(r.row_count for r in found)
 
 
 def refresh_mart(
@@ -102,18 +114,22 @@ def refresh_mart(
     idempotent: bool = False,
 ) -> Refresh:
     """One whole refresh. New rows are written with their ids first; the checks, the repair and the later
-    publication all read those same written rows."""
-    new_rows = {
-        "fact_sales": refresh_sales(staging["stg_sales"], facts["fact_sales"], loaded_at),
-        "fact_discount_events": refresh_discounts(
-            staging["stg_discount_events"], facts["fact_discount_events"], loaded_at
-        ),
-        "fact_price_history": append_prices(
-            staging["stg_price_history"], facts["fact_price_history"], dims["dim_product"], loaded_at, idempotent
-        ),
-    }
-    check_load(new_rows, dims)
-    loaded = sum(rows.count() for rows in new_rows.values())
-    rejected = rejected_price_count(staging["stg_price_history"], dims["dim_product"]).first()[0]
-    prices = repair_ranges(facts["fact_price_history"].unionByName(new_rows["fact_price_history"]))
-    return Refresh(new_rows, written(prices, "prices"), loaded, rejected)
+    publication all read those same written rows. The three tables do not depend on each other, so their
+    jobs are submitted together."""
+    products = dims["dim_product"]
+    prices = staging["stg_price_history"]
+    with ThreadPoolExecutor(max_workers=4) as jobs:
+        rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0])
+        loads = {
+            "fact_sales": jobs.submit(refresh_sales, staging["stg_sales"], facts["fact_sales"], loaded_at),
+            "fact_discount_events": jobs.submit(
+                refresh_discounts, staging["stg_discount_events"], facts["fact_discount_events"], loaded_at
+            ),
+            "fact_price_history": jobs.submit(
+                append_prices, prices, facts["fact_price_history"], products, loaded_at, idempotent
+            ),
+        }
+        new_rows = {table: load.result() for table, load in loads.items()}
+    loaded = check_load(new_rows, dims)
+    repaired = repair_ranges(facts["fact_price_history"].unionByName(new_rows["fact_price_history"]))
+    return Refresh(new_rows, repaired, loaded, rejected.result())

@@ -9,6 +9,7 @@ a failed run leaves folders that nobody reads, and a FAILED row. One refresh run
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,8 +83,13 @@ class MartStore:
     def write(self, run_id: int, refresh: Refresh) -> None:
         """Write the tables of a run; nothing reads them until the run is logged as SUCCESS."""
         tables = {**refresh.new_rows, "fact_price_history": refresh.prices}
-        for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(self._folder(name, run_id))
+        with ThreadPoolExecutor(max_workers=len(tables)) as jobs:
+            writes = [
+                jobs.submit(rows.write.mode("overwrite").parquet, self._folder(name, run_id))
+                for name, rows in tables.items()
+            ]
+            for write in writes:
+                write.result()
 
     def refresh(
         self,

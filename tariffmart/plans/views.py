@@ -114,7 +114,11 @@ def pricing_bi_dataset(
     sales = sales_daily(
         facts["fact_sales"].filter(F.col("sale_date").between(day(first), day(last)))
     ).withColumnRenamed("sale_date", "as_of_date")
-    joined = grid.join(prices, DAY_KEY, "left").join(discounts, DAY_KEY, "left").join(sales, DAY_KEY, "left")
+    # All sides are hashed on the same four columns, so the grid moves once for three merge joins. The hint keeps
+    # the planner from broadcasting a side by its size before the day expansion.
+    joined = grid
+    for side in (prices, discounts, sales):
+        joined = joined.join(side.hint("merge"), DAY_KEY, "left")
     return joined.select(
         "as_of_date",
         "sku",

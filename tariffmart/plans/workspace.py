@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmart.operators.validate import known_sku
-from tariffmart.plans.refresh import LoadRejected, Refresh, append_prices, refresh_discounts, refresh_mart, refresh_sales
+from tariffmart.plans.refresh import LoadRejected, Refresh, append_prices, refresh_discounts, refresh_sales
 from tariffmart.plans.store import MartStore
 from tariffmart.session import scratch_path, written
 from tariffmart.sources import given
@@ -69,35 +69,36 @@ class Workspace:
         return {name: empty_table(self.spark, name) for name in FACT_NAMES}
 
     @cached_property
-    def first_load(self) -> Refresh:
-        """The whole staging loaded into empty facts."""
-        return refresh_mart(self.loadable, self.no_facts, self.dims, given.LOADED_AT)
+    def loaded(self) -> tuple[MartStore, Refresh]:
+        """The whole staging loaded into an empty store."""
+        store = self.fresh_store()
+        return store, store.refresh(self.loadable, self.dims, given.LOADED_AT)
 
-    @property
+    @cached_property
     def facts(self) -> dict[str, DataFrame]:
-        load = self.first_load
-        return {**load.new_rows, "fact_price_history": load.prices}
+        return self.loaded[0].facts()
 
-    @property
+    @cached_property
     def unrepaired(self) -> DataFrame:
         """Price facts of the first load as appended, before the repair."""
-        return self.first_load.new_rows["fact_price_history"]
+        return written(self.loaded[1].new_rows["fact_price_history"], "unrepaired")
 
     @cached_property
-    def early_load(self) -> Refresh:
-        """Only the early rows loaded into empty facts: what a second load finds."""
-        return refresh_mart(self.loadable_early, self.no_facts, self.dims, given.LOADED_AT)
+    def early_store(self) -> MartStore:
+        """A store with only the early rows: what a second load finds."""
+        store = self.fresh_store()
+        store.refresh(self.loadable_early, self.dims, given.LOADED_AT)
+        return store
 
-    @property
+    @cached_property
     def early_facts(self) -> dict[str, DataFrame]:
-        load = self.early_load
-        return {**load.new_rows, "fact_price_history": load.prices}
+        return self.early_store.facts()
 
     @cached_property
     def unchecked(self) -> dict[str, DataFrame]:
         """Facts as a load without foreign keys would have made them; unknown members are kept."""
         no_members = self.staging["stg_price_history"].select("sku").dropna().distinct()
-        return {
+        facts = {
             "fact_sales": refresh_sales(self.staging["stg_sales"], self.no_facts["fact_sales"], given.LOADED_AT),
             "fact_price_history": append_prices(
                 self.staging["stg_price_history"], self.no_facts["fact_price_history"], no_members, given.LOADED_AT
@@ -106,12 +107,13 @@ class Workspace:
                 self.staging["stg_discount_events"], self.no_facts["fact_discount_events"], given.LOADED_AT
             ),
         }
+        return {name: written(df, f"unchecked-{name}") for name, df in facts.items()}
 
     @cached_property
     def history(self) -> tuple[MartStore, dict[str, DataFrame]]:
-        """A store after three runs (the second one fails on unknown skus), and its facts after the failure."""
-        store = self.fresh_store()
-        store.refresh(self.loadable_early, self.dims, given.LOADED_AT)
+        """The early store after two more runs (the first fails on unknown skus), and its facts after the failure."""
+        self.early_facts  # bound to the first run before others follow
+        store = self.early_store
         try:
             store.refresh(self.staging, self.dims, given.SECOND_LOAD_AT)
         except LoadRejected:

@@ -588,7 +588,7 @@ def pk_duplicates(w: Workspace) -> DataFrame:
 
 @query
 def run_totals(w: Workspace) -> DataFrame:
-    loaded = audit.row_counts(w.first_load.new_rows).agg(F.sum("row_count").alias("rows_loaded"))
+    loaded = audit.row_counts(w.loaded[1].new_rows).agg(F.sum("row_count").alias("rows_loaded"))
     rejected = validate.rejected_price_count(w.staging["stg_price_history"], w.dims["dim_product"])
     return loaded.select("rows_loaded", rejected.scalar().alias("rows_rejected"))
 
