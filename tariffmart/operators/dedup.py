@@ -27,6 +27,8 @@ def within_staged_dates(facts: DataFrame, staged: DataFrame, date: str) -> DataF
     The two bounds are one small row; as literals they reach the Parquet scan of the facts, which is
     written in date order, so a daily load does not read years of history.
     """
+    if facts.isEmpty():
+        return facts
     low, high = staged.agg(F.min(date), F.max(date)).first()
     if low is None:
         return facts.limit(0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.session import scratch_path
@@ -15,7 +17,7 @@ def with_surrogate_key(
 
     A global ``row_number`` would sort everything in one task. Here the rows are written range-partitioned
     and sorted, so a row's number is its position in its file plus the sizes of the files before it. Only
-    the file sizes, one row per write task, meet in one place. A hot key spreads over as many ranges
+    the file sizes, one small row per write task, come to the driver. A hot key spreads over as many ranges
     as it needs, because the order covers all business columns. The result reads the written table.
     """
     spark = df.sparkSession
@@ -26,15 +28,16 @@ def with_surrogate_key(
         .withColumn("_range", F.spark_partition_id())
         .write.parquet(target)
     )
-    schema = df.withColumn("_range", F.lit(0)).schema
-    rows = spark.read.schema(schema).parquet(target).select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_position")
+    stored = spark.read.schema(df.withColumn("_range", F.lit(0)).schema).parquet(target)
+    file_name = F.col("_metadata.file_name")
+    sizes = stored.groupBy("_range", file_name.alias("_file")).count().orderBy("_range", "_file").collect()
+    ends = list(accumulate((row["count"] for row in sizes), initial=after))
+    offsets = spark.createDataFrame(
+        [(row["_file"], end) for row, end in zip(sizes, ends)], "_file string, _before bigint"
     )
-    sizes = rows.groupBy("_range", "_file").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_range", "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    number = (F.col("_before") + F.col("_position") + F.lit(after + 1)).cast("long")
-    return rows.join(offsets, "_file").select(number.alias(id_column), *df.columns)
+    rows = stored.select("*", file_name.alias("_file"), F.col("_metadata.row_index").alias("_position"))
+    number = F.col("_before") + F.col("_position") + 1
+    return rows.join(offsets, "_file").select(number.cast("long").alias(id_column), *df.columns)
 
 
 def highest_id(df: DataFrame, id_column: str) -> int:

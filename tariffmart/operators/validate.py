@@ -57,13 +57,40 @@ def reject_reasons(staged: DataFrame) -> DataFrame:
     )
 
 
+def _rules(contract: Contract) -> list[tuple[str, str, Column]]:
+    """(column, rule, condition that breaks it)."""
+    rules = [(c, "not_null", F.col(c).isNull()) for c in contract.required]
+    return rules + [(c, f"max_length_{n}", F.length(c) > n) for c, n in contract.max_length.items()]
+
+
+def _unpivot(counts: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
+    """One row with columns m0, m1, ... turned into (column_name, rule, row_count) rows."""
+    cells = ", ".join(f"'{column}', '{rule}', m{i}" for i, (column, rule) in enumerate(labels))
+    return counts.select(F.expr(f"stack({len(labels)}, {cells}) AS (column_name, rule, row_count)"))
+
+
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """(column_name, rule, row_count) for each NOT NULL and length rule, in one pass over the rows."""
-    measures = [(c, "not_null", F.col(c).isNull()) for c in contract.required]
-    measures += [(c, f"max_length_{n}", F.length(c) > n) for c, n in contract.max_length.items()]
-    counts = df.agg(*[F.count_if(broken).alias(f"m{i}") for i, (_, _, broken) in enumerate(measures)])
-    cells = ", ".join(f"'{column}', '{rule}', m{i}" for i, (column, rule, _) in enumerate(measures))
-    return counts.select(F.expr(f"stack({len(measures)}, {cells}) AS (column_name, rule, row_count)"))
+    rules = _rules(contract)
+    counts = df.agg(*[F.count_if(broken).alias(f"m{i}") for i, (_, _, broken) in enumerate(rules)])
+    return _unpivot(counts, [(column, rule) for column, rule, _ in rules])
+
+
+def load_violations(df: DataFrame, contract: Contract, dims: dict[str, DataFrame]) -> DataFrame:
+    """Contract rules, unknown dimension members and the number of rows (rule ``rows``), in one pass.
+
+    Everything is counted per key first, so the dimensions are looked up once per key.
+    """
+    rules = _rules(contract)
+    per_key = df.groupBy(*KEY).agg(
+        F.count("*").alias("n"), *[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)]
+    )
+    flagged = flag_unknown_members(per_key, dims)
+    unknown = [F.when(F.col(f"{c}_unknown") & F.col(c).isNotNull(), F.col("n")).otherwise(0) for c in DIMENSION_OF]
+    measures = [F.col("n"), *[F.col(f"r{i}") for i in range(len(rules))], *unknown]
+    counts = flagged.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(f"m{i}") for i, m in enumerate(measures)])
+    labels = [("", "rows"), *[(c, r) for c, r, _ in rules], *[(c, "without dimension row") for c in DIMENSION_OF]]
+    return _unpivot(counts, labels)
 
 
 def key_counts(df: DataFrame, by: list[str] = KEY) -> DataFrame:

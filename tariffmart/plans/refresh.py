@@ -15,9 +15,8 @@ from tariffmart.operators.dedup import distinct_rows, new_discounts, new_prices,
 from tariffmart.operators.repair import repair_ranges
 from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.operators.validate import (
-    contract_violations,
-    foreign_key_violations,
     known_sku,
+    load_violations,
     price_row_rules,
     rejected_price_count,
     required_not_null,
@@ -88,18 +87,11 @@ def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> in
 
     All rules of all tables run as one job over the written rows; what returns is one row per rule.
     """
-    size = [
-        rows.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), F.lit("").alias("column_name"), F.lit("rows").alias("rule"), "row_count")
-        for t, rows in new_rows.items()
+    checks = [
+        load_violations(rows, CONTRACTS[table], dims).withColumn("table_name", F.lit(table))
+        for table, rows in new_rows.items()
     ]
-    rules = [
-        contract_violations(rows, CONTRACTS[t]).select(F.lit(t).alias("table_name"), "column_name", "rule", "row_count")
-        for t, rows in new_rows.items()
-    ]
-    members = foreign_key_violations(new_rows, dims).select(
-        "table_name", "column_name", F.lit("without dimension row").alias("rule"), "row_count"
-    )
-    found = reduce(DataFrame.unionByName, [*size, *rules, members]).filter("row_count > 0").collect()
+    found = reduce(DataFrame.unionByName, checks).filter("row_count > 0").collect()
     broken = [f"{r.table_name}.{r.column_name} {r.rule}: {r.row_count}" for r in found if r.rule != "rows"]
     if broken:
         raise LoadRejected("; ".join(sorted(broken)))
