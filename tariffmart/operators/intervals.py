@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import OPEN_END, day, end_or_open
+from tariffmart.operators.top import first_per_group
 from tariffmart.schemas import KEY
 
 COUNT_TYPE = "decimal(38,0)"
@@ -33,20 +34,46 @@ def overlaps(start: str, end: str, first: dt.date | str, last: dt.date | str) ->
     return (F.col(start) <= day(last)) & (F.col(end).isNull() | (F.col(end) >= day(first)))
 
 
+def _clipped(df: DataFrame, start: str, end: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows that hold a day of [first, last], with the first and last such day. An inverted interval holds none."""
+    return (
+        df.filter(overlaps(start, end, first, last))
+        .filter(F.col(end).isNull() | (F.col(start) <= F.col(end)))
+        .withColumn("_first", F.greatest(F.col(start), day(first)))
+        .withColumn("_last", F.least(end_or_open(end), day(last)))
+    )
+
+
 def one_row_per_day(
     df: DataFrame, start: str, end: str, first: dt.date, last: dt.date, name: str = "as_of_date"
 ) -> DataFrame:
     """One copy of each row for every day of [first, last] that its interval holds.
 
     The same rows as a range join with a calendar, without the nested loop: the interval is clipped to
-    the window and unrolled in place, so nothing moves. An inverted interval holds no day.
+    the window and unrolled in place, so nothing moves.
     """
-    clipped = F.sequence(F.greatest(F.col(start), day(first)), F.least(end_or_open(end), day(last)))
-    return (
-        df.filter(overlaps(start, end, first, last))
-        .filter(F.col(end).isNull() | (F.col(start) <= F.col(end)))
-        .withColumn(name, F.explode(clipped))
-    )
+    days = _clipped(df, start, end, first, last).withColumn(name, F.explode(F.sequence("_first", "_last")))
+    return days.drop("_first", "_last")
+
+
+def best_per_day(
+    df: DataFrame,
+    start: str,
+    end: str,
+    first: dt.date,
+    last: dt.date,
+    order_by: list[Column],
+    by: list[str] = KEY,
+    name: str = "as_of_date",
+) -> DataFrame:
+    """For each day of [first, last] and key the first row, in the given order, among those that hold the day.
+
+    Rows of a key that hold the same days of the window compete on all of them, so only the best goes on to
+    be unrolled. That leaves at most one row per pair of days for any key, whatever number of rows overlap.
+    """
+    contenders = first_per_group(_clipped(df, start, end, first, last), [*by, "_first", "_last"], order_by)
+    days = contenders.withColumn(name, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    return first_per_group(days, [name, *by], order_by)
 
 
 def _as_intervals(df: DataFrame, start: str, end: str, by: list[str]) -> DataFrame:

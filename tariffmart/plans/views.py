@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import as_date, day
-from tariffmart.operators.intervals import active_on, one_row_per_day, overlaps
-from tariffmart.operators.top import first_per_group, largest_discount_first, latest_price_first
+from tariffmart.operators.intervals import active_on, best_per_day, overlaps
+from tariffmart.operators.top import largest_discount_first, latest_price_first
 from tariffmart.schemas import KEY
 from tariffmart.sources.inline import last_days
 
@@ -32,27 +32,15 @@ def discount_active(discounts: DataFrame, as_of: dt.date) -> DataFrame:
 
 def price_as_of_daily(prices: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """The price in force for each day of [first, last] and key."""
-    days = one_row_per_day(
-        prices.select("price_hist_id", *KEY, "price", "currency", "effective_start", "effective_end", "created_at"),
-        "effective_start",
-        "effective_end",
-        first,
-        last,
-    )
-    best = first_per_group(days, DAY_KEY, latest_price_first())
+    rows = prices.select("price_hist_id", *KEY, "price", "currency", "effective_start", "effective_end", "created_at")
+    best = best_per_day(rows, "effective_start", "effective_end", first, last, latest_price_first())
     return best.select(*DAY_KEY, F.col("price").alias("current_price"), "currency")
 
 
 def discount_as_of_daily(discounts: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """The largest discount in force for each day of [first, last] and key."""
-    days = one_row_per_day(
-        discounts.select("discount_event_id", *KEY, "discount_type", "discount_value", "start_date", "end_date"),
-        "start_date",
-        "end_date",
-        first,
-        last,
-    )
-    best = first_per_group(days, DAY_KEY, largest_discount_first())
+    rows = discounts.select("discount_event_id", *KEY, "discount_type", "discount_value", "start_date", "end_date")
+    best = best_per_day(rows, "start_date", "end_date", first, last, largest_discount_first())
     return best.select(
         *DAY_KEY,
         F.col("discount_type").alias("active_discount_type"),
