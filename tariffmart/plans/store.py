@@ -1,7 +1,9 @@
 """A mart on shared storage with all-or-nothing refreshes, and its run log.
 
-Sales and discounts only grow, so a run writes its new rows to its own ``run_id=`` folder. The price
-history is written whole per run, because the repair may touch any row. Readers see only the runs that
+Sales and discounts only grow, so a run writes its new rows to its own ``run_id=`` folder, in the order of
+their ids. The price history is written whole per run, because the repair may touch any row. Its open rows
+lie apart, by key; the closed ones, which soon are most of them, by month of their end and then by key. A
+lookup of open prices or of the last two months thus skips nearly all files by their statistics. Readers see only the runs that
 the log calls SUCCESS. That row is appended last, as a single file, so it publishes all tables at once;
 a failed run leaves folders that nobody reads, and a FAILED row. One refresh runs at a time.
 """
@@ -13,10 +15,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tariffmart.operators.top import first_per_group
 from tariffmart.plans.refresh import FACTS, Refresh, refresh_mart
-from tariffmart.schemas import SCHEMAS
+from tariffmart.schemas import KEY, SCHEMAS
 from tariffmart.sources.tables import append_rows, empty_table
 
 PIPELINE = "pricing_refresh"
@@ -73,21 +76,42 @@ class MartStore:
         runs = self.published()
         if not runs:
             return empty_table(self.spark, name)
-        wanted = runs[-1:] if name == "fact_price_history" else runs
-        reader = self.spark.read.schema(SCHEMAS[name])
-        return reader.parquet(*[self._folder(name, run) for run in wanted])
+        if name == "fact_price_history":
+            return self._prices(self._folder(name, runs[-1]))
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*[self._folder(name, run) for run in runs])
+
+    def _prices(self, folder: str) -> DataFrame:
+        """Open and closed prices as one table. Stating what each part holds lets filters on the end prune files."""
+        schema = SCHEMAS["fact_price_history"]
+        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("is_open", T.BooleanType())])).parquet(folder)
+        opened = stored.filter("is_open").withColumn("effective_end", F.lit(None).cast("date"))
+        closed = stored.filter("NOT is_open AND effective_end IS NOT NULL")
+        return opened.unionByName(closed).select(*schema.names)
+
+    @staticmethod
+    def _write_prices(prices: DataFrame, folder: str) -> None:
+        order = ["is_open", F.trunc("effective_end", "month"), *KEY, "effective_start", "price_hist_id"]
+        (
+            prices.withColumn("is_open", F.col("effective_end").isNull())
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .partitionBy("is_open")
+            .parquet(folder)
+        )
 
     def facts(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in FACTS}
 
     def write(self, run_id: int, refresh: Refresh) -> None:
         """Write the tables of a run; nothing reads them until the run is logged as SUCCESS."""
-        tables = {**refresh.new_rows, "fact_price_history": refresh.prices}
-        with ThreadPoolExecutor(max_workers=len(tables)) as jobs:
+        appended = ["fact_sales", "fact_discount_events"]
+        with ThreadPoolExecutor(max_workers=3) as jobs:
             writes = [
-                jobs.submit(rows.write.mode("overwrite").parquet, self._folder(name, run_id))
-                for name, rows in tables.items()
+                jobs.submit(refresh.new_rows[name].write.mode("overwrite").parquet, self._folder(name, run_id))
+                for name in appended
             ]
+            writes.append(jobs.submit(self._write_prices, refresh.prices, self._folder("fact_price_history", run_id)))
             for write in writes:
                 write.result()
 
