@@ -18,10 +18,6 @@ from tariffmart.schemas import KEY
 
 COUNT_TYPE = "decimal(38,0)"
 
-# Days since 1970 for 0001-01-01, so that every date becomes a non-negative number below 2**22.
-_FIRST_DAY = -719162
-_DATE_BITS = 22
-
 
 def active_on(start: str, end: str, on: dt.date | str | Column) -> Column:
     """The closed interval [start, end] holds the day; a NULL end never ends."""
@@ -103,8 +99,8 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
     ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``. No pair is ever
     formed. Intervals with start <= end are counted by complement: all pairs less those where one ends
     before the other starts, which needs only running totals over dates. An inverted interval overlaps
-    exactly the proper ones that enclose it, counted by ``_enclosing_counts``; a filtered scan asks first
-    whether there is any, since that part costs further shuffles.
+    exactly the proper ones that enclose it, counted by ``_enclosing_counts``; a scan of the two dates asks
+    first whether there is any, since that part costs further shuffles.
     """
     rows = df.filter(F.col(start).isNotNull()).filter(_known_key(by)).select(
         *by, F.col(start).alias("s"), end_or_open(end).alias("e")
@@ -139,36 +135,45 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
         .select(*by, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    if not rows.filter("s > e").isEmpty():
-        inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by)
+    low, high, inverted_rows = rows.agg(
+        F.min(F.when(F.expr("s <= e"), F.col("s"))), F.max(F.when(F.expr("s <= e"), F.col("s"))), F.count_if(F.expr("s > e"))
+    ).first()
+    if inverted_rows and low is not None:
+        inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by, low, high)
         totals = totals.unionByName(inverted).groupBy(*by).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
     return totals.filter(F.col("pairs") > 0)
 
 
-def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str]) -> DataFrame:
+def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str], low: dt.date, high: dt.date) -> DataFrame:
     """Pairs of an inverted interval (start after end) and a proper one of the same key around it.
 
     A pair counts when proper.s < inverted.e and proper.e > inverted.s (or <=, >=). That is a count over
-    two inequalities. The first becomes an equality: a proper start is filed under all of its 22 binary
-    prefixes, and "start below x" is the disjoint union of at most 22 prefixes. The second is a running
-    total over dates. Only keys that hold an inverted interval take part, and these are rare.
+    two inequalities. The first becomes an equality: a proper start, as its day number from the lowest one,
+    is filed under its binary prefixes (12 of them for ten years), and "start below x" is the disjoint union
+    of at most as many prefixes. The second is a running total over dates. Only keys that hold an inverted
+    interval take part.
     """
     inverted = spans.filter("s > e")
     proper = spans.filter("s <= e").join(inverted.select(*by).distinct(), by, "left_semi")
-    number = lambda c: F.datediff(c, F.lit(dt.date(1970, 1, 1))) - F.lit(_FIRST_DAY)
-    levels = F.explode(F.sequence(F.lit(0), F.lit(_DATE_BITS - 1))).alias("level")
+    width = (high - low).days + 1
+    levels = F.explode(F.sequence(F.lit(0), F.lit(width.bit_length() - 1))).alias("level")
+    unknown = F.lit(None).cast(COUNT_TYPE)
 
-    filed = proper.withColumn("x", number(F.col("s"))).select(
-        *by, levels, "x", F.col("e").alias("d"), F.col("n").cast(COUNT_TYPE).alias("n")
-    )
-    filed = filed.select(*by, "level", F.expr("shiftright(x, level)").alias("node"), "d", "n", F.lit(None).cast(COUNT_TYPE).alias("asked"))
+    filed = proper.select(
+        *by, F.datediff("s", F.lit(low)).alias("x"), levels, F.col("e").alias("d"), F.col("n").cast(COUNT_TYPE).alias("n")
+    ).select(*by, "level", F.expr("shiftright(x, level)").alias("node"), "d", "n", unknown.alias("asked"))
 
-    # "start < x" for strict; "start <= x" is "start < x + 1".
-    asked = inverted.withColumn("x", number(F.col("e")) + F.lit(0 if strict else 1)).select(
-        *by, levels, "x", F.col("s").alias("d"), F.col("n").cast(COUNT_TYPE).alias("asked")
+    # "start < x" for strict; "start <= x" is "start < x + 1". Beyond the highest start nothing is left to count.
+    below = F.datediff("e", F.lit(low)) + F.lit(0 if strict else 1)
+    asked = inverted.select(
+        *by,
+        F.least(F.greatest(below, F.lit(0)), F.lit(width)).alias("x"),
+        levels,
+        F.col("s").alias("d"),
+        F.col("n").cast(COUNT_TYPE).alias("asked"),
     )
     asked = asked.filter(F.expr("shiftright(x, level) % 2 = 1")).select(
-        *by, "level", F.expr("shiftright(x, level) - 1").alias("node"), "d", F.lit(None).cast(COUNT_TYPE).alias("n"), "asked"
+        *by, "level", F.expr("shiftright(x, level) - 1").alias("node"), "d", unknown.alias("n"), "asked"
     )
     group = [*by, "level", "node"]
     events = filed.unionByName(asked).groupBy(*group, "d").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))

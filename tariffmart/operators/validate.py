@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import has_text, is_blank
@@ -63,34 +65,49 @@ def _rules(contract: Contract) -> list[tuple[str, str, Column]]:
     return rules + [(c, f"max_length_{n}", F.length(c) > n) for c, n in contract.max_length.items()]
 
 
-def _unpivot(counts: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
-    """One row with columns m0, m1, ... turned into (column_name, rule, row_count) rows."""
-    cells = ", ".join(f"'{column}', '{rule}', m{i}" for i, (column, rule) in enumerate(labels))
-    return counts.select(F.expr(f"stack({len(labels)}, {cells}) AS (column_name, rule, row_count)"))
-
-
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """(column_name, rule, row_count) for each NOT NULL and length rule, in one pass over the rows."""
     rules = _rules(contract)
     counts = df.agg(*[F.count_if(broken).alias(f"m{i}") for i, (_, _, broken) in enumerate(rules)])
-    return _unpivot(counts, [(column, rule) for column, rule, _ in rules])
+    cells = ", ".join(f"'{column}', '{rule}', m{i}" for i, (column, rule, _) in enumerate(rules))
+    return counts.select(F.expr(f"stack({len(rules)}, {cells}) AS (column_name, rule, row_count)"))
 
 
-def load_violations(df: DataFrame, contract: Contract, dims: dict[str, DataFrame]) -> DataFrame:
-    """Contract rules, unknown dimension members and the number of rows (rule ``rows``), in one pass.
+def load_profile(
+    new_rows: dict[str, DataFrame], contracts: dict[str, Contract], dims: dict[str, DataFrame]
+) -> DataFrame:
+    """One row per table: number of rows, rows breaking each of its rules in turn (r0, r1, ...), and rows with
+    an unknown member per key column.
 
-    Everything is counted per key first, so the dimensions are looked up once per key.
+    All tables are counted per key first, then looked up in the dimensions together.
     """
-    rules = _rules(contract)
-    per_key = df.groupBy(*KEY).agg(
-        F.count("*").alias("n"), *[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)]
+    width = max(len(_rules(contracts[table])) for table in new_rows)
+    parts = []
+    for table, rows in new_rows.items():
+        broken = [F.count_if(condition) for _, _, condition in _rules(contracts[table])]
+        broken += [F.lit(0).cast("long")] * (width - len(broken))
+        parts.append(
+            rows.groupBy(*KEY).agg(
+                F.first(F.lit(table)).alias("table_name"),
+                F.count("*").alias("n"),
+                *[c.alias(f"r{i}") for i, c in enumerate(broken)],
+            )
+        )
+    flagged = flag_unknown_members(reduce(DataFrame.unionByName, parts), dims)
+    unknown = [
+        F.sum(F.when(F.col(f"{c}_unknown") & F.col(c).isNotNull(), F.col("n")).otherwise(0)).alias(f"{c}_unknown")
+        for c in DIMENSION_OF
+    ]
+    return flagged.groupBy("table_name").agg(
+        F.sum("n").alias("n"), *[F.sum(f"r{i}").alias(f"r{i}") for i in range(width)], *unknown
     )
-    flagged = flag_unknown_members(per_key, dims)
-    unknown = [F.when(F.col(f"{c}_unknown") & F.col(c).isNotNull(), F.col("n")).otherwise(0) for c in DIMENSION_OF]
-    measures = [F.col("n"), *[F.col(f"r{i}") for i in range(len(rules))], *unknown]
-    counts = flagged.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(f"m{i}") for i, m in enumerate(measures)])
-    labels = [("", "rows"), *[(c, r) for c, r, _ in rules], *[(c, "without dimension row") for c in DIMENSION_OF]]
-    return _unpivot(counts, labels)
+
+
+def broken_rules(profile: Row, contract: Contract) -> list[str]:
+    """The rules that a table's profile breaks, as text with their counts."""
+    found = [(f"{column} {rule}", profile[f"r{i}"]) for i, (column, rule, _) in enumerate(_rules(contract))]
+    found += [(f"{c} without dimension row", profile[f"{c}_unknown"]) for c in DIMENSION_OF]
+    return [f"{profile.table_name}.{what}: {n}" for what, n in found if n]
 
 
 def key_counts(df: DataFrame, by: list[str] = KEY) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +14,9 @@ from tariffmart.operators.dedup import distinct_rows, new_discounts, new_prices,
 from tariffmart.operators.repair import repair_ranges
 from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.operators.validate import (
+    broken_rules,
     known_sku,
-    load_violations,
+    load_profile,
     price_row_rules,
     rejected_price_count,
     required_not_null,
@@ -85,17 +85,13 @@ def refresh_prices(
 def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> int:
     """Raise if new rows miss a required value, exceed a length or point to no dimension row; else their number.
 
-    All rules of all tables run as one job over the written rows; what returns is one row per rule.
+    All rules of all tables run as one job over the written rows; what returns is one row per table.
     """
-    checks = [
-        load_violations(rows, CONTRACTS[table], dims).withColumn("table_name", F.lit(table))
-        for table, rows in new_rows.items()
-    ]
-    found = reduce(DataFrame.unionByName, checks).filter("row_count > 0").collect()
-    broken = [f"{r.table_name}.{r.column_name} {r.rule}: {r.row_count}" for r in found if r.rule != "rows"]
+    profiles = load_profile(new_rows, CONTRACTS, dims).collect()
+    broken = [problem for row in profiles for problem in broken_rules(row, CONTRACTS[row.table_name])]
     if broken:
         raise LoadRejected("; ".join(sorted(broken)))
-    return sum(r.row_count for r in found)
+    return sum(row.n for row in profiles)
 
 
 def refresh_mart(

@@ -7,9 +7,9 @@ folder of the session and is rebuilt for every application and whenever the give
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,15 +41,15 @@ class Workspace:
 
     @cached_property
     def staging(self) -> dict[str, DataFrame]:
-        lines = given.order_lines(self.spark, self.directory).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return {
-                "stg_sales": written(given.staged_sales(lines), "stg_sales"),
-                "stg_price_history": written(given.staged_prices(lines), "stg_price_history"),
-                "stg_discount_events": written(given.staged_discounts(lines), "stg_discount_events"),
-            }
-        finally:
-            lines.unpersist()
+        lines = given.order_lines(self.spark, self.directory)
+        derive = {
+            "stg_sales": given.staged_sales,
+            "stg_price_history": given.staged_prices,
+            "stg_discount_events": given.staged_discounts,
+        }
+        with ThreadPoolExecutor(max_workers=len(derive)) as jobs:
+            writes = {name: jobs.submit(written, build(lines), name) for name, build in derive.items()}
+            return {name: write.result() for name, write in writes.items()}
 
     @property
     def loadable(self) -> dict[str, DataFrame]:
@@ -131,10 +131,11 @@ _OPEN: dict[tuple[str, str, str], Workspace] = {}
 
 
 def _fingerprint(spark: SparkSession, directory: str) -> str:
-    """Number, size and time of the given files; file contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    row = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first()
-    return hashlib.sha256(repr(tuple(row)).encode()).hexdigest()
+    """Names, sizes and times of the entries of the folder, from its listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    seen = sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries)
+    return hashlib.sha256(repr(seen).encode()).hexdigest()
 
 
 def workspace(spark: SparkSession, directory: str) -> Workspace:
