@@ -19,8 +19,8 @@ from tariffmart.functions.expressions import as_date, moment
 from tariffmart.operators.merge import upsert
 from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.plans import audit, quality
-from tariffmart.plans.refresh import STAGING, Refresh
-from tariffmart.plans.store import MartStore, recent_runs
+from tariffmart.plans.refresh import STAGING
+from tariffmart.plans.store import MartStore, Refresh, recent_runs
 from tariffmart.session import written
 from tariffmart.sources import generators, inline
 from tariffmart.sources.tables import append_rows, as_table, empty_table, load_table, reload_staging

@@ -33,12 +33,11 @@ class LoadRejected(Exception):
 
 
 @dataclass
-class Refresh:
-    """What a refresh produced: numbered new rows, the plan of all repaired prices, counts for the run log."""
+class Load:
+    """Numbered new rows, the plan of all repaired prices, and the number of rejected staged prices."""
 
     new_rows: dict[str, DataFrame]
     prices: DataFrame
-    rows_loaded: int
     rows_rejected: int
 
 
@@ -94,17 +93,17 @@ def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> in
     return sum(row.n for row in profiles)
 
 
-def refresh_mart(
+def load_staging(
     staging: dict[str, DataFrame],
     facts: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
+    products: DataFrame,
     loaded_at: dt.datetime,
     idempotent: bool = False,
-) -> Refresh:
-    """One whole refresh. New rows are written with their ids first; the checks, the repair and the later
-    publication all read those same written rows. The three tables do not depend on each other, so their
-    jobs are submitted together."""
-    products = dims["dim_product"]
+) -> Load:
+    """Number and write the new rows of all facts. Checks, repair and publication then read those written rows.
+
+    The tables do not depend on each other, so their jobs are submitted together.
+    """
     prices = staging["stg_price_history"]
     with ThreadPoolExecutor(max_workers=4) as jobs:
         rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0])
@@ -118,6 +117,5 @@ def refresh_mart(
             ),
         }
         new_rows = {table: load.result() for table, load in loads.items()}
-    loaded = check_load(new_rows, dims)
-    repaired = repair_ranges(facts["fact_price_history"].unionByName(new_rows["fact_price_history"]))
-    return Refresh(new_rows, repaired, loaded, rejected.result())
+        repaired = repair_ranges(facts["fact_price_history"].unionByName(new_rows["fact_price_history"]))
+        return Load(new_rows, repaired, rejected.result())

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tariffmart.operators.top import first_per_group
-from tariffmart.plans.refresh import FACTS, Refresh, refresh_mart
+from tariffmart.plans.refresh import FACTS, Load, check_load, load_staging
 from tariffmart.schemas import KEY, SCHEMAS
 from tariffmart.sources.tables import append_rows, empty_table
 
@@ -28,6 +29,16 @@ PIPELINE = "pricing_refresh"
 STATE_ORDER = {"RUNNING": 1, "FAILED": 2, "SUCCESS": 2}
 
 
+@dataclass
+class Refresh:
+    """Outcome of a published refresh."""
+
+    run_id: int
+    new_rows: dict[str, DataFrame]
+    rows_loaded: int
+    rows_rejected: int
+
+
 class MartStore:
     """Facts and run log below one root folder."""
 
@@ -60,20 +71,27 @@ class MartStore:
         state = self.spark.createDataFrame([row], SCHEMAS["etl_run_history"]).coalesce(1)
         append_rows(state, f"{self.root}/etl_run_history")
 
-    def next_run_id(self) -> int:
-        return (self.states().agg(F.max("run_id")).first()[0] or 0) + 1
+    def _logged(self) -> list[Row]:
+        """Run ids with their states; up to two small rows per refresh."""
+        return self.states().select("run_id", "status").collect()
 
     def published(self) -> list[int]:
-        """Ids of the successful runs, one per refresh."""
-        rows = self.states().filter("status = 'SUCCESS'").select("run_id").distinct().collect()
-        return sorted(r.run_id for r in rows)
+        """Ids of the successful runs."""
+        return sorted(row.run_id for row in self._logged() if row.status == "SUCCESS")
 
     def _folder(self, table: str, run_id: int) -> str:
         return f"{self.root}/{table}/run_id={run_id}"
 
     def table(self, name: str) -> DataFrame:
         """A fact table as of the last successful run."""
+        return self._table(name, self.published())
+
+    def facts(self) -> dict[str, DataFrame]:
+        """All facts as of the same, last successful run."""
         runs = self.published()
+        return {name: self._table(name, runs) for name in FACTS}
+
+    def _table(self, name: str, runs: list[int]) -> DataFrame:
         if not runs:
             return empty_table(self.spark, name)
         if name == "fact_price_history":
@@ -100,18 +118,14 @@ class MartStore:
             .parquet(folder)
         )
 
-    def facts(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in FACTS}
-
-    def write(self, run_id: int, refresh: Refresh) -> None:
+    def _write(self, run_id: int, load: Load) -> None:
         """Write the tables of a run; nothing reads them until the run is logged as SUCCESS."""
-        appended = ["fact_sales", "fact_discount_events"]
         with ThreadPoolExecutor(max_workers=3) as jobs:
             writes = [
-                jobs.submit(refresh.new_rows[name].write.mode("overwrite").parquet, self._folder(name, run_id))
-                for name in appended
+                jobs.submit(load.new_rows[name].write.mode("overwrite").parquet, self._folder(name, run_id))
+                for name in ("fact_sales", "fact_discount_events")
             ]
-            writes.append(jobs.submit(self._write_prices, refresh.prices, self._folder("fact_price_history", run_id)))
+            writes.append(jobs.submit(self._write_prices, load.prices, self._folder("fact_price_history", run_id)))
             for write in writes:
                 write.result()
 
@@ -122,18 +136,26 @@ class MartStore:
         loaded_at: dt.datetime | None = None,
         idempotent: bool = False,
     ) -> Refresh:
-        """Run a refresh and publish it; on any error log FAILED with the reason and raise."""
-        started = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        run_id = self.next_run_id()
+        """Run a refresh and publish it; on any error log FAILED with the reason and raise.
+
+        The constraint checks run beside the writes: both read the same written rows, and what was written
+        stays unpublished if a check fails.
+        """
+        started = loaded_at or _now()
+        run_id = max((row.run_id for row in self._logged()), default=0) + 1
         self.log(run_id, "RUNNING", started)
         try:
-            result = refresh_mart(staging, self.facts(), dims, started, idempotent)
-            self.write(run_id, result)
+            load = load_staging(staging, self.facts(), dims["dim_product"], started, idempotent)
+            with ThreadPoolExecutor(max_workers=2) as jobs:
+                checked = jobs.submit(check_load, load.new_rows, dims)
+                stored = jobs.submit(self._write, run_id, load)
+                rows_loaded = checked.result()
+                stored.result()
         except Exception as error:
             self.log(run_id, "FAILED", started, loaded_at or _now(), failure_reason=f"{type(error).__name__}: {error}")
             raise
-        self.log(run_id, "SUCCESS", started, loaded_at or _now(), result.rows_loaded, result.rows_rejected)
-        return result
+        self.log(run_id, "SUCCESS", started, loaded_at or _now(), rows_loaded, load.rows_rejected)
+        return Refresh(run_id, load.new_rows, rows_loaded, load.rows_rejected)
 
 
 def _now() -> dt.datetime:

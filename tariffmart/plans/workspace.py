@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmart.operators.validate import known_sku
-from tariffmart.plans.refresh import LoadRejected, Refresh, append_prices, refresh_discounts, refresh_sales
-from tariffmart.plans.store import MartStore
+from tariffmart.plans.refresh import LoadRejected, append_prices, refresh_discounts, refresh_sales
+from tariffmart.plans.store import MartStore, Refresh
 from tariffmart.session import scratch_path, written
 from tariffmart.sources import given
 from tariffmart.sources.tables import empty_table

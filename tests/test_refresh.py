@@ -4,24 +4,24 @@ import pytest
 from conftest import T0, T1, d, n
 
 from tariffmart.operators import dedup, validate
-from tariffmart.plans import refresh, store as st
-from tariffmart.plans.refresh import LoadRejected, refresh_mart
+from tariffmart.plans import store as st
+from tariffmart.plans.refresh import LoadRejected
 from tariffmart.plans.store import MartStore, latest_run, recent_runs
 from tariffmart.session import scratch_path
-from tariffmart.sources.tables import empty_table
 
 
 @pytest.fixture
-def nothing(spark):
-    return {name: empty_table(spark, name) for name in refresh.FACTS}
+def load(spark):
+    """A first load into a new store."""
+    return lambda staging, dims: MartStore(spark, scratch_path(spark, "load-test")).refresh(staging, dims, T0)
 
 
-def test_rejects_count_raw_rows_and_ignore_null_prices(spark, frames, nothing):
+def test_rejects_count_raw_rows_and_ignore_null_prices(spark, frames, load):
     staged = [
         ("A", -1, "2024-01-01", None), ("A", -1, "2024-01-01", None), (None, 5, "2024-01-01", None), ("  ", 5, "2024-01-01", None),
         ("ZZZ", 5, "2024-01-01", None), ("A", 5, None, None), ("A", None, "2024-01-01", None), ("A", 5, "2024-01-01", None),
     ]
-    result = refresh_mart(frames.staging(prices=staged), nothing, frames.dims(), T0)
+    result = load(frames.staging(prices=staged), frames.dims())
     assert (result.rows_loaded, result.rows_rejected) == (1, 6)
 
 
@@ -30,12 +30,12 @@ def test_a_row_with_two_faults_counts_once(spark, frames):
     assert validate.rejected_price_count(staged, frames.dims()["dim_product"]).first()[0] == 1
 
 
-def test_incomplete_sales_and_discounts_are_dropped_uncounted(spark, frames, nothing):
+def test_incomplete_sales_and_discounts_are_dropped_uncounted(spark, frames, load):
     staging = frames.staging(
         sales=[(None, "A", 1, 1), ("2024-01-01", None, 1, 1), ("2024-01-01", "A", 1, 1), ("2024-01-01", "A", 1, 1)],
         discounts=[("A", "FLAT", 1, None, "2024-01-02"), ("A", None, 1, "2024-01-01", "2024-01-02")],
     )
-    result = refresh_mart(staging, nothing, frames.dims(), T0)
+    result = load(staging, frames.dims())
     assert (result.rows_loaded, result.rows_rejected) == (2, 0)
 
 
@@ -50,9 +50,9 @@ def test_incomplete_sales_and_discounts_are_dropped_uncounted(spark, frames, not
         (dict(discounts=[("A", "FLAT", None, "2024-01-01", "2024-01-02")]), "fact_discount_events.discount_value not_null: 1"),
     ],
 )
-def test_broken_constraints_stop_the_load(spark, frames, nothing, staged, reason):
+def test_broken_constraints_stop_the_load(spark, frames, load, staged, reason):
     with pytest.raises(LoadRejected, match=reason):
-        refresh_mart(frames.staging(**staged), nothing, frames.dims(), T0)
+        load(frames.staging(**staged), frames.dims())
 
 
 def test_null_type_is_loaded_again(spark, frames):
