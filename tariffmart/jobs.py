@@ -105,9 +105,8 @@ def refresh(mart: Mart, loaded_at: dt.datetime | None = None, idempotent: bool =
 
 def check(mart: Mart, as_of: dt.date, generated_at: dt.datetime) -> DataFrame:
     """Run the quality checks once and append their report; the result holds the checks."""
-    facts, dims = mart.store.facts(), mart.dims
-    checks = written(quality.run_checks(facts, dims, as_of), "checks")
-    quality.write_report(quality.build_report(checks, quality.samples(facts, dims, as_of), generated_at), mart.reports)
+    checks, report = quality.report(mart.store.facts(), mart.dims, as_of, generated_at)
+    quality.write_report(report, mart.reports)
     return checks
 
 

@@ -24,37 +24,31 @@ def _copied(select: str, source: str, where: str = "TRUE") -> str:
     )
 
 
-def _sales_facts(source: str, at: str = FIRST_AT, facts: str | None = None) -> str:
-    known = ""
-    after = "0"
-    if facts:
-        known = (
-            f" AND NOT EXISTS (SELECT 1 FROM {facts} f WHERE f.sale_date = s.sale_date AND {_same_key('f', 's')}"
-            " AND f.qty = s.qty AND f.net_sales = s.net_sales)"
-        )
-        after = f"(SELECT max(sale_id) FROM {facts})"
+def _facts(
+    id_column: str, columns: str, order: str, source: str, required: list[str], at: str, facts: str | None
+) -> str:
+    """Distinct complete rows that the facts lack, numbered after their highest id."""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in required)
+    known = f" EXCEPT SELECT {columns} FROM {facts}" if facts else ""
+    after = f"(SELECT max({id_column}) FROM {facts})" if facts else "0"
     return (
-        f"SELECT {after} + row_number() OVER (ORDER BY sale_date, {K}, qty, net_sales) AS sale_id, *, {at} AS created_at "
-        f"FROM (SELECT DISTINCT sale_date, {K}, qty, net_sales FROM {source} s WHERE sale_date IS NOT NULL "
-        f"AND sku IS NOT NULL AND region_code IS NOT NULL AND channel_code IS NOT NULL{known})"
+        f"SELECT {after} + row_number() OVER (ORDER BY {order}) AS {id_column}, *, {at} AS created_at"
+        f" FROM (SELECT DISTINCT {columns} FROM {source} WHERE {complete}{known})"
     )
 
 
+_SALE = f"sale_date, {K}, qty, net_sales"
+_DISCOUNT = f"{K}, discount_type, discount_value, start_date, end_date"
+_KEYS = K.split(", ")
+
+
+def _sales_facts(source: str, at: str = FIRST_AT, facts: str | None = None) -> str:
+    return _facts("sale_id", _SALE, _SALE, source, ["sale_date", *_KEYS], at, facts)
+
+
 def _discount_facts(source: str, at: str = FIRST_AT, facts: str | None = None) -> str:
-    known = ""
-    after = "0"
-    if facts:
-        known = (
-            f" AND NOT EXISTS (SELECT 1 FROM {facts} f WHERE {_same_key('f', 's')} AND f.discount_type = s.discount_type"
-            " AND f.discount_value = s.discount_value AND f.start_date = s.start_date AND f.end_date = s.end_date)"
-        )
-        after = f"(SELECT max(discount_event_id) FROM {facts})"
-    return (
-        f"SELECT {after} + row_number() OVER (ORDER BY {K}, start_date, end_date, discount_type NULLS FIRST, discount_value)"
-        f" AS discount_event_id, *, {at} AS created_at FROM (SELECT DISTINCT {K}, discount_type, discount_value, start_date,"
-        f" end_date FROM {source} s WHERE sku IS NOT NULL AND region_code IS NOT NULL AND channel_code IS NOT NULL"
-        f" AND start_date IS NOT NULL AND end_date IS NOT NULL{known})"
-    )
+    order = f"{K}, start_date, end_date, discount_type NULLS FIRST, discount_value"
+    return _facts("discount_event_id", _DISCOUNT, order, source, [*_KEYS, "start_date", "end_date"], at, facts)
 
 
 PRICE_RULES = "sku IS NOT NULL AND trim(sku) <> '' AND price >= 0 AND effective_start IS NOT NULL"
@@ -62,9 +56,9 @@ PRICE_RULES = "sku IS NOT NULL AND trim(sku) <> '' AND price >= 0 AND effective_
 
 def _price_match(facts: str) -> str:
     return (
-        f" AND NOT EXISTS (SELECT 1 FROM {facts} f WHERE {_same_key('f', 's')} AND f.price = s.price"
-        " AND f.currency = coalesce(s.currency, f.currency) AND f.effective_start = s.effective_start"
-        f" AND coalesce(f.effective_end, {OPEN}) = coalesce(s.effective_end, {OPEN}))"
+        f" AND NOT EXISTS (FROM {facts} f WHERE {_same_key('f', 's')} AND f.effective_start = s.effective_start"
+        f" AND coalesce(f.effective_end, {OPEN}) = coalesce(s.effective_end, {OPEN})"
+        " AND f.price = s.price AND (s.currency IS NULL OR f.currency = s.currency))"
     )
 
 
@@ -85,10 +79,8 @@ def _with_next(source: str) -> str:
     )
 
 
-TOUCHED = (
-    "((nx IS NOT NULL AND (effective_end IS NULL OR effective_end <> nx - 1)) OR (nx IS NULL AND effective_end IS NOT NULL))"
-)
-NEW_END = "CASE WHEN nx IS NOT NULL THEN CASE WHEN nx - 1 < effective_start THEN effective_start ELSE nx - 1 END ELSE NULL END"
+TOUCHED = "effective_end IS DISTINCT FROM nx - 1"
+NEW_END = "CASE WHEN nx IS NOT NULL THEN greatest(nx - 1, effective_start) END"
 
 
 def _repaired(source: str) -> str:
@@ -99,7 +91,16 @@ def _repaired(source: str) -> str:
     )
 
 
-_KEYED = "sku, region_code, channel_code"
+_KEYED = K
+_REJECTED = (
+    "SELECT count(*) AS n FROM {} WHERE coalesce(sku, '') NOT IN (SELECT sku FROM dim_product)"
+    " OR price < 0 OR effective_start IS NULL"
+)
+
+PRICE_ORDER = "effective_start DESC, created_at DESC, price_hist_id DESC"
+DISCOUNT_ORDER = "discount_value DESC, start_date, discount_event_id"
+BEST_PRICE_OF_DAY = f"row_number() OVER (PARTITION BY as_of_date, {K} ORDER BY {PRICE_ORDER}) = 1"
+BEST_DISCOUNT_OF_DAY = f"row_number() OVER (PARTITION BY as_of_date, {K} ORDER BY {DISCOUNT_ORDER}) = 1"
 
 CTES: dict[str, str] = {
     "base": (
@@ -160,14 +161,8 @@ CTES: dict[str, str] = {
     "second_price": _price_facts("stg_price", SECOND_AT, "early_price"),
     "both_price": "SELECT * FROM early_price UNION ALL SELECT * FROM second_price",
     "final_price": _repaired("both_price"),
-    "rejected": (
-        "SELECT count(*) AS n FROM stg_price s WHERE sku IS NULL OR trim(coalesce(sku, '')) = ''"
-        " OR NOT EXISTS (SELECT 1 FROM dim_product d WHERE d.sku = s.sku) OR price < 0 OR effective_start IS NULL"
-    ),
-    "early_rejected": (
-        "SELECT count(*) AS n FROM early_stg_price s WHERE sku IS NULL OR trim(coalesce(sku, '')) = ''"
-        " OR NOT EXISTS (SELECT 1 FROM dim_product d WHERE d.sku = s.sku) OR price < 0 OR effective_start IS NULL"
-    ),
+    "rejected": _REJECTED.format("stg_price"),
+    "early_rejected": _REJECTED.format("early_stg_price"),
     "days": f"SELECT CAST({AS_OF} - CAST(n AS INTEGER) AS DATE) AS as_of_date FROM range(60) t(n)",
     "recent_keys": (
         f"SELECT {K} FROM fact_sales WHERE sale_date >= {AS_OF} - 60"
@@ -180,16 +175,12 @@ CTES: dict[str, str] = {
         " JOIN dim_channel c ON k.channel_code = c.channel_code WHERE is_active"
     ),
     "price_days": (
-        f"SELECT as_of_date, {K}, price AS current_price, currency FROM (SELECT d.as_of_date, p.*, row_number() OVER"
-        f" (PARTITION BY as_of_date, {K} ORDER BY effective_start DESC, created_at DESC, price_hist_id DESC) AS rn"
-        " FROM days d JOIN fact_price p ON effective_start <= as_of_date AND (effective_end IS NULL OR effective_end >= as_of_date))"
-        " WHERE rn = 1"
+        f"SELECT as_of_date, {K}, price AS current_price, currency FROM days JOIN fact_price"
+        f" ON as_of_date BETWEEN effective_start AND coalesce(effective_end, {OPEN}) QUALIFY {BEST_PRICE_OF_DAY}"
     ),
     "disc_days": (
-        f"SELECT as_of_date, {K}, discount_type AS active_discount_type, discount_value AS active_discount_value FROM"
-        f" (SELECT d.as_of_date, e.*, row_number() OVER (PARTITION BY as_of_date, {K} ORDER BY discount_value DESC,"
-        " start_date, discount_event_id) AS rn FROM days d JOIN fact_disc e ON start_date <= as_of_date AND end_date >= as_of_date)"
-        " WHERE rn = 1"
+        f"SELECT as_of_date, {K}, discount_type AS active_discount_type, discount_value AS active_discount_value"
+        f" FROM days JOIN fact_disc ON as_of_date BETWEEN start_date AND end_date QUALIFY {BEST_DISCOUNT_OF_DAY}"
     ),
     "sales_days": (
         f"SELECT sale_date, {K}, sum(qty) AS daily_sales_qty, sum(net_sales) AS daily_net_sales FROM fact_sales"
@@ -287,16 +278,14 @@ def _witness(table: str, row_id: str, start: str, end: str, op: str, strict: boo
 
 def _orphans(table: str) -> str:
     return (
-        f"(NOT EXISTS (SELECT 1 FROM dim_product d WHERE d.sku = {table}.sku)"
-        f" OR NOT EXISTS (SELECT 1 FROM dim_region d WHERE d.region_code = {table}.region_code)"
-        f" OR NOT EXISTS (SELECT 1 FROM dim_channel d WHERE d.channel_code = {table}.channel_code))"
+        f"({table}.sku NOT IN (SELECT sku FROM dim_product) OR {table}.region_code NOT IN (SELECT region_code FROM dim_region)"
+        f" OR {table}.channel_code NOT IN (SELECT channel_code FROM dim_channel))"
     )
 
 
 def _unpriced(sales: str, prices: str, as_of: str = AS_OF) -> str:
     return (
-        f"SELECT DISTINCT {K} FROM {sales} s WHERE sale_date >= {as_of} - 30 AND NOT EXISTS (SELECT 1 FROM {prices} p"
-        f" WHERE {_same_key('p', 's')} AND p.effective_end IS NULL)"
+        f"SELECT {K} FROM {sales} WHERE sale_date >= {as_of} - 30 EXCEPT SELECT {K} FROM {prices} WHERE effective_end IS NULL"
     )
 
 
@@ -332,10 +321,9 @@ def _report_rows(as_of: str, stamp: str) -> str:
 
 
 _STAGED_OVERLAPS = (
-    "SELECT DISTINCT a.sku, a.region_code, a.channel_code, a.start_date, a.end_date FROM stg_disc a JOIN stg_disc b"
-    f" ON {_same_key('a', 'b')} AND (a.start_date <> b.start_date OR a.end_date <> b.end_date"
-    " OR coalesce(a.discount_type, '') <> coalesce(b.discount_type, '') OR a.discount_value <> b.discount_value)"
-    " WHERE a.start_date <= b.end_date AND b.start_date <= a.end_date"
+    f"SELECT DISTINCT {K}, start_date, end_date FROM stg_disc a WHERE EXISTS (FROM stg_disc b WHERE {_same_key('a', 'b')}"
+    " AND a.start_date <= b.end_date AND b.start_date <= a.end_date AND NOT (a.start_date = b.start_date"
+    " AND a.end_date = b.end_date AND a.discount_type IS NOT DISTINCT FROM b.discount_type AND a.discount_value = b.discount_value))"
 )
 
 _MEASURES = {
@@ -366,33 +354,28 @@ _STAGED = {"stg_sales": "stg_sales", "stg_price_history": "stg_price", "stg_disc
 _LOADED = {"fact_sales": "fact_sales", "fact_price_history": "fact_price", "fact_discount_events": "fact_disc"}
 
 _FAN_OUT = (
-    "SELECT p.sku, CAST(sum(s.qty) AS BIGINT) AS total_qty, CAST(sum(s.net_sales) AS DOUBLE) AS total_sales,"
+    "SELECT s.sku, CAST(sum(s.qty) AS BIGINT) AS total_qty, CAST(sum(s.net_sales) AS DOUBLE) AS total_sales,"
     " CAST(max(h.price) AS DOUBLE) AS current_price, CAST(max(e.discount_value) AS DOUBLE) AS active_discount_value"
-    " FROM dim_product p JOIN fact_sales s ON p.sku = s.sku"
-    " LEFT JOIN fact_price h ON p.sku = h.sku AND s.region_code = h.region_code AND s.channel_code = h.channel_code"
-    " LEFT JOIN fact_disc e ON p.sku = e.sku AND s.region_code = e.region_code AND s.channel_code = e.channel_code"
-    f" WHERE CAST(s.sale_date AS VARCHAR) BETWEEN CAST({AS_OF} - 365 AS VARCHAR) AND CAST({AS_OF} AS VARCHAR)"
-    " AND s.region_code = 'AS' AND s.channel_code = 'BUIL'"
-    f" AND (h.effective_end IS NULL OR CAST(h.effective_end AS VARCHAR) >= CAST({AS_OF} AS VARCHAR))"
-    f" AND CAST(h.effective_start AS VARCHAR) <= CAST({AS_OF} AS VARCHAR)"
-    f" AND CAST(e.start_date AS VARCHAR) <= CAST({AS_OF} AS VARCHAR) AND CAST(e.end_date AS VARCHAR) >= CAST({AS_OF} AS VARCHAR)"
-    " GROUP BY p.sku"
+    f" FROM fact_sales s JOIN dim_product p ON p.sku = s.sku JOIN fact_price h ON {_same_key('h', 's')}"
+    f" AND {AS_OF} BETWEEN h.effective_start AND coalesce(h.effective_end, {OPEN})"
+    f" JOIN fact_disc e ON {_same_key('e', 's')} AND {AS_OF} BETWEEN e.start_date AND e.end_date"
+    f" WHERE s.sale_date BETWEEN {AS_OF} - 365 AND {AS_OF} AND s.region_code = 'AS' AND s.channel_code = 'BUIL' GROUP BY s.sku"
 )
 
 
 def _top_price(table: str, as_of: str = AS_OF) -> str:
     return (
-        f"SELECT sku, current_price FROM (SELECT sku, CAST(price AS DOUBLE) AS current_price, row_number() OVER (PARTITION BY sku"
-        f" ORDER BY effective_start DESC, created_at DESC, price_hist_id DESC) AS rn FROM {table} WHERE region_code = 'AS'"
-        f" AND channel_code = 'BUIL' AND effective_start <= {as_of} AND (effective_end IS NULL OR effective_end >= {as_of})) WHERE rn = 1"
+        f"SELECT sku, CAST(price AS DOUBLE) AS current_price FROM {table} WHERE region_code = 'AS' AND channel_code = 'BUIL'"
+        f" AND {as_of} BETWEEN effective_start AND coalesce(effective_end, {OPEN})"
+        f" QUALIFY row_number() OVER (PARTITION BY sku ORDER BY {PRICE_ORDER}) = 1"
     )
 
 
 def _top_discount(as_of: str = AS_OF) -> str:
     return (
-        "SELECT sku, active_discount_value FROM (SELECT sku, CAST(discount_value AS DOUBLE) AS active_discount_value, row_number()"
-        " OVER (PARTITION BY sku ORDER BY discount_value DESC, start_date, discount_event_id) AS rn FROM fact_disc"
-        f" WHERE region_code = 'AS' AND channel_code = 'BUIL' AND start_date <= {as_of} AND end_date >= {as_of}) WHERE rn = 1"
+        "SELECT sku, CAST(discount_value AS DOUBLE) AS active_discount_value FROM fact_disc WHERE region_code = 'AS'"
+        f" AND channel_code = 'BUIL' AND {as_of} BETWEEN start_date AND end_date"
+        f" QUALIFY row_number() OVER (PARTITION BY sku ORDER BY {DISCOUNT_ORDER}) = 1"
     )
 
 
@@ -494,21 +477,21 @@ def _fk_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _last_days(back: int) -> str:
+    return f"(SELECT CAST({AS_OF} - CAST(n AS INTEGER) AS DATE) AS as_of_date FROM range({back + 1}) t(n))"
+
+
 def _day_top_price(table: str, back: int) -> str:
     return (
-        f"SELECT as_of_date, {K}, CAST(price AS DOUBLE) AS current_price, currency FROM (SELECT d.as_of_date, p.*, row_number() OVER"
-        f" (PARTITION BY as_of_date, {K} ORDER BY effective_start DESC, created_at DESC, price_hist_id DESC) AS rn"
-        f" FROM (SELECT CAST({AS_OF} - CAST(n AS INTEGER) AS DATE) AS as_of_date FROM range({back + 1}) t(n)) d JOIN {table} p"
-        " ON effective_start <= as_of_date AND (effective_end IS NULL OR effective_end >= as_of_date)) WHERE rn = 1"
+        f"SELECT as_of_date, {K}, CAST(price AS DOUBLE) AS current_price, currency FROM {_last_days(back)} JOIN {table}"
+        f" ON as_of_date BETWEEN effective_start AND coalesce(effective_end, {OPEN}) QUALIFY {BEST_PRICE_OF_DAY}"
     )
 
 
 def _day_top_discount(back: int) -> str:
     return (
-        f"SELECT as_of_date, {K}, discount_type AS active_discount_type, CAST(discount_value AS DOUBLE) AS active_discount_value FROM"
-        f" (SELECT d.as_of_date, e.*, row_number() OVER (PARTITION BY as_of_date, {K} ORDER BY discount_value DESC, start_date,"
-        f" discount_event_id) AS rn FROM (SELECT CAST({AS_OF} - CAST(n AS INTEGER) AS DATE) AS as_of_date FROM range({back + 1}) t(n)) d"
-        " JOIN fact_disc e ON start_date <= as_of_date AND end_date >= as_of_date) WHERE rn = 1"
+        f"SELECT as_of_date, {K}, discount_type AS active_discount_type, CAST(discount_value AS DOUBLE) AS active_discount_value"
+        f" FROM {_last_days(back)} JOIN fact_disc ON as_of_date BETWEEN start_date AND end_date QUALIFY {BEST_DISCOUNT_OF_DAY}"
     )
 
 
@@ -613,8 +596,8 @@ _QUERIES: dict[str, str] = {
     "discount_as_of_daily": f"SELECT as_of_date, {K}, active_discount_type, CAST(active_discount_value AS DOUBLE) AS active_discount_value FROM disc_days",
     "dedup_anti_sales": f"SELECT {SALE_COLS} FROM second_sales",
     "dedup_anti_discounts": f"SELECT DISTINCT {DISC_COLS} FROM (SELECT * REPLACE ({_NO_DISC_TYPE} AS discount_type) FROM ok_disc) s WHERE NOT EXISTS (SELECT 1 FROM"
-    f" (SELECT * REPLACE ({_NO_DISC_TYPE} AS discount_type) FROM early_disc) f WHERE {_same_key('f', 's')} AND f.discount_type = s.discount_type"
-    " AND f.discount_value = s.discount_value AND f.start_date = s.start_date AND f.end_date = s.end_date)",
+    f" (SELECT * REPLACE ({_NO_DISC_TYPE} AS discount_type) FROM early_disc) f WHERE f.start_date = s.start_date AND f.end_date = s.end_date"
+    f" AND {_same_key('f', 's')} AND f.discount_value = s.discount_value AND f.discount_type = s.discount_type)",
     "dedup_anti_prices": f"SELECT {PRICE_COLS} FROM second_price",
     "sku_exists": "SELECT sku, CAST(count(*) AS BIGINT) AS row_count, sku IN (SELECT sku FROM dim_product) AS known FROM stg_sales GROUP BY sku",
     "orphan_facts": "SELECT CAST(3 AS INTEGER) AS check_no, 'Orphan Facts' AS check_name, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS status,"
@@ -656,8 +639,8 @@ _QUERIES: dict[str, str] = {
     "ranges_changed": f"SELECT price_hist_id, {K}, effective_start, effective_end AS old_end, {NEW_END} AS new_end FROM ({_with_next('price_new')}) WHERE {TOUCHED}",
     "current_price": f"SELECT {CURRENT_OUT} FROM fact_price WHERE sku = 'SKU-10007' AND region_code = 'AS' AND channel_code = 'BUIL' AND effective_end IS NULL"
     " ORDER BY fact_price.effective_start DESC LIMIT 1",
-    "current_price_all": f"SELECT {CURRENT_OUT} FROM (SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY effective_start DESC, created_at DESC,"
-    " price_hist_id DESC) AS rn FROM fact_price WHERE effective_end IS NULL) WHERE rn = 1",
+    "current_price_all": f"SELECT {CURRENT_OUT} FROM (FROM fact_price WHERE effective_end IS NULL QUALIFY row_number() OVER"
+    f" (PARTITION BY {K} ORDER BY {PRICE_ORDER}) = 1)",
     "price_history": f"SELECT {K}, CAST(price AS DOUBLE) AS price, currency, effective_start, effective_end FROM fact_price WHERE sku = 'SKU-10007'"
     " AND effective_start <= DATE '2001-06-30' AND (effective_end IS NULL OR effective_end >= DATE '2000-01-01') AND region_code = 'AS'",
     "bi_snapshot": f"SELECT {GRID_OUT} FROM (SELECT * FROM grid WHERE as_of_date = DATE '2001-07-20' AND region_code = 'AS' AND channel_code = 'BUIL'"

@@ -102,9 +102,8 @@ def _reports(w: Workspace) -> str:
     """A store with two reports, the newer one as of AS_OF."""
     path = scratch_path(w.spark, "reports")
     for day in (AS_OF - dt.timedelta(days=90), AS_OF):
-        checks = quality.run_checks(w.facts, w.dims, day)
-        sampled = quality.samples(w.facts, w.dims, day)
-        quality.write_report(quality.build_report(checks, sampled, dt.datetime(day.year, day.month, day.day)), path)
+        _, report = quality.report(w.facts, w.dims, day, dt.datetime(day.year, day.month, day.day))
+        quality.write_report(report, path)
     return path
 
 

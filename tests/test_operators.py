@@ -153,11 +153,15 @@ def test_quality_gate_and_report(spark, frames):
         quality.enforce(checks)
     quality.enforce(checks.filter("check_no < 5"))
 
+    assert quality.samples(facts, frames.dims(), as_of, []).count() == 0
+    _, whole = quality.report(facts, frames.dims(), as_of, T1)
+    assert [len(c.sample) for c in whole.first().checks] == [0, 0, 0, 1, 1]
+
     path = scratch_path(spark, "report-test")
     spark.createDataFrame([], quality.REPORT_SCHEMA).write.json(path)
     assert quality.latest_report(spark, path).count() == 0
     for moment, part in [(T1, checks), (T0, checks.filter("check_no < 5"))]:
-        quality.write_report(quality.build_report(part, quality.samples(facts, frames.dims(), as_of), moment), path)
+        quality.write_report(quality.build_report(part, quality.samples(facts, frames.dims(), as_of, [4, 5]), moment), path)
     report = quality.latest_report(spark, path).first()
     assert (report.generated_at, report.overall_status, len(report.checks)) == ("2024-02-01T00:00:00", "FAIL", 5)
     assert report.checks[3].name == "Overlapping Active Discounts" and len(report.checks[3].sample) == 1
