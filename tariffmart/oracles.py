@@ -499,7 +499,7 @@ _NO_DISC_TYPE = "CASE WHEN sku <> 'SKU-10010' THEN discount_type END"
 
 _QUERIES: dict[str, str] = {
     "scan_tables": _counts({**{n: n for n in ["dim_product", "dim_region", "dim_channel"]}, **_STAGED, **_LOADED})
-    + f" UNION ALL SELECT * FROM (VALUES ('dim_pricing_rule', CAST({len(seed_values.PRICING_RULES)} AS BIGINT)), ('etl_run_history', 3),"
+    + f" UNION ALL SELECT * FROM (VALUES ('dim_pricing_rule', CAST({len(seed_values.PRICING_RULES)} AS BIGINT)), ('etl_run_history', 1),"
     " ('fact_margin_impact', 0), ('price_override_audit', 0)) t(table_name, row_count)",
     "stage_with_lineage": "SELECT source_file, '2001-08-01 00:00:00' AS loaded_at, CAST(count(*) AS BIGINT) AS row_count,"
     " CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM stg_sales GROUP BY source_file",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tariffmart.operators.top import first_per_group
 from tariffmart.plans.refresh import FACTS, Load, check_load, load_staging
 from tariffmart.schemas import KEY, SCHEMAS
-from tariffmart.sources.tables import append_rows, empty_table
+from tariffmart.sources.tables import append_rows, as_table, empty_table
 
 PIPELINE = "pricing_refresh"
 
@@ -67,9 +67,12 @@ class MartStore:
         failure_reason: str | None = None,
     ) -> None:
         """Append one state of a run."""
-        row = (run_id, PIPELINE, started_at, finished_at, status, rows_loaded, rows_rejected, failure_reason)
-        state = self.spark.createDataFrame([row], SCHEMAS["etl_run_history"]).coalesce(1)
-        append_rows(state, f"{self.root}/etl_run_history")
+        # Times go in as text, which reads in the session time zone like every other timestamp here.
+        times = [None if t is None else t.isoformat(sep=" ") for t in (started_at, finished_at)]
+        row = (run_id, PIPELINE, *times, status, rows_loaded, rows_rejected, failure_reason)
+        text = "run_id long, pipeline_name string, started_at string, finished_at string, status string, rows_loaded long, rows_rejected long, failure_reason string"
+        state = as_table(self.spark.createDataFrame([row], text), "etl_run_history")
+        append_rows(state.coalesce(1), f"{self.root}/etl_run_history")
 
     def _logged(self) -> list[Row]:
         """Run ids with their states; up to two small rows per refresh."""

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmart.functions.expressions import day
-from tariffmart.schemas import SCHEMAS
+from tariffmart.functions.expressions import day, moment
+from tariffmart.schemas import KEY, SCHEMAS
 from tariffmart.sources import seed_values
+from tariffmart.sources.tables import as_table
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -61,24 +61,32 @@ def _iso(text: str | None) -> dt.date | None:
 
 def bad_sku_prices(spark: SparkSession, start: dt.date, loaded_at: dt.datetime) -> DataFrame:
     """Staged price rows with NULL, blank and unknown skus."""
-    rows = [
-        (sku, region, channel, decimal.Decimal(price), "USD", start, None, "PRICING_SYS", loaded_at)
-        for sku, region, channel, price in seed_values.BAD_SKU_PRICES
-    ]
-    return spark.createDataFrame(rows, SCHEMAS["stg_price_history"])
+    rows = inline_rows(
+        spark, seed_values.BAD_SKU_PRICES, "sku string, region_code string, channel_code string, price string"
+    )
+    staged = rows.select(
+        "*",
+        F.lit("USD").alias("currency"),
+        day(start).alias("effective_start"),
+        F.lit("PRICING_SYS").alias("source_system"),
+        moment(loaded_at).alias("loaded_at"),
+    )
+    return as_table(staged, "stg_price_history")
 
 
 def overlapping_discounts(spark: SparkSession, day_zero: dt.date, loaded_at: dt.datetime) -> DataFrame:
     """Staged discounts of one key that overlap each other."""
-    rows = [
-        (
-            *seed_values.OVERLAP_KEY,
-            kind,
-            decimal.Decimal(value),
-            day_zero + dt.timedelta(days=first),
-            day_zero + dt.timedelta(days=last),
-            loaded_at,
-        )
-        for kind, value, first, last in seed_values.OVERLAPPING_DISCOUNTS
-    ]
-    return spark.createDataFrame(rows, SCHEMAS["stg_discount_events"])
+    rows = inline_rows(
+        spark,
+        seed_values.OVERLAPPING_DISCOUNTS,
+        "discount_type string, discount_value string, first_day int, last_day int",
+    )
+    staged = rows.select(
+        *[F.lit(value).alias(name) for name, value in zip(KEY, seed_values.OVERLAP_KEY)],
+        "discount_type",
+        "discount_value",
+        F.date_add(day(day_zero), F.col("first_day")).alias("start_date"),
+        F.date_add(day(day_zero), F.col("last_day")).alias("end_date"),
+        moment(loaded_at).alias("loaded_at"),
+    )
+    return as_table(staged, "stg_discount_events")

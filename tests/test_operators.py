@@ -158,7 +158,6 @@ def test_quality_gate_and_report(spark, frames):
     assert [len(c.sample) for c in whole.first().checks] == [0, 0, 0, 1, 1]
 
     path = scratch_path(spark, "report-test")
-    spark.createDataFrame([], quality.REPORT_SCHEMA).write.json(path)
     assert quality.latest_report(spark, path).count() == 0
     for moment, part in [(T1, checks), (T0, checks.filter("check_no < 5"))]:
         quality.write_report(quality.build_report(part, quality.samples(facts, frames.dims(), as_of, [4, 5]), moment), path)
