@@ -53,7 +53,6 @@ def test_command_line(spark, capsys, monkeypatch):
     assert run("seed", "--sales", "300") == 0
     assert run("refresh") == 0
     assert "rejected 28" in capsys.readouterr().out
-    assert run("check") == 0
     assert run("history") == 0
     assert run("audit") == 2  # 300 staged sales are below the threshold
     assert "[FAIL] Staging data checks" in capsys.readouterr().out
