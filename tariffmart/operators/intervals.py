@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffmart.functions.expressions import OPEN_END, day, end_or_open
+from tariffmart.functions.expressions import day, end_or_open
 from tariffmart.operators.top import first_per_group
 from tariffmart.schemas import KEY
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tariffmart.session import scratch_path
 
+# Above this number of files, about 10 MB of names, their offsets are joined without a broadcast.
+BROADCAST_FILES = 100_000
+
 
 def with_surrogate_key(
     df: DataFrame, id_column: str, order_by: list[str | Column], after: int = 0, path: str | None = None
@@ -35,6 +38,8 @@ def with_surrogate_key(
     offsets = spark.createDataFrame(
         [(row["_file"], end) for row, end in zip(sizes, ends)], "_file string, _before bigint"
     )
+    if len(sizes) <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     rows = stored.select("*", file_name.alias("_file"), F.col("_metadata.row_index").alias("_position"))
     number = F.col("_before") + F.col("_position") + 1
     return rows.join(offsets, "_file").select(number.cast("long").alias(id_column), *df.columns)

@@ -70,7 +70,10 @@ class MartStore:
         # Times go in as text, which reads in the session time zone like every other timestamp here.
         times = [None if t is None else t.isoformat(sep=" ") for t in (started_at, finished_at)]
         row = (run_id, PIPELINE, *times, status, rows_loaded, rows_rejected, failure_reason)
-        text = "run_id long, pipeline_name string, started_at string, finished_at string, status string, rows_loaded long, rows_rejected long, failure_reason string"
+        text = (
+            "run_id long, pipeline_name string, started_at string, finished_at string, status string,"
+            " rows_loaded long, rows_rejected long, failure_reason string"
+        )
         state = as_table(self.spark.createDataFrame([row], text), "etl_run_history")
         append_rows(state.coalesce(1), f"{self.root}/etl_run_history")
 
