@@ -7,15 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tariffmart.llm.common import given
+from tariffmart.llm.language import language_model, predict_language
+from tariffmart.llm.main_text import main_text
 from tariffmart.llm.packing import pack
 from tariffmart.llm.sharding import MULTIPLIER, shard_documents
 from tariffmart.llm.token_counts import token_counts
+from tariffmart.llm.top_search import exact_top_k
+from tariffmart.llm.toxicity import fit_toxicity, score_toxicity
+
+
+def op1_exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    return exact_top_k(given(spark, directory, "embeddings"))
 
 
 def op3_packing(spark: SparkSession, directory: str) -> DataFrame:
     return pack(given(spark, directory, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = given(spark, directory, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, given(spark, directory, "labels")))
+
+
 def op5_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return token_counts(given(spark, directory, "documents"))
 
@@ -24,10 +37,42 @@ def op6_sharding(spark: SparkSession, directory: str) -> DataFrame:
     return shard_documents(given(spark, directory, "documents"))
 
 
+def op8_language(spark: SparkSession, directory: str) -> DataFrame:
+    docs = given(spark, directory, "documents")
+    return predict_language(docs, language_model(docs))
+
+
+def op10_main_text(spark: SparkSession, directory: str) -> DataFrame:
+    return main_text(given(spark, directory, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
+    "op8_language": op8_language,
+    "op10_main_text": op10_main_text,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_top_k": """
+        with usable as (
+            select vec_id, list_transform(embedding, x -> floor(256.0 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+            from usable q join usable c on c.vec_id <> q.vec_id
+            where q.vec_id % 50 = 0
+        ),
+        ranked as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+            from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+}
