@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tariffmart.session import written
 
-__all__ = ["argument", "crc_fold", "given", "map_frames", "parts_for", "written"]
+__all__ = ["argument", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
 
 
 def given(spark: SparkSession, directory: str, table: str) -> DataFrame:
@@ -28,13 +28,18 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "utf-8")) % folds
 
 
+def plain(frame: pd.DataFrame) -> pd.DataFrame:
+    """Text columns as plain objects: other text types may come in several chunks, which Arrow's structs refuse."""
+    return frame.astype({c: object for c in frame.columns if isinstance(frame[c].dtype, pd.StringDtype)})
+
+
 def map_frames(df: DataFrame, per_frame: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``mapInPandas`` for a function of one frame; frames without rows are skipped."""
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield per_frame(frame)
+                yield plain(per_frame(frame))
 
     return df.mapInPandas(mapped, schema)
 

@@ -59,10 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": """
         with usable as (
-            select vec_id, list_transform(embedding, x -> floor(256.0 * x::double)) as v
+            select vec_id, list_transform(embedding, lambda x: floor(256.0 * x::double)) as v
             from embeddings
             where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ),
         scored as (
             select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, crc_fold, map_frames, written
+from tariffmart.llm.common import argument, crc_fold, map_frames, plain, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -129,7 +129,10 @@ def fit_toxicity(
                 rows.update(found)
                 if label:
                     toxic.update(found)
-        yield pd.DataFrame({"feature": list(rows), "rows": list(rows.values()), "toxic": [toxic[f] for f in rows]})
+        found = list(rows)
+        for at in range(0, len(found), 100_000):
+            part = found[at : at + 100_000]
+            yield plain(pd.DataFrame({"feature": part, "rows": [rows[f] for f in part], "toxic": [toxic[f] for f in part]}))
 
     total, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not total:
