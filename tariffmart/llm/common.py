@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +16,21 @@ from tariffmart.session import written
 __all__ = ["argument", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
 
 
+SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this library to the executors through Spark, once an application, so their Python can import it."""
+    if spark.sparkContext.applicationId not in SHIPPED:
+        library = Path(__file__).parents[1]
+        folder = tempfile.mkdtemp(prefix="code-")  # the driver's own; Spark serves the archive from there
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{library.name}", "zip", library.parent, library.name))
+        SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def given(spark: SparkSession, directory: str, table: str) -> DataFrame:
     """One of the given tables, read by Spark so that any store it knows will do."""
+    ship_code(spark)
     return spark.read.parquet(f"{directory}/{table}.parquet")
 
 
