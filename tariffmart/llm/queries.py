@@ -11,6 +11,7 @@ from tariffmart.llm.language import language_model, predict_language
 from tariffmart.llm.main_text import main_text
 from tariffmart.llm.packing import pack
 from tariffmart.llm.sharding import MULTIPLIER, shard_documents
+from tariffmart.llm.similar import jaccard_components
 from tariffmart.llm.token_counts import token_counts
 from tariffmart.llm.top_search import exact_top_k
 from tariffmart.llm.toxicity import fit_toxicity, score_toxicity
@@ -37,6 +38,10 @@ def op6_sharding(spark: SparkSession, directory: str) -> DataFrame:
     return shard_documents(given(spark, directory, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard_components(given(spark, directory, "documents"))
+
+
 def op8_language(spark: SparkSession, directory: str) -> DataFrame:
     docs = given(spark, directory, "documents")
     return predict_language(docs, language_model(docs))
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_language": op8_language,
     "op10_main_text": op10_main_text,
 }

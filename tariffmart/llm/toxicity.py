@@ -70,7 +70,7 @@ class Model:
 
 
 def logistic(
-    rows: list[tuple[list[int], int]], pairs: list[tuple[list[int], list[int]]], size: int, fairness: float, ridge: float = 1e-3, steps: int = 400
+    rows: list[tuple[list[int], int]], pairs: list[tuple[list[int], list[int]]], size: int, fairness: float, ridge: float = 2e-4, steps: int = 400
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model over rows of feature numbers.
 
@@ -86,7 +86,7 @@ def logistic(
     for step in range(1, steps + 1):
         logits = bias + np.bincount(row, w[col], len(rows))
         error = (1 / (1 + np.exp(-logits)) - labels) / len(rows)
-        grad = np.bincount(col, error[row], size) + ridge * w / max(1, size) ** 0.5
+        grad = np.bincount(col, error[row], size) + ridge * w
         if len(pair):
             change = np.bincount(pair, sign * w[pair_col], len(pairs))
             grad += 2 * fairness / len(pairs) * np.bincount(pair_col, sign * change[pair], size)
