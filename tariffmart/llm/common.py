@@ -8,12 +8,15 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from tariffmart.session import written
 
-__all__ = ["argument", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
+__all__ = ["annotated", "argument", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
 
 
 SHIPPED: set[str] = set()
@@ -60,6 +63,26 @@ def map_frames(df: DataFrame, per_frame: Callable[[pd.DataFrame], pd.DataFrame],
     return df.mapInPandas(mapped, schema)
 
 
+def annotated(df: DataFrame, text: str, per_texts: Callable[[list[str | None]], list[list]], schema: str) -> DataFrame:
+    """``df`` with further columns that ``per_texts`` finds from a text column; all others pass through untouched.
+
+    Columns travel under numbers, so names that clash or repeat do no harm; the new ones come last.
+    """
+    added = StructType.fromDDL(schema)
+    numbered = df.select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(df.columns)])
+    at = df.columns.index(text)
+    out = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)] + list(added))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = per_texts(batch.column(at).to_pylist())
+            new = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(found, added, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *added.names])
+
+    made = numbered.mapInArrow(mapped, out)
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)], *added.names)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """How many parts of about ``per_part`` rows ``rows`` make, at least one."""
     return max(1, -(-rows // per_part))

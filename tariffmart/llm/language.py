@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, crc_fold, map_frames
+from tariffmart.llm.common import annotated, argument, crc_fold, map_frames
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -193,6 +193,17 @@ def language_model(docs: DataFrame, folds: int = 5, held: int = 0, per_language:
     return train(windows, labels, languages, hidden, steps) if languages else None
 
 
+def languages_of(texts: list[str | None], network: Network | None) -> tuple[list[str], list[float]]:
+    """The language of each text and its pooled probability; ``und`` and 0 without a letter or a network."""
+    languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    lettered = [i for i, t in enumerate(texts) if t and network and next(filter(str.isalpha, t), None)]
+    if lettered:
+        pooled = network.pooled([texts[i] for i in lettered])
+        for i, k, p in zip(lettered, pooled.argmax(1), pooled.max(1), strict=True):
+            languages[i], scores[i] = network.languages[k], float(min(1.0, p))
+    return languages, scores
+
+
 def predict_language(docs: DataFrame, network: Network | None, folds: int = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of ``docs`` (doc_id, text).
 
@@ -202,15 +213,15 @@ def predict_language(docs: DataFrame, network: Network | None, folds: int = 5, h
     """
 
     def predicted(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = frame.pop("text").tolist()
-        lettered = [i for i, t in enumerate(texts) if t and network and next(filter(str.isalpha, t), None)]
-        frame["lang_pred"], frame["score"] = UNKNOWN, 0.0
-        if lettered:
-            pooled = network.pooled([texts[i] for i in lettered])
-            best = pooled.argmax(1)
-            frame.iloc[lettered, frame.columns.get_loc("lang_pred")] = [network.languages[k] for k in best]
-            frame.iloc[lettered, frame.columns.get_loc("score")] = np.clip(pooled.max(1), 0, 1)
-        return frame
+        languages, scores = languages_of(frame.pop("text").tolist(), network)
+        return frame.assign(lang_pred=languages, score=scores)
 
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     return map_frames(slim, predicted, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def with_known_language(docs: DataFrame, network: Network | None, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of ``least`` or more, with all their columns."""
+    told = annotated(docs, "text", lambda texts: list(languages_of(texts, network)), "language_told string, language_score double")
+    kept = told.where((F.col("language_told") != UNKNOWN) & (F.col("language_score") >= least))
+    return kept.select(*[f"`{c}`" for c in docs.columns])

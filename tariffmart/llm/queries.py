@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tariffmart.llm.common import given
 from tariffmart.llm.language import language_model, predict_language
 from tariffmart.llm.main_text import main_text
+from tariffmart.llm.mixing import mixture_draws
+from tariffmart.llm.nearest import nearest
 from tariffmart.llm.packing import pack
-from tariffmart.llm.sharding import MULTIPLIER, shard_documents
+from tariffmart.llm.sharding import SHARDS, jump_sql, shard_documents
 from tariffmart.llm.similar import jaccard_components
 from tariffmart.llm.token_counts import token_counts
 from tariffmart.llm.top_search import exact_top_k
@@ -21,6 +23,10 @@ def op1_exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
     return exact_top_k(given(spark, directory, "embeddings"))
 
 
+def op2_nearest(spark: SparkSession, directory: str) -> DataFrame:
+    return nearest(given(spark, directory, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, directory: str) -> DataFrame:
     return pack(given(spark, directory, "documents"))
 
@@ -47,22 +53,45 @@ def op8_language(spark: SparkSession, directory: str) -> DataFrame:
     return predict_language(docs, language_model(docs))
 
 
+def op9_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    return mixture_draws(given(spark, directory, "documents"))
+
+
 def op10_main_text(spark: SparkSession, directory: str) -> DataFrame:
     return main_text(given(spark, directory, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_nearest": op2_nearest,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_language": op8_language,
+    "op9_mixing": op9_mixing,
     "op10_main_text": op10_main_text,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_sharding": f"""
+        with crcs as (
+            select list_transform(range(256), lambda n: list_reduce([n] || range(8), lambda c, k:
+                case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crcs
+        ),
+        texts as (select doc_id, coalesce(strlen(text), 0) as bytes, hex(encode(coalesce(text, ''))) as digits from documents),
+        placed as (
+            select doc_id, bytes + 1 as size,
+                   xor(list_reduce([4294967295::bigint] || list_transform(range(bytes), lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::bigint),
+                       lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32,
+                   {jump_sql("doc_id", SHARDS)} as shard, {jump_sql("doc_id", SHARDS + 1)} as grown_shard
+            from texts, crcs
+        )
+        select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'key' as law, shard,
+               row_number() over (partition by shard order by doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard
+        from placed
+    """,
     "op1_exact_top_k": """
         with usable as (
             select vec_id, list_transform(embedding, lambda x: floor(256.0 * x::double)) as v

@@ -59,6 +59,17 @@ def jump_shard(key: Column, shards: int) -> Column:
     return F.aggregate(steps, start, jump, lambda state: state["shard"].cast("int"))
 
 
+def jump_sql(key: str, shards: int) -> str:
+    """The same rule as one SQL expression for DuckDB: a fold over the steps on unsigned 128-bit numbers."""
+    step = f"((s.k * {MULTIPLIER}::uhugeint + 1) % 18446744073709551616::uhugeint)"
+    further = f"floor((s.j + 1)::double * (2147483648.0 / ((({step}) // 8589934592::uhugeint)::double + 1)))::bigint"
+    start = f"{{'b': 0::bigint, 'j': 0::bigint, 'k': (coalesce({key}, 0) % 18446744073709551616::hugeint)::uhugeint}}"
+    return (
+        f"list_reduce([{start}] || list_transform(range({shards + 1}), lambda x: {start}), "
+        f"lambda s, x: case when s.j >= {shards} then s else {{'b': s.j, 'j': {further}, 'k': {step}}} end).b::integer"
+    )
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, per_range: int = 4096) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row of ``docs`` (doc_id, text).
 

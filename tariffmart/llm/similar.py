@@ -382,3 +382,18 @@ def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, docs: DataFr
     )
     tiles = every.unionByName(outside).select(F.xxhash64("shingle", "x", "y").alias("tile"), "node").distinct()
     return tile_links(tiles, signed, docs, words, percent)
+
+
+def one_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their component, with all their columns.
+
+    A row repeated whole stays once; rows without an id cannot be told apart by it and all stay.
+    """
+    found = written(jaccard_components(docs, **settings).select("doc_id", "component_id"), "components")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates()
+    return kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti").union(once)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, crc_fold, map_frames, plain, written
+from tariffmart.llm.common import annotated, argument, crc_fold, map_frames, plain, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -188,3 +188,9 @@ def score_toxicity(docs: DataFrame, model: Model, folds: int = 4, held: int = 2,
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     out = map_frames(slim, scored, "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    scored = annotated(docs, "text", lambda texts: [[model.score(t) for t in texts]], "toxicity_score double")
+    return scored.where(F.col("toxicity_score") < threshold).select(*[f"`{c}`" for c in docs.columns])
