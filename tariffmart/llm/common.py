@@ -63,19 +63,20 @@ def map_frames(df: DataFrame, per_frame: Callable[[pd.DataFrame], pd.DataFrame],
     return df.mapInPandas(mapped, schema)
 
 
-def annotated(df: DataFrame, text: str, per_texts: Callable[[list[str | None]], list[list]], schema: str) -> DataFrame:
-    """``df`` with further columns that ``per_texts`` finds from a text column; all others pass through untouched.
+def annotated(df: DataFrame, inputs: list[str], per_rows: Callable[..., list[list]], schema: str) -> DataFrame:
+    """``df`` with further columns that ``per_rows`` finds from the lists of its input columns.
 
-    Columns travel under numbers, so names that clash or repeat do no harm; the new ones come last.
+    All columns pass through as they are, so long ids beside nulls stay exact. They travel under numbers, so names that
+    clash do no harm; the new ones come last.
     """
     added = StructType.fromDDL(schema)
     numbered = df.select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(df.columns)])
-    at = df.columns.index(text)
+    at = [df.columns.index(c) for c in inputs]
     out = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)] + list(added))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = per_texts(batch.column(at).to_pylist())
+            found = per_rows(*[batch.column(i).to_pylist() for i in at]) if batch.num_rows else [[] for _ in added]
             new = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(found, added, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *added.names])
 

@@ -167,14 +167,15 @@ def training_windows(labelled: DataFrame, per_language: int, per_document: int =
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for doc_id, text, lang in zip(frame["doc_id"], frame["text"], frame["lang"], strict=True):
+        for seed, text, lang in zip(frame["seed"], frame["text"], frame["lang"], strict=True):
             raw = text.lower().encode("utf-8", "replace")
-            rng = np.random.default_rng([len(raw), int(doc_id) & 0xFFFFFFFF if pd.notna(doc_id) else 0])
+            rng = np.random.default_rng(seed)
             for at in rng.integers(0, max(1, len(raw) - WINDOW + 1), per_document):
                 rows.append((raw[at : at + WINDOW].ljust(WINDOW), lang))
         return pd.DataFrame(rows, columns=["window", "lang"])
 
-    chosen = map_frames(labelled.where(draw < shares[F.col("lang")]), cut, "window binary, lang string")
+    seeded = labelled.where(draw < shares[F.col("lang")]).select("text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)).alias("seed"))
+    chosen = map_frames(seeded, cut, "window binary, lang string")
     # the limit only guards against a table that repeats one chosen id without end
     got = chosen.limit(4 * per_document * per_language * len(languages)).toPandas()
     windows = np.frombuffer(b"".join(map(bytes, got["window"])), np.uint8).reshape(-1, WINDOW)
@@ -212,16 +213,13 @@ def predict_language(docs: DataFrame, network: Network | None, folds: int = 5, h
     repeated rows; other columns are ignored, and none but the text is an input.
     """
 
-    def predicted(frame: pd.DataFrame) -> pd.DataFrame:
-        languages, scores = languages_of(frame.pop("text").tolist(), network)
-        return frame.assign(lang_pred=languages, score=scores)
-
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
-    return map_frames(slim, predicted, "doc_id long, held_out boolean, lang_pred string, score double")
+    told = annotated(slim, ["text"], lambda texts: list(languages_of(texts, network)), "lang_pred string, score double")
+    return told.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def with_known_language(docs: DataFrame, network: Network | None, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose language is told with a score of ``least`` or more, with all their columns."""
-    told = annotated(docs, "text", lambda texts: list(languages_of(texts, network)), "language_told string, language_score double")
+    told = annotated(docs, ["text"], lambda texts: list(languages_of(texts, network)), "language_told string, language_score double")
     kept = told.where((F.col("language_told") != UNKNOWN) & (F.col("language_score") >= least))
     return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, map_frames, written
+from tariffmart.llm.common import annotated, argument, map_frames, written
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)(?:>|\Z)""", re.S
@@ -154,10 +154,10 @@ def main_text(pages: DataFrame, share: float = 0.25) -> DataFrame:
     won = totals.withColumn("top", top).where(F.col("votes") >= share * F.col("top"))
     winners = written(won.groupBy("host").agg(F.collect_list("path").alias("winners")), "paths")
 
-    def extracted(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = [extract(p, None if w is None else list(w)) for p, w in zip(frame["html"], frame["winners"], strict=True)]
-        out = frame[["page_id", "url"]].assign(text=texts)
-        return out.assign(n_chars=[len(t) for t in texts])
+    def extracted(pages: list[str | None], paths: list[list[str] | None]) -> list[list]:
+        texts = [extract(p, w) for p, w in zip(pages, paths, strict=True)]
+        return [texts, [len(t) for t in texts]]
 
     joined = named.join(winners, "host", "left").select("page_id", "url", "html", "winners")
-    return map_frames(joined, extracted, "page_id long, url string, text string, n_chars long")
+    out = annotated(joined, ["html", "winners"], extracted, "text string, n_chars long")
+    return out.select("page_id", "url", "text", "n_chars")

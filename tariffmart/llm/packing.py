@@ -16,11 +16,11 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, map_frames, parts_for, written
+from tariffmart.llm.common import annotated, argument, parts_for, written
 from tariffmart.llm.pieces import LONGEST_KEPT, ODD_SPACE, Bounded, byte_symbols, tokenizer_file, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
@@ -99,25 +99,28 @@ def encoder(name: str) -> Encoder:
 
 def token_pieces(docs: DataFrame, vocabulary_name: str, end: int, capacity: int, longest: int) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): full windows first, then what is left in pieces of ``longest``."""
+    last = np.asarray([end], "<u4").tobytes()
 
-    def cut(frame: pd.DataFrame) -> pd.DataFrame:
+    def pieces(ids: bytes) -> list[dict[str, int]]:
+        n, start, out = len(ids) // 4, 0, []
+        while start < n:
+            length = capacity if n - start >= capacity else min(longest, n - start)
+            out.append({"start": start, "length": length, "ids_crc32": zlib.crc32(ids[4 * start : 4 * (start + length)])})
+            start += length
+        return out
+
+    def cut(texts: list[str | None]) -> list[list]:
         gc.disable()  # nothing here makes cycles, and walks over the kept words cost more than the work
-        rows = []
-        known = encoder(vocabulary_name)
-        last = np.asarray([end], "<u4").tobytes()
-        for at in range(0, len(frame), 512):
-            part = frame.iloc[at : at + 512]
-            for doc_id, ids in zip(part["doc_id"], known.texts(part["text"].tolist()), strict=True):
-                ids += last
-                n, start = len(ids) // 4, 0
-                while start < n:
-                    length = capacity if n - start >= capacity else min(longest, n - start)
-                    rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
-                    start += length
-        return pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
-
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    return map_frames(argument(docs, "doc_id", "text"), cut, schema)
+        made, tokens = [], []
+        for at in range(0, len(texts), 512):
+            for ids in encoder(vocabulary_name).texts(texts[at : at + 512]):
+                made.append(pieces(ids + last))
+                tokens.append(len(ids) // 4 + 1)
+        return [made, tokens]
+
+    schema = "piece array<struct<start: long, length: long, ids_crc32: long>>, doc_tokens long"
+    found = annotated(argument(docs, "doc_id", "text"), ["text"], cut, schema)
+    return found.select("doc_id", F.explode("piece").alias("piece"), "doc_tokens").select("doc_id", "piece.*", "doc_tokens")
 
 
 def differencing(lengths: Iterable[int], windows: int) -> list[list[int]]:
@@ -193,17 +196,17 @@ def pack(
     groups = parts_for(pieces.count(), per_group)
     keyed = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
 
-    def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", na_position="first").reset_index(drop=True)
-        lengths = frame["length"].tolist()
-        window, offset = np.empty(len(frame), np.int64), np.empty(len(frame), np.int64)
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])
+        lengths = table["length"].to_pylist()
+        window, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
         for k, members in enumerate(fill(lengths, capacity)):
             at = 0
             for i in sorted(members):
                 window[i], offset[i] = k, at
                 at += lengths[i]
-        frame["sequence_id"] = frame.pop("group").to_numpy() * (1 << 32) + window
-        return frame.assign(offset=offset)
+        sequence = table["group"].to_numpy() * (1 << 32) + window
+        return table.drop_columns(["group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return keyed.groupBy("group").applyInPandas(packed, schema)
+    return keyed.groupBy("group").applyInArrow(packed, schema)

@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -223,35 +224,39 @@ def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
     is that frequent overall is reported by some task, and each stretch reports a bounded number.
     """
 
-    def facts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ("doc_id", "n", "node", "bits", "hot", "times")
+    types = dict(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True))
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, stretch, seen, held = Shingler(words), [], set(), 0
 
-        def frequent() -> pd.DataFrame:
+        def frequent() -> pa.RecordBatch:
             found, times = np.unique(np.concatenate(stretch), return_counts=True) if stretch else (np.zeros(0, np.uint64),) * 2
             often = times >= max(8, len(seen) // 256)
-            return pd.DataFrame({"hot": found[often].view(np.int64), "times": times[often].astype(np.int64)})
+            return typed(hot=found[often].view(np.int64), times=times[often].astype(np.int64))
 
-        for frame in frames:
-            out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+        def typed(**columns) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in types.items()], list(names))
+
+        for batch in batches:
+            sizes, nodes, bits = [], [], []
+            for text in batch.column("text").to_pylist():
                 found = shingler.set(text)
-                node = digest(found) if len(found) else None
-                out.append((doc_id, len(found), node, bitmap(found) if len(found) else None))
-                if node is not None and node not in seen:
-                    seen.add(node)
+                sizes.append(len(found))
+                nodes.append(digest(found) if len(found) else None)
+                bits.append(bitmap(found) if len(found) else None)
+                if len(found) and nodes[-1] not in seen:
+                    seen.add(nodes[-1])
                     stretch.append(found)
                     held += len(found)
                 if held >= 2_000_000:
-                    yield typed(frequent())
+                    yield frequent()
                     stretch, seen, held = [], set(), 0
-            yield typed(pd.DataFrame(out, columns=["doc_id", "n", "node", "bits"]))
-        yield typed(frequent())
-
-    def typed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.reindex(columns=["doc_id", "n", "node", "bits", "hot", "times"])
-        return frame.astype({c: "Int64" for c in frame.columns if c != "bits"}).astype({"bits": object}).replace({"bits": {np.nan: None}})
+            yield typed(doc_id=batch.column("doc_id"), n=sizes, node=nodes, bits=bits)
+        yield frequent()
 
-    return docs.mapInPandas(facts, "doc_id long, n long, node long, bits binary, hot long, times long")
+    return docs.mapInArrow(facts, "doc_id long, n long, node long, bits binary, hot long, times long")
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
@@ -290,11 +295,11 @@ def shared_lists(prefix: DataFrame, most: int) -> DataFrame:
     Lists over ``most`` nodes, and salted shingles, come without a tile, for the steps that split them.
     """
 
-    def lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(frames)
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
         if not parts:
             return
-        shingle, salt, node = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("shingle", "salt", "node"))
+        shingle, salt, node = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("shingle", "salt", "node"))
         parts.clear()
         order = np.lexsort((node, shingle))
         shingle, salt, node = shingle[order], salt[order], node[order]
@@ -311,11 +316,10 @@ def shared_lists(prefix: DataFrame, most: int) -> DataFrame:
                 tiles.append((tile, None, node[a:b]))
         for at in range(0, len(tiles), 20_000):
             part = tiles[at : at + 20_000]
-            times = [len(n) for *_, n in part]
-            columns = {c: pd.Series([t[k] for t in part], dtype="Int64").repeat(times) for k, c in enumerate(("tile", "shingle"))}
-            yield pd.DataFrame(columns).assign(node=np.concatenate([n for *_, n in part]))
+            columns = [pa.array([t[k] for t in part for _ in t[2]], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([n for *_, n in part]))], ["tile", "shingle", "node"])
 
-    return prefix.mapInPandas(lists, "tile long, shingle long, node long")
+    return prefix.mapInArrow(lists, "tile long, shingle long, node long")
 
 
 def tile_links(tiles: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:

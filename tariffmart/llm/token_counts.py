@@ -11,12 +11,11 @@ import gc
 import heapq
 from functools import cache
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, map_frames
+from tariffmart.llm.common import annotated, argument
 from tariffmart.llm.pieces import Bounded, byte_symbols, chunks, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
@@ -90,12 +89,10 @@ def token_counts(docs: DataFrame, vocabulary_name: str = VOCABULARY, limit: int
     stays null. Texts are counted whole, whatever their length. Other columns are ignored.
     """
 
-    def counted(frame: pd.DataFrame) -> pd.DataFrame:
+    def counted(texts: list[str | None]) -> list[list[int]]:
         gc.disable()  # nothing here makes cycles, and walks over the kept words cost more than the work
-        count = counter(vocabulary_name).text
-        frame["n_tokens"] = [count(t) for t in frame.pop("text")]
-        return frame
+        return [list(map(counter(vocabulary_name).text, texts))]
 
-    slim = argument(docs, "doc_id", "text").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    out = map_frames(slim, counted, "doc_id long, n_bytes long, n_tokens long")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    out = annotated(argument(docs, "doc_id", "text"), ["text"], counted, "n_tokens long")
+    return out.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

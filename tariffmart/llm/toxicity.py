@@ -182,15 +182,12 @@ def score_toxicity(docs: DataFrame, model: Model, folds: int = 4, held: int = 2,
     as empty text for the fold. Other columns are ignored, and none but the text is an input of the score.
     """
 
-    def scored(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.assign(score=[model.score(t) for t in frame.pop("text")])
-
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
-    out = map_frames(slim, scored, "doc_id long, held_out boolean, score double")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = annotated(slim, ["text"], lambda texts: [[model.score(t) for t in texts]], "score double")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    scored = annotated(docs, "text", lambda texts: [[model.score(t) for t in texts]], "toxicity_score double")
+    scored = annotated(docs, ["text"], lambda texts: [[model.score(t) for t in texts]], "toxicity_score double")
     return scored.where(F.col("toxicity_score") < threshold).select(*[f"`{c}`" for c in docs.columns])
