@@ -70,7 +70,7 @@ class Model:
 
 
 def logistic(
-    rows: list[tuple[list[int], int]], pairs: list[tuple[list[int], list[int]]], size: int, fairness: float, ridge: float = 2e-4, steps: int = 400
+    rows: list[tuple[list[int], int]], pairs: list[tuple[list[int], list[int]]], size: int, fairness: float, ridge: float = 2e-5, steps: int = 1500
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model over rows of feature numbers.
 
@@ -92,8 +92,8 @@ def logistic(
             grad += 2 * fairness / len(pairs) * np.bincount(pair_col, sign * change[pair], size)
         grad = np.append(grad, error.sum())
         first += 0.1 * (grad - first)
-        second += 0.001 * (grad**2 - second)
-        move = 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
+        second += 0.01 * (grad**2 - second)
+        move = 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
         w, bias = w - move[:-1], bias - move[-1]
     return w, bias
 
