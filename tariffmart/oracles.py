@@ -106,13 +106,17 @@ CTES: dict[str, str] = {
     "base": (
         "SELECT l.*, CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date,"
         " upper(substr(r_name, 1, 2)) AS region_code, substr(c_mktsegment, 1, 4) AS channel_code,"
-        " 'SKU-' || CAST(10000 + l_partkey % 200 AS VARCHAR) AS sku"
+        " 'SKU-' || CAST(10000 + l_partkey // 10 AS VARCHAR) AS sku"
         " FROM lineitem l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
         " JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
     ),
+    "families": (
+        "SELECT *, 'SKU-' || CAST(10000 + p_partkey // 10 AS VARCHAR) AS sku FROM part"
+        " QUALIFY row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey) = 1"
+    ),
     "dim_product": (
-        "SELECT 'SKU-' || CAST(10000 + p_partkey AS VARCHAR) AS sku, p_name AS product_name, p_type AS category,"
-        " p_brand AS brand, p_size <= 45 AS is_active FROM part WHERE p_partkey < 190"
+        "SELECT sku, p_name AS product_name, p_type AS category, p_brand AS brand, p_size <= 45 AS is_active"
+        " FROM families WHERE p_partkey // 10 % 20 <> 19"
     ),
     "dim_region": "SELECT DISTINCT upper(substr(r_name, 1, 2)) AS region_code, r_name AS region_name FROM region",
     "dim_channel": "SELECT DISTINCT substr(c_mktsegment, 1, 4) AS channel_code, c_mktsegment AS channel_name FROM customer",
@@ -127,17 +131,15 @@ CTES: dict[str, str] = {
         " region_code, channel_code,"
         " CAST(CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,4)) AS price,"
         " 'USD' AS currency, order_date AS effective_start,"
-        " CASE WHEN l_linenumber = 1 THEN order_date + 30 END AS effective_end,"
-        " CASE WHEN l_linenumber = 2 THEN 'LATE_LOAD_SYS' ELSE 'PRICING_SYS' END AS source_system",
+        " CASE WHEN l_linenumber % 2 = 1 THEN order_date + 30 END AS effective_end,"
+        " CASE WHEN l_linenumber % 2 = 1 THEN 'PRICING_SYS' ELSE 'LATE_LOAD_SYS' END AS source_system",
         "base",
-        "l_linenumber <= 2",
     ),
     "stg_disc": _copied(
-        f"{_KEYED}, CASE WHEN l_returnflag = 'R' THEN 'FLAT' ELSE 'PERCENT' END AS discount_type,"
-        " CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity * 10 ELSE l_discount * 100 END AS DECIMAL(18,4)) AS discount_value,"
+        f"{_KEYED}, CASE WHEN l_returnflag = 'R' OR l_discount = 0 THEN 'FLAT' ELSE 'PERCENT' END AS discount_type,"
+        " CAST(CASE WHEN l_returnflag = 'R' OR l_discount = 0 THEN l_quantity * 10 ELSE l_discount * 100 END AS DECIMAL(18,4)) AS discount_value,"
         " ship_date AS start_date, ship_date + CAST(7 + l_suppkey % 15 AS INTEGER) AS end_date",
         "base",
-        "l_linenumber = 3 AND l_discount > 0",
     ),
     "ok_sales": "SELECT * FROM stg_sales WHERE sku IN (SELECT sku FROM dim_product)",
     "ok_disc": "SELECT * FROM stg_disc WHERE sku IN (SELECT sku FROM dim_product)",
@@ -433,7 +435,7 @@ _BASELINE_GEN_DAYS = (
     f"SELECT sku, region_code, channel_code, {_draw('ranges', 4, _SKU_SEED)} + 1 AS ranges,"
     f" ({AS_OF} - 90) + CAST({_draw('first', 30, _SKU_SEED)} AS INTEGER) AS s1,"
     + ", ".join(f"CAST({_draw(f'length{i}', 30, _SKU_SEED)} + 1 AS INTEGER) AS l{i}" for i in range(3))
-    + " FROM (SELECT 'SKU-' || CAST(10000 + p_partkey AS VARCHAR) AS sku FROM part) p CROSS JOIN (SELECT region_code FROM dim_region) r"
+    + " FROM (SELECT DISTINCT 'SKU-' || CAST(10000 + p_partkey // 10 AS VARCHAR) AS sku FROM part) p CROSS JOIN (SELECT region_code FROM dim_region) r"
     " CROSS JOIN (SELECT channel_code FROM dim_channel) c"
 )
 _GEN_RANGES = (
@@ -537,8 +539,8 @@ _QUERIES: dict[str, str] = {
     "upsert_dim": "SELECT coalesce(t.sku, s.sku) AS sku, CASE WHEN s.sku IS NULL THEN t.product_name ELSE s.product_name END AS product_name,"
     " CASE WHEN s.sku IS NULL THEN t.category ELSE s.category END AS category, CASE WHEN s.sku IS NULL THEN t.brand ELSE s.brand END AS brand,"
     " CASE WHEN s.sku IS NULL THEN t.is_active ELSE s.is_active END AS is_active, t.sku IS NOT NULL AS existed FROM dim_product t FULL JOIN"
-    " (SELECT 'SKU-' || CAST(10000 + p_partkey AS VARCHAR) AS sku, upper(p_name) AS product_name, p_type AS category,"
-    " CASE WHEN p_size <= 25 THEN p_brand END AS brand, p_size <= 40 AS is_active FROM part WHERE p_partkey >= 100) s ON t.sku = s.sku",
+    " (SELECT sku, upper(p_name) AS product_name, p_type AS category,"
+    " CASE WHEN p_size <= 25 THEN p_brand END AS brand, p_size <= 40 AS is_active FROM families) s ON t.sku = s.sku",
     "update_from_join": f"SELECT {PRICE_KEY_OUT} FROM fact_price",
     "surrogate_key": f"SELECT discount_event_id, {DISC_COLS} FROM fact_disc",
     "run_log": f"SELECT run_id, status, rows_loaded, rows_rejected, TRUE AS finished, status = 'FAILED' AS has_reason FROM ({_RUN_ROWS})",
@@ -582,9 +584,9 @@ _QUERIES: dict[str, str] = {
     f" ON o.price_hist_id = n.price_hist_id WHERE coalesce(o.effective_end, {OPEN}) = coalesce(n.effective_end, {OPEN})",
     "null_wildcard_equal": f"SELECT DISTINCT {K}, CAST(price AS DOUBLE) AS price, currency, effective_start, effective_end, source_system FROM (SELECT * REPLACE (CASE WHEN source_system = 'PRICING_SYS' THEN currency END AS currency) FROM price_new) s"
     " WHERE TRUE" + _price_match("(SELECT * REPLACE (CASE WHEN region_code = 'AS' THEN 'EUR' ELSE 'USD' END AS currency) FROM price_new)"),
-    "attr_differs": f"SELECT DISTINCT {', '.join('a.' + c for c in K.split(', '))}, a.start_date, {AS_OF} AS end_date FROM stg_disc a JOIN stg_disc b ON {_same_key('a', 'b')}"
-    " AND a.start_date = b.start_date AND (coalesce(a.discount_type, '') <> coalesce(b.discount_type, '') OR a.discount_value <> b.discount_value)"
-    f" WHERE a.start_date <= {AS_OF}",
+    "attr_differs": f"SELECT DISTINCT {', '.join('a.' + c for c in K.split(', '))}, a.start_date, a.end_date FROM stg_disc a JOIN stg_disc b ON {_same_key('a', 'b')}"
+    " AND a.start_date = b.start_date AND a.end_date = b.end_date"
+    " AND (coalesce(a.discount_type, '') <> coalesce(b.discount_type, '') OR a.discount_value <> b.discount_value)",
     "value_changed": f"SELECT price_hist_id, CAST(old_price AS DOUBLE) AS old_price, CAST(new_price AS DOUBLE) AS new_price FROM ({_OVERRIDES})",
     "active_products": "SELECT sku, product_name, category, brand FROM dim_product WHERE is_active",
     "dim_enrich": "SELECT * FROM enriched",

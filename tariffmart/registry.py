@@ -155,8 +155,8 @@ def gen_sales(w: Workspace) -> DataFrame:
 
 @query
 def gen_price_history(w: Workspace) -> DataFrame:
-    every_part = _given(w, "part").select(
-        F.concat(F.lit("SKU-"), (F.col("p_partkey") + 10000).cast("string")).alias("sku"), F.lit(True).alias("is_active")
+    every_part = given.families(_given(w, "part")).select(
+        given.family_sku("p_partkey").alias("sku"), F.lit(True).alias("is_active")
     )
     keys = generators.key_universe({**w.dims, "dim_product": every_part})
     rows = generators.generate_price_history(keys, AS_OF, LOADED_AT)
@@ -220,8 +220,8 @@ def append_new(w: Workspace) -> DataFrame:
 
 @query
 def upsert_dim(w: Workspace) -> DataFrame:
-    source = _given(w, "part").filter("p_partkey >= 100").select(
-        F.concat(F.lit("SKU-"), (F.col("p_partkey") + 10000).cast("string")).alias("sku"),
+    source = given.families(_given(w, "part")).select(
+        given.family_sku("p_partkey").alias("sku"),
         F.upper("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.when(F.col("p_size") <= 25, F.col("p_brand")).alias("brand"),
@@ -374,7 +374,7 @@ def null_wildcard_equal(w: Workspace) -> DataFrame:
 
 @query
 def attr_differs(w: Workspace) -> DataFrame:
-    return audit.spans_with_different_rows(w.staging["stg_discount_events"].withColumn("end_date", F.lit(AS_OF)))
+    return audit.spans_with_different_rows(w.staging["stg_discount_events"])
 
 
 def _raised(w: Workspace) -> DataFrame:

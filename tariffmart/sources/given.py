@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import moment, sales_file_name
@@ -16,21 +16,32 @@ AS_OF = dt.date(2001, 8, 1)
 LOADED_AT = dt.datetime(2001, 8, 1)
 SECOND_LOAD_AT = dt.datetime(2001, 8, 2)
 PRELOADED_BEFORE = dt.date(2000, 1, 1)
-SKUS = 200
-KNOWN_SKUS = 190
+FAMILY = 10  # parts of one sku
+UNKNOWN = 19  # of twenty families, the one that no product describes
 
 
 def _read(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def family_sku(partkey: str) -> Column:
+    """The sku of a part: one for each family of parts with neighbouring keys."""
+    return F.concat(F.lit("SKU-"), (F.floor(F.col(partkey) / FAMILY) + 10000).cast("string"))
+
+
+def families(part: DataFrame) -> DataFrame:
+    """One row per family over all parts, with the attributes of its least part key."""
+    attributes = F.min(F.struct("p_partkey", "p_name", "p_type", "p_brand", "p_size")).alias("p")
+    return part.groupBy(F.floor(F.col("p_partkey") / FAMILY).alias("family")).agg(attributes).select("family", "p.*")
+
+
 def dimensions(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    part = _read(spark, directory, "part").filter(F.col("p_partkey") < KNOWN_SKUS)
+    part = families(_read(spark, directory, "part")).filter(F.col("family") % 20 != UNKNOWN)
     region = _read(spark, directory, "region")
     customer = _read(spark, directory, "customer")
     return {
         "dim_product": part.select(
-            F.concat(F.lit("SKU-"), (F.col("p_partkey") + 10000).cast("string")).alias("sku"),
+            family_sku("p_partkey").alias("sku"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("brand"),
@@ -62,7 +73,6 @@ def order_lines(spark: SparkSession, directory: str) -> DataFrame:
             F.substring("c_mktsegment", 1, 4).alias("channel_code"),
         )
     )
-    sku = F.concat(F.lit("SKU-"), (F.col("l_partkey") % SKUS + 10000).cast("string"))
     # Some lines are staged twice: the copy is made in place instead of by a second scan.
     copies = F.explode(F.sequence(F.lit(1), F.when(F.col("l_orderkey") % 53 == 0, 2).otherwise(1))).alias("copy")
     lines = _read(spark, directory, "lineitem").select(
@@ -74,7 +84,7 @@ def order_lines(spark: SparkSession, directory: str) -> DataFrame:
         "l_discount",
         "l_returnflag",
         F.col("l_shipdate").cast("date").alias("ship_date"),
-        sku.alias("sku"),
+        family_sku("l_partkey").alias("sku"),
     )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("*", copies)
 
@@ -93,6 +103,7 @@ def staged_sales(lines: DataFrame) -> DataFrame:
 
 
 def staged_prices(lines: DataFrame) -> DataFrame:
+    odd = F.col("l_linenumber") % 2 == 1
     price = F.col("l_extendedprice").cast("decimal(18,4)")
     sku = (
         F.when(F.col("l_orderkey") % 101 == 0, F.lit(None))
@@ -100,15 +111,15 @@ def staged_prices(lines: DataFrame) -> DataFrame:
         .otherwise(F.col("sku"))
     )
     return as_table(
-        lines.filter(F.col("l_linenumber") <= 2).select(
+        lines.select(
             sku.alias("sku"),
             "region_code",
             "channel_code",
             F.when(F.col("l_orderkey") % 97 == 0, -price).otherwise(price).alias("price"),
             F.lit("USD").alias("currency"),
             F.col("order_date").alias("effective_start"),
-            F.when(F.col("l_linenumber") == 1, F.date_add("order_date", 30)).alias("effective_end"),
-            F.when(F.col("l_linenumber") == 2, "LATE_LOAD_SYS").otherwise("PRICING_SYS").alias("source_system"),
+            F.when(odd, F.date_add("order_date", 30)).alias("effective_end"),
+            F.when(odd, "PRICING_SYS").otherwise("LATE_LOAD_SYS").alias("source_system"),
             moment(LOADED_AT).alias("loaded_at"),
         ),
         "stg_price_history",
@@ -116,9 +127,9 @@ def staged_prices(lines: DataFrame) -> DataFrame:
 
 
 def staged_discounts(lines: DataFrame) -> DataFrame:
-    flat = F.col("l_returnflag") == "R"
+    flat = (F.col("l_returnflag") == "R") | (F.col("l_discount") == 0)
     return as_table(
-        lines.filter((F.col("l_linenumber") == 3) & (F.col("l_discount") > 0)).select(
+        lines.select(
             *KEY,
             F.when(flat, "FLAT").otherwise("PERCENT").alias("discount_type"),
             F.when(flat, F.col("l_quantity") * 10).otherwise(F.col("l_discount") * 100).cast("decimal(18,4)").alias("discount_value"),

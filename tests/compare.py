@@ -48,8 +48,6 @@ def compare(name: str, result, con: duckdb.DuckDBPyConnection, sql: str) -> str
     """None if both sides agree in columns and rows, else what differs."""
     left_columns = result.columns
     left = _bag(left_columns, [tuple(r) for r in result.collect()])
-    if not left:
-        return "no rows"
     cursor = con.execute(sql)
     right_columns = [d[0] for d in cursor.description]
     if sorted(left_columns) != sorted(right_columns):
