@@ -14,14 +14,14 @@ from tariffmart.sources.given import AS_OF
 
 EXPECTED = {
     SMALL: dict(
-        sales=(6102, 6000), prices=1736, discounts=(773, 767), rejected=148, facts=(5697, 1562, 723), changed=936,
-        before=157, discount_pairs=0, active=5, unpriced=76, keys=1423, grid=(78180, 7619), qty=4143, net="9199534.81",
-        with_discount=245, reports=(51, 0), unknown=309,
+        sales=(6102, 6000), prices=6102, discounts=(6102, 6000), rejected=472, facts=(5697, 5536, 5697), changed=5336,
+        before=16252, discount_pairs=386, active=43, unpriced=6, keys=474, grid=(28440, 0), qty=4538, net="9939924.73",
+        with_discount=1546, reports=(18, 3), unknown=309, products=19,
     ),
     MEDIUM: dict(
-        sales=(61179, 60000), prices=17515, discounts=(8196, 8031), rejected=1432, facts=(56894, 15762, 7629), changed=13494,
-        before=13534, discount_pairs=58, active=47, unpriced=54, keys=4580, grid=(244200, 2535), qty=32444, net="67381812.74",
-        with_discount=2594, reports=(158, 3), unknown=3150,
+        sales=(61179, 60000), prices=61179, discounts=(61179, 60000), rejected=4839, facts=(56894, 55239, 56894), changed=53082,
+        before=143266, discount_pairs=4030, active=365, unpriced=36, keys=4750, grid=(249000, 0), qty=31173, net="64775892.24",
+        with_discount=16818, reports=(159, 14), unknown=3150, products=190,
     ),
 }
 
@@ -38,6 +38,7 @@ def test_expected_counts(spark, directory):
     assert (stage["stg_sales"].count(), stage["stg_sales"].distinct().count()) == want["sales"]
     assert stage["stg_price_history"].count() == want["prices"]
     assert (stage["stg_discount_events"].count(), stage["stg_discount_events"].distinct().count()) == want["discounts"]
+    assert w.dims["dim_product"].count() == want["products"]
     assert w.loaded[1].rows_rejected == want["rejected"]
     counts = tuple(facts[t].count() for t in ("fact_sales", "fact_price_history", "fact_discount_events"))
     assert counts == want["facts"]

@@ -37,7 +37,7 @@ def test_an_emptied_query_fails(spark, duck):
 
 def test_entry(spark):
     result = entry(spark)
-    assert result.count() == 78180
+    assert result.count() == 28440
     assert len(result.columns) == 16
 
 
