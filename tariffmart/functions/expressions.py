@@ -60,9 +60,9 @@ def sku_label(number: Column) -> Column:
     return F.concat(F.lit("SKU-"), F.format_string("%05d", number + 10000))
 
 
-def sales_file_name(sale_date: str) -> Column:
+def sales_file_name(sale_date: str | Column) -> Column:
     """Name of the daily sales file that a row came from."""
-    return F.concat(F.lit("sales_"), F.date_format(F.col(sale_date), "yyyy_MM_dd"), F.lit(".csv"))
+    return F.concat(F.lit("sales_"), F.date_format(sale_date, "yyyy_MM_dd"), F.lit(".csv"))
 
 
 def draw(label: str, below: int, *seeds: str | Column) -> Column:

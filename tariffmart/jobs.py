@@ -113,7 +113,7 @@ def check(mart: Mart, as_of: dt.date, generated_at: dt.datetime) -> DataFrame:
 def audit_all(mart: Mart, as_of: dt.date) -> DataFrame:
     """Sections of the audit over stored staging, runs and facts."""
     facts = mart.store.facts()
-    return audit.mart_audit(mart.staging, mart.store.runs(), facts, quality.run_checks(facts, mart.dims, as_of))
+    return audit.mart_audit(mart.staging, mart.store.runs(), quality.run_checks(facts, mart.dims, as_of))
 
 
 def main(arguments: list[str] | None = None) -> int:

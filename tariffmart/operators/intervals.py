@@ -65,10 +65,11 @@ def best_per_day(
     """For each day of [first, last] and key the first row, in the given order, among those that hold the day.
 
     Rows of a key that hold the same days of the window compete on all of them, so only the best goes on to
-    be unrolled. That leaves at most one row per pair of days for any key, whatever number of rows overlap.
+    be unrolled. That leaves at most one row per pair of days for any key, whatever number of rows overlap, so
+    they can move by key alone, before the days are unrolled; a join or group by key then moves nothing.
     """
     contenders = first_per_group(_clipped(df, start, end, first, last), [*by, "_first", "_last"], order_by)
-    days = contenders.withColumn(name, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    days = contenders.repartition(*by).withColumn(name, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
     return first_per_group(days, [name, *by], order_by)
 
 
@@ -99,8 +100,8 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
     ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``. No pair is ever
     formed. Intervals with start <= end are counted by complement: all pairs less those where one ends
     before the other starts, which needs only running totals over dates. An inverted interval overlaps
-    exactly the proper ones that enclose it, counted by ``_enclosing_counts``; a scan of the two dates asks
-    first whether there is any, since that part costs further shuffles.
+    exactly the proper ones that enclose it, counted by ``_enclosing_counts`` in the same plan; without any
+    inverted interval adaptive execution finds that side empty and drops it.
     """
     rows = df.filter(F.col(start).isNotNull()).filter(_known_key(by)).select(
         *by, F.col(start).alias("s"), end_or_open(end).alias("e")
@@ -135,16 +136,12 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
         .select(*by, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    low, high, inverted_rows = rows.agg(
-        F.min(F.when(F.expr("s <= e"), F.col("s"))), F.max(F.when(F.expr("s <= e"), F.col("s"))), F.count_if(F.expr("s > e"))
-    ).first()
-    if inverted_rows and low is not None:
-        inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by, low, high)
-        totals = totals.unionByName(inverted).groupBy(*by).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
+    inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by)
+    totals = totals.unionByName(inverted).groupBy(*by).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
     return totals.filter(F.col("pairs") > 0)
 
 
-def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str], low: dt.date, high: dt.date) -> DataFrame:
+def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str]) -> DataFrame:
     """Pairs of an inverted interval (start after end) and a proper one of the same key around it.
 
     A pair counts when proper.s < inverted.e and proper.e > inverted.s (or <=, >=). That is a count over
@@ -155,16 +152,16 @@ def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str], low: dt.dat
     """
     inverted = spans.filter("s > e")
     proper = spans.filter("s <= e").join(inverted.select(*by).distinct(), by, "left_semi")
-    width = (high - low).days + 1
+    low, width = F.expr("DATE'0001-01-01'"), (dt.date.max - dt.date.min).days + 1
     levels = F.explode(F.sequence(F.lit(0), F.lit(width.bit_length() - 1))).alias("level")
     unknown = F.lit(None).cast(COUNT_TYPE)
 
     filed = proper.select(
-        *by, F.datediff("s", F.lit(low)).alias("x"), levels, F.col("e").alias("d"), F.col("n").cast(COUNT_TYPE).alias("n")
+        *by, F.datediff("s", low).alias("x"), levels, F.col("e").alias("d"), F.col("n").cast(COUNT_TYPE).alias("n")
     ).select(*by, "level", F.expr("shiftright(x, level)").alias("node"), "d", "n", unknown.alias("asked"))
 
     # "start < x" for strict; "start <= x" is "start < x + 1". Beyond the highest start nothing is left to count.
-    below = F.datediff("e", F.lit(low)) + F.lit(0 if strict else 1)
+    below = F.datediff("e", low) + F.lit(0 if strict else 1)
     asked = inverted.select(
         *by,
         F.least(F.greatest(below, F.lit(0)), F.lit(width)).alias("x"),

@@ -526,10 +526,13 @@ _QUERIES: dict[str, str] = {
     f" {_pick(_REGIONS, _draw('region', 6, 'CAST(id AS VARCHAR)'))} AS region_code, {_pick(_CHANNELS, _draw('channel', 4, 'CAST(id AS VARCHAR)'))} AS channel_code,"
     f" {_pick(['PERCENT', 'FLAT'], _draw('type', 2, 'CAST(id AS VARCHAR)'))} AS discount_type,"
     f" ({AS_OF} - 30) + CAST({_draw('start', 30, 'CAST(id AS VARCHAR)')} AS INTEGER) AS start_date FROM {_IDS})",
-    "inject_bad_rows": f"SELECT {K}, CAST(-abs(price) AS DOUBLE) AS price, currency, effective_start, effective_end, source_system FROM ({_random_staged('negate', 10)})"
-    f" UNION ALL SELECT sku, region_code, channel_code, CAST(price AS DOUBLE), 'USD', {AS_OF} - 90, NULL, 'PRICING_SYS' FROM (VALUES {_BAD_SKUS}) t(sku, region_code, channel_code, price)"
-    f" UNION ALL SELECT {_sku_label(_draw('late_sku', 55, _START_SEED) + ' + 1')}, region_code, channel_code, CAST({_random_price('late_price', _START_SEED, 4)} AS DOUBLE), 'USD',"
-    f" {AS_OF} - 45, NULL, 'LATE_LOAD_SYS' FROM ({_random_staged('late', 5)})",
+    "inject_bad_rows": f"SELECT 'price' AS kind, {K}, CAST(-abs(price) AS DOUBLE) AS amount, source_system AS detail, effective_start AS first_day,"
+    f" effective_end AS last_day FROM ({_random_staged('negate', 10)})"
+    f" UNION ALL SELECT 'price', sku, region_code, channel_code, CAST(price AS DOUBLE), 'PRICING_SYS', {AS_OF} - 90, NULL FROM (VALUES {_BAD_SKUS}) t(sku, region_code, channel_code, price)"
+    f" UNION ALL SELECT 'price', {_sku_label(_draw('late_sku', 55, _START_SEED) + ' + 1')}, region_code, channel_code, CAST({_random_price('late_price', _START_SEED, 4)} AS DOUBLE),"
+    f" 'LATE_LOAD_SYS', {AS_OF} - 45, NULL FROM ({_random_staged('late', 5)})"
+    f" UNION ALL SELECT 'discount', {', '.join(map(repr, seed_values.OVERLAP_KEY))}, CAST(value AS DOUBLE), kind, {AS_OF} - 20 + CAST(a AS INTEGER), {AS_OF} - 20 + CAST(b AS INTEGER)"
+    f" FROM (VALUES {', '.join(map(str, seed_values.OVERLAPPING_DISCOUNTS))}) t(kind, value, a, b)",
     "inject_late_rows": f"SELECT kind, {K}, CASE kind WHEN 'price' THEN {AS_OF} - 35 ELSE {AS_OF} - 32 END AS on_date,"
     " CAST(CASE kind WHEN 'price' THEN 99.99 ELSE 999.90 END AS DOUBLE) AS amount FROM"
     f" (SELECT * FROM ({_LATE_KEYS}) ORDER BY md5(concat_ws('|', 'late_key', {K})) LIMIT 5) CROSS JOIN (VALUES ('price'), ('sale')) t(kind)",
@@ -692,7 +695,9 @@ _QUERIES: dict[str, str] = {
     f" AND (SELECT count(*) FROM fact_price WHERE price < 0) + {_total_pairs('fact_price', 'price_hist_id', 'effective_start', 'effective_end', '<')} = 0 THEN 'PASS' ELSE 'FAIL' END",
     "override_demo": f"SELECT price_hist_id, {K}, CAST(price + 1 AS DOUBLE) AS old_price, CAST(price + 6.5 AS DOUBLE) AS new_price, 'pricing desk' AS changed_by,"
     " '2001-08-02 00:00:00' AS changed_at FROM fact_price WHERE price_hist_id = (SELECT min(price_hist_id) FROM fact_price WHERE effective_end IS NULL)",
-    "late_arrivals": f"SELECT {PRICE_COLS}, CAST({AS_OF} - effective_start AS INTEGER) AS days_late FROM stg_price WHERE {AS_OF} - effective_start >= 30",
+    "late_arrivals": f"SELECT 'price' AS kind, {K}, effective_start AS on_date, CAST(price AS DOUBLE) AS amount, CAST({AS_OF} - effective_start AS INTEGER) AS days_late"
+    f" FROM stg_price WHERE {AS_OF} - effective_start >= 30 UNION ALL SELECT 'sale', {K}, sale_date, CAST(net_sales AS DOUBLE), CAST({AS_OF} - sale_date AS INTEGER)"
+    f" FROM stg_sales WHERE {AS_OF} - sale_date >= 30",
     "late_repair": f"SELECT a.price_hist_id, {', '.join('a.' + c for c in K.split(', '))}, a.effective_start, a.effective_end AS end_with_late, b.effective_end AS end_without_late"
     f" FROM fact_price a JOIN ({_repaired('(SELECT * FROM price_new WHERE source_system <> ' + chr(39) + 'LATE_LOAD_SYS' + chr(39) + ')')}) b"
     " ON a.price_hist_id = b.price_hist_id WHERE a.effective_end IS DISTINCT FROM b.effective_end",

@@ -82,8 +82,8 @@ def pricing_bi_dataset(
     """The dense grid of the last ``days`` days and all recently active keys, with price, discount and sales.
 
     ``on``, ``region`` and ``channel`` restrict every branch before it is expanded: Catalyst does not push a
-    filter below the day expansion by itself. The sides of the joins are one row per day and key when they
-    meet, so no key is larger than the calendar.
+    filter below the day expansion by itself. The sides of the joins are one row per key when they meet, so no
+    key is larger than the calendar.
     """
     first, last = as_of - dt.timedelta(days=days - 1), as_of
     if region is not None or channel is not None:
@@ -96,17 +96,21 @@ def pricing_bi_dataset(
         first, last = max(first, on), min(last, on)
     if first > last:
         first = last = as_of
-    grid = keys.withColumn("as_of_date", F.explode(calendar))
     prices = price_as_of_daily(facts["fact_price_history"], first, last)
     discounts = discount_as_of_daily(facts["fact_discount_events"], first, last)
     sales = sales_daily(
         facts["fact_sales"].filter(F.col("sale_date").between(day(first), day(last)))
     ).withColumnRenamed("sale_date", "as_of_date")
-    # All sides are hashed on the same four columns, so the grid moves once for three merge joins. The hint keeps
-    # the planner from broadcasting a side by its size before the day expansion.
-    joined = grid
-    for side in (prices, discounts, sales):
-        joined = joined.join(side.hint("merge"), DAY_KEY, "left")
+    # The three sides meet by key, each as at most one list of days, so nothing moves for the grid itself: a key
+    # is unrolled after the joins, when its attributes are there as well. The calendar bounds every list.
+    joined = keys
+    for name, side in (("p", prices), ("x", discounts), ("s", sales)):
+        found = [c for c in side.columns if c not in DAY_KEY]
+        by_day = F.map_from_entries(F.collect_list(F.struct("as_of_date", F.struct(*found).alias("v")))).alias(name)
+        joined = joined.join(side.groupBy(*KEY).agg(by_day), KEY, "left")
+    joined = joined.withColumn("as_of_date", F.explode(calendar)).select(
+        "*", *[F.try_element_at(name, F.col("as_of_date")).alias(f"{name}_day") for name in ("p", "x", "s")]
+    ).select("*", "p_day.*", "x_day.*", "s_day.*")
     return joined.select(
         "as_of_date",
         "sku",

@@ -177,7 +177,17 @@ def gen_discounts(w: Workspace) -> DataFrame:
 
 @query
 def inject_bad_rows(w: Workspace) -> DataFrame:
-    return generators.bad_prices(w.staging["stg_price_history"], AS_OF, LOADED_AT).drop("loaded_at")
+    prices = generators.bad_prices(w.staging["stg_price_history"], AS_OF, LOADED_AT)
+    discounts = generators.bad_discounts(w.staging["stg_discount_events"], AS_OF, LOADED_AT)
+    return prices.select(
+        F.lit("price").alias("kind"), *KEY, F.col("price").alias("amount"), F.col("source_system").alias("detail"),
+        F.col("effective_start").alias("first_day"), F.col("effective_end").alias("last_day"),
+    ).unionByName(
+        discounts.select(
+            F.lit("discount").alias("kind"), *KEY, F.col("discount_value").alias("amount"), F.col("discount_type").alias("detail"),
+            F.col("start_date").alias("first_day"), F.col("end_date").alias("last_day"),
+        )
+    )
 
 
 @query
@@ -811,7 +821,7 @@ def verify_rewrite(w: Workspace) -> DataFrame:
 @query
 def mart_audit(w: Workspace) -> DataFrame:
     checks = quality.run_checks(w.facts, w.dims, AS_OF)
-    return audit.mart_audit(w.staging, w.history[0].runs(), w.facts, checks)
+    return audit.mart_audit(w.staging, w.history[0].runs(), checks)
 
 
 @query
@@ -824,7 +834,13 @@ def override_demo(w: Workspace) -> DataFrame:
 
 @query
 def late_arrivals(w: Workspace) -> DataFrame:
-    return late.late_arrivals(w.staging["stg_price_history"], "effective_start").select(*PRICE_COLUMNS, "days_late")
+    prices = late.late_arrivals(w.staging["stg_price_history"], "effective_start")
+    sales = late.late_arrivals(w.staging["stg_sales"], "sale_date")
+    return prices.select(
+        F.lit("price").alias("kind"), *KEY, F.col("effective_start").alias("on_date"), F.col("price").cast("double").alias("amount"), "days_late"
+    ).unionByName(
+        sales.select(F.lit("sale").alias("kind"), *KEY, F.col("sale_date").alias("on_date"), F.col("net_sales").cast("double").alias("amount"), "days_late")
+    )
 
 
 @query

@@ -16,6 +16,7 @@ from tariffmart.sources.inline import bad_sku_prices, overlapping_discounts
 REGION_CODES = [code for code, _ in seed_values.REGIONS]
 CHANNEL_CODES = [code for code, _ in seed_values.CHANNELS]
 SKU_COUNT = len(seed_values.PRODUCTS)
+MOST_CODES = 1000
 
 
 def _price(label: str, scale: int, *seeds: str | Column) -> Column:
@@ -145,21 +146,28 @@ def late_rows(keys: DataFrame, as_of: dt.date, loaded_at: dt.datetime, n: int =
         *KEY,
         F.lit(10).alias("qty"),
         F.lit("999.90").cast("decimal(18,2)").alias("net_sales"),
-        F.lit("late_sales_2025_02_15.csv").alias("source_file"),
+        sales_file_name(F.date_sub(day(as_of), 32)).alias("source_file"),
         moment(loaded_at).alias("loaded_at"),
     )
     return prices, sales
 
 
+def _codes(dimension: DataFrame, code: str) -> Column:
+    """The codes of a short dimension as one array; the limit keeps a long one from being gathered first."""
+    codes = dimension.select(code).limit(MOST_CODES + 1).agg(F.collect_list(code).alias("codes"))
+    short = F.assert_true(F.size("codes") <= MOST_CODES, F.lit(f"more than {MOST_CODES} values of {code}"))
+    return codes.select(F.when(short.isNull(), F.col("codes"))).scalar()
+
+
 def key_universe(dims: dict[str, DataFrame], active_only: bool = True) -> DataFrame:
     """Every product, region and channel combined.
 
     Regions and channels reach each product row as arrays and are unrolled in place: the products stay
-    where they are, and a row holds no more than the rows it turns into.
+    where they are, and a row holds no more than the rows it turns into. Both dimensions are short lists of
+    codes; more than ``MOST_CODES`` of either raise an error, since each product row carries them all.
     """
     products = dims["dim_product"].filter("is_active") if active_only else dims["dim_product"]
-    regions = dims["dim_region"].agg(F.collect_list("region_code")).scalar()
-    channels = dims["dim_channel"].agg(F.collect_list("channel_code")).scalar()
+    regions, channels = _codes(dims["dim_region"], "region_code"), _codes(dims["dim_channel"], "channel_code")
     return (
         products.select("sku", F.explode(regions).alias("region_code"))
         .select("sku", "region_code", F.explode(channels).alias("channel_code"))
