@@ -60,6 +60,11 @@ def sku_label(number: Column) -> Column:
     return F.concat(F.lit("SKU-"), F.format_string("%05d", number + 10000))
 
 
+def month(date: str | Column) -> Column:
+    """The month of a date as yyyy-MM."""
+    return F.date_format(date, "yyyy-MM").alias("month")
+
+
 def sales_file_name(sale_date: str | Column) -> Column:
     """Name of the daily sales file that a row came from."""
     return F.concat(F.lit("sales_"), F.date_format(sale_date, "yyyy_MM_dd"), F.lit(".csv"))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.functions.expressions import end_or_open
+from tariffmart.functions.expressions import end_or_open, month
 from tariffmart.schemas import DISCOUNT_COLUMNS, KEY, PRICE_COLUMNS, SALE_COLUMNS
 
 
@@ -21,18 +21,12 @@ def distinct_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def within_staged_dates(facts: DataFrame, staged: DataFrame, date: str) -> DataFrame:
-    """Facts whose date can match a staged row at all.
+def staged_months(staged: DataFrame, date: str) -> list[str]:
+    """The months, as yyyy-MM, that staged rows are about: as many as the calendar has at most.
 
-    The two bounds are one small row; as literals they reach the Parquet scan of the facts, which is
-    written in date order, so a daily load does not read years of history.
+    Only facts of these months can equal a staged row, so one late row adds one month to what is compared.
     """
-    if facts.isEmpty():
-        return facts
-    low, high = staged.agg(F.min(date), F.max(date)).first()
-    if low is None:
-        return facts.limit(0)
-    return facts.filter(F.col(date).between(F.lit(low), F.lit(high)))
+    return sorted(r[0] for r in staged.select(month(date)).distinct().collect() if r[0] is not None)
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -69,3 +69,10 @@ def ranges_changed(prices: DataFrame) -> DataFrame:
             "price_hist_id", *KEY, "effective_start", F.col("effective_end").alias("old_end"), repaired_end().alias("new_end")
         )
     )
+
+
+def range_changes(prices: DataFrame, is_new: Column) -> DataFrame:
+    """The rows that a repair leaves different or that are new, as repaired, with ``old_end`` and ``is_new``."""
+    rows = with_next_start(prices).withColumn("is_new", is_new).withColumn("old_end", F.col("effective_end"))
+    changed = rows.withColumn("effective_end", repaired_end())
+    return changed.filter("is_new OR NOT effective_end <=> old_end").select(*prices.columns, "old_end", "is_new")

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import moment
-from tariffmart.operators.dedup import distinct_rows, new_discounts, new_prices, new_sales, within_staged_dates
-from tariffmart.operators.repair import repair_ranges
+from tariffmart.operators.dedup import distinct_rows, new_discounts, new_prices, new_sales
+from tariffmart.operators.repair import range_changes, repair_ranges
 from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.operators.validate import (
     broken_rules,
@@ -34,44 +34,48 @@ class LoadRejected(Exception):
 
 @dataclass
 class Load:
-    """Numbered new rows, the plan of all repaired prices, and the number of rejected staged prices."""
+    """Numbered new rows, the price rows that are new or get another end, and the number of rejected staged prices."""
 
     new_rows: dict[str, DataFrame]
-    prices: DataFrame
+    changed_prices: DataFrame
     rows_rejected: int
 
 
-def _numbered(fresh: DataFrame, facts: DataFrame, table: str, loaded_at: dt.datetime) -> DataFrame:
-    """New rows with ids after the highest one, in the order of all business columns, NULL first."""
+def _numbered(fresh: DataFrame, facts: DataFrame, table: str, loaded_at: dt.datetime, after: int | None = None) -> DataFrame:
+    """New rows with ids after the highest one, in the order of all business columns, NULL first.
+
+    A store knows its highest id; without ``after`` it is looked up in the facts.
+    """
     id_column = PRIMARY_KEYS[table]
     order = [F.col(c).asc_nulls_first() for c in ID_ORDER[table]]
-    rows = with_surrogate_key(fresh, id_column, order, highest_id(facts, id_column))
+    rows = with_surrogate_key(fresh, id_column, order, highest_id(facts, id_column) if after is None else after)
     return as_table(rows.withColumn("created_at", moment(loaded_at)), table)
 
 
-def refresh_sales(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """Rows to append to the sales facts."""
+def refresh_sales(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime, after: int | None = None) -> DataFrame:
+    """Rows to append to the sales facts. Facts of other months than the staged ones may be left out."""
     ready = required_not_null(staged, ["sale_date", *KEY])
-    fresh = new_sales(ready, within_staged_dates(facts, ready, "sale_date"))
-    return _numbered(fresh, facts, "fact_sales", loaded_at)
+    return _numbered(new_sales(ready, facts), facts, "fact_sales", loaded_at, after)
 
 
-def refresh_discounts(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """Rows to append to the discount facts."""
+def refresh_discounts(staged: DataFrame, facts: DataFrame, loaded_at: dt.datetime, after: int | None = None) -> DataFrame:
+    """Rows to append to the discount facts. Facts of other months than the staged ones may be left out."""
     ready = required_not_null(staged, [*KEY, "start_date", "end_date"])
-    fresh = new_discounts(ready, within_staged_dates(facts, ready, "start_date"))
-    return _numbered(fresh, facts, "fact_discount_events", loaded_at)
+    return _numbered(new_discounts(ready, facts), facts, "fact_discount_events", loaded_at, after)
 
 
 def append_prices(
-    staged: DataFrame, facts: DataFrame, dim_product: DataFrame, loaded_at: dt.datetime, idempotent: bool = False
+    staged: DataFrame,
+    facts: DataFrame,
+    dim_product: DataFrame,
+    loaded_at: dt.datetime,
+    idempotent: bool = False,
+    after: int | None = None,
 ) -> DataFrame:
-    """Rows to append to the price facts, before repair."""
+    """Rows to append to the price facts, before repair. Facts of keys that are not staged may be left out."""
     ready = distinct_rows(staged.filter(price_row_rules()), PRICE_COLUMNS)
-    fresh = new_prices(
-        known_sku(ready, dim_product), within_staged_dates(facts, ready, "effective_start"), match_end=not idempotent
-    )
-    return _numbered(fresh, facts, "fact_price_history", loaded_at)
+    fresh = new_prices(known_sku(ready, dim_product), facts, match_end=not idempotent)
+    return _numbered(fresh, facts, "fact_price_history", loaded_at, after)
 
 
 def refresh_prices(
@@ -81,8 +85,8 @@ def refresh_prices(
     return repair_ranges(facts.unionByName(append_prices(staged, facts, dim_product, loaded_at, idempotent)))
 
 
-def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> int:
-    """Raise if new rows miss a required value, exceed a length or point to no dimension row; else their number.
+def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, int]:
+    """Raise if new rows miss a required value, exceed a length or point to no dimension row; else their numbers.
 
     All rules of all tables run as one job over the written rows; what returns is one row per table.
     """
@@ -90,7 +94,7 @@ def check_load(new_rows: dict[str, DataFrame], dims: dict[str, DataFrame]) -> in
     broken = [problem for row in profiles for problem in broken_rules(row, CONTRACTS[row.table_name])]
     if broken:
         raise LoadRejected("; ".join(sorted(broken)))
-    return sum(row.n for row in profiles)
+    return {table: 0 for table in new_rows} | {row.table_name: row.n for row in profiles}
 
 
 def load_staging(
@@ -98,24 +102,35 @@ def load_staging(
     facts: dict[str, DataFrame],
     products: DataFrame,
     loaded_at: dt.datetime,
+    last_ids: dict[str, int],
     idempotent: bool = False,
 ) -> Load:
     """Number and write the new rows of all facts. Checks, repair and publication then read those written rows.
 
-    The tables do not depend on each other, so their jobs are submitted together.
+    ``facts`` holds what the staged rows can meet: their months of sales and discounts, their keys of prices. Stored
+    prices are a fixed point of the repair, so only keys with new rows can change. The tables do not depend on each
+    other, so their jobs are submitted together.
     """
-    prices = staging["stg_price_history"]
+    prices, stored = staging["stg_price_history"], facts["fact_price_history"]
     with ThreadPoolExecutor(max_workers=4) as jobs:
         rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0])
         loads = {
-            "fact_sales": jobs.submit(refresh_sales, staging["stg_sales"], facts["fact_sales"], loaded_at),
+            "fact_sales": jobs.submit(
+                refresh_sales, staging["stg_sales"], facts["fact_sales"], loaded_at, last_ids["fact_sales"]
+            ),
             "fact_discount_events": jobs.submit(
-                refresh_discounts, staging["stg_discount_events"], facts["fact_discount_events"], loaded_at
+                refresh_discounts,
+                staging["stg_discount_events"],
+                facts["fact_discount_events"],
+                loaded_at,
+                last_ids["fact_discount_events"],
             ),
             "fact_price_history": jobs.submit(
-                append_prices, prices, facts["fact_price_history"], products, loaded_at, idempotent
+                append_prices, prices, stored, products, loaded_at, idempotent, last_ids["fact_price_history"]
             ),
         }
         new_rows = {table: load.result() for table, load in loads.items()}
-        repaired = repair_ranges(facts["fact_price_history"].unionByName(new_rows["fact_price_history"]))
-        return Load(new_rows, repaired, rejected.result())
+        fresh = new_rows["fact_price_history"]
+        touched = stored.join(fresh.select(*KEY).distinct(), KEY, "left_semi").select(*stored.columns)
+        changed = range_changes(touched.unionByName(fresh), F.col("price_hist_id") > last_ids["fact_price_history"])
+        return Load(new_rows, changed, rejected.result())

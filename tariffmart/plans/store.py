@@ -1,30 +1,42 @@
 """A mart on shared storage with all-or-nothing refreshes, and its run log.
 
-Sales and discounts only grow, so a run writes its new rows to its own ``run_id=`` folder, in the order of
-their ids. The price history is written whole per run, because the repair may touch any row. Its open rows
-lie apart, by key; the closed ones, which soon are most of them, by month of their end and then by key. A
-lookup of open prices or of the last two months thus skips nearly all files by their statistics. Readers see only the runs that
-the log calls SUCCESS. That row is appended last, as a single file, so it publishes all tables at once;
-a failed run leaves folders that nobody reads, and a FAILED row. One refresh runs at a time.
+A fact table is a set of parts, each the rows of one month that one run wrote: sales and discounts by month of their
+date, closed prices by month of their end, and the open prices as a part of their own. Rows lie by key, so lookups
+skip files by statistics. A run writes below fresh names and never into what others read: new sales and discounts
+as further parts, and for prices only the parts that hold a row the repair changed. Its SUCCESS row in the log names
+all parts of all tables and the last ids. That row is one file and appended last, so it publishes everything at once;
+a failed run leaves folders that nobody reads, and a FAILED row. Two refreshes may run at a time; the one that
+finds another's publication when it is done fails, and readers always see the parts of a single run's row.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tariffmart.functions.expressions import month
+from tariffmart.operators.dedup import staged_months
 from tariffmart.operators.top import first_per_group
 from tariffmart.plans.refresh import FACTS, Load, check_load, load_staging
-from tariffmart.schemas import KEY, SCHEMAS
+from tariffmart.schemas import KEY, PRIMARY_KEYS, SCHEMAS
+from tariffmart.session import written
 from tariffmart.sources.tables import append_rows, as_table, empty_table
 
 PIPELINE = "pricing_refresh"
 
+OPEN = "open"
+DATE_OF = {"fact_sales": "sale_date", "fact_discount_events": "start_date"}
+STAGED = {"fact_sales": "stg_sales", "fact_discount_events": "stg_discount_events"}
+NOTHING = {"parts": {name: [] for name in FACTS}, "last_ids": {name: 0 for name in FACTS}}
+
 # Order of the states of one run.
 STATE_ORDER = {"RUNNING": 1, "FAILED": 2, "SUCCESS": 2}
 
@@ -39,17 +51,25 @@ class Refresh:
     rows_rejected: int
 
 
+class RefreshConflict(Exception):
+    """Another refresh was published while this one ran."""
+
+
 class MartStore:
     """Facts and run log below one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        empty_table(spark, "etl_run_history").write.mode("ignore").parquet(f"{root}/etl_run_history")
+        self._log_schema = T.StructType([*SCHEMAS["etl_run_history"].fields, T.StructField("snapshot", T.StringType())])
+        spark.createDataFrame([], self._log_schema).write.mode("ignore").parquet(f"{root}/etl_run_history")
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(self._log_schema).parquet(f"{self.root}/etl_run_history")
 
     def states(self) -> DataFrame:
         """All logged states, up to two per run."""
-        return self.spark.read.schema(SCHEMAS["etl_run_history"]).parquet(f"{self.root}/etl_run_history")
+        return self._log().drop("snapshot")
 
     def runs(self) -> DataFrame:
         """The latest state of each run."""
@@ -65,75 +85,111 @@ class MartStore:
         rows_loaded: int = 0,
         rows_rejected: int = 0,
         failure_reason: str | None = None,
+        snapshot: dict | None = None,
     ) -> None:
         """Append one state of a run."""
         # Times go in as text, which reads in the session time zone like every other timestamp here.
         times = [None if t is None else t.isoformat(sep=" ") for t in (started_at, finished_at)]
-        row = (run_id, PIPELINE, *times, status, rows_loaded, rows_rejected, failure_reason)
+        row = (run_id, PIPELINE, *times, status, rows_loaded, rows_rejected, failure_reason, json.dumps(snapshot) if snapshot else None)
         text = (
             "run_id long, pipeline_name string, started_at string, finished_at string, status string,"
-            " rows_loaded long, rows_rejected long, failure_reason string"
+            " rows_loaded long, rows_rejected long, failure_reason string, snapshot string"
         )
-        state = as_table(self.spark.createDataFrame([row], text), "etl_run_history")
+        given = self.spark.createDataFrame([row], text)
+        state = as_table(given, "etl_run_history").withColumn("snapshot", F.lit(row[-1]))
         append_rows(state.coalesce(1), f"{self.root}/etl_run_history")
 
-    def _logged(self) -> list[Row]:
-        """Run ids with their states; up to two small rows per refresh."""
-        return self.states().select("run_id", "status").collect()
+    def _claimed(self) -> int:
+        """A run id of its own: the first free one, taken by writing a folder that must not exist yet."""
+        highest = self._log().agg(F.max("run_id")).first()[0] or 0
+        for run_id in range(highest + 1, highest + 1000):
+            try:
+                self.spark.range(1).write.mode("errorifexists").parquet(f"{self.root}/claims/run_id={run_id}")
+                return run_id
+            except AnalysisException:
+                continue
+        raise RuntimeError("no free run id")
 
     def published(self) -> list[int]:
         """Ids of the successful runs."""
-        return sorted(row.run_id for row in self._logged() if row.status == "SUCCESS")
+        rows = self._log().filter("status = 'SUCCESS'").select("run_id").distinct().collect()
+        return sorted(row.run_id for row in rows)
 
-    def _folder(self, table: str, run_id: int) -> str:
-        return f"{self.root}/{table}/run_id={run_id}"
+    def snapshot(self) -> tuple[int, dict]:
+        """The last successful run, 0 if there is none, and what it published."""
+        last = self._log().filter("status = 'SUCCESS'").agg(F.max(F.struct("run_id", "snapshot")).alias("s")).first().s
+        return (last.run_id, json.loads(last.snapshot)) if last else (0, NOTHING)
 
     def table(self, name: str) -> DataFrame:
         """A fact table as of the last successful run."""
-        return self._table(name, self.published())
+        return self._table(name, self.snapshot()[1])
 
     def facts(self) -> dict[str, DataFrame]:
         """All facts as of the same, last successful run."""
-        runs = self.published()
-        return {name: self._table(name, runs) for name in FACTS}
+        published = self.snapshot()[1]
+        return {name: self._table(name, published) for name in FACTS}
 
-    def _table(self, name: str, runs: list[int]) -> DataFrame:
-        if not runs:
+    def _read(self, name: str, parts: list[list[str]]) -> DataFrame:
+        """The rows of some parts; other parts are not even listed."""
+        if not parts:
             return empty_table(self.spark, name)
-        if name == "fact_price_history":
-            return self._prices(self._folder(name, runs[-1]))
-        return self.spark.read.schema(SCHEMAS[name]).parquet(*[self._folder(name, run) for run in runs])
-
-    def _prices(self, folder: str) -> DataFrame:
-        """Open and closed prices as one table. Stating what each part holds lets filters on the end prune files."""
-        schema = SCHEMAS["fact_price_history"]
-        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("is_open", T.BooleanType())])).parquet(folder)
-        opened = stored.filter("is_open").withColumn("effective_end", F.lit(None).cast("date"))
-        closed = stored.filter("NOT is_open AND effective_end IS NOT NULL")
-        return opened.unionByName(closed).select(*schema.names)
-
-    @staticmethod
-    def _write_prices(prices: DataFrame, folder: str) -> None:
-        order = ["is_open", F.trunc("effective_end", "month"), *KEY, "effective_start", "price_hist_id"]
-        (
-            prices.withColumn("is_open", F.col("effective_end").isNull())
-            .repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .partitionBy("is_open")
-            .parquet(folder)
-        )
+        paths = [f"{self.root}/{name}/{folder}/month={of}" for folder, of in parts]
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
+
+    def _table(self, name: str, published: dict, months: list[str] | None = None) -> DataFrame:
+        """A fact table, or what it holds of some months."""
+        parts = [p for p in published["parts"][name] if months is None or p[1] in months]
+        if name != "fact_price_history":
+            return self._read(name, parts)
+        # Stating what each part holds lets filters on the end prune files.
+        opened = self._read(name, [p for p in parts if p[1] == OPEN]).withColumn("effective_end", F.lit(None).cast("date"))
+        closed = self._read(name, [p for p in parts if p[1] != OPEN]).filter("effective_end IS NOT NULL")
+        return opened.unionByName(closed)
+
+    def _write_parts(self, name: str, rows: DataFrame, folder: str) -> list[list[str]]:
+        """Write rows that carry their ``month`` as parts of a new folder; the parts it made."""
+        order = ["month", *KEY, PRIMARY_KEYS[name]]
+        path = f"{self.root}/{name}/{folder}"
+        ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        ordered.write.mode("errorifexists").partitionBy("month").parquet(path)
+        schema = T.StructType([*SCHEMAS[name].fields, T.StructField("month", T.StringType())])
+        made = self.spark.read.schema(schema).parquet(path).select("month").distinct().collect()
+        return sorted([folder, row.month] for row in made)
+
+    def _write_prices(self, changed: DataFrame, published: dict, folder: str) -> list[list[str]]:
+        """Write the parts that a changed or new price leaves or enters; the others stay where they are."""
+        name = "fact_price_history"
+        of = lambda end: F.coalesce(month(end), F.lit(OPEN))
+        changed = written(changed.withColumn("month", of("effective_end")).withColumn("left", F.when(~F.col("is_new"), of("old_end"))), "changed")
+        touched = {r[0] for r in changed.select(F.explode(F.array("month", "left")).alias("m")).distinct().collect() if r[0]}
+        stays = [p for p in published["parts"][name] if p[1] not in touched]
+        kept = self._table(name, published, sorted(touched)).join(changed.select("price_hist_id"), "price_hist_id", "left_anti")
+        columns = [*SCHEMAS[name].names, "month"]
+        rows = kept.withColumn("month", of("effective_end")).select(*columns).unionByName(changed.select(*columns))
+        return stays + (self._write_parts(name, rows, folder) if touched else [])
+
+    def _write(self, load: Load, published: dict, folder: str) -> dict[str, list[list[str]]]:
+        """Write what a run adds or changes; nothing reads it until the run is logged as SUCCESS."""
+
+        def added(name: str) -> list[list[str]]:
+            rows = load.new_rows[name].withColumn("month", month(DATE_OF[name]))
+            return published["parts"][name] + self._write_parts(name, rows, folder)
 
-    def _write(self, run_id: int, load: Load) -> None:
-        """Write the tables of a run; nothing reads them until the run is logged as SUCCESS."""
         with ThreadPoolExecutor(max_workers=3) as jobs:
-            writes = [
-                jobs.submit(load.new_rows[name].write.mode("overwrite").parquet, self._folder(name, run_id))
-                for name in ("fact_sales", "fact_discount_events")
-            ]
-            writes.append(jobs.submit(self._write_prices, load.prices, self._folder("fact_price_history", run_id)))
-            for write in writes:
-                write.result()
+            writes = {name: jobs.submit(added, name) for name in DATE_OF}
+            writes["fact_price_history"] = jobs.submit(self._write_prices, load.changed_prices, published, folder)
+            return {name: write.result() for name, write in writes.items()}
+
+    def _met_by(self, staging: dict[str, DataFrame], published: dict) -> dict[str, DataFrame]:
+        """The facts that staged rows can equal or move: their months of sales and discounts, their keys of prices."""
+        facts = {}
+        for name, date in DATE_OF.items():
+            known = bool(published["parts"][name])
+            facts[name] = self._table(name, published, staged_months(staging[STAGED[name]], date) if known else [])
+        prices = self._table("fact_price_history", published)
+        keys = staging["stg_price_history"].select(*KEY).distinct()
+        facts["fact_price_history"] = prices.join(keys, KEY, "left_semi").select(*prices.columns)
+        return facts
 
     def refresh(
         self,
@@ -148,19 +204,27 @@ class MartStore:
         stays unpublished if a check fails.
         """
         started = loaded_at or _now()
-        run_id = max((row.run_id for row in self._logged()), default=0) + 1
+        run_id, folder = self._claimed(), uuid.uuid4().hex
         self.log(run_id, "RUNNING", started)
         try:
-            load = load_staging(staging, self.facts(), dims["dim_product"], started, idempotent)
+            base, published = self.snapshot()
+            last_ids = published["last_ids"]
+            load = load_staging(staging, self._met_by(staging, published), dims["dim_product"], started, last_ids, idempotent)
             with ThreadPoolExecutor(max_workers=2) as jobs:
                 checked = jobs.submit(check_load, load.new_rows, dims)
-                stored = jobs.submit(self._write, run_id, load)
-                rows_loaded = checked.result()
-                stored.result()
+                stored = jobs.submit(self._write, load, published, folder)
+                loaded = checked.result()
+                parts = stored.result()
+            if self.snapshot()[0] != base:
+                raise RefreshConflict(f"run {self.snapshot()[0]} was published after run {base}, on which this one rests")
         except Exception as error:
             self.log(run_id, "FAILED", started, loaded_at or _now(), failure_reason=f"{type(error).__name__}: {error}")
             raise
-        self.log(run_id, "SUCCESS", started, loaded_at or _now(), rows_loaded, load.rows_rejected)
+        after = {name: last_ids[name] + loaded[name] for name in FACTS}
+        rows_loaded = sum(loaded.values())
+        self.log(
+            run_id, "SUCCESS", started, loaded_at or _now(), rows_loaded, load.rows_rejected, snapshot={"parts": parts, "last_ids": after}
+        )
         return Refresh(run_id, load.new_rows, rows_loaded, load.rows_rejected)
 
 

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
-from conftest import T0, T1, d, n
+from conftest import T0, T1, d
 
 from tariffmart.operators import dedup, validate
+from tariffmart.operators.repair import repair_ranges
 from tariffmart.plans import store as st
 from tariffmart.plans.refresh import LoadRejected
 from tariffmart.plans.store import MartStore, latest_run, recent_runs
@@ -128,9 +129,45 @@ def test_a_run_that_dies_before_its_last_record_stays_invisible(spark, frames, m
     assert mart.table("fact_sales").count() == 1
 
 
-def test_facts_outside_the_staged_dates_are_not_compared(spark, frames):
-    facts = frames.sales((1, "2020-01-01", "A", 1, 1), (2, "2024-01-01", "A", 1, 1))
-    kept = dedup.within_staged_dates(facts, frames.staged_sales(("2024-01-01", "A", 1, 1)), "sale_date")
-    assert [r.sale_id for r in kept.collect()] == [2]
-    assert dedup.within_staged_dates(facts, frames.staged_sales(), "sale_date").count() == 0
-    assert n("1.00") == facts.first().net_sales
+def test_one_late_sale_adds_one_month_to_what_is_compared(spark, frames):
+    mart = MartStore(spark, scratch_path(spark, "months-test"))
+    days = [f"2023-{m:02d}-05" for m in range(1, 13)]
+    mart.refresh(frames.staging(sales=[(day, "A", 1, 1) for day in days]), frames.dims(), T0)
+    published = mart.snapshot()[1]
+    late = frames.staging(sales=[("2023-12-05", "A", 1, 1), ("2023-02-09", "A", 1, 1)])
+    met = mart._met_by(late, published)["fact_sales"]
+    assert sorted(r.sale_date.month for r in met.collect()) == [2, 12]
+    assert {f.split("month=")[1].split("/")[0] for f in met.inputFiles()} == {"2023-02", "2023-12"}
+    assert mart.refresh(late, frames.dims(), T1).rows_loaded == 1
+
+
+def test_one_late_price_leaves_other_months_alone(spark, frames):
+    mart = MartStore(spark, scratch_path(spark, "parts-test"))
+    prices = [(sku, 5, f"2023-{m:02d}-05", None) for sku in ("A", "B") for m in range(1, 13)]
+    mart.refresh(frames.staging(prices=prices), frames.dims(), T0)
+    before = {p[1]: p[0] for p in mart.snapshot()[1]["parts"]["fact_price_history"]}
+    whole = mart.table("fact_price_history").collect()
+    mart.refresh(frames.staging(prices=[("A", 7, "2023-06-20", None)]), frames.dims(), T1)
+    after = {p[1]: p[0] for p in mart.snapshot()[1]["parts"]["fact_price_history"]}
+    assert {m for m in after if after[m] != before.get(m)} == {"2023-06", "2023-07"}
+    got = mart.table("fact_price_history")
+    assert got.count() == len(whole) + 1
+    assert repair_ranges(got).exceptAll(got).count() == 0 and got.exceptAll(repair_ranges(got)).count() == 0
+
+
+def test_two_refreshes_from_one_state_read_no_row_twice(spark, frames, monkeypatch):
+    mart = MartStore(spark, scratch_path(spark, "conflict-test"))
+    staging = frames.staging(sales=[("2024-01-01", "A", 1, 1)], prices=[("A", 5, "2024-01-01", None)])
+    real, other = st.check_load, MartStore(spark, mart.root)
+
+    def meanwhile(new_rows, dims):
+        monkeypatch.setattr(st, "check_load", real)
+        other.refresh(staging, frames.dims(), T1)
+        return real(new_rows, dims)
+
+    monkeypatch.setattr(st, "check_load", meanwhile)
+    with pytest.raises(st.RefreshConflict):
+        mart.refresh(staging, frames.dims(), T0)
+    assert mart.table("fact_sales").count() == 1 and mart.table("fact_price_history").count() == 1
+    assert sorted((r.run_id, r.status) for r in mart.runs().collect()) == [(1, "FAILED"), (2, "SUCCESS")]
+    assert mart.published() == [2]
