@@ -7,7 +7,6 @@ partition is left. If its fullest window exceeds the capacity, the number of win
 
 from __future__ import annotations
 
-import gc
 import heapq
 import os
 import zlib
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.llm.common import annotated, argument, parts_for, written
-from tariffmart.llm.pieces import LONGEST_KEPT, ODD_SPACE, Bounded, byte_symbols, tokenizer_file, vocabulary, words
+from tariffmart.llm.pieces import LONGEST_KEPT, ODD_SPACE, Bounded, byte_symbols, no_collection, tokenizer_file, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
@@ -38,7 +37,7 @@ class Encoder:
     only Python counts as space) go to that library as they are.
     """
 
-    def __init__(self, name: str, kept: int = 1_000_000):
+    def __init__(self, name: str, kept: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
         from tokenizers import Tokenizer
@@ -110,12 +109,12 @@ def token_pieces(docs: DataFrame, vocabulary_name: str, end: int, capacity: int,
         return out
 
     def cut(texts: list[str | None]) -> list[list]:
-        gc.disable()  # nothing here makes cycles, and walks over the kept words cost more than the work
         made, tokens = [], []
-        for at in range(0, len(texts), 512):
-            for ids in encoder(vocabulary_name).texts(texts[at : at + 512]):
-                made.append(pieces(ids + last))
-                tokens.append(len(ids) // 4 + 1)
+        with no_collection():
+            for at in range(0, len(texts), 512):
+                for ids in encoder(vocabulary_name).texts(texts[at : at + 512]):
+                    made.append(pieces(ids + last))
+                    tokens.append(len(ids) // 4 + 1)
         return [made, tokens]
 
     schema = "piece array<struct<start: long, length: long, ids_crc32: long>>, doc_tokens long"

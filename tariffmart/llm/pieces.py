@@ -7,9 +7,12 @@ dictionaries of the Python worker, which are emptied when they reach a bound; th
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import regex
@@ -61,6 +64,21 @@ def words(chunk: str) -> list[str]:
     return [low] if low.isalpha() else WORDS.findall(low)
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without walks of the garbage collector, for work that makes no cycles beside large dictionaries of words.
+
+    Afterwards the collector runs as before: a worker lives on, and other tasks may leave cycles behind.
+    """
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Bounded(dict):
     """A dictionary of results by short key that starts afresh at a bound."""
 

@@ -7,7 +7,6 @@ away, so the count is the symbols at the start less the merges; no id is ever pu
 
 from __future__ import annotations
 
-import gc
 import heapq
 from functools import cache
 
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.llm.common import annotated, argument
-from tariffmart.llm.pieces import Bounded, byte_symbols, chunks, vocabulary, words
+from tariffmart.llm.pieces import Bounded, byte_symbols, chunks, no_collection, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -90,8 +89,8 @@ def token_counts(docs: DataFrame, vocabulary_name: str = VOCABULARY, limit: int
     """
 
     def counted(texts: list[str | None]) -> list[list[int]]:
-        gc.disable()  # nothing here makes cycles, and walks over the kept words cost more than the work
-        return [list(map(counter(vocabulary_name).text, texts))]
+        with no_collection():
+            return [list(map(counter(vocabulary_name).text, texts))]
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     out = annotated(argument(docs, "doc_id", "text"), ["text"], counted, "n_tokens long")
