@@ -1,6 +1,6 @@
 """Batch jobs on a mart folder, for spark-submit:
 
-    python -m tariffmart.jobs seed|inject-late|refresh|check|audit|history --mart FOLDER [--as-of yyyy-mm-dd]
+    python -m tariffmart.jobs seed|stage|inject-late|refresh|check|audit|history --mart FOLDER [--as-of yyyy-mm-dd]
 
 ``check`` ends with 2 if a critical quality check fails, ``audit`` if any section fails, ``refresh`` with 1 on error.
 The session comes from spark-submit; without one a local session is started.
@@ -23,7 +23,7 @@ from tariffmart.plans.refresh import STAGING
 from tariffmart.plans.store import MartStore, Refresh, recent_runs
 from tariffmart.session import written
 from tariffmart.sources import generators, inline
-from tariffmart.sources.tables import append_rows, as_table, empty_table, load_table, reload_staging
+from tariffmart.sources.tables import append_rows, as_table, empty_table, file_rows, load_table, malformed_rows, reload_staging, well_typed_rows
 
 DIMENSIONS = {
     "dim_product": (["sku"], ["product_name", "category", "brand", "is_active"]),
@@ -91,6 +91,15 @@ def seed(mart: Mart, as_of: dt.date, loaded_at: dt.datetime, sales: int = 10_000
         reload_staging(as_table(df, name), mart.path(name))
 
 
+def stage(mart: Mart, name: str, path: str, fmt: str, loaded_at: dt.datetime, **options: str) -> int:
+    """Reload a staging table from files; rows with a value of a wrong type are kept apart. Their number."""
+    rows = file_rows(mart.spark, path, name, fmt, **options)
+    malformed = f"{mart.root}/malformed/{name}"
+    reload_staging(malformed_rows(rows, name), malformed)
+    reload_staging(well_typed_rows(rows, name, loaded_at), mart.path(name))
+    return mart.spark.read.parquet(malformed).count()
+
+
 def inject_late(mart: Mart, as_of: dt.date, loaded_at: dt.datetime) -> None:
     """Append late prices and sales of five keys to staging."""
     prices, sales = generators.late_rows(generators.key_universe(mart.dims), as_of, loaded_at)
@@ -118,10 +127,13 @@ def audit_all(mart: Mart, as_of: dt.date) -> DataFrame:
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__.split("\n")[0])
-    parser.add_argument("job", choices=["seed", "inject-late", "refresh", "check", "audit", "history"])
+    parser.add_argument("job", choices=["seed", "stage", "inject-late", "refresh", "check", "audit", "history"])
     parser.add_argument("--mart", required=True, help="folder that all executors share")
     parser.add_argument("--as-of", type=as_date, default=dt.date.today())
     parser.add_argument("--sales", type=int, default=10_000, help="number of generated sales")
+    parser.add_argument("--table", choices=STAGING, help="staging table to reload from --files")
+    parser.add_argument("--files", help="folder or file to stage")
+    parser.add_argument("--format", default="csv")
     parser.add_argument("--idempotent", action="store_true", help="a reload of the same staging adds nothing")
     options = parser.parse_args(arguments)
 
@@ -130,6 +142,9 @@ def main(arguments: list[str] | None = None) -> int:
     mart = Mart(spark, options.mart)
     if options.job == "seed":
         seed(mart, options.as_of, now, options.sales)
+    elif options.job == "stage":
+        header = {"header": "true"} if options.format == "csv" else {}
+        print(f"malformed {stage(mart, options.table, options.files, options.format, now, **header)}")
     elif options.job == "inject-late":
         inject_late(mart, options.as_of, now)
     elif options.job == "refresh":

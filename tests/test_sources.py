@@ -7,8 +7,10 @@ from conftest import T0, d
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tariffmart import jobs
 from tariffmart.functions import expressions as X
 from tariffmart.operators.intervals import overlap_counts
+from tariffmart.operators.validate import type_violations
 from tariffmart.plans.audit import staging_profile
 from tariffmart.session import scratch_path
 from tariffmart.sources import generators, inline, tables
@@ -23,6 +25,25 @@ def test_csv_files_are_staged_with_their_name(spark, tmp_path):
     ]
 
 
+def test_rows_of_a_wrong_type_are_kept_apart(spark, tmp_path):
+    (tmp_path / "prices.csv").write_text(
+        "A,NE,ONLINE,5.00,USD,2024-01-01,,SYS\nB,NE,ONLINE,five,USD,not-a-date,,SYS\nC,NE,ONLINE,,USD,2024-01-01,,SYS\n"
+    )
+    rows = tables.file_rows(spark, str(tmp_path), "stg_price_history", fmt="csv")
+    bad = tables.malformed_rows(rows, "stg_price_history").collect()
+    assert [(r.source_file, r.columns, '"price":"five"' in r.raw) for r in bad] == [("prices.csv", ["price", "effective_start"], True)]
+    assert sorted(r.sku for r in tables.well_typed_rows(rows, "stg_price_history", T0).collect()) == ["A", "C"]
+    counts = {r.column_name: r.row_count for r in type_violations(rows, "stg_price_history").collect()}
+    assert counts == {"price": 1, "effective_start": 1, "effective_end": 0}
+
+
+def test_the_stage_job_reloads_a_table_and_counts_what_it_kept_apart(spark, tmp_path):
+    (tmp_path / "sales_2024_01_02.csv").write_text("2024-01-02,A,NE,ONLINE,3,12.50\n2024-13-02,A,NE,ONLINE,3,12.50\n")
+    mart = jobs.Mart(spark, scratch_path(spark, "staged"))
+    assert jobs.stage(mart, "stg_sales", str(tmp_path), "csv", T0) == 1
+    assert [(r.sku, r.source_file) for r in mart.staging["stg_sales"].collect()] == [("A", "sales_2024_01_02.csv")]
+
+
 def test_typed_scan_of_all_tables(spark):
     directory = scratch_path(spark, "typed")
     for name in tables.SCHEMAS:
