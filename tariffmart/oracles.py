@@ -511,8 +511,8 @@ _QUERIES: dict[str, str] = {
     "scan_tables": _counts({**{n: n for n in ["dim_product", "dim_region", "dim_channel"]}, **_STAGED, **_LOADED})
     + f" UNION ALL SELECT * FROM (VALUES ('dim_pricing_rule', CAST({len(seed_values.PRICING_RULES)} AS BIGINT)), ('etl_run_history', 1),"
     " ('fact_margin_impact', 0), ('price_override_audit', 0)) t(table_name, row_count)",
-    "stage_with_lineage": "SELECT source_file, '2001-08-01 00:00:00' AS loaded_at, CAST(count(*) AS BIGINT) AS row_count,"
-    " CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM stg_sales GROUP BY source_file",
+    "stage_with_lineage": "SELECT 'sales_' || strftime(sale_date, '%Y_%m') || '.csv' AS source_file, '2001-08-01 00:00:00' AS loaded_at,"
+    " CAST(count(*) AS BIGINT) AS row_count, CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM stg_sales GROUP BY 1",
     "contract_check": _contract_sql(),
     "dq_report_read": _report_rows(AS_OF, "2001-08-01T00:00:00"),
     "inline_rows": "SELECT s.discount_type, unit, CAST(count(*) AS BIGINT) AS row_count FROM stg_disc s JOIN (VALUES ('PERCENT', 'percent of price'),"

@@ -79,8 +79,13 @@ def scan_tables(w: Workspace) -> DataFrame:
 
 @query
 def stage_with_lineage(w: Workspace) -> DataFrame:
+    """The staged sales written as one text file for each month, and staged again from there."""
+    path = scratch_path(w.spark, "files")
+    rows = w.staging["stg_sales"].select(*[f.name for f in tables.business_fields("stg_sales")])
+    named = rows.withColumn("file", F.concat(F.lit("sales_"), F.date_format("sale_date", "yyyy_MM"), F.lit(".csv")))
+    named.repartition("file").write.partitionBy("file").csv(path)
     return (
-        w.staging["stg_sales"]
+        tables.stage_files(w.spark, path, "stg_sales", LOADED_AT, fmt="csv")
         .groupBy("source_file", "loaded_at")
         .agg(F.count("*").alias("row_count"), F.sum("net_sales").alias("net_sales"))
     )

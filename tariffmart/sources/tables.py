@@ -48,12 +48,15 @@ def business_fields(name: str) -> list[T.StructField]:
 
 
 def file_rows(spark: SparkSession, path: str, name: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """The source columns of files, with the file each row came from. Text formats are read as text, so that a
-    value of a wrong type is still there to be reported; Parquet carries its types."""
+    """The source columns of files, with the file each row came from; a folder with a file's name, as Spark writes
+    them, is that file. Text formats are read as text, so that a value of a wrong type is still there to be reported;
+    Parquet carries its types."""
     kind = (lambda f: f.dataType.simpleString()) if fmt == "parquet" else (lambda f: "string")
     fields = ", ".join(f"{f.name} {kind(f)}" for f in business_fields(name))
     raw = spark.read.format(fmt).options(**options).schema(fields).load(path)
-    return raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+    folder = F.nullif(F.regexp_extract("_metadata.file_path", r"([^/=]+\.(?:csv|json|orc|parquet|txt))/[^/]+$", 1), F.lit(""))
+    columns = [f.name for f in business_fields(name)]
+    return raw.select(*columns, F.coalesce(folder, F.col("_metadata.file_name")).alias("source_file"))
 
 
 def broken_type(field: T.StructField) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import T0, T1
 from pyspark.sql import functions as F
 
@@ -47,6 +48,23 @@ def test_life_of_a_mart(spark):
     assert {r.section: r.status for r in jobs.audit_all(mart, AS_OF).collect()}["OVERALL"] == "PASS"
 
 
+def test_a_dying_dimension_merge_leaves_the_old_version(spark, monkeypatch):
+    mart = jobs.Mart(spark, scratch_path(spark, "versions"))
+    source = spark.createDataFrame([("NE", "North")], "region_code string, region_name string")
+    jobs.merge_dimension(mart, "dim_region", source, T0)
+
+    def crash(df, path):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "append_rows", crash)
+        with pytest.raises(OSError):
+            jobs.merge_dimension(mart, "dim_region", source.withColumn("region_name", F.lit("Other")), T1)
+    assert [r.region_name for r in mart.dims["dim_region"].collect()] == ["North"]
+    jobs.merge_dimension(mart, "dim_region", source.withColumn("region_name", F.lit("Other")), T1)
+    assert [r.region_name for r in mart.dims["dim_region"].collect()] == ["Other"]
+
+
 def test_command_line(spark, capsys, monkeypatch):
     folder = scratch_path(spark, "command")
     run = lambda job, *more: jobs.main([job, "--mart", folder, "--as-of", "2025-03-19", *more])
