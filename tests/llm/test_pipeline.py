@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from test_similar import brute
+from llm.test_similar import brute
 
 from tariffmart.llm.common import written
 from tariffmart.llm.queries import ORACLES, QUERIES
