@@ -1,8 +1,9 @@
 """Main text of web pages by consensus of a host's pages.
 
-Every page votes for the containers that hold its prose, named by a path of tags and generalised classes. Spark adds up
-the votes of each host, and every page is then extracted along the paths that won on its host, so a page whose own
-layout misleads is read as its neighbours are.
+Every page votes for one container, the deepest that holds nearly all of its prose; containers are known by their path
+of tags and generalised classes. Spark adds up the votes of each host. A layout that recurs on its host keeps its own
+container, however rare it is, and what its neighbours take for text; a page whose layout is like no other's is read
+as its neighbours are.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import html as entities
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.llm.common import annotated, argument, map_frames, written
@@ -25,6 +27,8 @@ ASIDE = frozenset((*RAW, *"head title nav header footer aside form noscript temp
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 UNNAMED = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption tr td th tbody thead tfoot hr html".split())
+ARTICLE = ("article", "main")
+ROOT = 0
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 SIDE_NAME = re.compile(
@@ -42,13 +46,15 @@ def names(attributes: str) -> tuple[str, bool]:
     return re.sub(r"\d+", "", first), any(SIDE_NAME.search(v) for v in found.values())
 
 
-def blocks(page: str) -> list[tuple[str, str, int]]:
-    """(container path, text, characters inside links) of each block of prose, in page order.
+def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tuple[int, str, int]]:
+    """(container, text, characters inside links) of each block of prose, in page order.
 
-    Elements left open end with the page or with what must close them; broken markup at the end of a page is no text.
+    A container is a 64-bit hash of its path; ``tree`` is given the parent and the tag of each, parents first. Elements left
+    open end with the page or with what must close them; broken markup at the end of a page is no text.
     """
-    out: list[tuple[str, str, int]] = []
-    open_: list[tuple[str, str, bool]] = []  # tag, path of containers, beside the text
+    out: list[tuple[int, str, int]] = []
+    open_: list[tuple[str, int, bool]] = []  # tag, container, beside the text
+    tree = {} if tree is None else tree
     pieces: list[str] = []
     linked, in_link, at = 0, 0, 0
 
@@ -56,7 +62,7 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(pieces)).split())
         if text and not (open_ and open_[-1][2]):
-            out.append((open_[-1][1] if open_ else "", text, linked))
+            out.append((open_[-1][1] if open_ else ROOT, text, linked))
         pieces.clear()
         linked = 0
 
@@ -91,11 +97,12 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
             if tag == "li" and open_ and open_[-1][0] == "li":
                 open_.pop()
             name, beside = names(attributes)
-            path, outer = (open_[-1][1], open_[-1][2]) if open_ else ("", False)
+            inside, outer = (open_[-1][1], open_[-1][2]) if open_ else (ROOT, False)
             if tag not in UNNAMED:
-                path += f">{tag}.{name}" if name else f">{tag}"
+                parent, inside = inside, xxhash.xxh64_intdigest(f"{inside}>{tag}.{name}") - (1 << 63)
+                tree.setdefault(inside, (parent, tag))
             if not attributes.rstrip().endswith("/"):
-                open_.append((tag, path, outer or beside and tag != "body" or tag in ASIDE))
+                open_.append((tag, inside, outer or beside and tag != "body" or tag in ASIDE))
             if tag in RAW:
                 end = re.compile(rf"</{tag}\b", re.I).search(page, at)
                 at = end.start() if end else len(page)
@@ -109,55 +116,97 @@ def prose(text: str, linked: int) -> float:
     return max(0.0, len(text) - 3.0 * linked) * (1 + min(1.0, sum(map(text.count, ",.;:!?")) / 10))
 
 
-def ballots(page: str | None) -> dict[str, float]:
-    """The prose of each container path of a page as a share of the page's, so that long pages have no more say."""
-    scores: dict[str, float] = {}
-    for path, text, linked in blocks(page or ""):
-        scores[path] = scores.get(path, 0.0) + prose(text, linked)
-    total = sum(scores.values())
-    return {p: s / total for p, s in scores.items() if s > 0}
+def outwards(container: int, tree: dict[int, tuple[int, str]]) -> list[int]:
+    """A container and those around it, to the root."""
+    chain = [container]
+    while chain[-1] != ROOT:
+        chain.append(tree[chain[-1]][0])
+    return chain
 
 
-def within(path: str, winners: list[str]) -> bool:
-    return any(path == w or path.startswith(w + ">") for w in winners)
+def ballot(page: str | None, whole: float) -> tuple[list[int], list[int]]:
+    """The container a page votes for, in a list, and all containers that hold text of it.
 
-
-def extract(page: str | None, winners: list[str] | None) -> str:
-    """The blocks inside the winning paths; where a page has none, those of its own best container."""
-    found = blocks(page or "")
-    kept = [text for path, text, _ in found if within(path, winners or [])]
-    if not kept and found:
-        own = ballots(page)
-        best = [min(own, key=lambda p: (-own[p], p))] if own else []
-        kept = [text for path, text, _ in found if within(path, best)]
-    return "\n\n".join(kept)
-
-
-def main_text(pages: DataFrame, share: float = 0.25) -> DataFrame:
+    It is the deepest that holds ``whole`` of the prose, or the article or main element around that. Text right beside it
+    in a container other than the body, like a heading or a lead, belongs to it, so then the container around both is
+    taken. A page without prose has no vote.
+    """
+    tree: dict[int, tuple[int, str]] = {}
+    found = blocks(page or "", tree)
+    direct = {c for c, _, _ in found}
+    held = dict.fromkeys([ROOT, *tree], 0.0)
+    for container, text, linked in found:
+        held[container] += prose(text, linked)
+    some = set(direct)
+    for container in reversed(tree):
+        held[tree[container][0]] += held[container]
+        if container in some:
+            some.add(tree[container][0])
+    if not held[ROOT]:
+        return [], sorted(some)
+    within = {tree[c][0]: c for c in tree if held[c] >= whole * held[ROOT]}
+    best = ROOT
+    while best in within:
+        best = within[best]
+    chain = outwards(best, tree)
+    last = 0
+    for i, container in enumerate(chain):
+        tag = tree[container][1] if container != ROOT else ""
+        if tag in ARTICLE or (i and container in direct and tag not in ("", "body")):
+            last = i
+    return [chain[last]], sorted(some)
+
+
+def extract(page: str | None, chosen: list[int] | None, whole: float = 0.98) -> str:
+    """The blocks inside the chosen containers; without any, those of the container the page itself votes for."""
+    tree: dict[int, tuple[int, str]] = {}
+    found = blocks(page or "", tree)
+    chosen = chosen or ballot(page, whole)[0][:1]
+    inside = {ROOT: ROOT in chosen}
+    for container, (parent, _) in tree.items():
+        inside[container] = container in chosen or inside[parent]
+    return "\n\n".join(text for container, text, _ in found if inside[container])
+
+
+def main_text(pages: DataFrame, share: float = 0.25, whole: float = 0.98, backing: int = 2) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html).
 
-    A host's winning paths are those with at least ``share`` of the votes of its best one. Null or empty html gives an
-    empty text; a null or odd url belongs to the host ''. Repeated rows give repeated rows, and vote as often. Other
-    columns are ignored. Votes are added up before and after the shuffle, so a host with most of the pages is one short
-    list of paths; pages meet it in an equi join.
+    A page votes for the deepest container that holds ``whole`` of its prose (see :func:`ballot`). Containers with at least
+    ``backing`` votes of their host are those of its templates. A page is read along all of them that hold text of it and
+    have ``share`` of the votes of the page's own, so a rare template is judged by its own pages and not by the host's size.
+    If nobody shares a page's vote, ``share`` is of the votes of the best container that holds text of it, and if there
+    is none the page is read along its own. All blocks inside are kept but those beside the text.
+
+    Null or empty html gives an empty text; a null or odd url belongs to the host ''. Repeated rows give repeated rows, and
+    vote as often. Other columns are ignored. Pages with the same vote and containers are one layout, counted before and
+    after the shuffle; layouts meet the votes in equi joins on (host, container), pages meet their layout's choice in one on
+    (host, hash of html), so no list is longer than the containers of one page.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    named = argument(pages, "page_id", "url", "html").withColumn("host", host)
-
-    def votes(frame: pd.DataFrame) -> pd.DataFrame:
-        cast = [(h, p, s) for h, page in zip(frame["host"], frame["html"], strict=True) for p, s in ballots(page).items()]
-        return pd.DataFrame(cast, columns=["host", "path", "votes"]).groupby(["host", "path"], as_index=False).sum()
-
-    counted = map_frames(named.select("host", "html"), votes, "host string, path string, votes double")
-    totals = counted.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    top = F.max("votes").over(Window.partitionBy("host"))
-    won = totals.withColumn("top", top).where(F.col("votes") >= share * F.col("top"))
-    winners = written(won.groupBy("host").agg(F.collect_list("path").alias("winners")), "paths")
-
-    def extracted(pages: list[str | None], paths: list[list[str] | None]) -> list[list]:
-        texts = [extract(p, w) for p, w in zip(pages, paths, strict=True)]
+    named = argument(pages, "page_id", "url", "html").withColumn("host", host).withColumn("mark", F.xxhash64("html", F.length("html")))
+
+    def ballots(frame: pd.DataFrame) -> pd.DataFrame:
+        cast = [ballot(page, whole) for page in frame["html"]]
+        layouts = [xxhash.xxh64_intdigest(repr(c)) - (1 << 63) for c in cast]
+        return pd.DataFrame({"host": frame["host"], "mark": frame["mark"], "layout": layouts, "vote": [c[0] for c in cast], "holding": [c[1] for c in cast]})
+
+    seen = map_frames(named.select("host", "mark", "html"), ballots, "host string, mark long, layout long, vote array<long>, holding array<long>")
+    seen = written(seen, "ballots")
+    layouts = seen.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("pages"), F.first("vote").alias("vote"), F.first("holding").alias("holding"))
+    layouts = written(layouts, "layouts")
+    votes = layouts.where(F.size("vote") > 0).groupBy("host", F.get("vote", F.lit(0)).alias("container")).agg(F.sum("pages").alias("votes"))
+    votes = written(votes.where(F.col("votes") >= backing), "votes")
+
+    met = layouts.select("host", "layout", F.get("vote", F.lit(0)).alias("own"), F.explode("holding").alias("container")).join(votes, ["host", "container"])
+    least = share * F.coalesce(F.max(F.when(F.col("container") == F.col("own"), F.col("votes"))), F.max("votes"))
+    met = met.groupBy("host", "layout").agg(least.alias("least"), F.collect_list(F.struct("container", "votes")).alias("met"))
+    chosen = met.select("host", "layout", F.expr("transform(filter(met, m -> m.votes >= least), m -> m.container)").alias("chosen"))
+    by_page = written(seen.groupBy("host", "mark").agg(F.first("layout").alias("layout")).join(chosen, ["host", "layout"]).select("host", "mark", "chosen"), "chosen")
+
+    def extracted(pages: list[str | None], choices: list[list[int] | None]) -> list[list]:
+        texts = [extract(p, c, whole) for p, c in zip(pages, choices, strict=True)]
         return [texts, [len(t) for t in texts]]
 
-    joined = named.join(winners, "host", "left").select("page_id", "url", "html", "winners")
-    out = annotated(joined, ["html", "winners"], extracted, "text string, n_chars long")
+    joined = named.join(by_page, ["host", "mark"], "left").select("page_id", "url", "html", "chosen")
+    out = annotated(joined, ["html", "chosen"], extracted, "text string, n_chars long")
     return out.select("page_id", "url", "text", "n_chars")

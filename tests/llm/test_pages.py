@@ -56,3 +56,27 @@ def test_given_pages_hold_the_article(spark):
         article = re.search(r"<article>(.*?)(?:</article>|$)", html[r["page_id"]], re.S)[1]
         want = " ".join(entities.unescape(re.sub(r"</?[a-z][^>]*>", " ", article)).split())
         assert " ".join(r["text"].split()) == want
+
+
+def test_siblings_and_heading_of_the_article_stay(pages):
+    part = lambda n, tag: f"<{tag}><p>" + f"Words of part {n}, and more. " * n + f"</p></{tag.split()[0]}>"
+    many = lambda outer: f"<body><{outer}>" + "".join(part(n, f"section class={c}") for n, c in ((3, "intro"), (40, "body"), (2, "end"))) + f"</{outer.split()[0]}></body>"
+    led = lambda outer: f"<body><{outer}><h1>Heading</h1><p>A lead.</p>" + part(90, "div class=body") + f"</{outer.split()[0]}></body>"
+    forms = [f(o) for f in (many, led) for o in ("article", "div class=post")]
+    rows = [(10 * k + i, f"http://h{k}.example/{i}", form) for k, form in enumerate(forms) for i in range(3)]
+    for r in main_text(pages(*rows)).collect():
+        text = r["text"]
+        assert all(f"part {n}" in text for n in (3, 40, 2)) if r["page_id"] < 20 else text.startswith("Heading\n\nA lead.\n\nWords of part 90")
+
+
+def test_a_rarer_template_keeps_its_text(pages):
+    usual = "<body><div class=content><p>" + "The usual text, at length. " * 20 + "</p></div></body>"
+    rarer = "<body><div class=content><p>A summary.</p></div><div class=story><p>" + "The story of it, at length. " * 20 + "</p></div></body>"
+    rows = [(i, f"http://h.example/{i}", rarer if i < 3 else usual) for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in main_text(pages(*rows)).collect()}
+    assert all(("The story" in t and "A summary." in t) if i < 3 else t.startswith("The usual") for i, t in got.items())
+
+
+def test_pages_without_prose_have_no_vote(pages):
+    rows = [(i, "http://l.example", "<div><a href=x>only a link</a></div>") for i in range(3)]
+    assert [r["text"] for r in main_text(pages(*rows)).collect()] == [""] * 3
