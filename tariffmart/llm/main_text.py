@@ -23,7 +23,9 @@ MARKUP = re.compile(
 )
 #: What is not prose whatever it holds; the first three end only at their own end tag.
 RAW = ("script", "style", "textarea")
-ASIDE = frozenset((*RAW, *"head title nav header footer aside form noscript template iframe select button svg object menu dialog".split()))
+NEVER = frozenset((*RAW, "title"))
+#: What stands beside the text unless it holds most of the page's prose.
+ASIDE = frozenset("head nav header footer aside form noscript template iframe select button svg object menu dialog".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 UNNAMED = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption tr td th tbody thead tfoot hr html".split())
@@ -31,29 +33,54 @@ ARTICLE = ("article", "main")
 ROOT = 0
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-SIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|captcha|comments?|consent|cookies?|disclaimer|disqus|footer|gdpr|header|login|masthead|menu"
-    r"|modal|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*"
-    r"|subscribe|tags|teaser|toolbar|widget)(?:$|[\s_-])",
-    re.I,
+SIDE_PART = re.compile(
+    r"ads?|advert\w*|banner|breadcrumbs?|captcha|comments?|consent|cookies?|disclaimer|disqus|footer|gdpr|header|login|masthead|menu"
+    r"|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social"
+    r"|sponsor\w*|subscribe|tags|teaser|toolbar|widget"
 )
+#: Before the name of a side part, these say what an element has, lacks or is about; after it, in what state something else is.
+MODIFIERS = frozenset("has no not non with without is in under hide show category cat tag tagged topic type format status".split())
+STATES = frozenset("open opened closed on off enabled disabled allowed active visible hidden collapsed expanded true false".split())
+#: Readers' own words can be longer than the text they are about.
+REPLIES = re.compile(r"comments?|disqus|replies|respond")
 
 
-def names(attributes: str) -> tuple[str, bool]:
-    """The generalised class of an element, and whether its class, id or role names something beside the text."""
+def side_parts(value: str) -> list[str]:
+    """The parts of class, id or role tokens by which an element stands beside the text: sidebar, site-header, ad-box.
+
+    Tokens that tell what a wrapper has, lacks or is about (has-sidebar, no-comments, category-social, menu-open) do not count.
+    """
+    named = []
+    for token in value.lower().split():
+        parts = re.split(r"[-_]+", token)
+        if parts[-1] in STATES:
+            continue
+        for part in parts:
+            if part in MODIFIERS:
+                break
+            if SIDE_PART.fullmatch(part):
+                named.append(part)
+    return named
+
+
+def names(attributes: str) -> tuple[str, list[str]]:
+    """The generalised class of an element, and what in its class, id or role names something beside the text."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in NAMED.finditer(attributes)}
     first = (found.get("class", "").lower().split() or [""])[0]
-    return re.sub(r"\d+", "", first), any(SIDE_NAME.search(v) for v in found.values())
+    return re.sub(r"\d+", "", first), [part for v in found.values() for part in side_parts(v)]
 
 
 def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tuple[int, str, int]]:
     """(container, text, characters inside links) of each block of prose, in page order.
 
     A container is a 64-bit hash of its path; ``tree`` is given the parent and the tag of each, parents first. Elements left
-    open end with the page or with what must close them; broken markup at the end of a page is no text.
+    open end with the page or with what must close them, an open nav or header also with an article or main; broken markup
+    at the end of a page is no text. Elements beside the text are left out as :func:`dropped` says.
     """
-    out: list[tuple[int, str, int]] = []
-    open_: list[tuple[str, int, bool]] = []  # tag, container, beside the text
+    out: list[tuple[int, str, int, int]] = []
+    open_: list[tuple[str, int, int]] = []  # tag, container, number of the innermost element beside the text or 0
+    sides: list[tuple[int, str]] = [(0, "")]  # the element beside the text around each, and its kind
+    in_article: set[int] = set()
     tree = {} if tree is None else tree
     pieces: list[str] = []
     linked, in_link, at = 0, 0, 0
@@ -61,14 +88,14 @@ def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tu
     def flush() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(pieces)).split())
-        if text and not (open_ and open_[-1][2]):
-            out.append((open_[-1][1] if open_ else ROOT, text, linked))
+        if text:
+            out.append((*(open_[-1][1:] if open_ else (ROOT, 0)), text, linked))
         pieces.clear()
         linked = 0
 
     def text_until(end: int) -> None:
         nonlocal linked
-        if end > at and not (open_ and open_[-1][2]):
+        if end > at and not (open_ and sides[open_[-1][2]][1] == "never"):
             pieces.append(page[at:end])
             linked += (end - at) * bool(in_link)
 
@@ -96,19 +123,50 @@ def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tu
                 open_.pop()
             if tag == "li" and open_ and open_[-1][0] == "li":
                 open_.pop()
-            name, beside = names(attributes)
-            inside, outer = (open_[-1][1], open_[-1][2]) if open_ else (ROOT, False)
+            if tag in ARTICLE:
+                depth = next((i for i, o in enumerate(open_) if o[0] in ("nav", "header")), len(open_))
+                in_link *= depth == len(open_)
+                del open_[depth:]
+            name, parts = names(attributes)
+            inside, side = open_[-1][1:] if open_ else (ROOT, 0)
             if tag not in UNNAMED:
                 parent, inside = inside, xxhash.xxh64_intdigest(f"{inside}>{tag}.{name}") - (1 << 63)
                 tree.setdefault(inside, (parent, tag))
+                if tag in ARTICLE or parent in in_article:
+                    in_article.add(inside)
             if not attributes.rstrip().endswith("/"):
-                open_.append((tag, inside, outer or beside and tag != "body" or tag in ASIDE))
+                if tag in NEVER or tag in ASIDE or parts and tag not in ("html", "body", *ARTICLE):
+                    replies = parts and all(map(REPLIES.fullmatch, parts)) and tag not in ASIDE
+                    sides.append((side, "never" if tag in NEVER else "replies" if replies else "side"))
+                    side = len(sides) - 1
+                open_.append((tag, inside, side))
             if tag in RAW:
                 end = re.compile(rf"</{tag}\b", re.I).search(page, at)
                 at = end.start() if end else len(page)
     text_until(len(page))
     flush()
-    return out
+    gone = dropped([(side, prose(text, n), c in in_article) for c, side, text, n in out], sides)
+    return [(c, text, n) for c, side, text, n in out if not gone[side]]
+
+
+def dropped(spoken: list[tuple[int, float, bool]], sides: list[tuple[int, str]]) -> list[bool]:
+    """Of each element beside the text, whether it is left out, from (element, prose, in an article or main) of all blocks.
+
+    On a page whose article or main holds prose outside such elements, all are. Else those that hold most of the page's prose
+    stay, as wrappers or as elements that were never closed; readers' comments stay only if nothing else holds prose.
+    """
+    if any(p and article and not side for side, p, article in spoken):
+        return [False, *[True] * (len(sides) - 1)]
+    held = [0.0] * len(sides)
+    for side, p, _ in spoken:
+        held[side] += p
+    for i in range(len(sides) - 1, 0, -1):
+        held[sides[i][0]] += held[i]
+    gone = [False]
+    for i, (outer, kind) in enumerate(sides[1:], 1):
+        spared = kind == "side" and 2 * held[i] > held[0] or kind == "replies" and 0 < held[0] == held[i]
+        gone.append(gone[outer] or not spared)
+    return gone
 
 
 def prose(text: str, linked: int) -> float:

@@ -80,3 +80,25 @@ def test_a_rarer_template_keeps_its_text(pages):
 def test_pages_without_prose_have_no_vote(pages):
     rows = [(i, "http://l.example", "<div><a href=x>only a link</a></div>") for i in range(3)]
     assert [r["text"] for r in main_text(pages(*rows)).collect()] == [""] * 3
+
+
+BODY = "<p>" + "Words of the article, at length. " * 20 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "opened",
+    ["<div class='site-content has-sidebar'>", "<div class='content no-sidebar'>", "<div class='main no-comments'>", "<div class='post-12 type-post category-social'>"]
+    + ["<article class='tags teaser'>", "<main id=search>", "<form id=aspnet>", "<div class=sidebar>", "<div class='post comments-open'>", "<head><title>T</title><body>"]
+    + ["<nav><a href=/x>Home</a><article>", "<header><div>Site</div><main>", "<nav><a href=/x>Home</a><div class=text>", "<form><div class=text>"],
+)
+def test_wrappers_and_unclosed_elements_keep_the_article(pages, opened):
+    beside = "<div class=sidebar><p>Side.</p></div><div id=site-header>Site.</div><div class='ad-box'>Buy.</div>"
+    got = main_text(pages((1, "http://h.example/a", f"<html>{opened}{beside}{BODY}</div></html>"))).first()["text"]
+    assert "Words of the article" in got and not any(w in got for w in ("Side.", "Site.", "Buy."))
+
+
+def test_long_comments_and_short_articles():
+    talk = "<p>" + "A reader says much, and more. " * 30 + "</p>"
+    assert extract(f"<div class=post><p>Short text, but the text.</p></div><div class=comments>{talk}</div>", None) == "Short text, but the text."
+    assert extract(f"<article><p>Short.</p></article><div class=ad>{talk}</div><ol class=comment-list><li><article>{talk}</article></ol>", None) == "Short."
+    assert extract(f"<div class=comments>{talk}</div>", None) == talk[3:-5]
