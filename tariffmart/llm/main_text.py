@@ -45,6 +45,11 @@ STATES = frozenset("open opened closed on off enabled disabled allowed active vi
 REPLIES = re.compile(r"comments?|disqus|replies|respond")
 
 
+#: Parts of class names that style generators make of hashes: letters after digits, or no vowel; and what they put before.
+MADE = re.compile(r"(?=\w{4})\w*\d[a-z]\w*|[b-df-hj-np-tv-xz]{5,}")
+MAKERS = frozenset("css sc jss jsx emotion svelte makestyles".split())
+
+
 def side_parts(value: str) -> list[str]:
     """The parts of class, id or role tokens by which an element stands beside the text: sidebar, site-header, ad-box.
 
@@ -63,11 +68,21 @@ def side_parts(value: str) -> list[str]:
     return named
 
 
+def general(token: str) -> str:
+    """A class without what differs from page to page: numbers, and all from the first part made by a style generator."""
+    kept = []
+    for part in re.split(r"[-_]+", token):
+        if MADE.fullmatch(part) or kept and kept[-1] in MAKERS:
+            break
+        kept.append(re.sub(r"\d+", "", part))
+    return "" if kept and kept[-1] in MAKERS else "-".join(kept)
+
+
 def names(attributes: str) -> tuple[str, list[str]]:
     """The generalised class of an element, and what in its class, id or role names something beside the text."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in NAMED.finditer(attributes)}
     first = (found.get("class", "").lower().split() or [""])[0]
-    return re.sub(r"\d+", "", first), [part for v in found.values() for part in side_parts(v)]
+    return general(first), [part for v in found.values() for part in side_parts(v)]
 
 
 def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tuple[int, str, int]]:

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tariffmart.llm.main_text import blocks, extract, main_text
+from tariffmart.llm.main_text import blocks, extract, general, main_text
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +102,12 @@ def test_long_comments_and_short_articles():
     assert extract(f"<div class=post><p>Short text, but the text.</p></div><div class=comments>{talk}</div>", None) == "Short text, but the text."
     assert extract(f"<article><p>Short.</p></article><div class=ad>{talk}</div><ol class=comment-list><li><article>{talk}</article></ol>", None) == "Short."
     assert extract(f"<div class=comments>{talk}</div>", None) == talk[3:-5]
+
+
+def test_made_class_names_are_one_container(pages):
+    assert [general(t) for t in ("css-1ab9x", "sc-bdvaja", "css-kqe", "post__3xyz", "body-1", "h2", "content", "jsx-28712", "xkqzw")] == ["", "", "", "post", "body-", "h", "content", "", ""]
+    made = lambda i: f"css-{'abcdefghij'[i]}{i}x{'qrstuvwxyz'[-i]}"
+    page = lambda i, more="": f"<body><div class={made(i)}><section class=text><p>The text of it, at length.</p></section></div>{more}</body>"
+    odd = "<div class=links><p>" + "long text about other things, and others. " * 30 + "</p></div>"
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(9)] + [(9, "http://h.example/9", page(9, odd))]
+    assert {r["text"] for r in main_text(pages(*rows)).collect()} == {"The text of it, at length."}
