@@ -188,11 +188,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     Shingles, sets and nodes are known by 64-bit hashes; two different ones agree by chance about once in 10**19 pairs.
     """
-    slim = argument(docs, "doc_id", "text")
+    out = with_components(argument(docs, "doc_id", "text"), words, percent, tile_rows)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -> DataFrame:
+    """(doc_id, mark, n, node, component, first) of every row of ``slim`` (doc_id, text), ``mark`` a hash of the text.
+
+    ``first`` is the (doc_id, mark) of the row that stands for the component, of the smallest id, null ids last; null like
+    ``component`` where there are no shingles.
+    """
+    slim = slim.withColumn("mark", F.xxhash64("text"))
     marked = written(shingle_facts(slim, words), "shingles")
-    rows = marked.where("hot is null").select("doc_id", "n", "node")
-    signed = marked.where("hot is null and n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"))
-    signed = written(signed, "signatures")
+    rows = marked.where("hot is null").select("doc_id", "mark", "n", "node")
+    signed = marked.where("hot is null and n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("at"))
+    signed = written(signed.select("node", "n", "bits", "at.doc_id", "at.mark"), "signatures")
     total = signed.count()
     hot = marked.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times"))
     # bounded by the limit; the rest keeps its place in the order
@@ -209,12 +219,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         links = links.union(written(rest_links(big, links, signed, slim, words, percent, tile_rows), "rest-links"))
 
     linked = components(links)
-    own = signed.select("node", "doc_id")
-    named = linked.join(own, "node").groupBy("root").agg(F.min("doc_id").alias("component"))
-    of_node = own.join(linked, "node", "left").join(named, "root", "left")
-    of_node = of_node.select("node", F.coalesce("component", "doc_id").alias("component"))
-    out = rows.join(of_node, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    own = signed.select("node", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark").alias("at"))
+    named = linked.join(own, "node").groupBy("root").agg(F.min("at").alias("best"))
+    of_node = own.join(linked, "node", "left").join(named, "root", "left").withColumn("best", F.coalesce("best", "at"))
+    of_node = of_node.select("node", F.col("best.doc_id").alias("component"), F.struct("best.doc_id", "best.mark").alias("first"))
+    return rows.join(of_node, "node", "left").select("doc_id", "mark", "n", "node", "component", "first")
 
 
 def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
@@ -224,8 +233,8 @@ def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
     is that frequent overall is reported by some task, and each stretch reports a bounded number.
     """
 
-    names = ("doc_id", "n", "node", "bits", "hot", "times")
-    types = dict(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True))
+    names = ("doc_id", "mark", "n", "node", "bits", "hot", "times")
+    types = dict(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True))
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, stretch, seen, held = Shingler(words), [], set(), 0
@@ -253,10 +262,10 @@ def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
                 if held >= 2_000_000:
                     yield frequent()
                     stretch, seen, held = [], set(), 0
-            yield typed(doc_id=batch.column("doc_id"), n=sizes, node=nodes, bits=bits)
+            yield typed(doc_id=batch.column("doc_id"), mark=batch.column("mark"), n=sizes, node=nodes, bits=bits)
         yield frequent()
 
-    return docs.mapInArrow(facts, "doc_id long, n long, node long, bits binary, hot long, times long")
+    return docs.mapInArrow(facts, "doc_id long, mark long, n long, node long, bits binary, hot long, times long")
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
@@ -333,15 +342,17 @@ def tile_links(tiles: DataFrame, signed: DataFrame, docs: DataFrame, words: int,
 
     near = by_tile(tiles.join(signed.select("node", "n", "bits"), "node"), possible, listed, "tile long, node long").distinct()
     near = written(near, "near")
-    wanted = near.select("node").distinct().join(signed.select("node", "doc_id"), "node")
+    wanted = near.select("node").distinct().join(signed.select("node", "doc_id", "mark"), "node")
 
     def sets(frame: pd.DataFrame) -> pd.DataFrame:
         shingler = Shingler(words)
         found = [shingler.set(t) for t in frame["text"]]
         out = pd.DataFrame({"node": [digest(f) for f in found], "set": [f.tobytes() for f in found]})
-        return out[out["node"].to_numpy() == frame["node"].to_numpy()]  # a repeated id may have another text
+        return out[out["node"].to_numpy() == frame["node"].to_numpy()]  # two texts may agree in hash
 
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
+    # by id and text, so rows without an id or with a repeated one meet the node of their own text alone
+    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"])
+    texts = docs.join(wanted, same).select("node", "text")
     stored = map_frames(texts, sets, "node long, set binary").dropDuplicates(["node"])
 
     def similar(part: pd.DataFrame) -> list[np.ndarray]:
@@ -388,16 +399,26 @@ def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, docs: DataFr
     return tile_links(tiles, signed, docs, words, percent)
 
 
-def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their component, with all their columns.
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile_rows: int = 256) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: of the smallest id, null ids last.
 
-    A row repeated whole stays once; rows without an id cannot be told apart by it and all stay.
+    Rows are told apart by id and text, so a repeated id with another text is judged by that text. Rows of equal id and text
+    stay once, chosen by a hash of all columns. Rows without shingles have no links, so only those repeated whole go.
     """
-    found = written(jaccard_components(docs, **settings).select("doc_id", "component_id"), "components")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    found = written(with_components(argument(docs, "doc_id", "text"), words, percent, tile_rows).select("doc_id", "mark", "n", "first"), "components")
+    stands = F.col("first").isNull() | F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    gone = found.where(~stands).select("doc_id", "mark").distinct()
+    every = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"], F.xxhash64(docs["text"]).alias("mark"), F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns]).alias("hash")
+    )
+
+    def met(keys: DataFrame):
+        return every["doc_id"].eqNullSafe(keys["doc_id"]) & (every["mark"] == keys["mark"])
+
+    kept = every.join(gone, met(gone), "left_anti")
+    twice = found.where(stands).groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n")).where("times > 1")
     if twice.isEmpty():
-        return kept
-    once = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates()
-    return kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti").union(once)
+        return kept.select("row.*")
+    copies = kept.join(twice, met(twice)).select("row", every["doc_id"], every["mark"], "hash", F.when(F.col("n") == 0, F.col("hash")).alias("whole"))
+    once = copies.groupBy("doc_id", "mark", "whole").agg(F.min_by("row", "hash").alias("row"))
+    return kept.join(twice, met(twice), "left_anti").select("row.*").union(once.select("row.*"))

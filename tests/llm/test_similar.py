@@ -9,6 +9,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tariffmart.llm import similar
 from tariffmart.llm.linking import components
 from tariffmart.llm.similar import Shingler, bitmap, bounded_groups, exact_groups, jaccard_components, needed, one_of_each, rest_links, width
 
@@ -120,3 +121,21 @@ def test_components_of_chains_and_hubs(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain + hub + [(5, 5)], "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {1000 + i: 3 for i in range(200)} | {7: 3, 3: 3}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == [] and rest_links
+
+
+def test_repeated_and_null_ids_keep_one_of_each_text(docs):
+    rows = [(1, "a b c d e f"), (5, "a b c d e f"), (5, "another text that stands alone"), (7, "another text of two rows"), (7, "another text of two rows", "en"), (None, "a b c d e f")]
+    rows += [(None, "no id at all here"), (None, "no id at all here"), (None, "one more without an id"), (8, ""), (8, "", "en"), (9, None), (9, None), (None, ""), (None, "", "en")]
+    got = sorted(((r["doc_id"], r["text"]) for r in one_of_each(docs(*rows)).collect()), key=repr)
+    want = [(1, "a b c d e f"), (5, "another text that stands alone"), (7, "another text of two rows"), (None, "no id at all here"), (None, "one more without an id")]
+    assert got == sorted([*want, (8, ""), (8, ""), (9, None), (None, ""), (None, "")], key=repr)
+
+
+def test_rows_without_id_are_linked_by_their_own_texts(docs, monkeypatch):
+    seen = []
+    inner = similar.map_frames
+    monkeypatch.setattr(similar, "map_frames", lambda df, f, schema: seen.append(df.count()) or inner(df, f, schema))
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(30)]
+    rows = [(None, t + end) for t in texts for end in ("", " more")]
+    assert len(one_of_each(docs(*rows)).collect()) == 30
+    assert seen and max(seen) <= len(rows)
