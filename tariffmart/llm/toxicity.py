@@ -70,12 +70,20 @@ class Model:
 
 
 def logistic(
-    rows: list[tuple[list[int], int]], pairs: list[tuple[list[int], list[int]]], size: int, fairness: float, ridge: float = 2e-5, steps: int = 1500
+    rows: list[tuple[list[int], int]],
+    pairs: list[tuple[list[int], list[int]]],
+    size: int,
+    fairness: float,
+    ridge: float = 2e-5,
+    steps: int = 1500,
+    times: list[int] | None = None,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model over rows of feature numbers.
 
-    The loss adds ``fairness`` times the mean squared difference of the logits of a sentence and its swapped form.
+    The loss adds ``fairness`` times the mean squared difference of the logits of a sentence and its swapped form; ``times``
+    tells how many pairs each of ``pairs`` stands for.
     """
+    often = np.array([1] * len(pairs) if times is None else times, float)
     labels = np.array([y for _, y in rows], float)
     row, col = (np.concatenate([np.asarray(x, np.int64) for x in z] or [np.zeros(0, np.int64)]) for z in ([[i] * len(f) for i, (f, _) in enumerate(rows)], [f for f, _ in rows]))
     signed = [(i, f, s) for i, (a, b) in enumerate(pairs) for s, part in ((1.0, a), (-1.0, b)) for f in part]
@@ -89,7 +97,7 @@ def logistic(
         grad = np.bincount(col, error[row], size) + ridge * w
         if len(pair):
             change = np.bincount(pair, sign * w[pair_col], len(pairs))
-            grad += 2 * fairness / len(pairs) * np.bincount(pair_col, sign * change[pair], size)
+            grad += 2 * fairness / often.sum() * np.bincount(pair_col, sign * (often * change)[pair], size)
         grad = np.append(grad, error.sum())
         first += 0.1 * (grad - first)
         second += 0.01 * (grad**2 - second)
@@ -111,6 +119,8 @@ def fit_toxicity(
     """A model learnt from labelled rows outside the held-out fold: about ``most_rows`` of them, chosen by a hash.
 
     ``labels`` has doc_id and toxic; null labels are left out, and of several labels of an id the largest counts.
+    All distinct pairs of a sentence and a swapped form of the sample count; the driver gets one row for each difference
+    that a swap makes, as few as there are names and words that share their beginnings.
     Features are those that toxic rows of the sample hold clearly more often, and the names in ``terms``. Without
     labelled rows the model gives 0.5 everywhere; with one class alone, that class's share nearly.
     """
@@ -167,11 +177,14 @@ def fit_toxicity(
     rows, pairs = [], []
     for r in made.where("label is not null").groupBy("own", "label").count().collect():
         rows += [(list(r["own"]), r["label"])] * r["count"]
-    for r in made.where("label is null").select("own", "other").distinct().limit(10 * most_rows).collect():
-        pairs.append((list(r["own"]), list(r["other"])))
+    # a pair's loss depends only on the features that a swap takes away and brings, so pairs that differ alike are counted
+    away, brought = F.array_except("own", "other"), F.array_except("other", "own")
+    distinct = made.where("label is null").select("own", "other").distinct()
+    for r in distinct.groupBy(away.alias("away"), brought.alias("brought")).count().collect():
+        pairs.append((sorted(r["away"]), sorted(r["brought"]), r["count"]))
     rows.sort()
     pairs.sort()
-    w, bias = logistic(rows, pairs, len(number), fairness)
+    w, bias = logistic(rows, [p[:2] for p in pairs], len(number), fairness, times=[p[2] for p in pairs])
     return Model({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9}, float(bias))
 
 

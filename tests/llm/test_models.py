@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tariffmart.llm import toxicity
 from tariffmart.llm.common import crc_fold
 from tariffmart.llm.language import WINDOW, Network, language_model, predict_language, with_known_language
 from tariffmart.llm.toxicity import fit_toxicity, logistic, score_toxicity, without_toxic
@@ -117,3 +118,23 @@ def test_language_edges(docs):
     assert language_model(docs((1, "abc", None))) is None
     assert [tuple(r)[2:] for r in predict_language(docs((1, "abc")), None).collect()] == [("und", 0.0)]
     assert predict_language(docs(), network).collect() == []
+
+
+def test_all_counterfactual_pairs_count(spark, docs, monkeypatch):
+    words, rows, marks = [a * 3 for a in "abcdefgh"], [], []
+    for i in range(12):
+        subsets = ([w for b, w in enumerate(words) if m >> b & 1] for m in range(1, 256))
+        rows.append((i, ". ".join(" ".join([*s, "black"]) for s in subsets) + "." if i % 2 else f"Good day {i}."))
+        marks.append((i, 0, i % 2))
+    calls, fit = [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda rows, pairs, *a, **k: calls.append((pairs, k.get("times") or [1] * len(pairs))) or fit(rows, pairs, *a, **k))
+    fit_toxicity(docs(*rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), most_rows=20)
+    (pairs, times), = calls
+    assert sum(times) == 255 * 7 and len(pairs) == 7
+
+
+def test_counted_pairs_give_the_model_of_all_pairs():
+    rows, pairs = [([0, 2], 1), ([1], 0), ([1, 2], 1), ([3], 0)] * 5, [([0, 2], [1, 2]), ([0, 3], [1, 3]), ([0], [1])]
+    whole, bias = toxicity.logistic(rows, pairs, 4, 10.0, steps=20)
+    counted, same = toxicity.logistic(rows, [([0], [1])], 4, 10.0, steps=20, times=[3])
+    assert np.allclose(whole, counted, atol=1e-6) and abs(bias - same) < 1e-6
