@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -16,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tariffmart.session import written
 
-__all__ = ["annotated", "argument", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
+__all__ = ["annotated", "argument", "by_bytes", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
 
 
 SHIPPED: set[str] = set()
@@ -84,6 +86,18 @@ def annotated(df: DataFrame, inputs: list[str], per_rows: Callable[..., list[lis
     return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)], *added.names)
 
 
+def by_bytes(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut, in order, so that the values of ``column`` in one take about ``most`` bytes; a longer value is alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        until = np.cumsum(sizes + 64)  # a row without text takes room as well
+        at = 0
+        while at < len(sizes):
+            end = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """How many parts of about ``per_part`` rows ``rows`` make, at least one."""
     return max(1, -(-rows // per_part))

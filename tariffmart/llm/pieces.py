@@ -11,7 +11,7 @@ import gc
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
 
@@ -96,3 +96,29 @@ class Bounded(dict):
     def shrink(self) -> None:
         if len(self) >= self.most:
             self.clear()
+
+
+class Recent:
+    """Results by short key, kept in two generations of at most ``most`` entries each.
+
+    When the young generation is full it becomes the old one, and the old one goes. A key found in the old one moves to
+    the young one, so what is asked for often stays. Forgetting changes the time, not the result.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def all(self, keys: list, make: Callable[[list], list]) -> list:
+        """The result of each of the different ``keys``; those not kept are made in one call."""
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        found = list(map(self.young.get, keys))
+        away = [i for i, value in enumerate(found) if value is None]
+        if away:
+            for i in away:
+                found[i] = self.old.get(keys[i])
+            new = [i for i in away if found[i] is None]
+            for i, value in zip(new, make([keys[i] for i in new]), strict=True):
+                found[i] = value
+            self.young.update((keys[i], found[i]) for i in away if len(keys[i]) <= LONGEST_KEPT)
+        return found

@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tariffmart.llm.byte_bpe import code_digests, decode, encode
 from tariffmart.llm.common import given
 from tariffmart.llm.language import language_model, predict_language
 from tariffmart.llm.main_text import main_text
 from tariffmart.llm.mixing import mixture_draws
 from tariffmart.llm.nearest import nearest
 from tariffmart.llm.packing import pack
+from tariffmart.llm.periodic import crc_rewrite, periodic_runs, run_digests
 from tariffmart.llm.sharding import SHARDS, jump_sql, shard_documents
 from tariffmart.llm.similar import jaccard_components
 from tariffmart.llm.token_counts import token_counts
 from tariffmart.llm.top_search import exact_top_k
 from tariffmart.llm.toxicity import fit_toxicity, score_toxicity
+from tariffmart.llm.whitening import whiten
 
 
 def op1_exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
@@ -61,6 +64,18 @@ def op10_main_text(spark: SparkSession, directory: str) -> DataFrame:
     return main_text(given(spark, directory, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
+    return run_digests(periodic_runs(given(spark, directory, "documents"), rewrite=crc_rewrite))
+
+
+def op12_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    return code_digests(decode(encode(given(spark, directory, "documents"))))
+
+
+def op13_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whiten(given(spark, directory, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_nearest": op2_nearest,
@@ -72,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_main_text": op10_main_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
