@@ -49,10 +49,12 @@ def test_given_embeddings(spark):
 def test_edges(vectors):
     rng = np.random.default_rng(1)
     data = [(i, (rng.standard_normal(5) * 3).astype("f4").tolist()) for i in range(60)]
-    data += [(200, data[0][1])] * 30 + [(None, data[1][1]), (90, None), (91, [1.0, None, 1.0, 1.0, 1.0]), (92, [NAN] * 5), (93, [1.0, INF]), (94, [1.0, 2.0]), (95, [])]
+    data += [(200 + i, data[0][1]) for i in range(30)] + [(None, data[1][1]), (90, None), (91, [1.0, None, 1.0, 1.0, 1.0]), (92, [NAN] * 5), (93, [1.0, INF]), (94, [1.0, 2.0]), (95, [])]
     check(whiten(vectors(*data), components=3, part_bytes=500), data, 3)
     flat = [(i, [float(i % 7), float(i % 7), 0.0]) for i in range(50)]  # one direction only
     check(whiten(vectors(*flat)), flat)
+    twice = whiten(vectors((1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [3.0, 1.0]))).collect()  # repeated rows stay
+    assert sorted((r["vec_id"], r["component"], r["n"]) for r in twice) == [(1, 1, 3), (1, 1, 3), (2, 1, 3)]
     assert whiten(vectors()).collect() == []
     assert whiten(vectors((1, [1.0, 2.0]))).collect() == [] and whiten(vectors(*[(i, [0.5]) for i in range(9)])).collect() == []
     assert whiten(vectors((1, None), (2, [NAN]))).collect() == [] and whiten(vectors((1, []), (2, []))).collect() == []
