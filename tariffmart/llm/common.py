@@ -21,6 +21,7 @@ from tariffmart.session import written
 __all__ = ["annotated", "argument", "by_bytes", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
 
 
+BATCH_BYTES = 1 << 21  # of texts that a task turns into Python objects at a time
 SHIPPED: set[str] = set()
 
 
@@ -65,25 +66,31 @@ def map_frames(df: DataFrame, per_frame: Callable[[pd.DataFrame], pd.DataFrame],
     return df.mapInPandas(mapped, schema)
 
 
-def annotated(df: DataFrame, inputs: list[str], per_rows: Callable[..., list[list]], schema: str) -> DataFrame:
+def annotated(
+    df: DataFrame, inputs: list[str], per_rows: Callable[..., list[list]], schema: str, keep: list[str] | None = None, where: str | None = None
+) -> DataFrame:
     """``df`` with further columns that ``per_rows`` finds from the lists of its input columns.
 
-    All columns pass through as they are, so long ids beside nulls stay exact. They travel under numbers, so names that
-    clash do no harm; the new ones come last.
+    ``keep`` names the columns of ``df`` that come back beside the new ones; without it all do. With ``where``, a condition
+    on the new columns, the rows that meet it come back with the columns of ``df`` alone. Columns pass through as they
+    are, so long ids beside nulls stay exact. They travel under numbers, so names that clash do no harm; the new ones come
+    last. Batches are cut by the size of the first input, so few long texts are Python objects at a time.
     """
     added = StructType.fromDDL(schema)
     numbered = df.select(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(df.columns)])
     at = [df.columns.index(c) for c in inputs]
-    out = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)] + list(added))
+    back = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
+    out = StructType([StructField(f"c{i}", df.schema[i].dataType) for i in back] + list(added))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = per_rows(*[batch.column(i).to_pylist() for i in at]) if batch.num_rows else [[] for _ in added]
+        for batch in by_bytes(batches, at[0], BATCH_BYTES):
+            found = per_rows(*[batch.column(i).to_pylist() for i in at])
             new = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(found, added, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *added.names])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in back], *new], out.names)
 
     made = numbered.mapInArrow(mapped, out)
-    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)], *added.names)
+    old = [F.col(f"c{i}").alias(df.columns[i]) for i in back]
+    return made.where(where).select(*old) if where else made.select(*old, *added.names)
 
 
 def by_bytes(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:

@@ -214,12 +214,15 @@ def predict_language(docs: DataFrame, network: Network | None, folds: int = 5, h
     """
 
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
-    told = annotated(slim, ["text"], lambda texts: list(languages_of(texts, network)), "lang_pred string, score double")
+    told = annotated(slim, ["text"], lambda texts: list(languages_of(texts, network)), "lang_pred string, score double", keep=["doc_id", "held_out"])
     return told.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def with_known_language(docs: DataFrame, network: Network | None, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is told with a score of ``least`` or more, with all their columns."""
-    told = annotated(docs, ["text"], lambda texts: list(languages_of(texts, network)), "language_told string, language_score double")
-    kept = told.where((F.col("language_told") != UNKNOWN) & (F.col("language_score") >= least))
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` whose language is told with a pooled probability of ``least`` or more, with all their columns.
+
+    Rows without a letter go, and so do those on which the network spreads its belief over so many languages that none
+    reaches ``least``; among the few languages of a corpus that is no language it knows.
+    """
+    known = f"told <> '{UNKNOWN}' AND score >= {least}"
+    return annotated(docs, ["text"], lambda texts: list(languages_of(texts, network)), "told string, score double", where=known)

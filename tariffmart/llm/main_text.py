@@ -281,5 +281,5 @@ def main_text(pages: DataFrame, share: float = 0.25, whole: float = 0.98, backin
         return [texts, [len(t) for t in texts]]
 
     joined = named.join(by_page, ["host", "mark"], "left").select("page_id", "url", "html", "chosen")
-    out = annotated(joined, ["html", "chosen"], extracted, "text string, n_chars long")
+    out = annotated(joined, ["html", "chosen"], extracted, "text string, n_chars long", keep=["page_id", "url"])
     return out.select("page_id", "url", "text", "n_chars")

@@ -11,7 +11,7 @@ import heapq
 import os
 import zlib
 from collections.abc import Iterable
-from functools import cache
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.llm.common import annotated, argument, parts_for, written
-from tariffmart.llm.pieces import LONGEST_KEPT, ODD_SPACE, Bounded, byte_symbols, no_collection, tokenizer_file, vocabulary, words
+from tariffmart.llm.pieces import ODD_SPACE, Recent, byte_symbols, no_collection, tokenizer_file, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
@@ -44,7 +44,7 @@ class Encoder:
 
         file = vocabulary(name)
         ids, end = file["model"]["vocab"], file["model"]["end_of_word_suffix"]
-        self.library = Tokenizer.from_file(tokenizer_file(name))
+        self.name = name
         self.special = [t["content"] for t in file["added_tokens"]]
         symbols = byte_symbols()
         byte_of = {symbol: byte for byte, symbol in enumerate(symbols)}
@@ -54,7 +54,14 @@ class Encoder:
         self.native = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks={r: i for i, r in enumerate(raw)}, special_tokens={})
         self.ids = np.array([ids[t] for t in tokens], "<u4")
         self.ends = np.array([t.endswith(end) for t in tokens])
-        self.by_chunk, self.by_word = Bounded(kept), Bounded(kept)
+        self.known = Recent(kept)
+
+    @cached_property
+    def library(self):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(tokenizer_file(self.name))
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -68,27 +75,20 @@ class Encoder:
         raw = self.ids[ranks].tobytes()
         return [raw[a:b] for a, b in zip(chain([0], stops[:-1]), stops, strict=True)]
 
+    def chunks(self, new: list[str]) -> list[bytes]:
+        """The ids of each chunk of a text between white space; each distinct word of them is merged once."""
+        odd = {c for c in new if "\0" in c or "<" in c and any(s in c for s in self.special)}
+        cut = {c: words(c) for c in new if c not in odd}
+        distinct = list(set(chain.from_iterable(cut.values())))
+        ids = dict(zip(distinct, self.split(distinct), strict=True))
+        return [self.whole(c) if c in odd else b"".join([ids[w] for w in cut[c]]) for c in new]
+
     def texts(self, batch: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has none."""
-        self.by_chunk.shrink()
-        self.by_word.shrink()
         cuts = [None if ODD_SPACE.search(t) else t.split() for t in (t or "" for t in batch)]
-        here = set(chain.from_iterable(c for c in cuts if c))
-        new = here.difference(self.by_chunk)
-        odd = {c for c in new if "\0" in c or "<" in c and any(s in c for s in self.special)}
-        cut = {c: words(c) for c in new - odd}
-        fresh = list(set(chain.from_iterable(cut.values())).difference(self.by_word))
-        by_word, by_chunk = self.by_word, self.by_chunk
-        by_word.update(zip(fresh, self.split(fresh), strict=True))
-        by_chunk.update({c: b"".join([by_word[w] for w in parts]) for c, parts in cut.items()})
-        by_chunk.update({c: self.whole(c) for c in odd})
-        local = {c: by_chunk[c] for c in here}  # small enough to stay near the processor
-        for kept, added in ((by_chunk, new), (by_word, fresh)):
-            for key in [k for k in added if len(k) > LONGEST_KEPT]:
-                del kept[key]
-        return [
-            self.whole(text) if c is None else b"".join(map(local.__getitem__, c)) for text, c in zip(batch, cuts, strict=True)
-        ]
+        here = list(set(chain.from_iterable(c for c in cuts if c)))
+        ids = dict(zip(here, self.known.all(here, self.chunks), strict=True))
+        return [self.whole(t) if c is None else b"".join(map(ids.__getitem__, c)) for t, c in zip(batch, cuts, strict=True)]
 
 
 @cache
@@ -111,14 +111,13 @@ def token_pieces(docs: DataFrame, vocabulary_name: str, end: int, capacity: int,
     def cut(texts: list[str | None]) -> list[list]:
         made, tokens = [], []
         with no_collection():
-            for at in range(0, len(texts), 512):
-                for ids in encoder(vocabulary_name).texts(texts[at : at + 512]):
-                    made.append(pieces(ids + last))
-                    tokens.append(len(ids) // 4 + 1)
+            for ids in encoder(vocabulary_name).texts(texts):
+                made.append(pieces(ids + last))
+                tokens.append(len(ids) // 4 + 1)
         return [made, tokens]
 
     schema = "piece array<struct<start: long, length: long, ids_crc32: long>>, doc_tokens long"
-    found = annotated(argument(docs, "doc_id", "text"), ["text"], cut, schema)
+    found = annotated(argument(docs, "doc_id", "text"), ["text"], cut, schema, keep=["doc_id"])
     return found.select("doc_id", F.explode("piece").alias("piece"), "doc_tokens").select("doc_id", "piece.*", "doc_tokens")
 
 

@@ -37,8 +37,8 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
 def vocabulary(name: str) -> dict:
+    """The vocabulary file as it is; whoever needs it takes out what it keeps."""
     with open(tokenizer_file(name), encoding="utf-8") as file:
         return json.load(file)
 
@@ -93,10 +93,6 @@ class Bounded(dict):
             self[key] = value
         return value
 
-    def shrink(self) -> None:
-        if len(self) >= self.most:
-            self.clear()
-
 
 class Recent:
     """Results by short key, kept in two generations of at most ``most`` entries each.

@@ -92,6 +92,7 @@ def token_counts(docs: DataFrame, vocabulary_name: str = VOCABULARY, limit: int
         with no_collection():
             return [list(map(counter(vocabulary_name).text, texts))]
 
-    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    out = annotated(argument(docs, "doc_id", "text"), ["text"], counted, "n_tokens long")
-    return out.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    slim = argument(docs, "doc_id", "text").withColumn("n_bytes", n_bytes)
+    out = annotated(slim, ["text"], counted, "n_tokens long", keep=["doc_id", "n_bytes"])
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -196,11 +196,10 @@ def score_toxicity(docs: DataFrame, model: Model, folds: int = 4, held: int = 2,
     """
 
     slim = argument(docs, "doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
-    scored = annotated(slim, ["text"], lambda texts: [[model.score(t) for t in texts]], "score double")
+    scored = annotated(slim, ["text"], lambda texts: [[model.score(t) for t in texts]], "score double", keep=["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    scored = annotated(docs, ["text"], lambda texts: [[model.score(t) for t in texts]], "toxicity_score double")
-    return scored.where(F.col("toxicity_score") < threshold).select(*[f"`{c}`" for c in docs.columns])
+    return annotated(docs, ["text"], lambda texts: [[model.score(t) for t in texts]], "score double", where=f"score < {threshold}")
