@@ -186,58 +186,47 @@ def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str]) -> DataFram
 
 
 def overlapping_spans(df: DataFrame, start: str, end: str, by: list[str] = KEY) -> DataFrame:
-    """Distinct (key, start, end) that share a day (closed intervals) with a different span of the key.
+    """Distinct (key, start, end) that share a day (closed intervals) with a different span of the key."""
+    spans = _as_intervals(df, start, end, by).select(*by, F.col("s").alias(start), F.col("e").alias(end))
+    return with_overlaps(spans, start, end, by).filter("overlaps").drop("overlaps")
 
-    For two proper spans this is counting: those started by my end less those ended before my start, and
-    more than myself. Against an inverted span it is a running maximum of ends, as only existence is asked.
+
+def with_overlaps(spans: DataFrame, start: str, end: str, by: list[str] = KEY) -> DataFrame:
+    """Distinct spans (key, start, end, ...) with a further column ``overlaps``: whether another span of the key shares a
+    day with it. Spans are closed; an inverted one (start after end) meets exactly the proper ones that enclose it.
+
+    Spans gather by key and lower day, so what is ordered is one row a day however many spans a key holds. One window
+    over these days answers for all spans of a day: the latest proper end among earlier days, the next day that a proper
+    span starts, the latest proper end so far, and the least upper day of an inverted span from here on.
     """
-    spans = _as_intervals(df, start, end, by).select(*by, "s", "e")
-    proper = F.col("s") <= F.col("e")
-    marks = spans.select(
-        *by,
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("s").alias("d"),
-                    F.when(proper, 1).otherwise(0).alias("starts"),
-                    F.lit(0).alias("ends"),
-                    F.when(proper, F.col("e")).alias("proper_end"),
-                    F.when(~proper, F.col("e")).alias("inverted_end"),
-                ),
-                F.struct(
-                    F.col("e").alias("d"),
-                    F.lit(0).alias("starts"),
-                    F.when(proper, 1).otherwise(0).alias("ends"),
-                    F.lit(None).cast("date").alias("proper_end"),
-                    F.lit(None).cast("date").alias("inverted_end"),
-                ),
-            )
-        ).alias("m"),
-    ).select(*by, "m.*")
-    dates = marks.groupBy(*by, "d").agg(
-        F.sum("starts").alias("starts"),
-        F.sum("ends").alias("ends"),
-        F.max("proper_end").alias("proper_end"),
-        F.max("inverted_end").alias("inverted_end"),
-    )
-    w = _running(by)
-    running = dates.select(
-        *by,
-        "d",
-        F.sum("starts").over(w).alias("started"),
-        (F.sum("ends").over(w) - F.col("ends")).alias("ended_before"),
-        F.max("proper_end").over(w).alias("latest_proper"),
-        F.max("inverted_end").over(w).alias("latest_inverted"),
-    )
-    at_end = running.select(*by, F.col("d").alias("e"), "started", "latest_proper", "latest_inverted")
-    at_start = running.select(*by, F.col("d").alias("s"), "ended_before")
-    hit = F.when(
-        proper,
-        (F.col("started") - F.col("ended_before") > 1) | F.coalesce(F.col("latest_inverted") >= F.col("s"), F.lit(False)),
-    ).otherwise(F.coalesce(F.col("latest_proper") >= F.col("s"), F.lit(False)))
-    return spans.join(at_end, [*by, "e"]).join(at_start, [*by, "s"]).filter(hit).select(
-        *by, F.col("s").alias(start), F.col("e").alias(end)
+    span = F.struct(*[c for c in spans.columns if c not in by])
+    proper = F.col(start) <= F.col(end)
+    days = (
+        spans.repartition(*by)  # by key alone, so neither the days nor the window move again
+        .groupBy(*by, F.least(start, end).alias("_low"))
+        .agg(
+            F.collect_list(span).alias("_spans"),
+            F.max(F.when(proper, F.col(end))).alias("_until"),
+            F.count_if(proper).alias("_proper"),
+            F.min(F.when(~proper, F.col(start))).alias("_inverted"),
+        )
     )
+    in_order = Window.partitionBy(*by).orderBy("_low")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*by).orderBy(F.col("_low").desc())
+    from_here = later.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = later.rowsBetween(Window.unboundedPreceding, -1)
+    rows = days.select(
+        "*",
+        F.max("_until").over(earlier).alias("_before"),
+        F.min(F.when(F.col("_proper") > 0, F.col("_low"))).over(after).alias("_next"),
+        F.min("_inverted").over(from_here).alias("_within"),
+    ).withColumn("_span", F.explode("_spans"))
+    low, high = F.col(f"_span.{start}"), F.col(f"_span.{end}")
+    meets_proper = (F.col("_before") >= low) | (F.col("_proper") > 1) | (F.col("_next") <= high) | (F.col("_within") <= high)
+    meets_inverted = F.greatest("_before", "_until") >= low
+    overlaps = F.coalesce(F.when(low <= high, meets_proper).otherwise(meets_inverted), F.lit(False))
+    return rows.select(*by, "_span.*", overlaps.alias("overlaps"))
 
 
 def overlap_witnesses(

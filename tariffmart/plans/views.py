@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.functions.expressions import as_date, day
+from tariffmart.functions.expressions import as_date, day, end_or_open
 from tariffmart.operators.intervals import active_on, best_per_day, overlaps
 from tariffmart.operators.top import largest_discount_first, latest_price_first
 from tariffmart.schemas import KEY
 from tariffmart.sources.inline import last_days
 
 DAY_KEY = ["as_of_date", *KEY]
+# Prices and discounts in the order in which they count.
+PRICE_RANK = "struct<effective_start: date, created_at: timestamp, price_hist_id: bigint, price: decimal(18,4), currency: string>"
+DISCOUNT_RANK = "struct<discount_value: decimal(18,4), older: int, earlier: bigint, discount_type: string>"
 
 
 def sales_daily(sales: DataFrame) -> DataFrame:
@@ -70,6 +73,34 @@ def enrich_keys(keys: DataFrame, dims: dict[str, DataFrame], active_only: bool =
     )
 
 
+def _events(facts: dict[str, DataFrame], low: dt.date, last: dt.date) -> DataFrame:
+    """Sales, prices and discounts that touch [low, last] in one shape: key, first and last day, and what they bring.
+
+    A price or discount that ends before it starts brings nothing but its key's activity.
+    """
+
+    def shaped(rows: DataFrame, start: Column, end: Column, **brought: Column) -> DataFrame:
+        first, until = F.greatest(start, day(low)), F.least(end, day(last))
+        kinds = {"qty": "bigint", "net": "decimal(28,2)", "price": PRICE_RANK, "discount": DISCOUNT_RANK}
+        given = [brought.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()]
+        return rows.select(*KEY, first.alias("first"), until.alias("until"), *given)
+
+    sales = facts["fact_sales"].filter(F.col("sale_date").between(day(low), day(last)))
+    prices = facts["fact_price_history"].filter(overlaps("effective_start", "effective_end", low, last))
+    discounts = facts["fact_discount_events"].filter(overlaps("start_date", "end_date", low, last))
+    sold = shaped(sales, F.col("sale_date"), F.col("sale_date"), qty=F.col("qty"), net=F.col("net_sales"))
+    ended = end_or_open("effective_end")
+    # the greatest of these is the price or discount that counts; what it shows comes last
+    price = F.when(F.col("effective_start") <= ended, F.struct("effective_start", "created_at", "price_hist_id", "price", "currency"))
+    older = F.datediff(F.lit("0001-01-01").cast("date"), "start_date")
+    discount = F.when(
+        F.col("start_date") <= F.col("end_date"), F.struct("discount_value", older, -F.col("discount_event_id"), "discount_type")
+    )
+    return sold.unionByName(shaped(prices, F.col("effective_start"), ended, price=price)).unionByName(
+        shaped(discounts, F.col("start_date"), F.col("end_date"), discount=discount)
+    )
+
+
 def pricing_bi_dataset(
     facts: dict[str, DataFrame],
     dims: dict[str, DataFrame],
@@ -82,36 +113,37 @@ def pricing_bi_dataset(
     """The dense grid of the last ``days`` days and all recently active keys, with price, discount and sales.
 
     ``on``, ``region`` and ``channel`` restrict every branch before it is expanded: Catalyst does not push a
-    filter below the day expansion by itself. The sides of the joins are one row per key when they meet, so no
-    key is larger than the calendar.
+    filter below the day expansion by itself. Facts of all kinds meet as events of a key and a stretch of days. They
+    move twice: once reduced to one row for each key and stretch, which the map side does first however many rows a key
+    has, then by key as one list, which the pairs of days of the calendar bound. The key is unrolled into days after
+    its attributes are joined, and each day picks from that list, so nothing moves for the grid itself.
     """
-    first, last = as_of - dt.timedelta(days=days - 1), as_of
+    low, last = as_of - dt.timedelta(days=days), as_of
     if region is not None or channel is not None:
         facts = {name: _restricted(fact, region, channel) for name, fact in facts.items()}
-    keys = enrich_keys(recent_activity_keys(facts, as_of, days), dims)
     calendar = last_days(as_of, days)
     if on is not None:
-        on = as_date(on)
-        calendar = F.filter(calendar, lambda d: d == day(on))
-        first, last = max(first, on), min(last, on)
-    if first > last:
-        first = last = as_of
-    prices = price_as_of_daily(facts["fact_price_history"], first, last)
-    discounts = discount_as_of_daily(facts["fact_discount_events"], first, last)
-    sales = sales_daily(
-        facts["fact_sales"].filter(F.col("sale_date").between(day(first), day(last)))
-    ).withColumnRenamed("sale_date", "as_of_date")
-    # The three sides meet by key, each as at most one list of days, so nothing moves for the grid itself: a key
-    # is unrolled after the joins, when its attributes are there as well. The calendar bounds every list.
-    joined = keys
-    for name, side in (("p", prices), ("x", discounts), ("s", sales)):
-        found = [c for c in side.columns if c not in DAY_KEY]
-        by_day = F.map_from_entries(F.collect_list(F.struct("as_of_date", F.struct(*found).alias("v")))).alias(name)
-        joined = joined.join(side.groupBy(*KEY).agg(by_day), KEY, "left")
-    joined = joined.withColumn("as_of_date", F.explode(calendar)).select(
-        "*", *[F.try_element_at(name, F.col("as_of_date")).alias(f"{name}_day") for name in ("p", "x", "s")]
-    ).select("*", "p_day.*", "x_day.*", "s_day.*")
-    return joined.select(
+        wanted = as_date(on)
+        calendar = F.filter(calendar, lambda d: d == day(wanted))
+    stretches = _events(facts, low, last).groupBy(*KEY, "first", "until").agg(
+        F.sum("qty").alias("qty"), F.sum("net").alias("net"), F.max("price").alias("price"), F.max("discount").alias("discount")
+    )
+    event = F.struct("first", "until", "qty", "net", "price", "discount")
+    keys = enrich_keys(stretches.groupBy(*KEY).agg(F.collect_list(event).alias("events")), dims)
+    return daily_rows(keys.withColumn("as_of_date", F.explode(calendar)))
+
+
+def daily_rows(keys: DataFrame) -> DataFrame:
+    """The rows of the grid from keys with their attributes, ``as_of_date`` and ``events``."""
+    today = F.filter("events", lambda e: (e["first"] <= F.col("as_of_date")) & (F.col("as_of_date") <= e["until"]))
+    picked = keys.withColumn("today", today).select(
+        "*",
+        F.array_max(F.transform("today", lambda e: e["price"])).alias("p"),
+        F.array_max(F.transform("today", lambda e: e["discount"])).alias("x"),
+        F.aggregate("today", F.lit(0).cast("long"), lambda n, e: n + F.coalesce(e["qty"], F.lit(0))).alias("daily_sales_qty"),
+        F.aggregate("today", F.lit(0).cast("decimal(28,2)"), lambda n, e: (n + F.coalesce(e["net"], F.lit(0))).cast("decimal(28,2)")).alias("daily_net_sales"),
+    )
+    return picked.select(
         "as_of_date",
         "sku",
         "product_name",
@@ -121,13 +153,13 @@ def pricing_bi_dataset(
         "region_name",
         "channel_code",
         "channel_name",
-        F.coalesce("current_price", F.lit(0).cast("decimal(18,4)")).alias("current_price"),
-        F.coalesce("currency", F.lit("USD")).alias("currency"),
-        "active_discount_type",
-        "active_discount_value",
-        F.coalesce("daily_sales_qty", F.lit(0)).cast("long").alias("daily_sales_qty"),
-        F.coalesce("daily_net_sales", F.lit(0).cast("decimal(28,2)")).alias("daily_net_sales"),
-        F.when(F.col("current_price").isNull(), 1).otherwise(0).alias("dq_missing_price_flag"),
+        F.coalesce("p.price", F.lit(0).cast("decimal(18,4)")).alias("current_price"),
+        F.coalesce("p.currency", F.lit("USD")).alias("currency"),
+        F.col("x.discount_type").alias("active_discount_type"),
+        F.col("x.discount_value").alias("active_discount_value"),
+        "daily_sales_qty",
+        "daily_net_sales",
+        F.when(F.col("p.price").isNull(), 1).otherwise(0).alias("dq_missing_price_flag"),
     )
 
 

@@ -220,3 +220,64 @@ def test_overrides_log_open_changed_prices_made_by_hand(spark, frames):
     assert [(r.price_hist_id, r.old_price, r.new_price) for r in shown] == [(2, n("3.0000"), n("8.5000"))]
     log = demo.append_to_audit(empty_table(spark, "price_override_audit"), demo.override_demo(before, "me", T1))
     assert [(r.audit_id, r.sku) for r in demo.audit_tail(log).collect()] == [(1, "A")]
+
+
+def test_overlap_flags_answer_for_every_span_of_a_day(spark):
+    from tariffmart.operators.intervals import with_overlaps
+
+    spans = [("A", 1, 3), ("A", 3, 5), ("A", 7, 7), ("A", 9, 8), ("A", 8, 12), ("B", 1, 1), ("B", 2, 4), ("B", 2, 9), ("C", 5, 4), ("C", 6, 4)]
+    date = lambda n: d(f"2024-01-{n:02d}")
+    df = spark.createDataFrame([(k, date(s), date(e)) for k, s, e in spans], "k string, s date, e date")
+    got = {(r.k, r.s.day, r.e.day) for r in with_overlaps(df, "s", "e", ["k"]).filter("overlaps").collect()}
+    assert got == {("A", 1, 3), ("A", 3, 5), ("A", 9, 8), ("A", 8, 12), ("B", 2, 4), ("B", 2, 9)}
+    plan = with_overlaps(df, "s", "e", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_equal_tables_move_no_rows_and_a_planted_difference_is_found(spark):
+    from tariffmart.operators.merge import diff_summary, fingerprints, row_differences
+
+    wide = ", ".join(f"CAST(id % {n} AS STRING) AS c{n}" for n in range(2, 14))
+    left = spark.range(20_000).selectExpr("IF(id % 7 = 0, NULL, id) AS a", "IF(id % 11 = 0, NULL, id) AS b", *wide.split(", "), "id / 3 AS x")
+    right = left.repartition(7, "a").orderBy("x")
+    assert row_differences(left, right).count() == 0
+    assert fingerprints(left, right).filter("NOT same").count() == 0
+    row = diff_summary(left, right).first()
+    assert (row.left_rows, row.right_rows, row.only_left, row.only_right, row.result) == (20_000, 20_000, 0, 0, "PASS")
+    differ = row_differences(left, right)
+    differ.collect()
+    plan = differ._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "c13" not in " ".join(line for line in final.splitlines() if "Exchange hashpartitioning" in line)
+
+    swapped = right.selectExpr("IF(a = 15, NULL, a) AS a", "IF(a = 15, 15, b) AS b", *[c for c in right.columns if c not in "ab"])
+    found = {r.only_in: r for r in row_differences(left, swapped).collect()}
+    assert set(found) == {"left", "right"} and found["left"].a == 15 and found["right"].a is None
+    copied = diff_summary(left, right.unionByName(right.limit(1))).first()
+    assert (copied.only_left, copied.only_right, copied.result) == (0, 0, "FAIL") and copied.right_rows == 20_001
+    assert [r.result for r in diff_summary(left.limit(0), right.limit(0)).collect()] == ["PASS"]
+    minus = spark.createDataFrame([(-0.0,)], "x double")
+    assert row_differences(minus, spark.createDataFrame([(0.0,)], "x double")).count() == 0
+
+
+def test_a_page_of_the_snapshot_equals_the_grids(spark, frames):
+    import datetime as dt
+
+    from tariffmart.plans.lookups import bi_snapshot
+    from tariffmart.plans.views import pricing_bi_dataset
+
+    as_of = dt.date(2024, 3, 1)
+    facts = {
+        "fact_sales": frames.sales((1, "2024-02-20", "B", 1, 5), (2, "2024-02-20", "B", 2, 5), (3, "2024-02-20", "A", 1, 0), (4, "2024-02-10", "C", 1, 9), (5, "2024-02-20", "D", 1, -3), (6, "2024-02-20", "Z", 1, 99)),
+        "fact_price_history": frames.prices((1, "A", 5, "2024-01-01", None), (2, "E", 7, "2024-01-01", "2024-02-20"), (3, "F", 7, "2023-01-01", "2023-02-20"), (4, "B", 3, "2024-02-20", None), (5, "B", 4, "2024-02-20", "2024-02-20")),
+        "fact_discount_events": frames.discounts((1, "B", "FLAT", 5, "2024-02-01", "2024-02-28"), (2, "B", None, 5, "2024-01-15", "2024-02-28"), (3, "G", "FLAT", 1, "2024-01-01", "2024-01-05")),
+    }
+    dims = frames.dims(skus=tuple("ABCDEFG"), inactive=("C",))
+    for on in ("2024-02-20", "2024-02-25", "2024-01-02"):
+        for limit in (1, 2, 3, 4, 500):
+            grid = pricing_bi_dataset(facts, dims, as_of, on=on, region="NE", channel="ONLINE")
+            want = grid.orderBy(F.col("daily_net_sales").desc(), "sku").limit(limit)
+            page = bi_snapshot(facts, dims, as_of, on, "NE", "ONLINE", limit)
+            assert page.schema.simpleString() == want.schema.simpleString() and page.collect() == want.collect()
+    assert bi_snapshot(facts, dims, as_of, "2023-02-20", "NE", "ONLINE").count() == 0
+    assert bi_snapshot(facts, dims, as_of, "2024-02-20", "SE", "ONLINE").count() == 0
