@@ -11,7 +11,6 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.plans import audit, quality
 from tariffmart.plans.refresh import STAGING
 from tariffmart.plans.store import MartStore, Refresh, recent_runs
+from tariffmart.session import written
 from tariffmart.sources import generators, inline
 from tariffmart.sources.tables import append_rows, as_table, empty_table, file_rows, load_table, malformed_rows, reload_staging, well_typed_rows
 
@@ -33,9 +33,6 @@ DIMENSIONS = {
 }
 
 
-VERSIONS = "name string, version long, folder string"
-
-
 class Mart:
     """Dimensions, staging, facts and reports below one folder."""
 
@@ -43,29 +40,15 @@ class Mart:
         self.spark = spark
         self.root = root.rstrip("/")
         self.store = MartStore(spark, f"{self.root}/facts")
-        for name in STAGING:
+        for name in [*STAGING, *DIMENSIONS]:
             empty_table(spark, name).write.mode("ignore").parquet(self.path(name))
-        spark.createDataFrame([], VERSIONS).write.mode("ignore").parquet(self.versions)
 
     def path(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
-    @property
-    def versions(self) -> str:
-        return f"{self.root}/versions"
-
-    def dimension(self, name: str) -> DataFrame:
-        """A dimension in its last published version; older ones stay where they are."""
-        last = self.spark.read.schema(VERSIONS).parquet(self.versions).filter(F.col("name") == name)
-        version = last.agg(F.max(F.struct("version", "folder")).alias("v")).first().v
-        return load_table(self.spark, version.folder, name) if version else empty_table(self.spark, name)
-
-    def publish_dimension(self, name: str, rows: DataFrame) -> None:
-        """Write a new version beside the others, then name it in the log: a job that dies leaves the old one."""
-        folder = f"{self.path(name)}/{uuid.uuid4().hex}"
-        rows.write.mode("errorifexists").parquet(folder)
-        last = self.spark.read.schema(VERSIONS).parquet(self.versions).filter(F.col("name") == name).agg(F.max("version")).first()[0]
-        append_rows(self.spark.createDataFrame([(name, (last or 0) + 1, folder)], VERSIONS).coalesce(1), self.versions)
+    def store_dimension(self, name: str, rows: DataFrame) -> None:
+        """Replace a dimension. The new rows are complete in a scratch table before the old ones go."""
+        written(rows, name).write.mode("overwrite").parquet(self.path(name))
 
     @property
     def reports(self) -> str:
@@ -76,7 +59,7 @@ class Mart:
 
     @property
     def dims(self) -> dict[str, DataFrame]:
-        return {name: self.dimension(name) for name in DIMENSIONS}
+        return {name: self.table(name) for name in DIMENSIONS}
 
     @property
     def staging(self) -> dict[str, DataFrame]:
@@ -86,7 +69,7 @@ class Mart:
 def merge_dimension(mart: Mart, name: str, source: DataFrame, loaded_at: dt.datetime) -> None:
     """Upsert rows into a stored dimension; new products get their creation time, new rules their id."""
     keys, columns = DIMENSIONS[name]
-    stored = mart.dimension(name)
+    stored = mart.table(name)
     merged = upsert(stored, source, keys, columns)
     if name == "dim_product":
         merged = merged.withColumn("created_at", F.coalesce("created_at", moment(loaded_at)))
@@ -94,7 +77,7 @@ def merge_dimension(mart: Mart, name: str, source: DataFrame, loaded_at: dt.date
         old, new = merged.filter("rule_id IS NOT NULL"), merged.filter("rule_id IS NULL").drop("rule_id")
         numbered = with_surrogate_key(new, "rule_id", keys, highest_id(stored, "rule_id"))
         merged = old.unionByName(as_table(numbered, name))
-    mart.publish_dimension(name, as_table(merged, name))
+    mart.store_dimension(name, as_table(merged, name))
 
 
 def seed(mart: Mart, as_of: dt.date, loaded_at: dt.datetime, sales: int = 10_000, discounts: int = 200) -> None:
@@ -117,9 +100,9 @@ def stage(mart: Mart, name: str, path: str, fmt: str, loaded_at: dt.datetime, **
     """Reload a staging table from files; rows with a value of a wrong type are kept apart. Their number."""
     rows = file_rows(mart.spark, path, name, fmt, **options)
     malformed = f"{mart.root}/malformed/{name}"
-    reload_staging(malformed_rows(rows, name), malformed)
+    found = reload_staging(malformed_rows(rows, name), malformed)
     reload_staging(well_typed_rows(rows, name, loaded_at), mart.path(name))
-    return mart.spark.read.parquet(malformed).count()
+    return found
 
 
 def inject_late(mart: Mart, as_of: dt.date, loaded_at: dt.datetime) -> None:

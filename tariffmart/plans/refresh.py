@@ -37,7 +37,7 @@ class Load:
     """Numbered new rows, the price rows that are new or get another end, and the number of rejected staged prices."""
 
     new_rows: dict[str, DataFrame]
-    changed_prices: DataFrame
+    changed_prices: DataFrame | None
     rows_rejected: int
 
 
@@ -109,28 +109,25 @@ def load_staging(
 
     ``facts`` holds what the staged rows can meet: their months of sales and discounts, their keys of prices. Stored
     prices are a fixed point of the repair, so only keys with new rows can change. The tables do not depend on each
-    other, so their jobs are submitted together.
+    other, so their jobs are submitted together. Tables that ``staging`` leaves out get nothing.
     """
-    prices, stored = staging["stg_price_history"], facts["fact_price_history"]
+    fresh = {
+        "fact_sales": lambda rows, known, after: refresh_sales(rows, known, loaded_at, after),
+        "fact_discount_events": lambda rows, known, after: refresh_discounts(rows, known, loaded_at, after),
+        "fact_price_history": lambda rows, known, after: append_prices(rows, known, products, loaded_at, idempotent, after),
+    }
+    prices = staging.get("stg_price_history")
     with ThreadPoolExecutor(max_workers=4) as jobs:
-        rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0])
+        rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0] if prices is not None else 0)
         loads = {
-            "fact_sales": jobs.submit(
-                refresh_sales, staging["stg_sales"], facts["fact_sales"], loaded_at, last_ids["fact_sales"]
-            ),
-            "fact_discount_events": jobs.submit(
-                refresh_discounts,
-                staging["stg_discount_events"],
-                facts["fact_discount_events"],
-                loaded_at,
-                last_ids["fact_discount_events"],
-            ),
-            "fact_price_history": jobs.submit(
-                append_prices, prices, stored, products, loaded_at, idempotent, last_ids["fact_price_history"]
-            ),
+            table: jobs.submit(fresh[table], staging[stage], facts[table], last_ids[table])
+            for stage, table in zip(STAGING, FACTS, strict=True)
+            if stage in staging
         }
         new_rows = {table: load.result() for table, load in loads.items()}
-        fresh = new_rows["fact_price_history"]
-        touched = stored.join(fresh.select(*KEY).distinct(), KEY, "left_semi").select(*stored.columns)
-        changed = range_changes(touched.unionByName(fresh), F.col("price_hist_id") > last_ids["fact_price_history"])
+        changed = None
+        if prices is not None:
+            stored, added = facts["fact_price_history"], new_rows["fact_price_history"]
+            touched = stored.join(added.select(*KEY).distinct(), KEY, "left_semi").select(*stored.columns)
+            changed = range_changes(touched.unionByName(added), F.col("price_hist_id") > last_ids["fact_price_history"])
         return Load(new_rows, changed, rejected.result())

@@ -1,23 +1,20 @@
 """A mart on shared storage with all-or-nothing refreshes, and its run log.
 
-A fact table is a set of parts, each the rows of one month that one run wrote: sales and discounts by month of their
-date, closed prices by month of their end, and the open prices as a part of their own. Rows lie by key, so lookups
-skip files by statistics. A run writes below fresh names and never into what others read: new sales and discounts
-as further parts, and for prices only the parts that hold a row the repair changed. Its SUCCESS row in the log names
-all parts of all tables and the last ids. That row is one file and appended last, so it publishes everything at once;
-a failed run leaves folders that nobody reads, and a FAILED row. Two refreshes may run at a time; the one that
-finds another's publication when it is done fails, and readers always see the parts of a single run's row.
+A fact table is a partitioned Parquet table by run and month: sales and discounts by month of their date, closed prices
+by month of their end, open prices under a name of their own. A run writes below its own folder and never into what
+others read: new sales and discounts, and of prices each month that holds a row the repair changed, whole. Its SUCCESS
+row in the log tells how many rows it added and which months of prices it wrote. That row is one file and appended last,
+so it publishes everything at once; a failed run leaves a folder that nobody reads, and a FAILED row. Readers filter the
+partitions by the successful runs, prices by the last of them for each month. One refresh of a mart runs at a time; that
+is the scheduler's to see to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,14 +25,14 @@ from tariffmart.operators.top import first_per_group
 from tariffmart.plans.refresh import FACTS, Load, check_load, load_staging
 from tariffmart.schemas import KEY, PRIMARY_KEYS, SCHEMAS
 from tariffmart.session import written
-from tariffmart.sources.tables import append_rows, as_table, empty_table
+from tariffmart.sources.tables import append_rows, empty_table
 
 PIPELINE = "pricing_refresh"
 
 OPEN = "open"
 DATE_OF = {"fact_sales": "sale_date", "fact_discount_events": "start_date"}
 STAGED = {"fact_sales": "stg_sales", "fact_discount_events": "stg_discount_events"}
-NOTHING = {"parts": {name: [] for name in FACTS}, "last_ids": {name: 0 for name in FACTS}}
+PARTS = ["run_id", "month"]
 
 # Order of the states of one run.
 STATE_ORDER = {"RUNNING": 1, "FAILED": 2, "SUCCESS": 2}
@@ -51,8 +48,13 @@ class Refresh:
     rows_rejected: int
 
 
-class RefreshConflict(Exception):
-    """Another refresh was published while this one ran."""
+@dataclass
+class Published:
+    """What readers see: the successful runs, the run that wrote each month of prices last, and the last ids."""
+
+    runs: list[int]
+    price_runs: dict[str, int]
+    last_ids: dict[str, int]
 
 
 class MartStore:
@@ -61,15 +63,24 @@ class MartStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self._log_schema = T.StructType([*SCHEMAS["etl_run_history"].fields, T.StructField("snapshot", T.StringType())])
+        self._log_schema = T.StructType(
+            [
+                *SCHEMAS["etl_run_history"].fields,
+                T.StructField("loaded", T.MapType(T.StringType(), T.LongType())),
+                T.StructField("price_months", T.ArrayType(T.StringType())),
+                T.StructField("batch", T.StringType()),
+            ]
+        )
         spark.createDataFrame([], self._log_schema).write.mode("ignore").parquet(f"{root}/etl_run_history")
+        for name in FACTS:
+            spark.createDataFrame([], _stored(name)).write.mode("ignore").partitionBy(*PARTS).parquet(f"{root}/{name}")
 
     def _log(self) -> DataFrame:
         return self.spark.read.schema(self._log_schema).parquet(f"{self.root}/etl_run_history")
 
     def states(self) -> DataFrame:
         """All logged states, up to two per run."""
-        return self._log().drop("snapshot")
+        return self._log().select(*SCHEMAS["etl_run_history"].names)
 
     def runs(self) -> DataFrame:
         """The latest state of each run."""
@@ -82,113 +93,96 @@ class MartStore:
         status: str,
         started_at: dt.datetime,
         finished_at: dt.datetime | None = None,
-        rows_loaded: int = 0,
         rows_rejected: int = 0,
         failure_reason: str | None = None,
-        snapshot: dict | None = None,
+        loaded: dict[str, int] | None = None,
+        price_months: list[str] | None = None,
+        batch: str | None = None,
     ) -> None:
         """Append one state of a run."""
         # Times go in as text, which reads in the session time zone like every other timestamp here.
         times = [None if t is None else t.isoformat(sep=" ") for t in (started_at, finished_at)]
-        row = (run_id, PIPELINE, *times, status, rows_loaded, rows_rejected, failure_reason, json.dumps(snapshot) if snapshot else None)
+        rows = sum((loaded or {}).values())
+        row = (run_id, PIPELINE, *times, status, rows, rows_rejected, failure_reason, loaded, price_months, batch)
         text = (
-            "run_id long, pipeline_name string, started_at string, finished_at string, status string,"
-            " rows_loaded long, rows_rejected long, failure_reason string, snapshot string"
+            "run_id long, pipeline_name string, started_at string, finished_at string, status string, rows_loaded long,"
+            " rows_rejected long, failure_reason string, loaded map<string, long>, price_months array<string>, batch string"
         )
         given = self.spark.createDataFrame([row], text)
-        state = as_table(given, "etl_run_history").withColumn("snapshot", F.lit(row[-1]))
-        append_rows(state.coalesce(1), f"{self.root}/etl_run_history")
-
-    def _claimed(self) -> int:
-        """A run id of its own: the first free one, taken by writing a folder that must not exist yet."""
-        highest = self._log().agg(F.max("run_id")).first()[0] or 0
-        for run_id in range(highest + 1, highest + 1000):
-            try:
-                self.spark.range(1).write.mode("errorifexists").parquet(f"{self.root}/claims/run_id={run_id}")
-                return run_id
-            except AnalysisException:
-                continue
-        raise RuntimeError("no free run id")
-
-    def published(self) -> list[int]:
-        """Ids of the successful runs."""
-        rows = self._log().filter("status = 'SUCCESS'").select("run_id").distinct().collect()
-        return sorted(row.run_id for row in rows)
-
-    def snapshot(self) -> tuple[int, dict]:
-        """The last successful run, 0 if there is none, and what it published."""
-        last = self._log().filter("status = 'SUCCESS'").agg(F.max(F.struct("run_id", "snapshot")).alias("s")).first().s
-        return (last.run_id, json.loads(last.snapshot)) if last else (0, NOTHING)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self._log_schema]
+        append_rows(given.select(*typed).coalesce(1), f"{self.root}/etl_run_history")
+
+    def published(self) -> Published:
+        """The state of the last successful run, from one small row a run."""
+        rows = self._log().filter("status = 'SUCCESS'").select("run_id", "loaded", "price_months").orderBy("run_id").collect()
+        prices = {month: row.run_id for row in rows for month in row.price_months or []}
+        return Published([row.run_id for row in rows], prices, {name: sum(row.loaded.get(name, 0) for row in rows) for name in FACTS})
 
     def table(self, name: str) -> DataFrame:
         """A fact table as of the last successful run."""
-        return self._table(name, self.snapshot()[1])
+        return self._table(name, self.published())
 
     def facts(self) -> dict[str, DataFrame]:
         """All facts as of the same, last successful run."""
-        published = self.snapshot()[1]
+        published = self.published()
         return {name: self._table(name, published) for name in FACTS}
 
-    def _read(self, name: str, parts: list[list[str]]) -> DataFrame:
-        """The rows of some parts; other parts are not even listed."""
-        if not parts:
-            return empty_table(self.spark, name)
-        paths = [f"{self.root}/{name}/{folder}/month={of}" for folder, of in parts]
-        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
-
-    def _table(self, name: str, published: dict, months: list[str] | None = None) -> DataFrame:
-        """A fact table, or what it holds of some months."""
-        parts = [p for p in published["parts"][name] if months is None or p[1] in months]
+    def _table(self, name: str, published: Published, months: list[str] | None = None) -> DataFrame:
+        """A fact table, or what it holds of some months: filters on its folders, which Spark lists and prunes."""
+        rows = self.spark.read.schema(_stored(name)).parquet(f"{self.root}/{name}")
+        if months is not None:
+            rows = rows.filter(F.col("month").isin(months))
         if name != "fact_price_history":
-            return self._read(name, parts)
+            return rows.filter(F.col("run_id").isin(published.runs)).drop(*PARTS)
+        rows = rows.filter(F.concat_ws("/", "month", "run_id").isin([f"{month}/{run}" for month, run in published.price_runs.items()]))
         # Stating what each part holds lets filters on the end prune files.
-        opened = self._read(name, [p for p in parts if p[1] == OPEN]).withColumn("effective_end", F.lit(None).cast("date"))
-        closed = self._read(name, [p for p in parts if p[1] != OPEN]).filter("effective_end IS NOT NULL")
-        return opened.unionByName(closed)
-
-    def _write_parts(self, name: str, rows: DataFrame, folder: str) -> list[list[str]]:
-        """Write rows that carry their ``month`` as parts of a new folder; the parts it made."""
-        order = ["month", *KEY, PRIMARY_KEYS[name]]
-        path = f"{self.root}/{name}/{folder}"
-        ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        ordered.write.mode("errorifexists").partitionBy("month").parquet(path)
-        schema = T.StructType([*SCHEMAS[name].fields, T.StructField("month", T.StringType())])
-        made = self.spark.read.schema(schema).parquet(path).select("month").distinct().collect()
-        return sorted([folder, row.month] for row in made)
-
-    def _write_prices(self, changed: DataFrame, published: dict, folder: str) -> list[list[str]]:
-        """Write the parts that a changed or new price leaves or enters; the others stay where they are."""
+        opened = rows.filter(F.col("month") == OPEN).withColumn("effective_end", F.lit(None).cast("date"))
+        closed = rows.filter((F.col("month") != OPEN) & F.col("effective_end").isNotNull())
+        return opened.unionByName(closed).drop(*PARTS)
+
+    def _write(self, name: str, rows: DataFrame, run_id: int) -> None:
+        """Write rows that carry their ``month`` below the folder of a run. Adaptive execution sizes the files; rows of a
+        file lie by month and key."""
+        ordered = rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", *KEY, PRIMARY_KEYS[name])
+        ordered.write.mode("overwrite").partitionBy("month").parquet(f"{self.root}/{name}/run_id={run_id}")
+
+    def _write_prices(self, changed: DataFrame, published: Published, run_id: int) -> list[str]:
+        """Write anew the months that a changed or new price leaves or enters, and name them; others stay where they are."""
         name = "fact_price_history"
         of = lambda end: F.coalesce(month(end), F.lit(OPEN))
         changed = written(changed.withColumn("month", of("effective_end")).withColumn("left", F.when(~F.col("is_new"), of("old_end"))), "changed")
-        touched = {r[0] for r in changed.select(F.explode(F.array("month", "left")).alias("m")).distinct().collect() if r[0]}
-        stays = [p for p in published["parts"][name] if p[1] not in touched]
-        kept = self._table(name, published, sorted(touched)).join(changed.select("price_hist_id"), "price_hist_id", "left_anti")
-        columns = [*SCHEMAS[name].names, "month"]
-        rows = kept.withColumn("month", of("effective_end")).select(*columns).unionByName(changed.select(*columns))
-        return stays + (self._write_parts(name, rows, folder) if touched else [])
-
-    def _write(self, load: Load, published: dict, folder: str) -> dict[str, list[list[str]]]:
-        """Write what a run adds or changes; nothing reads it until the run is logged as SUCCESS."""
-
-        def added(name: str) -> list[list[str]]:
-            rows = load.new_rows[name].withColumn("month", month(DATE_OF[name]))
-            return published["parts"][name] + self._write_parts(name, rows, folder)
-
+        touched = sorted(r[0] for r in changed.select(F.explode(F.array("month", "left")).alias("m")).distinct().collect() if r[0])
+        if touched:
+            kept = self._table(name, published, touched).join(changed.select("price_hist_id"), "price_hist_id", "left_anti")
+            columns = [*SCHEMAS[name].names, "month"]
+            rows = kept.withColumn("month", of("effective_end")).select(*columns).unionByName(changed.select(*columns))
+            self._write(name, rows, run_id)
+        return touched
+
+    def _store(self, load: Load, published: Published, run_id: int) -> list[str]:
+        """Write what a run adds or changes; nothing reads it until the run is logged as SUCCESS. The months of prices."""
         with ThreadPoolExecutor(max_workers=3) as jobs:
-            writes = {name: jobs.submit(added, name) for name in DATE_OF}
-            writes["fact_price_history"] = jobs.submit(self._write_prices, load.changed_prices, published, folder)
-            return {name: write.result() for name, write in writes.items()}
-
-    def _met_by(self, staging: dict[str, DataFrame], published: dict) -> dict[str, DataFrame]:
+            added = [
+                jobs.submit(self._write, name, load.new_rows[name].withColumn("month", month(date)), run_id)
+                for name, date in DATE_OF.items()
+                if name in load.new_rows
+            ]
+            prices = jobs.submit(self._write_prices, load.changed_prices, published, run_id) if load.changed_prices is not None else None
+            for write in added:
+                write.result()
+            return prices.result() if prices else []
+
+    def _met_by(self, staging: dict[str, DataFrame], published: Published) -> dict[str, DataFrame]:
         """The facts that staged rows can equal or move: their months of sales and discounts, their keys of prices."""
         facts = {}
         for name, date in DATE_OF.items():
-            known = bool(published["parts"][name])
-            facts[name] = self._table(name, published, staged_months(staging[STAGED[name]], date) if known else [])
-        prices = self._table("fact_price_history", published)
-        keys = staging["stg_price_history"].select(*KEY).distinct()
-        facts["fact_price_history"] = prices.join(keys, KEY, "left_semi").select(*prices.columns)
+            if STAGED[name] in staging:
+                known = published.last_ids[name] > 0
+                facts[name] = self._table(name, published, staged_months(staging[STAGED[name]], date) if known else [])
+        if "stg_price_history" in staging:
+            prices = self._table("fact_price_history", published)
+            keys = staging["stg_price_history"].select(*KEY).distinct()
+            facts["fact_price_history"] = prices.join(keys, KEY, "left_semi").select(*prices.columns)
         return facts
 
     def refresh(
@@ -197,35 +191,37 @@ class MartStore:
         dims: dict[str, DataFrame],
         loaded_at: dt.datetime | None = None,
         idempotent: bool = False,
+        batch: str | None = None,
     ) -> Refresh:
-        """Run a refresh and publish it; on any error log FAILED with the reason and raise.
+        """Run a refresh of the tables in ``staging`` and publish it; on any error log FAILED with the reason and raise.
 
         The constraint checks run beside the writes: both read the same written rows, and what was written
-        stays unpublished if a check fails.
+        stays unpublished if a check fails. A ``batch`` that a successful run has loaded before is not loaded again.
         """
         started = loaded_at or _now()
-        run_id, folder = self._claimed(), uuid.uuid4().hex
-        self.log(run_id, "RUNNING", started)
+        log = self._log()
+        if batch is not None and (done := log.filter("status = 'SUCCESS'").filter(F.col("batch") == batch).first()):
+            return Refresh(done.run_id, {name: empty_table(self.spark, name) for name in FACTS}, 0, 0)
+        run_id = (log.agg(F.max("run_id")).first()[0] or 0) + 1
+        self.log(run_id, "RUNNING", started, batch=batch)
         try:
-            base, published = self.snapshot()
-            last_ids = published["last_ids"]
-            load = load_staging(staging, self._met_by(staging, published), dims["dim_product"], started, last_ids, idempotent)
+            published = self.published()
+            load = load_staging(staging, self._met_by(staging, published), dims["dim_product"], started, published.last_ids, idempotent)
             with ThreadPoolExecutor(max_workers=2) as jobs:
                 checked = jobs.submit(check_load, load.new_rows, dims)
-                stored = jobs.submit(self._write, load, published, folder)
+                stored = jobs.submit(self._store, load, published, run_id)
                 loaded = checked.result()
-                parts = stored.result()
-            if self.snapshot()[0] != base:
-                raise RefreshConflict(f"run {self.snapshot()[0]} was published after run {base}, on which this one rests")
+                price_months = stored.result()
         except Exception as error:
-            self.log(run_id, "FAILED", started, loaded_at or _now(), failure_reason=f"{type(error).__name__}: {error}")
+            self.log(run_id, "FAILED", started, loaded_at or _now(), failure_reason=f"{type(error).__name__}: {error}", batch=batch)
             raise
-        after = {name: last_ids[name] + loaded[name] for name in FACTS}
-        rows_loaded = sum(loaded.values())
-        self.log(
-            run_id, "SUCCESS", started, loaded_at or _now(), rows_loaded, load.rows_rejected, snapshot={"parts": parts, "last_ids": after}
-        )
-        return Refresh(run_id, load.new_rows, rows_loaded, load.rows_rejected)
+        self.log(run_id, "SUCCESS", started, loaded_at or _now(), load.rows_rejected, None, loaded, price_months, batch)
+        return Refresh(run_id, load.new_rows, sum(loaded.values()), load.rows_rejected)
+
+
+def _stored(name: str) -> T.StructType:
+    """The columns of a fact table as stored: its own and the folders that hold them."""
+    return T.StructType([*SCHEMAS[name].fields, T.StructField("run_id", T.LongType()), T.StructField("month", T.StringType())])
 
 
 def _now() -> dt.datetime:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,11 +96,19 @@ def stage_files(
     return well_typed_rows(file_rows(spark, path, name, fmt, **options), name, loaded_at)
 
 
-def reload_staging(df: DataFrame, path: str) -> None:
-    """Full reload: the staging table holds exactly these rows afterwards."""
-    df.write.mode("overwrite").parquet(path)
+def _counted_write(df: DataFrame, mode: str, path: str) -> int:
+    """Write and count in one pass: the rows are observed as the last step before the write, so a task that is run
+    again counts once."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+    return seen.get.get("n", 0)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to a stored table."""
-    df.write.mode("append").parquet(path)
+def reload_staging(df: DataFrame, path: str) -> int:
+    """Full reload: the staging table holds exactly these rows afterwards. Their number."""
+    return _counted_write(df, "overwrite", path)
+
+
+def append_rows(df: DataFrame, path: str) -> int:
+    """Add rows to a stored table. Their number."""
+    return _counted_write(df, "append", path)

@@ -53,11 +53,11 @@ def test_a_dying_dimension_merge_leaves_the_old_version(spark, monkeypatch):
     source = spark.createDataFrame([("NE", "North")], "region_code string, region_name string")
     jobs.merge_dimension(mart, "dim_region", source, T0)
 
-    def crash(df, path):
+    def crash(df, label):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(jobs, "append_rows", crash)
+        patch.setattr(jobs, "written", crash)
         with pytest.raises(OSError):
             jobs.merge_dimension(mart, "dim_region", source.withColumn("region_name", F.lit("Other")), T1)
     assert [r.region_name for r in mart.dims["dim_region"].collect()] == ["North"]
