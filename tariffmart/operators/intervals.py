@@ -8,6 +8,7 @@ runs on the map side.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,90 +98,98 @@ def _running(by: list[str]) -> Window:
 def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[str] = KEY) -> DataFrame:
     """Number of row pairs per key whose intervals overlap; keys without any are left out.
 
-    ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``. No pair is ever
-    formed. Intervals with start <= end are counted by complement: all pairs less those where one ends
-    before the other starts, which needs only running totals over dates. An inverted interval overlaps
-    exactly the proper ones that enclose it, counted by ``_enclosing_counts`` in the same plan; without any
-    inverted interval adaptive execution finds that side empty and drops it.
+    ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``.
     """
-    rows = df.filter(F.col(start).isNotNull()).filter(_known_key(by)).select(
-        *by, F.col(start).alias("s"), end_or_open(end).alias("e")
+    return overlap_counts_by_kind({"": (df, start, end, strict)}, by).drop("kind")
+
+
+def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]], by: list[str] = KEY) -> DataFrame:
+    """(kind, key, pairs) for several tables of intervals, named by kind: (rows, start, end, strict); see ``overlap_counts``.
+
+    No pair is ever formed. Equal intervals of a key are counted first, so at most one row per pair of days moves on for a
+    key, and moves by kind and key alone: all that follows finds its groups in place. Intervals with start <= end are
+    counted by complement: all pairs less those where one ends before the other starts, which needs only running totals
+    over dates. An inverted interval overlaps exactly the proper ones that enclose it, counted by ``_enclosing_counts``;
+    without any inverted interval adaptive execution finds that side empty and drops it.
+    """
+    rows = [
+        df.filter(F.col(start).isNotNull())
+        .filter(_known_key(by))
+        .select(F.lit(kind).alias("kind"), F.lit(strict).alias("strict"), *by, F.col(start).alias("s"), end_or_open(end).alias("e"))
+        for kind, (df, start, end, strict) in tables.items()
+    ]
+    group = ["kind", *by]
+    spans = reduce(DataFrame.unionByName, rows).groupBy(*group, "strict", "s", "e").agg(F.count("*").alias("n")).repartition(*group)
+
+    none = F.lit(0).cast("long")
+    point = F.when(F.col("s") == F.col("e"), F.col("n")).otherwise(none)
+    marks = F.array(
+        F.struct(F.col("s").alias("d"), F.col("n").alias("starts"), none.alias("ends"), point.alias("points")),
+        F.struct(F.col("e").alias("d"), none.alias("starts"), F.col("n").alias("ends"), none.alias("points")),
     )
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    point = F.when(F.col("s") == F.col("e"), one).otherwise(none)
-    marks = rows.filter("s <= e").select(
-        *by,
-        F.explode(
-            F.array(
-                F.struct(F.col("s").alias("d"), one.alias("starts"), none.alias("ends"), point.alias("points")),
-                F.struct(F.col("e").alias("d"), none.alias("starts"), one.alias("ends"), none.alias("points")),
-            )
-        ).alias("m"),
-    ).select(*by, "m.*")
     number = lambda name: F.sum(F.col(name)).cast(COUNT_TYPE)
-    dates = marks.groupBy(*by, "d").agg(
-        number("starts").alias("starts"), number("ends").alias("ends"), number("points").alias("points")
+    dates = (
+        spans.filter("s <= e")
+        .select(*group, "strict", F.explode(marks).alias("m"))
+        .select(*group, "strict", "m.*")
+        .groupBy(*group, "strict", "d")
+        .agg(number("starts").alias("starts"), number("ends").alias("ends"), number("points").alias("points"))
+    )
+    ended, p = F.sum("ends").over(_running(group)).cast(COUNT_TYPE), F.col("points")
+    # Ended on or before the start. A one-day interval would meet itself there, and two on the same day would be
+    # subtracted from both sides, hence the correction: p itself and p*(p-1)/2 once.
+    apart = F.when(F.col("strict"), F.col("starts") * F.col("ended") - p - (p * (p - 1) / 2)).otherwise(
+        F.col("starts") * (F.col("ended") - F.col("ends"))
     )
-    ended = F.sum("ends").over(_running(by))
-    if strict:
-        # Ended on or before the start. A one-day interval would meet itself there, and two on the same
-        # day would be subtracted from both sides, hence the correction: p itself and p*(p-1)/2 once.
-        p = F.col("points")
-        apart = F.col("starts") * F.col("ended") - p - (p * (p - 1) / 2)
-    else:
-        apart = F.col("starts") * (F.col("ended") - F.col("ends"))
     totals = (
-        dates.withColumn("ended", ended.cast(COUNT_TYPE))
+        dates.withColumn("ended", ended)
         .withColumn("apart", apart.cast(COUNT_TYPE))
-        .groupBy(*by)
+        .groupBy(*group)
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
-        .select(*by, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
+        .select(*group, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    inverted = _enclosing_counts(_as_intervals(df, start, end, by), strict, by)
-    totals = totals.unionByName(inverted).groupBy(*by).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
+    totals = totals.unionByName(_enclosing_counts(spans, group)).groupBy(*group).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
     return totals.filter(F.col("pairs") > 0)
 
 
-def _enclosing_counts(spans: DataFrame, strict: bool, by: list[str]) -> DataFrame:
+def _enclosing_counts(spans: DataFrame, group: list[str]) -> DataFrame:
     """Pairs of an inverted interval (start after end) and a proper one of the same key around it.
 
     A pair counts when proper.s < inverted.e and proper.e > inverted.s (or <=, >=). That is a count over
     two inequalities. The first becomes an equality: a proper start, as its day number from the lowest one,
-    is filed under its binary prefixes (12 of them for ten years), and "start below x" is the disjoint union
+    is filed under its binary prefixes (22 of them for all days), and "start below x" is the disjoint union
     of at most as many prefixes. The second is a running total over dates. Only keys that hold an inverted
-    interval take part.
+    interval take part. ``spans`` lie by ``group``, so nothing moves here.
     """
-    inverted = spans.filter("s > e")
-    proper = spans.filter("s <= e").join(inverted.select(*by).distinct(), by, "left_semi")
     low, width = F.expr("DATE'0001-01-01'"), (dt.date.max - dt.date.min).days + 1
-    levels = F.explode(F.sequence(F.lit(0), F.lit(width.bit_length() - 1))).alias("level")
-    unknown = F.lit(None).cast(COUNT_TYPE)
-
-    filed = proper.select(
-        *by, F.datediff("s", low).alias("x"), levels, F.col("e").alias("d"), F.col("n").cast(COUNT_TYPE).alias("n")
-    ).select(*by, "level", F.expr("shiftright(x, level)").alias("node"), "d", "n", unknown.alias("asked"))
-
+    concerned = spans.withColumn("inverted", F.col("s") > F.col("e")).withColumn("any", F.max("inverted").over(Window.partitionBy(*group)))
     # "start < x" for strict; "start <= x" is "start < x + 1". Beyond the highest start nothing is left to count.
-    below = F.datediff("e", low) + F.lit(0 if strict else 1)
-    asked = inverted.select(
-        *by,
-        F.least(F.greatest(below, F.lit(0)), F.lit(width)).alias("x"),
-        levels,
-        F.col("s").alias("d"),
-        F.col("n").cast(COUNT_TYPE).alias("asked"),
-    )
-    asked = asked.filter(F.expr("shiftright(x, level) % 2 = 1")).select(
-        *by, "level", F.expr("shiftright(x, level) - 1").alias("node"), "d", unknown.alias("n"), "asked"
+    below = F.datediff("e", low) + F.when(F.col("strict"), 0).otherwise(1)
+    x = F.when(F.col("inverted"), F.least(F.greatest(below, F.lit(0)), F.lit(width))).otherwise(F.datediff("s", low))
+    levels = F.sequence(F.lit(0), F.lit(width.bit_length() - 1))
+    filed = (
+        concerned.filter("any")
+        .withColumn("x", x)
+        .withColumn("level", F.explode(levels))
+        .filter("NOT inverted OR shiftright(x, level) % 2 = 1")
+        .select(
+            *group,
+            "strict",
+            "level",
+            F.expr("shiftright(x, level) - IF(inverted, 1, 0)").alias("node"),
+            F.when(F.col("inverted"), F.col("s")).otherwise(F.col("e")).alias("d"),
+            F.when(~F.col("inverted"), F.col("n")).cast(COUNT_TYPE).alias("n"),
+            F.when(F.col("inverted"), F.col("n")).cast(COUNT_TYPE).alias("asked"),
+        )
     )
-    group = [*by, "level", "node"]
-    events = filed.unionByName(asked).groupBy(*group, "d").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
-    later = Window.partitionBy(*group).orderBy(F.col("d").desc())
+    node = [*group, "strict", "level", "node"]
+    events = filed.groupBy(*node, "d").agg(F.coalesce(F.sum("n"), F.lit(0)).cast(COUNT_TYPE).alias("n"), F.sum("asked").alias("asked"))
     # Proper ends after the inverted start: strictly later dates, or that date as well.
-    frame = later.rowsBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
+    later = F.sum("n").over(Window.partitionBy(*node).orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        events.withColumn("around", F.coalesce(F.sum("n").over(frame), F.lit(0)).cast(COUNT_TYPE))
+        events.withColumn("around", (later - F.when(F.col("strict"), F.col("n")).otherwise(0)).cast(COUNT_TYPE))
         .filter(F.col("asked").isNotNull())
-        .groupBy(*by)
+        .groupBy(*group)
         .agg(F.sum(F.col("asked") * F.col("around")).cast(COUNT_TYPE).alias("pairs"))
     )
 

@@ -160,8 +160,9 @@ def foreign_key_violations(facts: dict[str, DataFrame], dims: dict[str, DataFram
 
 def orphan_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Keys of the fact that miss at least one dimension, with their number of rows ``n``."""
-    flags = " OR ".join(f"{c}_unknown" for c in DIMENSION_OF)
-    return flag_unknown_members(key_counts(fact), dims).filter(flags).select(*KEY, "n")
+    missing = " OR ".join(f"NOT EXISTS (SELECT 1 FROM {{{table}}} d WHERE d.{column} = k.{column})" for column, table in DIMENSION_OF.items())
+    asked = {table: dims[table] for table in DIMENSION_OF.values()}
+    return fact.sparkSession.sql(f"SELECT {', '.join(KEY)}, n FROM {{per_key}} k WHERE {missing}", per_key=key_counts(fact), **asked)
 
 
 def orphan_rows(fact: DataFrame, dims: dict[str, DataFrame], label: str, row_id: str) -> DataFrame:

@@ -703,6 +703,9 @@ _QUERIES: dict[str, str] = {
     f" AND (SELECT count(*) FROM fact_price WHERE price < 0) + {_total_pairs('fact_price', 'price_hist_id', 'effective_start', 'effective_end', '<')} = 0 THEN 'PASS' ELSE 'FAIL' END",
     "override_demo": f"SELECT price_hist_id, {K}, CAST(price + 1 AS DOUBLE) AS old_price, CAST(price + 6.5 AS DOUBLE) AS new_price, 'pricing desk' AS changed_by,"
     " '2001-08-02 00:00:00' AS changed_at FROM fact_price WHERE price_hist_id = (SELECT min(price_hist_id) FROM fact_price WHERE effective_end IS NULL)",
+    "override_defaults": f"SELECT price_hist_id, 'string' AS by_type, TRUE AS by_known, 'timestamp' AS at_type, TRUE AS at_known FROM ({_OVERRIDES})",
+    "stream_refresh": "SELECT region_code, channel_code, CAST(count(*) AS BIGINT) AS row_count, CAST(count(*) FILTER (effective_end IS NULL) AS BIGINT) AS open_rows,"
+    " CAST(sum(price) AS DOUBLE) AS total_price, CAST(sum(effective_end - effective_start) AS BIGINT) AS closed_days, TRUE AS stamped FROM fact_price GROUP BY region_code, channel_code",
     "late_arrivals": f"SELECT 'price' AS kind, {K}, effective_start AS on_date, CAST(price AS DOUBLE) AS amount, CAST({AS_OF} - effective_start AS INTEGER) AS days_late"
     f" FROM stg_price WHERE {AS_OF} - effective_start >= 30 UNION ALL SELECT 'sale', {K}, sale_date, CAST(net_sales AS DOUBLE), CAST({AS_OF} - sale_date AS INTEGER)"
     f" FROM stg_sales WHERE {AS_OF} - sale_date >= 30",

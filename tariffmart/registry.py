@@ -22,7 +22,7 @@ from tariffmart.plans.workspace import Workspace, workspace
 from tariffmart.schemas import CONTRACTS, DISCOUNT_COLUMNS, KEY, PRICE_COLUMNS, SALE_COLUMNS, SCHEMAS
 from tariffmart.session import scratch_path, written
 from tariffmart.sources import generators, given, inline, tables
-from tariffmart.streaming import late
+from tariffmart.streaming import arrivals, late
 
 AS_OF = given.AS_OF
 LOADED_AT = given.LOADED_AT
@@ -841,6 +841,19 @@ def override_demo(w: Workspace) -> DataFrame:
     return overrides.override_demo(w.facts["fact_price_history"], "pricing desk", SECOND).drop("reason")
 
 
+@query
+def override_defaults(w: Workspace) -> DataFrame:
+    """The log of changed prices with the session's user and clock."""
+    log = price_overrides(w.facts["fact_price_history"], _raised(w))
+    return log.select(
+        "price_hist_id",
+        F.typeof("changed_by").alias("by_type"),
+        (F.length("changed_by") > 0).alias("by_known"),
+        F.typeof("changed_at").alias("at_type"),
+        F.col("changed_at").isNotNull().alias("at_known"),
+    )
+
+
 # --- late arrivals ---------------------------------------------------------------------------------
 
 
@@ -859,3 +872,21 @@ def late_arrivals(w: Workspace) -> DataFrame:
 def late_repair(w: Workspace) -> DataFrame:
     late_rows = F.col("source_system") == "LATE_LOAD_SYS"
     return late.late_repair(w.unrepaired.filter(~late_rows), w.unrepaired.filter(late_rows))
+
+
+@query
+def stream_refresh(w: Workspace) -> DataFrame:
+    """Staged prices that arrive in three drops of files, the one between the others last, each loaded by the stream."""
+    store_ = w.fresh_store()
+    folder, checkpoint = scratch_path(w.spark, "arrivals"), scratch_path(w.spark, "stream")
+    begins = F.year("effective_start")
+    for arrived in (begins.isNull() | (begins < 1996), begins >= 1999, begins.between(1996, 1998)):
+        tables.append_rows(w.staging["stg_price_history"].filter(arrived), f"{folder}/stg_price_history")
+        arrivals.stream_refresh(store_, lambda: w.dims, folder, checkpoint, "stg_price_history").awaitTermination()
+    return store_.table("fact_price_history").groupBy("region_code", "channel_code").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("effective_end").isNull()).alias("open_rows"),
+        F.sum("price").alias("total_price"),
+        F.sum(F.datediff("effective_end", "effective_start")).alias("closed_days"),
+        F.bool_and(F.col("created_at").isNotNull()).alias("stamped"),
+    )
