@@ -41,6 +41,14 @@ SIDE_PART = re.compile(
 #: Before the name of a side part, these say what an element has, lacks or is about; after it, in what state something else is.
 MODIFIERS = frozenset("has no not non with without is in under hide show category cat tag tagged topic type format status".split())
 STATES = frozenset("open opened closed on off enabled disabled allowed active visible hidden collapsed expanded true false".split())
+#: A side part counts as the whole name or beside words that say no more than where it stands or what it is made of.
+COMPANIONS = frozenset(
+    "area article articles bar block blocks bottom box button buttons col column container content count desktop entry form global group icon icons"
+    " inline inner item items left level link links list main mobile news outer page panel post posts primary right row secondary section sections"
+    " site slot stories story text the top unit widget widgets wrap wrapper".split()
+)
+#: These say by themselves that they are text, whatever their name.
+SPOKEN = frozenset("p h1 h2 h3 h4 h5 h6".split())
 #: Readers' own words can be longer than the text they are about.
 REPLIES = re.compile(r"comments?|disqus|replies|respond")
 
@@ -53,18 +61,23 @@ MAKERS = frozenset("css sc jss jsx emotion svelte makestyles".split())
 def side_parts(value: str) -> list[str]:
     """The parts of class, id or role tokens by which an element stands beside the text: sidebar, site-header, ad-box.
 
-    Tokens that tell what a wrapper has, lacks or is about (has-sidebar, no-comments, category-social, menu-open) do not count.
+    Tokens that tell what a wrapper has, lacks or is about (has-sidebar, no-comments, category-social, menu-open) do not
+    count, nor do those where another word makes it a subject (share-price, search-history).
     """
     named = []
     for token in value.lower().split():
         parts = re.split(r"[-_]+", token)
         if parts[-1] in STATES:
             continue
+        found, alone = [], True
         for part in parts:
             if part in MODIFIERS:
                 break
             if SIDE_PART.fullmatch(part):
-                named.append(part)
+                found.append(part)
+            elif part not in COMPANIONS and not part.isdigit() and not MADE.fullmatch(part):
+                alone = False
+        named += found if alone else []
     return named
 
 
@@ -150,9 +163,9 @@ def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tu
                 if tag in ARTICLE or parent in in_article:
                     in_article.add(inside)
             if not attributes.rstrip().endswith("/"):
-                if tag in NEVER or tag in ASIDE or parts and tag not in ("html", "body", *ARTICLE):
+                if tag in NEVER or tag in ASIDE or parts and tag not in ("html", "body", *ARTICLE) and tag not in SPOKEN:
                     replies = parts and all(map(REPLIES.fullmatch, parts)) and tag not in ASIDE
-                    sides.append((side, "never" if tag in NEVER else "replies" if replies else "side"))
+                    sides.append((side, "never" if tag in NEVER else "replies" if replies else "side" if tag in ASIDE else "named"))
                     side = len(sides) - 1
                 open_.append((tag, inside, side))
             if tag in RAW:
@@ -167,19 +180,25 @@ def blocks(page: str, tree: dict[int, tuple[int, str]] | None = None) -> list[tu
 def dropped(spoken: list[tuple[int, float, bool]], sides: list[tuple[int, str]]) -> list[bool]:
     """Of each element beside the text, whether it is left out, from (element, prose, in an article or main) of all blocks.
 
-    On a page whose article or main holds prose outside such elements, all are. Else those that hold most of the page's prose
-    stay, as wrappers or as elements that were never closed; readers' comments stay only if nothing else holds prose.
+    Those that hold most of the page's prose stay, as wrappers or as elements that were never closed; readers' comments stay
+    only if nothing else holds prose. On a page whose article or main holds prose outside such elements, only those stay that
+    lie inside it, hold most of the prose and stand beside the text by name alone.
     """
-    if any(p and article and not side for side, p, article in spoken):
-        return [False, *[True] * (len(sides) - 1)]
-    held = [0.0] * len(sides)
-    for side, p, _ in spoken:
+    settled = any(p and article and not side for side, p, article in spoken)
+    held, within = [0.0] * len(sides), [False] * len(sides)
+    for side, p, article in spoken:
         held[side] += p
+        within[side] |= bool(p and article)
     for i in range(len(sides) - 1, 0, -1):
         held[sides[i][0]] += held[i]
+        within[sides[i][0]] |= within[i]
     gone = [False]
     for i, (outer, kind) in enumerate(sides[1:], 1):
-        spared = kind == "side" and 2 * held[i] > held[0] or kind == "replies" and 0 < held[0] == held[i]
+        most = 2 * held[i] > held[0]
+        if settled:
+            spared = kind == "named" and most and within[i]
+        else:
+            spared = kind in ("side", "named") and most or kind == "replies" and 0 < held[0] == held[i]
         gone.append(gone[outer] or not spared)
     return gone
 
@@ -231,14 +250,23 @@ def ballot(page: str | None, whole: float) -> tuple[list[int], list[int]]:
 
 
 def extract(page: str | None, chosen: list[int] | None, whole: float = 0.98) -> str:
-    """The blocks inside the chosen containers; without any, those of the container the page itself votes for."""
+    """The blocks inside the chosen containers; without any, those of the container the page itself votes for.
+
+    Text that lies in the body itself beside a container, like a headline, a lead or a closing paragraph, belongs to it,
+    unless the container is an article or main element, which tell where they begin and end.
+    """
     tree: dict[int, tuple[int, str]] = {}
     found = blocks(page or "", tree)
     chosen = chosen or ballot(page, whole)[0][:1]
     inside = {ROOT: ROOT in chosen}
     for container, (parent, _) in tree.items():
         inside[container] = container in chosen or inside[parent]
-    return "\n\n".join(text for container, text, _ in found if inside[container])
+    beside: set[int] = set()
+    for container in set(chosen) & tree.keys():
+        around = outwards(container, tree)
+        if not any(c != ROOT and tree[c][1] in ARTICLE for c in around):
+            beside.update(c for c in around if c == ROOT or tree[c][1] == "body")
+    return "\n\n".join(text for container, text, linked in found if inside[container] or container in beside and prose(text, linked))
 
 
 def main_text(pages: DataFrame, share: float = 0.25, whole: float = 0.98, backing: int = 2) -> DataFrame:

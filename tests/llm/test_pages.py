@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tariffmart.llm.main_text import blocks, extract, general, main_text
+from tariffmart.llm.main_text import blocks, extract, general, main_text, side_parts
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,30 @@ def test_made_class_names_are_one_container(pages):
     odd = "<div class=links><p>" + "long text about other things, and others. " * 30 + "</p></div>"
     rows = [(i, f"http://h.example/{i}", page(i)) for i in range(9)] + [(9, "http://h.example/9", page(9, odd))]
     assert {r["text"] for r in main_text(pages(*rows)).collect()} == {"The text of it, at length."}
+
+
+PROSE = "<p>" + "Words of the article, at length, and more of them. " * 30 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page,kept",
+    [
+        (f"<body><nav><a href=/>Home</a></nav><h1>Headline</h1><div class=content>{PROSE}</div><footer>Foot.</footer></body>", ["Headline"]),
+        (f"<body><p>A lead.</p><div class=content>{PROSE}</div><p>The closing.</p><div class=sidebar><p>Foot.</p></div></body>", ["A lead.", "The closing."]),
+        (f"<article><h1>T</h1>{PROSE}<div class='share-price'>{PROSE.replace('Words', 'Prices')}</div></article>", ["Prices"]),
+        (f"<article><h1>T</h1>{PROSE}<section class='search-history'>{PROSE.replace('Words', 'Searches')}</section></article>", ["Searches"]),
+        (f"<article><h1>T</h1>{PROSE}<p class='related-work'>Others did so.</p></article>", ["Others did so."]),
+        (f"<article><h2 id='social-history'>A history</h2>{PROSE}</article>", ["A history"]),
+        (f"<article><h2 id='search'>The search</h2>{PROSE}<div class='related-posts'><p>Foot.</p></div></article>", ["The search"]),
+        (f"<article><h1>T</h1><p>Short.</p><div class='widget'>{PROSE}</div><div class='comments'><p>Foot.</p></div></article><div class=ad>Foot.</div>", ["Short.", "Words of"]),
+    ],
+)
+def test_article_text_is_not_lost_to_names_or_places(pages, page, kept):
+    for got in (extract(page, None), main_text(pages(*[(i, f"http://h.example/{i}", page) for i in range(3)])).first()["text"]):
+        assert all(k in got for k in [*kept, "Words of the article"]) and "Foot." not in got and "Home" not in got
+
+
+def test_names_of_side_parts():
+    beside = ["sidebar", "site-header", "ad-box", "comment-list", "newsletter-signup", "main-nav", "cookie_notice", "related-posts", "page-footer", "social-share", "ad-728"]
+    about = ["share-price", "search-history", "related-work", "social-history", "has-sidebar", "menu-open", "header-image-study", "adverse", "tags-of-war"]
+    assert [n for n in beside if not side_parts(n)] == [] and [n for n in about if side_parts(n)] == []
