@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tariffmart.session import written
 
-__all__ = ["annotated", "argument", "by_bytes", "crc_fold", "given", "map_frames", "parts_for", "plain", "written"]
+__all__ = ["annotated", "argument", "by_bytes", "crc_fold", "given", "map_frames", "parts_for", "place_hash", "plain", "written"]
 
 
 BATCH_BYTES = 1 << 21  # of texts that a task turns into Python objects at a time
@@ -105,6 +105,11 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Itera
             at = end
 
 
+def place_hash() -> Column:
+    """A hash of where a row of a written table lies: it tells rows apart that are equal in all they hold."""
+    return F.xxhash64(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1), F.col("_metadata.row_index"))
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """How many parts of about ``per_part`` rows ``rows`` make, at least one."""
     return max(1, -(-rows // per_part))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument
+from tariffmart.llm.common import argument, parts_for, place_hash, written
 
 MOST_SOURCES = 100_000
 
@@ -65,30 +65,43 @@ class Mixture:
     budgets: list[float]
 
 
-def plan_mixture(totals: list[tuple[str | None, int]], budget_share: float, target_entropy: float, most_repeats: float) -> Mixture:
+def plan_mixture(totals: list[tuple[str | None, int]], budget_share: float | None, target_entropy: float, most_repeats: float) -> Mixture:
     """Weights for (source, tokens): entropy falls and repetition shrinks as the exponent grows.
 
     The exponent is the largest that still reaches ``target_entropy``, raised as far as ``most_repeats`` demands. A budget
-    beyond ``most_repeats`` passes over everything is cut to that.
+    beyond ``most_repeats`` passes over everything is cut to that. Without a ``budget_share`` the budget follows from the
+    weights: the least with which every source is passed over once, so nothing is left out and lighter sources repeat.
     """
     sources, tokens = [s for s, _ in totals], [n for _, n in totals]
     if not sum(tokens):
         return Mixture(1.0, sources, tokens, [0.0] * len(totals), [0.0] * len(totals))
-    budget = sum(tokens) * min(budget_share, most_repeats)
+
+    def budget(weights: list[float]) -> float:
+        if budget_share is None:
+            return max(n / w for n, w in zip(tokens, weights, strict=True) if n)
+        return sum(tokens) * min(budget_share, most_repeats)
+
     exponent = least_exponent(lambda a: entropy(tempered(tokens, a)) <= target_entropy)
-    slack = most_repeats * (1 + 1e-9)
-    exponent = max(exponent, least_exponent(lambda a: repeats(tokens, tempered(tokens, a), budget) <= slack))
+    slack = max(most_repeats, 1.0 if budget_share is None else 0.0) * (1 + 1e-9)
+    exponent = max(exponent, least_exponent(lambda a: repeats(tokens, tempered(tokens, a), budget(tempered(tokens, a))) <= slack))
     weights = tempered(tokens, exponent)
-    return Mixture(exponent, sources, tokens, weights, [budget * w for w in weights])
+    return Mixture(exponent, sources, tokens, weights, [whole_passes(budget(weights) * w, n) for w, n in zip(weights, tokens, strict=True)])
+
+
+def whole_passes(budget: float, tokens: int) -> float:
+    """The budget, or the whole passes over ``tokens`` that it is but for rounding."""
+    passes = round(budget / tokens) if tokens else 0
+    return float(passes * tokens) if abs(budget - passes * tokens) <= 1e-8 * tokens else budget
 
 
 def mix(
     docs: DataFrame,
     tokens: Column | None = None,
-    budget_share: float = 1.0,
+    budget_share: float | None = 1.0,
     target_entropy: float = 0.98,
     most_repeats: float = 4.0,
     block_rows: int = 1024,
+    blocks_together: int = 4096,
 ) -> DataFrame:
     """(row, pass, block, n_tokens, weight, place): the draws of the mixture, ``row`` a struct of the input's columns.
 
@@ -97,30 +110,39 @@ def mix(
     (null and empty texts) are never drawn; a null source is a source; repeated rows are rows of their own; an empty
     table gives no draws. A source gets its budget to within one row, or exactly whole passes.
 
-    A source's order is by blocks of about ``block_rows`` rows chosen by hash, so a pass is found from one sum for each
-    block, and only the block in which a budget ends is sorted by rows. The number of sources is taken to be at most
-    ``MOST_SOURCES``; more raise an error.
+    The rows are written once with their tokens. A source's order is by blocks of about ``block_rows`` rows chosen by a
+    hash of the row and its place in that table, so rows that are equal in all columns spread as well. A pass is found from
+    one sum for each block, added up for ``blocks_together`` of them at a time; only the block in which a budget ends is
+    sorted by rows. The number of sources is taken to be at most ``MOST_SOURCES``; more raise an error.
     """
     spark = docs.sparkSession
-    inner = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), (word_count(docs["text"]) if tokens is None else tokens.cast("long")).alias("n_tokens"))
-    inner = inner.where("n_tokens > 0").withColumn("key", F.when(F.col("row.source").isNull(), "-").otherwise(F.concat(F.lit("+"), "row.source")))
+    inner = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), (word_count(docs["text"]) if tokens is None else tokens.cast("long")).alias("n_tokens"), F.xxhash64(docs["doc_id"], F.xxhash64(docs["text"])).alias("seed"))
+    inner = written(inner.where("n_tokens > 0"), "mixture")
+    inner = inner.withColumn("at", place_hash()).withColumn("key", F.when(F.col("row.source").isNull(), "-").otherwise(F.concat(F.lit("+"), "row.source")))
     sums = inner.groupBy("key").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).limit(MOST_SOURCES + 1).collect()
     if len(sums) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     sums = sorted(sums, key=lambda r: r["key"])
     planned = plan_mixture([(r["key"], r["tokens"]) for r in sums], budget_share, target_entropy, most_repeats)
     plan = [
-        (r["key"], -(-r["rows"] // block_rows), r["tokens"], w, int(b + 1e-6))
+        (r["key"], parts_for(r["rows"], block_rows), r["tokens"], w, int(b + 1e-6))
         for r, w, b in zip(sums, planned.weights, planned.budgets, strict=True)
     ]
     sources = F.broadcast(spark.createDataFrame(plan, "key string, blocks long, tokens long, weight double, budget long"))
-    dealt = inner.join(sources, "key").withColumn("draw", F.xxhash64("row.doc_id", F.xxhash64("row.text")))
+    dealt = inner.join(sources, "key").withColumn("draw", F.xxhash64("seed", "at"))
     dealt = dealt.withColumn("block", F.pmod(F.col("draw"), F.col("blocks")))
 
     sizes = dealt.groupBy("key", "block").agg(F.sum("n_tokens").alias("size"), *[F.first(c).alias(c) for c in ("tokens", "budget", "blocks")])
     passes = F.sequence(F.lit(0).cast("long"), F.floor((F.col("budget") - 1) / F.col("tokens")))
     turns = sizes.where("budget > 0").withColumn("pass", F.explode(passes)).withColumn("turn", F.xxhash64("key", "block", "pass"))
-    order = Window.partitionBy("key", "pass").orderBy("turn", "block")
+    # blocks by turn, in ranges of turns: the sums of the ranges come first, then each range adds up its own blocks
+    share = (F.col("turn") / F.lit(2.0**64) + 0.5) * F.ceil(F.col("blocks") / F.lit(blocks_together))
+    turns = turns.withColumn("range", F.floor(share))
+    ranges = turns.groupBy("key", "pass", "range").agg(F.sum("size").alias("own"))
+    ranges = ranges.withColumn("earlier", F.sum("own").over(Window.partitionBy("key", "pass").orderBy("range")) - F.col("own"))
+    order = Window.partitionBy("key", "pass", "range").orderBy("turn", "block")
+    turns = turns.join(ranges.select("key", "pass", "range", "earlier"), ["key", "pass", "range"])
+    turns = turns.withColumn("before", F.col("earlier") + F.sum("size").over(order) - F.col("size"))
     until = F.least(F.col("tokens"), F.col("budget") - F.col("pass") * F.col("tokens"))
     turns = turns.select(
         "key",
@@ -128,8 +150,8 @@ def mix(
         "pass",
         "size",
         until.alias("until"),
-        (F.sum("size").over(order) - F.col("size")).alias("before"),
-        ((F.col("pass") * F.col("tokens") + F.sum("size").over(order) - F.col("size")) / F.col("budget")).alias("start"),
+        "before",
+        ((F.col("pass") * F.col("tokens") + F.col("before")) / F.col("budget")).alias("start"),
     ).where("before < until")
     whole = dealt.join(turns.where("before + size <= until").select("key", "block", "pass", "start"), ["key", "block"])
     cut = dealt.join(turns.where("before + size > until").select("key", "block", "pass", "before", "until", "start"), ["key", "block"])

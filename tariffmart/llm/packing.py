@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import annotated, argument, parts_for, written
+from tariffmart.llm.common import annotated, argument, parts_for, place_hash, written
 from tariffmart.llm.pieces import ODD_SPACE, Recent, byte_symbols, no_collection, tokenizer_file, vocabulary, words
 
 VOCABULARY = "word_bpe_49k.json"
@@ -186,13 +186,13 @@ def pack(
 
     A document is its ids and ``end``; null and empty texts are ``end`` alone. It is cut into full windows and pieces of
     at most ``longest`` ids, and each id lies in one piece. Each input row is a document of its own, so repeated rows
-    give repeated pieces; a null doc_id stays null. Pieces are dealt by a hash of the piece into groups of about
-    ``per_group``, so one long document or source is spread; each group is packed by itself, which costs less than a
-    window of padding for every group. Texts are encoded once and only lengths and checksums are shuffled.
+    give repeated pieces; a null doc_id stays null. Pieces are dealt by a hash of their place in the written table into
+    groups of about ``per_group``, so neither a long document or source nor rows that are equal in all columns fill one;
+    each group is packed by itself, which costs less than a window of padding for every group. Texts are encoded once and only lengths and checksums are shuffled.
     """
     pieces = written(token_pieces(docs, vocabulary_name, end, capacity, longest), "pieces")
     groups = parts_for(pieces.count(), per_group)
-    keyed = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    keyed = pieces.withColumn("group", F.pmod(place_hash(), F.lit(groups)))
 
     def packed(table: pa.Table) -> pa.Table:
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])

@@ -74,3 +74,19 @@ def test_edges(docs):
     got = mixture_draws(docs((1, None, None, "a"), (2, "", None, "a"), (3, "x", None, "b"), (3, "x", None, "b"), (None, "y z", None, None))).collect()
     assert {r["doc_id"] for r in got} <= {3, None} and all(r["n_tokens"] > 0 for r in got)
     assert mixture_draws(docs((1, "long " * 100_000, None, "a"))).first()["n_tokens"] == 100_000
+
+
+def test_a_budget_from_the_weights_leaves_nothing_out():
+    for tokens in ([9000, 900, 100], [5, 5, 5], [10**15, 3, 7, 10**12], [1], [0, 4]):
+        plan = plan_mixture(list(zip("abcd", tokens, strict=False)), None, 0.98, 2.0)
+        passes = [b / n for b, n in zip(plan.budgets, tokens, strict=True) if n]
+        assert min(passes) == 1.0 and max(passes) <= 2.0001
+    assert plan_mixture([("a", 9000), ("b", 900)], None, 0.5, 1.0).budgets == [9000.0, 900.0]
+
+
+def test_equal_rows_spread_over_blocks(docs):
+    rows = [(None, "same words again", None, "hot")] * 400 + [(i, "other words", None, "web") for i in range(200)]
+    got = mixture_draws(docs(*rows), budget_share=None, block_rows=16, blocks_together=4).collect()
+    sizes = Counter(r["block"] for r in got if r["source"] == "hot" and r["pass"] == 0)
+    assert sum(sizes.values()) == 400 and max(sizes.values()) <= 3 * 16 and len(sizes) > 12
+    assert Counter(r["doc_id"] for r in got if r["source"] == "web" and r["pass"] == 0) == Counter(range(200))

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import corpus_pipeline
 from llm.test_similar import brute
 
 from tariffmart.llm.common import written
+from tariffmart.llm.language import with_known_language
+from tariffmart.llm.mixing import plan_mixture
 from tariffmart.llm.queries import ORACLES, QUERIES
-from tariffmart.llm.toxicity import fit_toxicity, score_toxicity
+from tariffmart.llm.toxicity import Model, fit_toxicity, score_toxicity, without_toxic
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def words(row) -> int:
+    return len(re.findall(r"[^\x20\x09-\x0D]+", row["text"] or ""))
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, stages = docs.columns, corpus_pipeline.STAGES
@@ -25,8 +34,17 @@ def test_stages(spark):
     want = {c for _, _, c in brute([(r["doc_id"], r["text"]) for r in told.collect()])}
     assert sorted(r[0] for r in single.select("doc_id").collect()) == sorted(want)
     mixed = written(stages[3][1](spark, single, SMALL), "t3")
-    words = lambda df: sum(len(r["text"].split()) for r in df.collect())
-    assert 0.55 * words(single) < words(mixed) <= 0.81 * words(single)
+    before, after = single.collect(), mixed.collect()
+    assert {r["doc_id"] for r in after} == {r["doc_id"] for r in before if words(r)}  # every document that has a word
+    held, drawn = Counter(), Counter()
+    for rows, count in ((before, held), (after, drawn)):
+        for r in rows:
+            count[r["source"]] += words(r)
+    plan = plan_mixture(sorted(held.items()), None, 0.98, 2.0)
+    longest = max(map(words, before))
+    for source, budget in zip(plan.sources, plan.budgets, strict=True):
+        assert budget - longest <= drawn[source] <= budget + 1 and held[source] <= drawn[source] <= 2 * held[source] + 1
+    assert min(b / held[s] for s, b in zip(plan.sources, plan.budgets, strict=True)) == 1.0
     assert all(df.columns == columns for df in (clean, told, single, mixed))
     assert {r[0] for r in stages[4][1](spark, mixed, SMALL).select("doc_id").distinct().collect()} == {r["doc_id"] for r in mixed.collect()}
 
@@ -38,5 +56,14 @@ def test_run_and_empty_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+def test_columns_that_clash_with_an_operators_own(spark):
+    made = "doc_id long, text string, lang string, source string, score double, told string, toxicity_score double, language_told string, c0 string, c1 long"
+    docs = spark.createDataFrame([(1, "some plain words here", "en", "web", 0.9, "und", 0.9, "und", "x", 1)] * 3, made)
+    kept = without_toxic(docs, Model({}, -5.0))
+    assert kept.columns == docs.columns and kept.collect() == docs.collect()
+    assert without_toxic(docs, Model({}, 5.0)).count() == 0
+    assert with_known_language(docs, None).columns == docs.columns and with_known_language(docs, None).count() == 0
+
+
+def test_thirteen_operators_are_registered():
+    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)

@@ -122,3 +122,11 @@ def test_packing_edges(docs):
     twice = pack(docs((1, "same"), (1, "same"), (None, "x"))).collect()
     assert [r["length"] for r in twice] == [2, 2, 2] and len({(r["sequence_id"], r["offset"]) for r in twice}) == 3
     assert pack(docs()).collect() == []
+
+
+def test_equal_rows_spread_over_groups(docs):
+    seen = pack(docs(*[(None, "same words")] * 600), per_group=64).collect()
+    groups = {}
+    for r in seen:
+        groups[r["sequence_id"] >> 32] = groups.get(r["sequence_id"] >> 32, 0) + 1
+    assert sum(groups.values()) == 600 and max(groups.values()) <= 3 * 64
