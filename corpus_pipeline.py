@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As even as the sources allow when 80 % of the words are drawn and no document twice."""
-    return mix(docs, budget_share=0.8, target_entropy=1.0, most_repeats=1.0).select("row.*")
+    """Every document once, and the documents of light sources up to twice, towards an entropy of 0.98 of the sources."""
+    return mix(docs, budget_share=None, target_entropy=0.98, most_repeats=2.0).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
