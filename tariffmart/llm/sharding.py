@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, parts_for
+from tariffmart.llm.common import argument, written
+from tariffmart.operators.surrogate import with_surrogate_key
 
 SHARDS = 16
 #: Fixed value: the multiplier of the published generator, whose step is key * MULTIPLIER + 1 modulo 2**64.
@@ -70,15 +71,16 @@ def jump_sql(key: str, shards: int) -> str:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, per_range: int = 4096) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row of ``docs`` (doc_id, text).
 
     The law is ``key``: doc_id and the number of shards decide, and ``grown_shard``, the shard among one more, differs
     only where it is the new one. ``slot`` numbers a shard's rows from 0 in order of doc_id (nulls first), then size and
     checksum; rows equal in all of these may swap. Null texts have size 1 and checksum 0; a null doc_id is key 0.
 
-    Slots need no sort of a whole shard: rows are numbered within ranges of ids, of about ``per_range`` rows, and each
-    range starts where the ranges before it end.
+    Slots need no sort of a whole shard: the rows, without their texts, are written in ranges of (shard, doc_id, size,
+    checksum, place in the input) and numbered there, and a shard's first number is taken off. The ranges are cut by a
+    sample of that order, so neither an outlying id nor a third of all rows with one id and text fill one.
     """
     rows = argument(docs, "doc_id", "text").select(
         "doc_id",
@@ -86,26 +88,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, per_range: int = 4096
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"),
         jump_shard(F.col("doc_id"), shards).alias("shard"),
         jump_shard(F.col("doc_id"), shards + 1).alias("grown_shard"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = float(low or 0), float(high or 0)
-    width = max(1.0, (high - low + 1) / parts_for(n, per_range))
-    ranged = rows.withColumn("range", F.coalesce(F.floor((F.col("doc_id").cast("double") - low) / width), F.lit(-1)))
-
-    sizes = ranged.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("rows"))
-    before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("shard", "range").orderBy(F.col("doc_id").asc_nulls_first(), "size", "text_crc32")
-    return (
-        ranged.withColumn("place", F.row_number().over(inside) - 1)
-        .join(starts, ["shard", "range"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("key").alias("law"),
-            "shard",
-            (F.col("first") + F.col("place")).cast("long").alias("slot"),
-            "grown_shard",
-        )
-    )
+    order = ["shard", F.col("doc_id").asc_nulls_first(), "size", "text_crc32", "place"]
+    numbered = with_surrogate_key(written(rows, "shards"), "number", order)
+    # one row for each shard
+    starts = numbered.groupBy("shard").agg(F.min("number").alias("first"))
+    slot = (F.col("number") - F.col("first")).cast("long").alias("slot")
+    law = F.lit("key").alias("law")
+    return numbered.join(F.broadcast(starts), "shard").select("doc_id", "size", "text_crc32", law, "shard", slot, "grown_shard")

@@ -62,6 +62,45 @@ def test_identity_terms_do_not_raise_scores(spark, docs):
     assert abs(model.score("A muslim walks.") - model.score("A christian walks.")) < 0.05
 
 
+def test_the_penalty_saves_neutral_mentions(spark, docs):
+    """One name of a kind goes with insults in the labelled rows: without the penalty neutral mentions are false alarms."""
+    draw = random.Random(4)
+    plain, insults = [f"plain{i}" for i in range(60)], ["idiot", "moron", "scum"]
+    rows, marks = [], []
+    for i in range(1500):
+        toxic = draw.random() < 0.3
+        words = draw.sample(plain, 6)
+        if draw.random() < 0.8:
+            words.append("refugees" if draw.random() < (0.9 if toxic else 0.05) else draw.choice(["locals", "natives", "foreigners"]))
+        if toxic and draw.random() < 0.6:
+            words.append(draw.choice(insults))
+        draw.shuffle(words)
+        rows.append((i, " ".join(words) + "."))
+        marks.append((i, 0, int(toxic)))
+    marks = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    neutral = [f"The refugees came to {a} with {b}." for a, b in zip(plain[:30], plain[30:], strict=True)]
+    spoken = [f"You {w}, {p}." for w in insults for p in plain[:10]]
+    alarms = {}
+    for fairness in (0.0, 10.0):
+        model = fit_toxicity(docs(*rows), marks, fairness=fairness)
+        alarms[fairness] = sum(model.score(t) >= 0.3 for t in neutral)
+        assert sum(model.score(t) >= 0.3 for t in spoken) >= 0.9 * len(spoken)
+    assert alarms[0.0] >= 0.9 * len(neutral) and alarms[10.0] <= 0.1 * len(neutral)
+
+
+def test_scores_equal_a_plain_reading_of_the_model(spark, given_docs, labels):
+    """Each document by itself: the weights of all its words and beginnings, added up."""
+    import math
+
+    model = fit_toxicity(given_docs, labels)
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(given_docs, model).collect()}
+    for r in given_docs.limit(400).collect():
+        words = set(toxicity.LETTERS.findall((r["text"] or "").lower()))
+        held = words | {w[:n] + "*" for w in words for n in toxicity.BEGINNINGS if len(w) > n}
+        total = model.bias + sum(model.weights.get(f, 0.0) for f in held)
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
 def test_toxicity_edges(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     frame = docs((1, None), (1, None), (2, ""), (None, "x " * 100_000))

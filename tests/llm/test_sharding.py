@@ -27,7 +27,7 @@ def test_jumps_equal_the_published_rule(spark):
 
 def test_slots_are_gapless_and_growth_moves_into_the_new_shard_only(spark):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = shard_documents(given, per_range=50).collect()
+    got = shard_documents(given).collect()
     texts = {r["doc_id"]: r["text"] for r in given.collect()}
     assert all(r["size"] == len(texts[r["doc_id"]].encode()) + 1 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in got)
     assert all(r["grown_shard"] in (r["shard"], 16) for r in got)
@@ -38,10 +38,19 @@ def test_slots_are_gapless_and_growth_moves_into_the_new_shard_only(spark):
 
 
 def test_edges(docs):
-    got = shard_documents(docs((None, "a"), (1, None), (1, None), (1, ""), (10**17, "é" * 100_000), (-5, "b")), per_range=2).collect()
+    got = shard_documents(docs((None, "a"), (1, None), (1, None), (1, ""), (10**17, "é" * 100_000), (-5, "b"))).collect()
     assert len(got) == 6 and {r["shard"] for r in got if r["doc_id"] == 1} == {jump(1, 16)}
     assert next(r for r in got if r["doc_id"] is None)["shard"] == jump(0, 16)
     assert next(r for r in got if r["doc_id"] == 10**17)["size"] == 200_001
     for shard, n in Counter(r["shard"] for r in got).items():
         assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(n))
     assert shard_documents(docs()).collect() == []
+
+
+def test_neither_an_outlying_id_nor_equal_rows_fill_a_range(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id = 1 THEN 4000000000000000000 ELSE id END AS doc_id", "IF(id % 3 = 0, 'same', concat('t', id)) AS text")
+    got = shard_documents(rows.repartition(5))
+    for shard, n in Counter(r["shard"] for r in got.collect()).items():
+        assert sorted(r["slot"] for r in got.where(f"shard = {shard}").collect()) == list(range(n))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # no group is sorted as one
