@@ -121,7 +121,9 @@ def fit_toxicity(
     ``labels`` has doc_id and toxic; null labels are left out, and of several labels of an id the largest counts.
     All distinct pairs of a sentence and a swapped form of the sample count; the driver gets one row for each difference
     that a swap makes, as few as there are names and words that share their beginnings.
-    Features are those that toxic rows of the sample hold clearly more often, and the names in ``terms``. Without
+    Features are the names in ``terms`` and at most ``most_features`` words and beginnings of words: those that three or
+    more toxic rows of the sample hold and that are toxic in half of their rows, the furthest above the base rate first;
+    this bounds the model, not what is scored. Without
     labelled rows the model gives 0.5 everywhere; with one class alone, that class's share nearly.
     """
     usable = argument(labels, "doc_id", "toxic").where((crc_fold(F.col("doc_id"), folds) != held) & F.col("toxic").isNotNull())
