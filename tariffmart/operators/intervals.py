@@ -119,7 +119,9 @@ def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]],
         for kind, (df, start, end, strict) in tables.items()
     ]
     group = ["kind", *by]
-    spans = reduce(DataFrame.unionByName, rows).groupBy(*group, "strict", "s", "e").agg(F.count("*").alias("n")).repartition(*group)
+    ranges = reduce(DataFrame.unionByName, rows)
+    spans = ranges.groupBy(*group, "strict", "s", "e").agg(F.count("*").alias("n")).repartition(*group)
+    inverted = ranges.filter("s > e").select(*group).distinct()
 
     none = F.lit(0).cast("long")
     point = F.when(F.col("s") == F.col("e"), F.col("n")).otherwise(none)
@@ -148,28 +150,27 @@ def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]],
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
         .select(*group, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    totals = totals.unionByName(_enclosing_counts(spans, group)).groupBy(*group).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
+    totals = totals.unionByName(_enclosing_counts(spans, inverted, group)).groupBy(*group).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
     return totals.filter(F.col("pairs") > 0)
 
 
-def _enclosing_counts(spans: DataFrame, group: list[str]) -> DataFrame:
+def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str]) -> DataFrame:
     """Pairs of an inverted interval (start after end) and a proper one of the same key around it.
 
     A pair counts when proper.s < inverted.e and proper.e > inverted.s (or <=, >=). That is a count over
     two inequalities. The first becomes an equality: a proper start, as its day number from the lowest one,
     is filed under its binary prefixes (22 of them for all days), and "start below x" is the disjoint union
     of at most as many prefixes. The second is a running total over dates. Only keys that hold an inverted
-    interval take part. ``spans`` lie by ``group``, so nothing moves here.
+    interval, those in ``inverted``, take part. ``spans`` lie by ``group``, so they do not move here.
     """
     low, width = F.expr("DATE'0001-01-01'"), (dt.date.max - dt.date.min).days + 1
-    concerned = spans.withColumn("inverted", F.col("s") > F.col("e")).withColumn("any", F.max("inverted").over(Window.partitionBy(*group)))
+    concerned = spans.join(inverted, group, "left_semi").withColumn("inverted", F.col("s") > F.col("e"))
     # "start < x" for strict; "start <= x" is "start < x + 1". Beyond the highest start nothing is left to count.
     below = F.datediff("e", low) + F.when(F.col("strict"), 0).otherwise(1)
     x = F.when(F.col("inverted"), F.least(F.greatest(below, F.lit(0)), F.lit(width))).otherwise(F.datediff("s", low))
     levels = F.sequence(F.lit(0), F.lit(width.bit_length() - 1))
     filed = (
-        concerned.filter("any")
-        .withColumn("x", x)
+        concerned.withColumn("x", x)
         .withColumn("level", F.explode(levels))
         .filter("NOT inverted OR shiftright(x, level) % 2 = 1")
         .select(
