@@ -100,7 +100,7 @@ def overlap_counts(df: DataFrame, start: str, end: str, strict: bool, by: list[s
 
     ``strict`` compares with ``<`` (touching days do not count), otherwise with ``<=``.
     """
-    return overlap_counts_by_kind({"": (df, start, end, strict)}, by).drop("kind")
+    return _overlaps(_ranges(df, start, end, by), by, F.lit(strict))
 
 
 def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]], by: list[str] = KEY) -> DataFrame:
@@ -112,15 +112,20 @@ def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]],
     over dates. An inverted interval overlaps exactly the proper ones that enclose it, counted by ``_enclosing_counts``;
     without any inverted interval adaptive execution finds that side empty and drops it.
     """
-    rows = [
-        df.filter(F.col(start).isNotNull())
-        .filter(_known_key(by))
-        .select(F.lit(kind).alias("kind"), F.lit(strict).alias("strict"), *by, F.col(start).alias("s"), end_or_open(end).alias("e"))
-        for kind, (df, start, end, strict) in tables.items()
-    ]
-    group = ["kind", *by]
-    ranges = reduce(DataFrame.unionByName, rows)
-    spans = ranges.groupBy(*group, "strict", "s", "e").agg(F.count("*").alias("n")).repartition(*group)
+    rows = [_ranges(df, start, end, by).withColumn("kind", F.lit(kind)) for kind, (df, start, end, _) in tables.items()]
+    strict = F.col("kind").isin([kind for kind, (*_, strict) in tables.items() if strict])
+    return _overlaps(reduce(DataFrame.unionByName, rows), ["kind", *by], strict)
+
+
+def _ranges(df: DataFrame, start: str, end: str, by: list[str]) -> DataFrame:
+    """(key, s, e) of the rows with a key and a start; a NULL end never ends."""
+    rows = df.filter(F.col(start).isNotNull()).filter(_known_key(by))
+    return rows.select(*by, F.col(start).alias("s"), end_or_open(end).alias("e"))
+
+
+def _overlaps(ranges: DataFrame, group: list[str], strict: Column) -> DataFrame:
+    """The pairs of each group; ``strict`` may depend on it."""
+    spans = ranges.groupBy(*group, "s", "e").agg(F.count("*").alias("n")).repartition(*group)
     inverted = ranges.filter("s > e").select(*group).distinct()
 
     none = F.lit(0).cast("long")
@@ -132,15 +137,15 @@ def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]],
     number = lambda name: F.sum(F.col(name)).cast(COUNT_TYPE)
     dates = (
         spans.filter("s <= e")
-        .select(*group, "strict", F.explode(marks).alias("m"))
-        .select(*group, "strict", "m.*")
-        .groupBy(*group, "strict", "d")
+        .select(*group, F.explode(marks).alias("m"))
+        .select(*group, "m.*")
+        .groupBy(*group, "d")
         .agg(number("starts").alias("starts"), number("ends").alias("ends"), number("points").alias("points"))
     )
     ended, p = F.sum("ends").over(_running(group)).cast(COUNT_TYPE), F.col("points")
     # Ended on or before the start. A one-day interval would meet itself there, and two on the same day would be
     # subtracted from both sides, hence the correction: p itself and p*(p-1)/2 once.
-    apart = F.when(F.col("strict"), F.col("starts") * F.col("ended") - p - (p * (p - 1) / 2)).otherwise(
+    apart = F.when(strict, F.col("starts") * F.col("ended") - p - (p * (p - 1) / 2)).otherwise(
         F.col("starts") * (F.col("ended") - F.col("ends"))
     )
     totals = (
@@ -150,11 +155,11 @@ def overlap_counts_by_kind(tables: dict[str, tuple[DataFrame, str, str, bool]],
         .agg(F.sum("starts").cast(COUNT_TYPE).alias("rows"), F.sum("apart").cast(COUNT_TYPE).alias("apart"))
         .select(*group, (F.col("rows") * (F.col("rows") - 1) / 2 - F.col("apart")).cast(COUNT_TYPE).alias("pairs"))
     )
-    totals = totals.unionByName(_enclosing_counts(spans, inverted, group)).groupBy(*group).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
+    totals = totals.unionByName(_enclosing_counts(spans, inverted, group, strict)).groupBy(*group).agg(F.sum("pairs").cast(COUNT_TYPE).alias("pairs"))
     return totals.filter(F.col("pairs") > 0)
 
 
-def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str]) -> DataFrame:
+def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str], strict: Column) -> DataFrame:
     """Pairs of an inverted interval (start after end) and a proper one of the same key around it.
 
     A pair counts when proper.s < inverted.e and proper.e > inverted.s (or <=, >=). That is a count over
@@ -166,7 +171,7 @@ def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str]) -
     low, width = F.expr("DATE'0001-01-01'"), (dt.date.max - dt.date.min).days + 1
     concerned = spans.join(inverted, group, "left_semi").withColumn("inverted", F.col("s") > F.col("e"))
     # "start < x" for strict; "start <= x" is "start < x + 1". Beyond the highest start nothing is left to count.
-    below = F.datediff("e", low) + F.when(F.col("strict"), 0).otherwise(1)
+    below = F.datediff("e", low) + F.when(strict, 0).otherwise(1)
     x = F.when(F.col("inverted"), F.least(F.greatest(below, F.lit(0)), F.lit(width))).otherwise(F.datediff("s", low))
     levels = F.sequence(F.lit(0), F.lit(width.bit_length() - 1))
     filed = (
@@ -175,7 +180,6 @@ def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str]) -
         .filter("NOT inverted OR shiftright(x, level) % 2 = 1")
         .select(
             *group,
-            "strict",
             "level",
             F.expr("shiftright(x, level) - IF(inverted, 1, 0)").alias("node"),
             F.when(F.col("inverted"), F.col("s")).otherwise(F.col("e")).alias("d"),
@@ -183,12 +187,12 @@ def _enclosing_counts(spans: DataFrame, inverted: DataFrame, group: list[str]) -
             F.when(F.col("inverted"), F.col("n")).cast(COUNT_TYPE).alias("asked"),
         )
     )
-    node = [*group, "strict", "level", "node"]
+    node = [*group, "level", "node"]
     events = filed.groupBy(*node, "d").agg(F.coalesce(F.sum("n"), F.lit(0)).cast(COUNT_TYPE).alias("n"), F.sum("asked").alias("asked"))
     # Proper ends after the inverted start: strictly later dates, or that date as well.
     later = F.sum("n").over(Window.partitionBy(*node).orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        events.withColumn("around", (later - F.when(F.col("strict"), F.col("n")).otherwise(0)).cast(COUNT_TYPE))
+        events.withColumn("around", (later - F.when(strict, F.col("n")).otherwise(0)).cast(COUNT_TYPE))
         .filter(F.col("asked").isNotNull())
         .groupBy(*group)
         .agg(F.sum(F.col("asked") * F.col("around")).cast(COUNT_TYPE).alias("pairs"))
