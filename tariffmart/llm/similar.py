@@ -6,7 +6,10 @@ a document is compared only with the band of sizes that the threshold allows. Bi
 follows the size, bound the overlap from above by their differing bits; what the bound leaves is checked on the sets.
 
 The order puts very frequent shingles last. Which ones these are is a matter of cost alone: the result is exact for any
-order. Equal sets are one node from the start, and within a tile a document that is linked already is not compared again
+order. A set whose prefix reaches its frequent shingles has all its rare ones there too. So if the first shingle that two
+sets share is a frequent one, they share no rare one, and whether they link follows from their frequent shingles and
+sizes alone. Sets that agree in both form a class, and classes are compared in place of sets: pages of one template with
+words of their own are one class, however many there are. Equal sets are one node from the start, and within a tile a document that is linked already is not compared again
 from its own group, so copies never expand into pairs.
 """
 
@@ -17,6 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,19 +95,16 @@ def bounded_groups(sizes: np.ndarray, bitmaps: list[bytes], percent: int) -> lis
     def near(i: int, open_: np.ndarray, tables: dict) -> np.ndarray:
         """Which of the ``open_`` positions may be similar to i; the wider bitmap of a pair is folded."""
         hit = np.zeros(len(open_), bool)
-        for own in np.unique(np.minimum(words[open_], words[i])):
-            of = np.flatnonzero(np.minimum(words[open_], words[i]) == own)
+        least = np.minimum(words[open_], words[i])
+        for own in np.unique(least):
+            if own not in tables:  # every bitmap that is at least as wide, folded once for the tile
+                tables[own] = np.array([folded(r, own) if len(r) >= own else np.zeros(own, "<u8") for r in raw])
+            of = np.flatnonzero(least == own)
             js = open_[of]
-            differ = np.bitwise_count(table(own, js, tables) ^ folded(raw[i], own)).sum(1).astype(np.int64)
+            differ = np.bitwise_count(tables[own][js] ^ tables[own][i]).sum(1).astype(np.int64)
             hit[of] = differ <= sizes[i] + sizes[js] - 2 * needed(sizes[i], sizes[js], percent)
         return open_[hit]
 
-    def table(own: int, js: np.ndarray, tables: dict) -> np.ndarray:
-        for j in js:
-            if (own, j) not in tables:
-                tables[own, j] = folded(raw[j], own)
-        return np.array([tables[own, j] for j in js])
-
     raw = [np.frombuffer(b, "<u8") for b in bitmaps]
     words = np.array([len(r) for r in raw])
     return grown(sizes, percent, near)
@@ -206,17 +207,34 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
     total = signed.count()
     hot = marked.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times"))
     # bounded by the limit; the rest keeps its place in the order
-    last = hot.where(F.col("times") >= max(16, total // 1024)).orderBy(F.desc("times"), "hot").limit(100_000)
+    last = hot.where(F.col("times") >= max(16, min(tile_rows, total // 1024))).orderBy(F.desc("times"), "hot").limit(100_000)
     last = np.sort(np.array([r["hot"] for r in last.select("hot").collect()], np.int64))
 
     prefix = prefixes(slim, words, percent, last)
     lists = written(shared_lists(prefix.repartition("shingle", "salt"), tile_rows), "lists")
-    small = lists.where("tile is not null").select("tile", "node").distinct()
-    big = lists.where("tile is null").select("shingle", "node").distinct()
-    links = written(tile_links(small, signed, slim, words, percent), "tile-links")
-    if not big.isEmpty():
-        links = links.union(written(hub_links(big, signed, slim, words, percent, tile_rows), "hub-links"))
-        links = links.union(written(rest_links(big, links, signed, slim, words, percent, tile_rows), "rest-links"))
+
+    def of_texts(wanted: DataFrame) -> DataFrame:
+        return sets_of(wanted.join(signed.select("node", "doc_id", "mark"), "node"), slim, words)
+
+    def links_of(lists: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        small = lists.where("tile is not null").select("tile", "node").distinct()
+        big = lists.where("tile is null").select("shingle", "node").distinct()
+        links = written(tile_links(small, signed, sets, percent), "tile-links")
+        if big.isEmpty():
+            return links
+        big = written(banded(big, signed, percent), "bands")
+        links = links.union(written(hub_links(big, signed, sets, percent, tile_rows), "hub-links"))
+        return links.union(written(rest_links(big, links, signed, sets, percent, tile_rows), "rest-links"))
+
+    links = links_of(lists.where("class is null"), signed, of_texts)
+    members = lists.where("class is not null")
+    classes = members.groupBy("class").agg(F.max("size").alias("size"), F.max("set").alias("set"), F.min("node").alias("least"))
+    classes = written(map_frames(classes, class_facts(percent), "node long, least long, n long, bits binary, set binary, self boolean, heads array<long>"), "classes")
+    if not classes.isEmpty():
+        heads = classes.select(F.explode("heads").alias("shingle"), F.lit(0).cast("long").alias("salt"), "node", *[F.lit(None).cast(t).alias(c) for c, t in CLASS])
+        met = written(shared_lists(heads.repartition("shingle", "salt"), tile_rows), "class-lists")
+        of_classes = written(links_of(met, classes.select("node", "n", "bits"), lambda wanted: wanted.join(classes.select("node", "set"), "node")), "class-links")
+        links = links.union(member_links(classes, of_classes, members))
 
     linked = components(links)
     own = signed.select("node", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark").alias("at"))
@@ -268,17 +286,23 @@ def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(facts, "doc_id long, mark long, n long, node long, bits binary, hot long, times long")
 
 
+CLASS = [("class", "long"), ("size", "long"), ("set", "binary")]
+
+
 def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
     """(shingle, salt, node) for the prefix of each set: so many of its first shingles that a similar set must share one.
 
-    Shingles in ``last`` come after all others. They are salted, since they may be in the prefix of very many sets.
+    Shingles in ``last`` come after all others and have no rows. A set whose prefix reaches them has one row with its
+    class, its size and, the first time a task meets the class, the frequent shingles; that row is dealt by its node.
     """
+    schema = "shingle long, salt long, node long, " + ", ".join(f"{c} {t}" for c, t in CLASS)
+    types = {"shingle": pa.int64(), "salt": pa.int64(), "node": pa.int64(), "class": pa.int64(), "size": pa.int64(), "set": pa.binary()}
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, seen = Shingler(words), set()
-        for frame in frames:
-            shingles, nodes, salts = [], [], []
-            for text in frame["text"]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, seen, known = Shingler(words), set(), set()
+        for batch in batches:
+            shingles, nodes, late_rows = [], [], []
+            for text in batch.column("text").to_pylist():
                 found = shingler.set(text)
                 if not len(found) or (node := digest(found)) in seen:
                     continue
@@ -287,62 +311,110 @@ def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Dat
                 seen.add(node)
                 own = found.view(np.int64)
                 late = np.isin(own, last) if len(last) else np.zeros(len(own), bool)
-                n = len(own) - -(-percent * len(own) // 100) + 1
-                first = np.concatenate([own[~late], own[late]])[:n]
+                first = own[~late][: len(own) - -(-percent * len(own) // 100) + 1]
                 shingles.append(first)
-                nodes.append(np.full(n, node))
-                salts.append(np.where(np.arange(n) < len(own) - late.sum(), 0, 1 + node % 64))
+                nodes.append(np.full(len(first), node))
+                if len(first) == len(own) - late.sum() < len(own) - -(-percent * len(own) // 100) + 1:
+                    kind = digest(np.append(found[late], np.uint64(len(own))))
+                    late_rows.append((node, kind, len(own), None if kind in known else found[late].tobytes()))
+                    if len(known) >= 1_000_000:
+                        known.clear()
+                    known.add(kind)
             if nodes:
-                yield pd.DataFrame({"shingle": np.concatenate(shingles), "salt": np.concatenate(salts), "node": np.concatenate(nodes)})
+                shingle = np.concatenate(shingles)
+                columns = {"shingle": shingle, "salt": np.zeros(len(shingle), np.int64), "node": np.concatenate(nodes)}
+                yield pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(len(shingle), t) for c, t in types.items()], list(types))
+            if late_rows:
+                of = dict(zip(("node", "class", "size", "set"), zip(*late_rows, strict=True), strict=True))
+                of["salt"] = of["node"]
+                yield pa.RecordBatch.from_arrays([pa.array(of[c], t) if c in of else pa.nulls(len(late_rows), t) for c, t in types.items()], list(types))
+
+    return docs.select("text").mapInArrow(cut, schema)
+
 
-    return docs.select("text").mapInPandas(cut, "shingle long, salt long, node long")
+def class_facts(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For rows (class, size, set, least): the class as a set of its own, and its frequent prefix.
+
+    The rare shingles, which no other class shares, stand in it as hashes of the class. So the Jaccard similarity of two
+    such sets decides for any two of their members that share no rare shingle. ``self`` tells whether members of the class
+    itself link by their frequent shingles; ``heads`` is the part of the prefix that is frequent.
+    """
+
+    def facts(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for kind, size, packed, least in zip(frame["class"], frame["size"], frame["set"], frame["least"], strict=True):
+            often, size = np.frombuffer(packed, np.uint64), int(size)
+            rare = size - len(often)
+            own = mixed(np.uint64(int(kind) & (1 << 64) - 1) + MIX * np.arange(1, rare + 1, dtype=np.uint64))
+            whole = np.sort(np.concatenate([often, own]))
+            heads = often[: size - -(-percent * size // 100) + 1 - rare].view(np.int64).tolist()
+            out.append((int(kind), least, size, bitmap(whole), whole.tobytes(), len(often) >= needed(size, size, percent), heads))
+        return pd.DataFrame(out, columns=["node", "least", "n", "bits", "set", "self", "heads"])
+
+    return facts
+
+
+def member_links(classes: DataFrame, links: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) that join the members of linked classes, and of classes that link by themselves, into one component.
+
+    Every member of one of two linked classes links with every member of the other, so both are in one component; each
+    member is tied to the smallest one of its class, and those of linked classes to each other.
+    """
+    linked = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).union(classes.where("self").select("node")).distinct()
+    least = classes.select("node", "least")
+    tied = members.select(F.col("class"), F.col("node").alias("a")).join(linked.join(least, "node"), F.col("class") == F.col("node"), "inner").select("a", F.col("least").alias("b"))
+    across = links.join(least.toDF("a", "at"), "a").join(least.toDF("b", "bt"), "b").select(F.col("at").alias("a"), F.col("bt").alias("b"))
+    return tied.where("a <> b").union(across).distinct()
 
 
 def shared_lists(prefix: DataFrame, most: int) -> DataFrame:
     """(tile, shingle, node): the nodes that share a prefix shingle, equal lists once a task under the list's own hash.
 
-    Lists over ``most`` nodes, and salted shingles, come without a tile, for the steps that split them.
+    Lists over ``most`` nodes come without a tile, for the steps that split them. Rows with a class pass as they are.
     """
+    names = ["tile", "shingle", "node", *[c for c, _ in CLASS]]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def batch_of(**columns) -> pa.RecordBatch:
+        n = len(columns["node"])
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, t)) for c, t in zip(names, types, strict=True)], names)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
+        parts = []
+        for p in batches:
+            rare = p.column("class").is_null()
+            if len(apart := p.filter(pc.invert(rare))):
+                yield batch_of(**{c: apart.column(c) for c in ("node", *[c for c, _ in CLASS])})
+            if len(p := p.filter(rare)):
+                parts.append((p.column("shingle").to_numpy(), p.column("node").to_numpy()))
         if not parts:
             return
-        shingle, salt, node = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("shingle", "salt", "node"))
+        shingle, node = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         parts.clear()
         order = np.lexsort((node, shingle))
-        shingle, salt, node = shingle[order], salt[order], node[order]
+        shingle, node = shingle[order], node[order]
         new = np.r_[True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])]
-        shingle, salt, node = shingle[new], salt[new], node[new]
+        shingle, node = shingle[new], node[new]
         starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
         ends = np.r_[starts[1:], len(shingle)]
+        shared = ends - starts > 1
         tiles, seen = [], set()
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            if salt[a] or b - a > most:
+        for a, b in zip(starts[shared].tolist(), ends[shared].tolist(), strict=True):
+            if b - a > most:
                 tiles.append((None, int(shingle[a]), node[a:b]))
-            elif b - a > 1 and (tile := digest(node[a:b])) not in seen:
+            elif (tile := digest(node[a:b])) not in seen:
                 seen.add(tile)
                 tiles.append((tile, None, node[a:b]))
         for at in range(0, len(tiles), 20_000):
             part = tiles[at : at + 20_000]
-            columns = [pa.array([t[k] for t in part for _ in t[2]], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([n for *_, n in part]))], ["tile", "shingle", "node"])
-
-    return prefix.mapInArrow(lists, "tile long, shingle long, node long")
-
-
-def tile_links(tiles: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): a spanning set of the links within each tile (tile, node)."""
+            tile, of = (pa.array([t[k] for t in part for _ in t[2]], pa.int64()) for k in (0, 1))
+            yield batch_of(tile=tile, shingle=of, node=pa.array(np.concatenate([n for *_, n in part])))
 
-    def possible(part: pd.DataFrame) -> list[np.ndarray]:
-        return bounded_groups(part["n"].to_numpy(), part["bits"].tolist(), percent)
+    return prefix.mapInArrow(lists, "tile long, shingle long, node long, " + ", ".join(f"{c} {t}" for c, t in CLASS))
 
-    def listed(nodes: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"tile": digest(nodes), "node": nodes})
 
-    near = by_tile(tiles.join(signed.select("node", "n", "bits"), "node"), possible, listed, "tile long, node long").distinct()
-    near = written(near, "near")
-    wanted = near.select("node").distinct().join(signed.select("node", "doc_id", "mark"), "node")
+def sets_of(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(node, set) of the ``wanted`` (node, doc_id, mark), made again from the texts."""
 
     def sets(frame: pd.DataFrame) -> pd.DataFrame:
         shingler = Shingler(words)
@@ -353,7 +425,32 @@ def tile_links(tiles: DataFrame, signed: DataFrame, docs: DataFrame, words: int,
     # by id and text, so rows without an id or with a repeated one meet the node of their own text alone
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"])
     texts = docs.join(wanted, same).select("node", "text")
-    stored = map_frames(texts, sets, "node long, set binary").dropDuplicates(["node"])
+    return map_frames(texts, sets, "node long, set binary").dropDuplicates(["node"])
+
+
+def banded(big: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The large lists (shingle, node) cut by size: each node in the list of its band and of the next.
+
+    A band reaches over a little more than the ratio of two sizes that can link, so such sizes are in one band or in
+    neighbouring ones, and the two nodes meet in the higher band.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(101 / percent)))
+    rows = big.join(signed.select("node", "n"), "node").withColumn("band", F.explode(F.array(band, band + 1)))
+    return rows.select(F.xxhash64("shingle", "band").alias("shingle"), "node").distinct()
+
+
+def tile_links(tiles: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """(a, b): a spanning set of the links within each tile (tile, node); ``sets`` gives (node, set) of the nodes asked for."""
+
+    def possible(part: pd.DataFrame) -> list[np.ndarray]:
+        return bounded_groups(part["n"].to_numpy(), part["bits"].tolist(), percent)
+
+    def listed(nodes: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"tile": digest(nodes), "node": nodes})
+
+    near = by_tile(tiles.join(signed.select("node", "n", "bits"), "node"), possible, listed, "tile long, node long").distinct()
+    near = written(near, "near")
+    stored = sets(near.select("node").distinct())
 
     def similar(part: pd.DataFrame) -> list[np.ndarray]:
         return exact_groups([np.frombuffer(s, np.uint64) for s in part["set"]], percent)
@@ -364,17 +461,17 @@ def tile_links(tiles: DataFrame, signed: DataFrame, docs: DataFrame, words: int,
     return by_tile(near.join(stored, "node"), similar, star, "a long, b long").distinct()
 
 
-def hub_links(big: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+def hub_links(big: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, most: int) -> DataFrame:
     """Links within blocks of the large lists, each node in one block of its first list beside the list's smallest node."""
     first = big.groupBy("node").agg(F.min("shingle").alias("shingle"))
     hubs = first.groupBy("shingle").agg(F.min("node").alias("hub"), F.ceil(F.count(F.lit(1)) / most).alias("blocks"))
     placed = first.join(hubs, "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     tile = F.xxhash64("shingle", "block").alias("tile")
     tiles = placed.select(tile, "node").union(placed.select(tile, F.col("hub").alias("node"))).distinct()
-    return tile_links(tiles, signed, docs, words, percent)
+    return tile_links(tiles, signed, sets, percent)
 
 
-def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, most: int) -> DataFrame:
     """The links that are left in large lists: between different components so far, one of them not the list's largest.
 
     Lists of one component are done. In the others every node outside the largest component meets the whole list, block
@@ -396,7 +493,7 @@ def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, docs: DataFr
         "shingle", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), F.pmod(F.xxhash64("node"), "few").alias("y")
     )
     tiles = every.unionByName(outside).select(F.xxhash64("shingle", "x", "y").alias("tile"), "node").distinct()
-    return tile_links(tiles, signed, docs, words, percent)
+    return tile_links(tiles, signed, sets, percent)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile_rows: int = 256) -> DataFrame:

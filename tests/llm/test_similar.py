@@ -139,3 +139,47 @@ def test_rows_without_id_are_linked_by_their_own_texts(docs, monkeypatch):
     rows = [(None, t + end) for t in texts for end in ("", " more")]
     assert len(one_of_each(docs(*rows)).collect()) == 30
     assert seen and max(seen) <= len(rows)
+
+
+def template_pages(kinds, of_each, seed=5):
+    """Pages of few templates with nought to six words of their own, some of them shared by two pages."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefghijkl") for _ in range(6))
+    base = [word() for _ in range(40)]
+    rows = []
+    for kind in range(kinds):
+        shown = list(base)
+        for _ in range(kind):
+            shown[draw.randrange(40)] = word()
+        for i in range(of_each):
+            own = [word() for _ in range(draw.randint(0, 14))]
+            rows.append((1000 * kind + 2 * i, " ".join(shown[: draw.choice([40, 40, 30])] + own)))
+            if i % 7 == 0:
+                rows.append((1000 * kind + 2 * i + 1, " ".join([word(), *shown, *own])))
+    return rows
+
+
+def test_classes_of_frequent_shingles_equal_brute_force(docs):
+    rows = template_pages(6, 40)
+    want = brute(rows)
+    assert len({c for *_, c in want}) > 20
+    for tile_rows in (256, 8):
+        assert sorted(map(tuple, jaccard_components(docs(*rows), tile_rows=tile_rows).collect())) == want
+
+
+def test_pages_of_one_template_meet_in_proportion(docs, monkeypatch):
+    met = []
+    inner = similar.by_tile
+    monkeypatch.setattr(similar, "by_tile", lambda rows, *more: met.append(rows.count()) or inner(rows, *more))
+
+    def tile_rows(pages):
+        draw = random.Random(pages)
+        shown = " ".join(f"shown{i}" for i in range(20))
+        rows = [(i, " ".join([shown, *[f"own{draw.getrandbits(40)}" for _ in range(4)]])) for i in range(pages)]
+        met.clear()
+        got = jaccard_components(docs(*rows)).collect()
+        assert all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 20 for r in got)
+        return sum(met)
+
+    few, many = tile_rows(1500), tile_rows(6000)
+    assert many <= 5 * few + 100
