@@ -206,8 +206,8 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
     signed = written(signed.select("node", "n", "bits", "at.doc_id", "at.mark"), "signatures")
     total = signed.count()
     hot = marked.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times"))
-    # bounded by the limit; the rest keeps its place in the order
-    last = hot.where(F.col("times") >= max(16, min(tile_rows, total // 1024))).orderBy(F.desc("times"), "hot").limit(100_000)
+    # half of what makes a list large, since stretches miss a part; bounded by the limit, the rest keeps its place in the order
+    last = hot.where(F.col("times") >= max(16, min(tile_rows, total // 1024) // 2)).orderBy(F.desc("times"), "hot").limit(100_000)
     last = np.sort(np.array([r["hot"] for r in last.select("hot").collect()], np.int64))
 
     prefix = prefixes(slim, words, percent, last)
@@ -247,7 +247,7 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
 def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
     """For each document its size, node and bitmap; beside them, frequent shingles with the times they were met.
 
-    A shingle is reported where it holds at least one in 256 of the distinct sets of a stretch of documents, so one that
+    A shingle is reported where it holds at least one in 1024 of the distinct sets of a stretch of documents, so one that
     is that frequent overall is reported by some task, and each stretch reports a bounded number.
     """
 
@@ -259,7 +259,7 @@ def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
 
         def frequent() -> pa.RecordBatch:
             found, times = np.unique(np.concatenate(stretch), return_counts=True) if stretch else (np.zeros(0, np.uint64),) * 2
-            often = times >= max(8, len(seen) // 256)
+            often = times >= max(4, len(seen) // 1024)
             return typed(hot=found[often].view(np.int64), times=times[often].astype(np.int64))
 
         def typed(**columns) -> pa.RecordBatch:
