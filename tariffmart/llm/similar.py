@@ -310,7 +310,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Dat
                     seen.clear()
                 seen.add(node)
                 own = found.view(np.int64)
-                late = np.isin(own, last) if len(last) else np.zeros(len(own), bool)
+                late = holds(last, own)
                 first = own[~late][: len(own) - -(-percent * len(own) // 100) + 1]
                 shingles.append(first)
                 nodes.append(np.full(len(first), node))
@@ -332,6 +332,13 @@ def prefixes(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Dat
     return docs.select("text").mapInArrow(cut, schema)
 
 
+def holds(ordered: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Which of ``asked`` are in the sorted array, by binary search, so the array itself is not gone through for each text."""
+    if not len(ordered):
+        return np.zeros(len(asked), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, asked), len(ordered) - 1)] == asked
+
+
 def class_facts(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """For rows (class, size, set, least): the class as a set of its own, and its frequent prefix.
 

@@ -111,6 +111,14 @@ def test_bitmaps_never_lose_a_link(lists):
         assert len({where[int(i)] for i in group}) == 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), max_size=20), st.lists(st.integers(-(2**63), 2**63 - 1), max_size=20))
+def test_holds_equals_membership(kept, others):
+    asked = np.array(kept[::2] + others, np.int64)
+    ordered = np.sort(np.array(kept, np.int64))
+    assert similar.holds(ordered, asked).tolist() == [int(x) in set(kept) for x in asked]
+
+
 def test_width_follows_the_size():
     assert [width(n) for n in (1, 32, 33, 500, 10**6)] == [64, 64, 128, 1024, 8192] and len(bitmap(np.arange(500, dtype=np.uint64))) == 128
 
