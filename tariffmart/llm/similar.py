@@ -25,13 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, map_frames, written
+from tariffmart.llm.common import argument, map_frames, parts_for, written
 from tariffmart.llm.linking import components
 from tariffmart.llm.pieces import Bounded
 
 WORDS = 5
 PERCENT = 80
 WIDEST = 1 << 13
+TASK_KEYS = 1 << 20  # prefix shingles that a task sorts at a time, about
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -204,14 +205,17 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
     rows = marked.where("hot is null").select("doc_id", "mark", "n", "node")
     signed = marked.where("hot is null and n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("at"))
     signed = written(signed.select("node", "n", "bits", "at.doc_id", "at.mark"), "signatures")
-    total = signed.count()
+    total, keys = signed.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()
     hot = marked.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times"))
     # half of what makes a list large, since stretches miss a part; bounded by the limit, the rest keeps its place in the order
     last = hot.where(F.col("times") >= max(16, min(tile_rows, total // 1024) // 2)).orderBy(F.desc("times"), "hot").limit(100_000)
     last = np.sort(np.array([r["hot"] for r in last.select("hot").collect()], np.int64))
 
     prefix = prefixes(slim, words, percent, last)
-    lists = written(shared_lists(prefix.repartition("shingle", "salt"), tile_rows), "lists")
+    by_shingle = prefix.repartition("shingle", "salt")
+    if (parts := parts_for(keys or 0, TASK_KEYS)) > int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        by_shingle = prefix.repartition(parts, "shingle", "salt")  # a task sorts its part in memory, so parts grow in number
+    lists = written(shared_lists(by_shingle, tile_rows), "lists")
 
     def of_texts(wanted: DataFrame) -> DataFrame:
         return sets_of(wanted.join(signed.select("node", "doc_id", "mark"), "node"), slim, words)

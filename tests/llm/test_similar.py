@@ -119,6 +119,12 @@ def test_holds_equals_membership(kept, others):
     assert similar.holds(ordered, asked).tolist() == [int(x) in set(kept) for x in asked]
 
 
+def test_more_parts_give_the_same_components(docs, monkeypatch):
+    rows = crowd()
+    monkeypatch.setattr(similar, "TASK_KEYS", 200)
+    assert sorted(map(tuple, jaccard_components(docs(*rows)).collect())) == brute(rows)
+
+
 def test_width_follows_the_size():
     assert [width(n) for n in (1, 32, 33, 500, 10**6)] == [64, 64, 128, 1024, 8192] and len(bitmap(np.arange(500, dtype=np.uint64))) == 128
 
