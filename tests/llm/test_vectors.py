@@ -45,6 +45,18 @@ def test_exact_search_edges(vectors):
     assert [tuple(r)[:3] for r in twice.orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 1)]
 
 
+def test_exact_search_asks_with_every_vector_of_an_id(vectors):
+    data = [(0, [1.0, 0.0]), (0, [0.0, 5.0]), (1, [1.0, 1.0]), (2, [3.0, 0.0])]
+    one = 256 * 256
+    assert sorted(map(tuple, exact_top_k(vectors(*data)).collect())) == [(0, 1, 1, 5 * one), (0, 2, 2, 3 * one), (0, 3, 1, one), (0, 4, 2, 0)]
+    rng = np.random.default_rng(3)
+    data = [(i % 40, rng.standard_normal(4).tolist()) for i in range(400)]  # ten vectors an id
+    got = exact_top_k(vectors(*data), every=20, bins=16, rows_per_tile=64, queries_per_tile=4)
+    pairs = [(i, -integers(np.asarray(v, "f4").astype("f8"), np.asarray(w, "f4").astype("f8")), j) for i, v in data if i % 20 == 0 for j, w in data if i != j]
+    want = [(q, r + 1, j, -s) for q in (0, 20) for r, (s, j) in enumerate(sorted((s, j) for i, s, j in pairs if i == q)[:5])]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_tree_order_visits_every_leaf_once():
     tree = grow(np.random.default_rng(1).standard_normal((500, 6)), 4, 10)
     assert sorted(tree.order(np.ones(6))) == list(range(tree.leaves))
