@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tariffmart.operators import intervals, repair
 from tariffmart.plans import quality, rewrite, views
-from tariffmart.plans.workspace import workspace
+from tariffmart.plans.workspace import Workspace, workspace
 from tariffmart.registry import YEAR
 from tariffmart.sources.given import AS_OF
 
@@ -75,3 +75,18 @@ def test_bounds_inside_the_branches_equal_a_filter_on_the_grid(spark):
 def test_a_day_outside_the_calendar_is_empty(spark):
     w = workspace(spark, SMALL)
     assert views.pricing_bi_dataset(w.facts, w.dims, AS_OF, on="1999-01-01").count() == 0
+
+
+def test_a_query_loads_only_the_tables_it_reads(spark):
+    w = Workspace(spark, SMALL)
+    begun = []
+    fresh = w.fresh_store
+    w.fresh_store = lambda: begun.append(fresh()) or begun[-1]
+    assert w.staging["stg_price_history"].count() and not begun
+    prices = w.facts["fact_price_history"].count()
+    assert [{n: df.count() > 0 for n, df in store.facts().items()} for store in begun] == [
+        {"fact_sales": False, "fact_discount_events": False, "fact_price_history": True}
+    ]
+    w.facts["fact_price_history"], w.unrepaired
+    assert len(begun) == 1
+    assert w.loaded[1].new_rows["fact_price_history"].count() == prices == w.unrepaired.count()
