@@ -114,6 +114,14 @@ def test_a_failed_run_leaves_facts_and_a_reason(spark, frames):
     assert [r.run_id for r in recent_runs(mart.runs(), 1).collect()] == [2]
 
 
+def test_a_rejected_load_stores_nothing(spark, frames):
+    mart = MartStore(spark, scratch_path(spark, "rejected-test"))
+    with pytest.raises(LoadRejected):
+        mart.refresh(frames.staging(sales=[("2024-01-05", "ZZZ", 1, 1)], prices=[("A", 5, "2024-01-01", None)]), frames.dims(), T0)
+    for name in ("fact_sales", "fact_discount_events", "fact_price_history"):
+        assert not os.path.exists(f"{mart.root.removeprefix('file:')}/{name}/run_id=1")
+
+
 def test_a_run_that_dies_before_its_last_record_stays_invisible(spark, frames, monkeypatch):
     mart = MartStore(spark, scratch_path(spark, "crash-test"))
     staging = frames.staging(sales=[("2024-01-01", "A", 1, 1)])
