@@ -26,7 +26,15 @@ def staged_months(staged: DataFrame, date: str) -> list[str]:
 
     Only facts of these months can equal a staged row, so one late row adds one month to what is compared.
     """
-    return sorted(r[0] for r in staged.select(month(date)).distinct().collect() if r[0] is not None)
+    days = staged.select(date).distinct()  # a month's text is made once a day, not once a row
+    return sorted(r[0] for r in days.select(month(date)).distinct().collect() if r[0] is not None)
+
+
+def of_staged_months(facts: DataFrame, staged: DataFrame, date: str) -> DataFrame:
+    """The facts dated in a month that staged rows are about, by a filter in the scan."""
+    first_day = F.unix_date(F.trunc(date, "MM"))
+    months = [r[0] for r in staged.select(date).distinct().select(first_day).distinct().collect() if r[0] is not None]
+    return facts.filter(first_day.isin(months))
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -64,8 +72,13 @@ def new_prices(staged: DataFrame, facts: DataFrame, match_end: bool = True) -> D
     whose end was changed is then loaded again on the next run. ``match_end=False`` leaves the end out and
     makes a reload of the same staging add nothing.
     """
+    return unstored_prices(distinct_rows(staged, PRICE_COLUMNS), facts, match_end)
+
+
+def unstored_prices(distinct: DataFrame, facts: DataFrame, match_end: bool = True) -> DataFrame:
+    """The same of staged prices that are distinct already."""
     keys = [*KEY, "price", "effective_start", "currency"] + (["effective_end"] if match_end else [])
-    s = distinct_rows(staged, PRICE_COLUMNS).alias("s")
+    s = distinct.alias("s")
     f = facts.select(*keys).alias("f")
     equal = [F.col(f"s.{c}") == F.col(f"f.{c}") for c in [*KEY, "price", "effective_start"]]
     if match_end:

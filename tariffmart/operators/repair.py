@@ -2,7 +2,8 @@
 
 The order within a key is (effective_start, created_at, price_hist_id). The next start depends only on
 the distinct start days of the key and on which row is the last of its day, so the window runs over
-(key, day) aggregates, and no task ever holds all rows of a hot key.
+(key, day) aggregates, and no task ever holds all rows of a hot key. Whole tables are repaired by a window over the rows
+of each key, which moves them once; skus are counted first, and those above a bound of rows still go by days.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tariffmart.schemas import KEY
 
+# The keys of a sku with more rows do not go through one window each but by days.
+HOT_ROWS = 200_000
+
 
 def _arrival() -> Column:
     """(created_at, id) as one number of fixed width, which keeps the aggregate a hash aggregate."""
@@ -32,6 +36,15 @@ def with_next_start(prices: DataFrame) -> DataFrame:
     )
 
 
+def with_next_row_start(prices: DataFrame) -> DataFrame:
+    """The same next_effective_start by one window over the rows of each key, for complete rows of keys of bounded size:
+    the next row of the same day starts that day too."""
+    spread = F.hash(*KEY)  # tells most keys apart before their texts are compared
+    order = Window.partitionBy("_spread", *KEY).orderBy("effective_start", "created_at", "price_hist_id")
+    rows = prices.withColumn("_spread", spread).withColumn("next_effective_start", F.lead("effective_start").over(order))
+    return rows.drop("_spread")
+
+
 def repaired_end() -> Column:
     """The end a row gets: the day before the next start, but not before its own start; open if last.
 
@@ -60,6 +73,20 @@ def repair_ranges(prices: DataFrame) -> DataFrame:
     return with_next_start(prices).select(*columns)
 
 
+def repair_all(prices: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As ``repair_ranges``, for stored rows (no NULL in key, start or arrival), moving rows of most keys once.
+
+    Rows of a sku are counted first, reduced on the map side; the skus that come to the driver, those that could make one
+    window long, are at most one in ``hot_rows`` rows.
+    """
+    hot = [r[0] for r in prices.groupBy("sku").count().filter(F.col("count") > hot_rows).select("sku").collect()]
+    columns = [repaired_end().alias(c) if c == "effective_end" else F.col(c) for c in prices.columns]
+    if not hot:
+        return with_next_row_start(prices).select(*columns)
+    by_row = with_next_row_start(prices.filter(~F.col("sku").isin(hot))).select(*columns)
+    return by_row.unionByName(repair_ranges(prices.filter(F.col("sku").isin(hot))))
+
+
 def ranges_changed(prices: DataFrame) -> DataFrame:
     """The rows a repair would write, with old and new end."""
     return (

@@ -97,8 +97,7 @@ def load_profile(
         broken = [F.count_if(condition) for _, _, condition in _rules(contracts[table])]
         broken += [F.lit(0).cast("long")] * (width - len(broken))
         parts.append(
-            rows.groupBy(*KEY).agg(
-                F.first(F.lit(table)).alias("table_name"),
+            rows.groupBy(F.lit(table).alias("table_name"), *KEY).agg(
                 F.count("*").alias("n"),
                 *[c.alias(f"r{i}") for i, c in enumerate(broken)],
             )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffmart.functions.expressions import moment
-from tariffmart.operators.dedup import distinct_rows, new_discounts, new_prices, new_sales
+from tariffmart.operators.dedup import distinct_rows, new_discounts, new_sales, of_staged_months, unstored_prices
 from tariffmart.operators.repair import range_changes, repair_ranges
 from tariffmart.operators.surrogate import highest_id, with_surrogate_key
 from tariffmart.operators.validate import (
@@ -74,7 +74,7 @@ def append_prices(
 ) -> DataFrame:
     """Rows to append to the price facts, before repair. Facts of keys that are not staged may be left out."""
     ready = distinct_rows(staged.filter(price_row_rules()), PRICE_COLUMNS)
-    fresh = new_prices(known_sku(ready, dim_product), facts, match_end=not idempotent)
+    fresh = unstored_prices(known_sku(ready, dim_product), facts, match_end=not idempotent)
     return _numbered(fresh, facts, "fact_price_history", loaded_at, after)
 
 
@@ -107,8 +107,9 @@ def load_staging(
 ) -> Load:
     """Number and write the new rows of all facts. Checks, repair and publication then read those written rows.
 
-    ``facts`` holds what the staged rows can meet: their months of sales and discounts, their keys of prices. Stored
-    prices are a fixed point of the repair, so only keys with new rows can change. The tables do not depend on each
+    ``facts`` holds what the staged rows can meet: their months of sales and discounts, their keys of prices. A stored
+    price equals a staged one only if it starts in the same month. Stored prices are a fixed point of the repair, so only
+    keys with new rows can change. The tables do not depend on each
     other, so their jobs are submitted together. Tables that ``staging`` leaves out get nothing.
     """
     fresh = {
@@ -117,10 +118,13 @@ def load_staging(
         "fact_price_history": lambda rows, known, after: append_prices(rows, known, products, loaded_at, idempotent, after),
     }
     prices = staging.get("stg_price_history")
+    met = dict(facts)
+    if prices is not None and last_ids["fact_price_history"]:
+        met["fact_price_history"] = of_staged_months(facts["fact_price_history"], prices, "effective_start")
     with ThreadPoolExecutor(max_workers=4) as jobs:
         rejected = jobs.submit(lambda: rejected_price_count(prices, products).first()[0] if prices is not None else 0)
         loads = {
-            table: jobs.submit(fresh[table], staging[stage], facts[table], last_ids[table])
+            table: jobs.submit(fresh[table], staging[stage], met[table], last_ids[table])
             for stage, table in zip(STAGING, FACTS, strict=True)
             if stage in staging
         }

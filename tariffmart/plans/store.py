@@ -12,8 +12,10 @@ is the scheduler's to see to.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 
 from tariffmart.functions.expressions import month
 from tariffmart.operators.dedup import staged_months
+from tariffmart.operators.repair import repair_all
 from tariffmart.operators.top import first_per_group
 from tariffmart.plans.refresh import FACTS, Load, check_load, load_staging
 from tariffmart.schemas import KEY, PRIMARY_KEYS, SCHEMAS
@@ -34,6 +37,10 @@ DATE_OF = {"fact_sales": "sale_date", "fact_discount_events": "start_date"}
 STAGED = {"fact_sales": "stg_sales", "fact_discount_events": "stg_discount_events"}
 PARTS = ["run_id", "month"]
 
+# A load of at least one price for so many stored ones is met by all of them and writes all months anew: most keys change,
+# and looking for the others would move every row more often than writing them does.
+STORED_A_NEW_ROW = 4
+
 # Order of the states of one run.
 STATE_ORDER = {"RUNNING": 1, "FAILED": 2, "SUCCESS": 2}
 
@@ -159,30 +166,46 @@ class MartStore:
             self._write(name, rows, run_id)
         return touched
 
-    def _store(self, load: Load, published: Published, run_id: int) -> list[str]:
+    def _rewrite_prices(self, added: DataFrame, published: Published, run_id: int) -> list[str]:
+        """Write all months anew from stored and new prices, and name them, those that are empty now included."""
+        name = "fact_price_history"
+        rows = repair_all(self._table(name, published).unionByName(added))
+        self._write(name, rows.withColumn("month", F.coalesce(month("effective_end"), F.lit(OPEN))), run_id)
+        stored = T.StructType([f for f in _stored(name).fields if f.name != "run_id"])
+        files = self.spark.read.schema(stored).parquet(f"{self.root}/{name}/run_id={run_id}").inputFiles()
+        return sorted({re.search(r"/month=([^/]+)/", file)[1] for file in files} | set(published.price_runs))
+
+    def _store(self, load: Load, loaded: dict[str, int], published: Published, run_id: int) -> list[str]:
         """Write what a run adds or changes; nothing reads it until the run is logged as SUCCESS. The months of prices."""
+        name = "fact_price_history"
+        write = partial(self._write_prices, load.changed_prices)
+        if loaded.get(name, 0) > 0 and published.last_ids[name] <= STORED_A_NEW_ROW * loaded[name]:
+            write = partial(self._rewrite_prices, load.new_rows[name])
         with ThreadPoolExecutor(max_workers=3) as jobs:
             added = [
                 jobs.submit(self._write, name, load.new_rows[name].withColumn("month", month(date)), run_id)
                 for name, date in DATE_OF.items()
                 if name in load.new_rows
             ]
-            prices = jobs.submit(self._write_prices, load.changed_prices, published, run_id) if load.changed_prices is not None else None
-            for write in added:
-                write.result()
+            prices = jobs.submit(write, published, run_id) if load.changed_prices is not None else None
+            for job in added:
+                job.result()
             return prices.result() if prices else []
 
     def _met_by(self, staging: dict[str, DataFrame], published: Published) -> dict[str, DataFrame]:
-        """The facts that staged rows can equal or move: their months of sales and discounts, their keys of prices."""
+        """The facts that staged rows can equal or move: their months of sales and discounts, their keys of prices, or all
+        prices if there are too many staged rows for that to leave out much."""
         facts = {}
         for name, date in DATE_OF.items():
             if STAGED[name] in staging:
                 known = published.last_ids[name] > 0
                 facts[name] = self._table(name, published, staged_months(staging[STAGED[name]], date) if known else [])
         if "stg_price_history" in staging:
-            prices = self._table("fact_price_history", published)
-            keys = staging["stg_price_history"].select(*KEY).distinct()
-            facts["fact_price_history"] = prices.join(keys, KEY, "left_semi").select(*prices.columns)
+            prices, staged = self._table("fact_price_history", published), staging["stg_price_history"]
+            known = published.last_ids["fact_price_history"]
+            if known and known > STORED_A_NEW_ROW * staged.count():
+                prices = prices.join(staged.select(*KEY).distinct(), KEY, "left_semi").select(*prices.columns)
+            facts["fact_price_history"] = prices
         return facts
 
     def refresh(
@@ -208,7 +231,7 @@ class MartStore:
             published = self.published()
             load = load_staging(staging, self._met_by(staging, published), dims["dim_product"], started, published.last_ids, idempotent)
             loaded = check_load(load.new_rows, dims)
-            price_months = self._store(load, published, run_id)
+            price_months = self._store(load, loaded, published, run_id)
         except Exception as error:
             self.log(run_id, "FAILED", started, loaded_at or _now(), failure_reason=f"{type(error).__name__}: {error}", batch=batch)
             raise

@@ -880,8 +880,8 @@ def stream_refresh(w: Workspace) -> DataFrame:
     """Staged prices that arrive in three drops of files, the one between the others last, each loaded by the stream."""
     store_ = w.fresh_store()
     folder, checkpoint = scratch_path(w.spark, "arrivals"), scratch_path(w.spark, "stream")
-    begins = F.year("effective_start")
-    for arrived in (begins.isNull() | (begins < 1996), begins >= 1999, begins.between(1996, 1998)):
+    begins, second, third = F.col("effective_start"), F.lit(dt.date(1996, 1, 1)), F.lit(dt.date(1999, 1, 1))
+    for arrived in (begins.isNull() | (begins < second), begins >= third, (begins >= second) & (begins < third)):
         tables.append_rows(w.staging["stg_price_history"].filter(arrived), f"{folder}/stg_price_history")
         arrivals.stream_refresh(store_, lambda: w.dims, folder, checkpoint, "stg_price_history").awaitTermination()
     return store_.table("fact_price_history").groupBy("region_code", "channel_code").agg(

@@ -9,7 +9,9 @@ sorts them into their place.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tariffmart.plans.store import MartStore
 from tariffmart.schemas import SCHEMAS
 from tariffmart.session import scratch_path
-from tariffmart.sources.tables import load_table
+from tariffmart.sources.tables import empty_table, load_table
 
 STAGING_OF_STREAM = ["stg_price_history", "stg_sales", "stg_discount_events"]
 
@@ -30,6 +32,15 @@ def arrivals(spark: SparkSession, folder: str, name: str, files_per_batch: int |
     return reader.load(folder)
 
 
+def files_as_table(spark: SparkSession, files: list[str], folder: str, name: str) -> DataFrame:
+    """The rows of Parquet files of a staging folder, named as in ``_metadata.file_path``."""
+    if not files:
+        return empty_table(spark, name)
+    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(file)) for file in files]  # a path given to a reader is a pattern
+    rows = spark.read.schema(SCHEMAS[name]).option("basePath", folder).parquet(*sorted(literal))
+    return rows.select(*SCHEMAS[name].names)
+
+
 def stream_refresh(
     store: MartStore,
     dims: Callable[[], dict[str, DataFrame]],
@@ -47,11 +58,20 @@ def stream_refresh(
     a time, prices, sales and discounts in any order: refreshes of a mart do not overlap.
     """
     rows = arrivals(store.spark, f"{folder}/{name}", name, files_per_batch, fmt)
+    in_place = fmt == "parquet" and not re.search(r"[*?\[{]", folder)  # a pattern has no base for the files below it
+    if in_place:
+        rows = rows.select("_metadata.file_path")  # a batch is its files; none of their columns is read for it
 
-    def load(batch: DataFrame, number: int) -> None:
+    def staged_rows(batch: DataFrame) -> DataFrame:
+        if in_place:
+            files = [row.file_path for row in batch.distinct().collect()]
+            return files_as_table(store.spark, files, f"{folder}/{name}", name)
         path = scratch_path(store.spark, "arrivals")
-        batch.write.parquet(path)  # read once from its files, which may be of a slow format
-        staged = load_table(store.spark, path, name)
+        batch.write.parquet(path)  # read once from its files, as the format may be a slow one
+        return load_table(store.spark, path, name)
+
+    def load(batch: DataFrame, number: int) -> None:
+        staged = staged_rows(batch)
         store.refresh({name: staged}, dims(), loaded_at, idempotent=True, batch=f"{name}-{number}")
 
     return (

@@ -221,3 +221,27 @@ def test_a_task_that_is_run_again_counts_once(spark):
     except Exception:  # a local session gives a task one try only; the job is then run again as a whole
         counted = append_rows(rows, path)
     assert counted == 1000 and spark.read.parquet(path).count() == 1000
+
+
+def test_a_load_as_large_as_the_store_writes_it_anew_without_looking_for_changes(spark, frames, monkeypatch):
+    mart, whole = (MartStore(spark, scratch_path(spark, label)) for label in ("many-test", "whole-test"))
+    first = [("A", 5, "2024-01-01", None), ("A", 6, "2024-06-01", None), ("B", 1, "2024-03-01", "2024-03-02")]
+    late = [("A", 7, "2024-02-01", None), ("A", 5, "2024-01-01", None), ("C", 2, "2024-06-01", None), ("B", 8, "2024-03-01", None)]
+    whole.refresh(frames.staging(prices=first + late), frames.dims(), T0, idempotent=True)
+    with monkeypatch.context() as patch:
+        patch.setattr(MartStore, "_write_prices", lambda *_: pytest.fail("joined with what is stored to find the changed rows"))
+        assert mart.refresh(frames.staging(prices=first), frames.dims(), T0, idempotent=True).rows_loaded == 3
+        assert mart.refresh(frames.staging(prices=late), frames.dims(), T0, idempotent=True).rows_loaded == 3
+    got = mart.table("fact_price_history")
+    assert got.count() == 6 and set(mart.published().price_runs.values()) == {2}
+    assert sorted(got.select("price_hist_id").collect()) == [(i,) for i in range(1, 7)]
+    ranges = lambda df: sorted((r.sku, r.effective_start, str(r.effective_end), r.price) for r in df.filter("sku <> 'B'").collect())
+    assert ranges(got) == ranges(whole.table("fact_price_history"))
+    assert repair_ranges(got).exceptAll(got).count() == 0 and got.exceptAll(repair_ranges(got)).count() == 0
+
+
+def test_only_prices_of_the_staged_months_are_compared(spark, frames):
+    facts = frames.prices((1, "A", 5, "2023-12-31", None), (2, "A", 5, "2024-01-05", None), (3, "B", 5, "2024-02-01", None))
+    staged = frames.staged_prices(("A", 5, "2024-01-31", None), ("A", 5, "2024-01-02", None), ("A", 5, None, None))
+    assert [r.price_hist_id for r in dedup.of_staged_months(facts, staged, "effective_start").collect()] == [2]
+    assert dedup.of_staged_months(facts, staged.limit(0), "effective_start").count() == 0

@@ -6,6 +6,7 @@ from conftest import T0, T1, d
 from pyspark.sql import functions as F
 
 from tariffmart.operators.intervals import overlap_counts
+from tariffmart.operators import repair as rp
 from tariffmart.operators.repair import ranges_changed, repair_ranges
 from tariffmart.streaming.late import late_arrivals, late_repair
 
@@ -85,3 +86,14 @@ def test_a_hot_day_of_a_key_is_repaired(spark, frames):
     got = repair_ranges(many.select(row.columns))
     assert got.filter("effective_end IS NULL").select("price_hist_id").collect()[0][0] == 20_000
     assert got.filter(F.col("effective_end") == F.lit(d("2024-01-05"))).count() == 19_999
+
+
+def test_repair_of_a_whole_table_by_rows_or_by_days(spark, frames):
+    days = ["2024-01-01", "2024-01-01", "2024-01-09", "2024-02-01", "2024-02-01", "2024-02-01", "2024-03-05"]
+    ends = [None, "2024-01-08", "2023-12-01", None, "2024-02-01", "2024-03-04", "2024-04-01"]
+    rows = [(10 * k + i, sku, 5, day, end, T1 if i % 3 == 0 else T0) for k, sku in enumerate("AB") for i, (day, end) in enumerate(zip(days, ends))]
+    prices = frames.prices(*rows, (99, "C", 5, "2024-01-01", "2024-01-05"))
+    expected = sorted(repair_ranges(prices).collect())
+    assert len(expected) == 15
+    for hot_rows in (0, 1, 100):  # all skus by days, C by its rows, all by their rows
+        assert sorted(rp.repair_all(prices, hot_rows).collect()) == expected

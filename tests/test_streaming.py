@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import T0
 
 from tariffmart.operators.merge import diff_summary
 from tariffmart.plans.store import MartStore
 from tariffmart.session import scratch_path
 from tariffmart.sources.tables import append_rows
-from tariffmart.streaming.arrivals import STAGING_OF_STREAM, load_arrivals
+from tariffmart.streaming import arrivals as ar
+from tariffmart.streaming.arrivals import STAGING_OF_STREAM, load_arrivals, stream_refresh
 
 SALES = [
     [("2024-01-01", "A", 1, 1), ("2024-02-01", "B", 2, 2), ("2024-02-01", "B", 2, 2)],
@@ -53,3 +55,13 @@ def test_three_arrivals_equal_one_load_and_a_restart_loads_nothing(spark, frames
     load_arrivals(store, lambda: dims, folder, scratch_path(spark, "forgotten"), loaded_at=T0, files_per_batch=1)
     assert diff_summary(store.table("fact_sales"), store.table("fact_sales")).first().left_rows == 4  # batches already logged
     assert store.published().runs == batches
+
+
+def test_parquet_arrivals_are_read_where_they_lie(spark, frames, monkeypatch):
+    """Files below folders with a blank and a column in their names."""
+    folder, store = f"{scratch_path(spark, 'in place')}/a b", MartStore(spark, scratch_path(spark, "in-place-mart"))
+    rows = frames.staged_prices(("A", 5, "2024-01-01", None), ("B", 6, "2024-01-01", None))
+    rows.coalesce(1).write.partitionBy("sku").parquet(f"{folder}/stg_price_history")
+    monkeypatch.setattr(ar, "scratch_path", lambda *_: pytest.fail("copied before it is loaded"))
+    stream_refresh(store, frames.dims, folder, scratch_path(spark, "checkpoint"), "stg_price_history", T0).awaitTermination()
+    assert sorted((r.sku, r.price) for r in store.table("fact_price_history").collect()) == [("A", 5), ("B", 6)]
