@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import written
+from tariffmart.llm.common import moved, written
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -27,11 +27,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = mark(kept)
     for _ in range(most_rounds):
         both = kept.union(kept.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.join(smallest(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+        large = both.join(moved(smallest(both)), "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         # the plan of the second star reads the first one twice, so it is written too
         large = written(large, "large-star")
         mins = smallest(large)
-        small = large.join(mins, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        small = large.join(moved(mins), "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         kept = written(small.union(mins.select("a", F.col("least").alias("b"))).distinct(), "small-star")
         now = mark(kept)
         if now == before:

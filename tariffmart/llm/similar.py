@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffmart.llm.common import argument, map_frames, parts_for, written
+from tariffmart.llm.common import argument, map_frames, moved, parts_for, written
 from tariffmart.llm.linking import components
 from tariffmart.llm.pieces import Bounded
 
@@ -218,7 +218,7 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
     lists = written(shared_lists(by_shingle, tile_rows), "lists")
 
     def of_texts(wanted: DataFrame) -> DataFrame:
-        return sets_of(wanted.join(signed.select("node", "doc_id", "mark"), "node"), slim, words)
+        return sets_of(wanted.join(moved(signed.select("node", "doc_id", "mark")), "node"), slim, words)
 
     def links_of(lists: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
         small = lists.where("tile is not null").select("tile", "node").distinct()
@@ -237,15 +237,17 @@ def with_components(slim: DataFrame, words: int, percent: int, tile_rows: int) -
     if not classes.isEmpty():
         heads = classes.select(F.explode("heads").alias("shingle"), F.lit(0).cast("long").alias("salt"), "node", *[F.lit(None).cast(t).alias(c) for c, t in CLASS])
         met = written(shared_lists(heads.repartition("shingle", "salt"), tile_rows), "class-lists")
-        of_classes = written(links_of(met, classes.select("node", "n", "bits"), lambda wanted: wanted.join(classes.select("node", "set"), "node")), "class-links")
+        of_classes = written(links_of(met, classes.select("node", "n", "bits"), lambda wanted: wanted.join(moved(classes.select("node", "set")), "node")), "class-links")
         links = links.union(member_links(classes, of_classes, members))
 
     linked = components(links)
     own = signed.select("node", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark").alias("at"))
-    named = linked.join(own, "node").groupBy("root").agg(F.min("at").alias("best"))
-    of_node = own.join(linked, "node", "left").join(named, "root", "left").withColumn("best", F.coalesce("best", "at"))
+    named = linked.join(moved(own), "node").groupBy("root").agg(F.min("at").alias("best"))
+    # nodes without a link have no root, so they do not meet in one task
+    best = linked.join(moved(named), "root").select("node", "best")
+    of_node = own.join(moved(best), "node", "left").withColumn("best", F.coalesce("best", "at"))
     of_node = of_node.select("node", F.col("best.doc_id").alias("component"), F.struct("best.doc_id", "best.mark").alias("first"))
-    return rows.join(of_node, "node", "left").select("doc_id", "mark", "n", "node", "component", "first")
+    return rows.join(moved(of_node), "node", "left").select("doc_id", "mark", "n", "node", "component", "first")
 
 
 def shingle_facts(docs: DataFrame, words: int) -> DataFrame:
@@ -373,8 +375,8 @@ def member_links(classes: DataFrame, links: DataFrame, members: DataFrame) -> Da
     """
     linked = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).union(classes.where("self").select("node")).distinct()
     least = classes.select("node", "least")
-    tied = members.select(F.col("class"), F.col("node").alias("a")).join(linked.join(least, "node"), F.col("class") == F.col("node"), "inner").select("a", F.col("least").alias("b"))
-    across = links.join(least.toDF("a", "at"), "a").join(least.toDF("b", "bt"), "b").select(F.col("at").alias("a"), F.col("bt").alias("b"))
+    tied = members.select(F.col("class"), F.col("node").alias("a")).join(moved(linked.join(moved(least), "node")), F.col("class") == F.col("node"), "inner").select("a", F.col("least").alias("b"))
+    across = links.join(moved(least.toDF("a", "at")), "a").join(moved(least.toDF("b", "bt")), "b").select(F.col("at").alias("a"), F.col("bt").alias("b"))
     return tied.where("a <> b").union(across).distinct()
 
 
@@ -435,7 +437,7 @@ def sets_of(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
 
     # by id and text, so rows without an id or with a repeated one meet the node of their own text alone
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"])
-    texts = docs.join(wanted, same).select("node", "text")
+    texts = docs.join(moved(wanted), same).select("node", "text")
     return map_frames(texts, sets, "node long, set binary").dropDuplicates(["node"])
 
 
@@ -446,7 +448,7 @@ def banded(big: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     neighbouring ones, and the two nodes meet in the higher band.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(101 / percent)))
-    rows = big.join(signed.select("node", "n"), "node").withColumn("band", F.explode(F.array(band, band + 1)))
+    rows = big.join(moved(signed.select("node", "n")), "node").withColumn("band", F.explode(F.array(band, band + 1)))
     return rows.select(F.xxhash64("shingle", "band").alias("shingle"), "node").distinct()
 
 
@@ -459,7 +461,7 @@ def tile_links(tiles: DataFrame, signed: DataFrame, sets: Callable[[DataFrame],
     def listed(nodes: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({"tile": digest(nodes), "node": nodes})
 
-    near = by_tile(tiles.join(signed.select("node", "n", "bits"), "node"), possible, listed, "tile long, node long").distinct()
+    near = by_tile(tiles.join(moved(signed.select("node", "n", "bits")), "node"), possible, listed, "tile long, node long").distinct()
     near = written(near, "near")
     stored = sets(near.select("node").distinct())
 
@@ -469,14 +471,14 @@ def tile_links(tiles: DataFrame, signed: DataFrame, sets: Callable[[DataFrame],
     def star(nodes: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({"a": nodes[1:], "b": nodes[0]})
 
-    return by_tile(near.join(stored, "node"), similar, star, "a long, b long").distinct()
+    return by_tile(near.join(moved(stored), "node"), similar, star, "a long, b long").distinct()
 
 
 def hub_links(big: DataFrame, signed: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, most: int) -> DataFrame:
     """Links within blocks of the large lists, each node in one block of its first list beside the list's smallest node."""
     first = big.groupBy("node").agg(F.min("shingle").alias("shingle"))
     hubs = first.groupBy("shingle").agg(F.min("node").alias("hub"), F.ceil(F.count(F.lit(1)) / most).alias("blocks"))
-    placed = first.join(hubs, "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    placed = first.join(moved(hubs), "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     tile = F.xxhash64("shingle", "block").alias("tile")
     tiles = placed.select(tile, "node").union(placed.select(tile, F.col("hub").alias("node"))).distinct()
     return tile_links(tiles, signed, sets, percent)
@@ -489,7 +491,7 @@ def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, sets: Callab
     by block, so no pair of different components is left out.
     """
     found = components(links)
-    rows = big.join(found, "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
+    rows = big.join(moved(found), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
     counts = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("times"))
     lists = counts.groupBy("shingle").agg(F.sum("times").alias("size"), F.max(F.struct("times", "root")).alias("top"))
     lists = lists.where("size > top.times").select(
@@ -498,7 +500,7 @@ def rest_links(big: DataFrame, links: DataFrame, signed: DataFrame, sets: Callab
         F.ceil(F.col("size") / most).cast("int").alias("blocks"),
         F.ceil((F.col("size") - F.col("top.times")) / most).cast("int").alias("few"),
     )
-    open_ = written(rows.join(lists, "shingle"), "open-lists")
+    open_ = written(rows.join(moved(lists), "shingle"), "open-lists")
     every = open_.select("shingle", "node", F.pmod(F.xxhash64("node"), "blocks").alias("x"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("y"))
     outside = open_.where("root <> largest").select(
         "shingle", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), F.pmod(F.xxhash64("node"), "few").alias("y")
@@ -523,10 +525,10 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, til
     def met(keys: DataFrame):
         return every["doc_id"].eqNullSafe(keys["doc_id"]) & (every["mark"] == keys["mark"])
 
-    kept = every.join(gone, met(gone), "left_anti")
+    kept = every.join(moved(gone), met(gone), "left_anti")
     twice = found.where(stands).groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n")).where("times > 1")
     if twice.isEmpty():
         return kept.select("row.*")
-    copies = kept.join(twice, met(twice)).select("row", every["doc_id"], every["mark"], "hash", F.when(F.col("n") == 0, F.col("hash")).alias("whole"))
+    copies = kept.join(moved(twice), met(twice)).select("row", every["doc_id"], every["mark"], "hash", F.when(F.col("n") == 0, F.col("hash")).alias("whole"))
     once = copies.groupBy("doc_id", "mark", "whole").agg(F.min_by("row", "hash").alias("row"))
-    return kept.join(twice, met(twice), "left_anti").select("row.*").union(once.select("row.*"))
+    return kept.join(moved(twice), met(twice), "left_anti").select("row.*").union(once.select("row.*"))

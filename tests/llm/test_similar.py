@@ -9,7 +9,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tariffmart.llm import similar
+from tariffmart.llm import linking, similar
+from tariffmart.llm.common import written
 from tariffmart.llm.linking import components
 from tariffmart.llm.similar import Shingler, bitmap, bounded_groups, exact_groups, jaccard_components, needed, one_of_each, rest_links, width
 
@@ -197,3 +198,19 @@ def test_pages_of_one_template_meet_in_proportion(docs, monkeypatch):
 
     few, many = tile_rows(1500), tile_rows(6000)
     assert many <= 5 * few + 100
+
+
+def test_no_table_of_the_join_is_gathered_in_the_driver(spark, monkeypatch):
+    plans = []
+
+    def seen(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, label)
+
+    for module in (similar, linking):
+        monkeypatch.setattr(module, "written", seen)
+    docs = spark.createDataFrame(crowd(), "doc_id long, text string")
+    kept = one_of_each(docs, tile_rows=32)
+    plans.append(("kept", kept._jdf.queryExecution().executedPlan().toString()))
+    assert {"near", "tile-links", "hub-links", "rest-links", "class-links", "large-star", "small-star", "components"} <= {label for label, _ in plans}
+    assert [label for label, plan in plans if "Broadcast" in plan] == []
