@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tariffmart.operators import intervals
 from tariffmart.operators.intervals import one_row_per_day, overlap_counts, overlap_witnesses, overlapping_spans
 
 DAY0 = dt.date(2024, 1, 1)
@@ -110,3 +111,13 @@ def test_a_hot_key_is_counted_without_pairs(spark):
         F.lit(DAY0).alias("s"), F.date_add(F.lit(DAY0), 5).alias("e"),
     )
     assert int(overlap_counts(df, "s", "e", False).first().pairs) == 200_000 * 199_999 // 2
+
+
+def test_products_beyond_half_a_long_are_exact(spark, monkeypatch):
+    rows = random_rows(5, size=80, span=4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for strict in (True, False):
+        expected = Counter(a[1] for i, a in enumerate(rows) for b in rows[:i] if a[1] == b[1] and meets(a, b, strict))
+        for half in (31, 3, 1):  # with few bits most products go by decimals, and sums have upper bits
+            monkeypatch.setattr(intervals, "HALF", half)
+            assert {r.sku: int(r.pairs) for r in overlap_counts(df, "s", "e", strict).collect()} == expected

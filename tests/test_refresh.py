@@ -5,12 +5,15 @@ import tempfile
 
 import pytest
 from conftest import T0, T1, d
+from pyspark.sql import functions as F
 
 from tariffmart.operators import dedup, validate
 from tariffmart.operators.repair import repair_ranges
+from tariffmart.plans import refresh
 from tariffmart.plans import store as st
 from tariffmart.plans.refresh import LoadRejected
 from tariffmart.plans.store import MartStore, latest_run, recent_runs
+from tariffmart.schemas import ID_ORDER
 from tariffmart.session import scratch_path
 from tariffmart.sources.tables import append_rows, reload_staging
 
@@ -245,3 +248,17 @@ def test_only_prices_of_the_staged_months_are_compared(spark, frames):
     staged = frames.staged_prices(("A", 5, "2024-01-31", None), ("A", 5, "2024-01-02", None), ("A", 5, None, None))
     assert [r.price_hist_id for r in dedup.of_staged_months(facts, staged, "effective_start").collect()] == [2]
     assert dedup.of_staged_months(facts, staged.limit(0), "effective_start").count() == 0
+
+
+def test_a_load_moves_staged_and_stored_rows_once(spark, frames):
+    staged = frames.staged_discounts(
+        ("A", "FLAT", 1, "2024-01-01", "2024-01-05"), ("A", "FLAT", 1, "2024-01-01", "2024-01-05"), ("A", None, 1, "2024-01-01", "2024-01-05"),
+        ("A", None, 1, "2024-01-01", "2024-01-05"), ("B", "FLAT", 2, "2024-01-01", "2024-01-05"), ("B", "FLAT", 2, "2024-01-01", "2024-01-05"),
+    )
+    facts = frames.discounts((7, "A", None, 1, "2024-01-01", "2024-01-05"), (9, "B", "FLAT", 2, "2024-01-01", "2024-01-05"))
+    columns = ID_ORDER["fact_discount_events"]
+    rows = dedup.unstored_in_place(dedup.beside_stored(staged, facts, columns).repartitionByRange(4, *[F.col(c).asc_nulls_first() for c in columns]), columns)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(map(str, rows.collect())) == sorted(map(str, dedup.new_discounts(staged, facts).select(*columns).collect()))
+    added = refresh.refresh_discounts(staged, facts, T0).orderBy("discount_event_id")
+    assert [(r.discount_event_id, r.sku, r.discount_type) for r in added.collect()] == [(10, "A", None), (11, "A", "FLAT")]
